@@ -1,0 +1,110 @@
+"""Deterministic providers for runs without a model, and the same rules as column expressions.
+
+A real model is plugged in through ``Provider``.  These make a job's result a fixed function of its
+input, so that jobs can be checked against plain expressions.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import re
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from lexiloom.functions.text import split_words
+from lexiloom.providers.base import CallSettings, Provider, TruncatedOutput
+
+PLAIN = "abcdefghijklmnopqrstuvwxyz"
+CODED = "bcdfghjklmnpqrstvwxyzaeiou"
+_DIRECTION = re.compile(r"from (\S+) to ([^\s:.]+)")
+
+
+def drop_below(tenths: int) -> str:
+    """Words whose digest starts below this hex byte are dropped; the share grows with temperature."""
+    return f"{8 + 4 * tenths:02x}"
+
+
+def digest(text: str) -> str:
+    return hashlib.md5(text.encode("utf-8")).hexdigest()
+
+
+class CipherProvider(Provider):
+    """Substitutes letters on the way out of ``home`` and back; loses some words on the way out."""
+
+    name = "cipher"
+
+    def __init__(self, home: str):
+        self.home = home
+
+    def invoke(self, text: str, system: str, config: CallSettings) -> str:
+        found = _DIRECTION.search(system)
+        if found is None or found.group(1) == self.home:
+            tenths = round(config.temperature * 10)
+            limit = drop_below(tenths)
+            kept = [
+                word
+                for i, word in enumerate(text.split())
+                if i == 0 or digest(f"{tenths}|{i}|{word}") >= limit
+            ]
+            return " ".join(kept).translate(str.maketrans(PLAIN, CODED))
+        return text.translate(str.maketrans(CODED, PLAIN))
+
+
+def cipher_forward(text: Column, tenths: int) -> Column:
+    """What ``CipherProvider`` answers on the way out, as an expression."""
+    limit = drop_below(tenths)
+    kept = F.filter(
+        split_words(text),
+        lambda word, i: (i == 0) | (F.md5(F.concat(F.lit(f"{tenths}|"), i.cast("string"), F.lit("|"), word)) >= limit),
+    )
+    return F.translate(F.array_join(kept, " "), PLAIN, CODED)
+
+
+def cipher_backward(text: Column) -> Column:
+    return F.translate(text, CODED, PLAIN)
+
+
+class FlakyProvider(Provider):
+    """Fails in a fixed way that depends on the text, to exercise the retry policy."""
+
+    name = "flaky"
+
+    def __init__(self, inner: Provider):
+        self.inner = inner
+
+    def invoke(self, text: str, system: str, config: CallSettings) -> str:
+        kind = digest(text)[0]
+        if kind == "0":
+            raise RuntimeError("authentication rejected")
+        if kind in "12" and config.attempt == 1:
+            raise RuntimeError("rate limit reached")
+        if kind in "34" and config.attempt <= 2:
+            return " "
+        if kind in "56" and (config.max_tokens or 0) < 2048:
+            raise TruncatedOutput("cut off")
+        if kind == "7":
+            raise RuntimeError("connection lost")
+        return self.inner.invoke(text, system, config)
+
+
+class WordsmithProvider(Provider):
+    """Plays every step of the word-to-sentence chain by simple rules."""
+
+    name = "wordsmith"
+
+    def invoke(self, text: str, system: str, config: CallSettings) -> str:
+        if system.startswith("Give one simple"):
+            if digest(text)[0] == "0":
+                raise RuntimeError("no synonym found")
+            return f"{text} kind"
+        if system.startswith("Write one"):
+            return f"Here is {text} today."
+        if system.startswith("Replace the original"):
+            sentence, word, replacement = (line.split(": ", 1)[1] for line in text.split("\n"))
+            return sentence.replace(word, replacement)
+        if "evaluator" in system:
+            score = int(digest(text)[:2], 16) % 41 / 10 + 1
+            return "```json\n" + json.dumps({"score": score, "reasoning": "rated"}) + "\n```"
+        return text.translate(str.maketrans(PLAIN, CODED))
