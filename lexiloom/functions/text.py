@@ -81,10 +81,14 @@ def chunk(text: Column, max_words: int = DEFAULT_MAX_WORDS) -> Column:
     )
 
 
+def _ends_sentence(word: Column) -> Column:
+    return word.endswith(".") | word.endswith("!") | word.endswith("?")
+
+
 def _chunk_bounds(words: Column, max_words: int) -> Column:
     """0, the word counts after which to cut, and the number of words."""
     ends = F.filter(
-        F.transform(words, lambda word, i: F.when(word.rlike(r"[.!?]$"), i + 1)),
+        F.transform(words, lambda word, i: F.when(_ends_sentence(word), i + 1)),
         lambda end: end.isNotNull(),
     )
     cuts = F.aggregate(

@@ -10,7 +10,7 @@ from lexiloom.queries.base import REGISTRY
 
 
 def _load() -> None:
-    from lexiloom.queries import scalars, sinks  # noqa: F401
+    from lexiloom.queries import relational, scalars, sinks  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
