@@ -5,7 +5,6 @@ Score of a language: ``ln prior + sum over n-grams of ln((count + 1) / (all + di
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,10 @@ from lexiloom.functions.languages import LanguagePair
 ORDERS = (1, 2, 3)
 # A model of more n-grams than this is not sent to the tasks; texts are then scored by joins.
 BROADCAST_GRAMS = 2_000_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _python_words(text: str) -> list[str]:
+    return "".join(c if c.isalpha() else " " for c in text.lower()).split()
 
 
 def _words(text: Column) -> Column:
@@ -87,9 +89,8 @@ class GramTable:
                 score += self.weights.get(padded[i : i + n], self.unseen)
         return score
 
-    def predict(self, texts: pd.Series) -> pd.Series:
-        """Most likely language per text; every distinct word of the batch is scored once."""
-        lists = [_LETTERS.findall((t or "").lower()) for t in texts]
+    def predict(self, lists: pd.Series) -> pd.Series:
+        """Most likely language per list of words; every distinct word of the batch is scored once."""
         owner = np.repeat(np.arange(len(lists)), [len(words) for words in lists])
         codes, distinct = pd.factorize(np.array([w for words in lists for w in words], dtype=object))
         total = np.tile(self.prior, (len(lists), 1))
@@ -120,10 +121,10 @@ def predict_in_tasks(spark: SparkSession, table: GramTable, text: Column) -> Col
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield shared.value.predict(texts)
+        for lists in batches:
+            yield shared.value.predict(lists)
 
-    return run(text)
+    return run(_words(F.coalesce(text, F.lit(""))))
 
 
 def predict_by_joins(docs: DataFrame, model: LanguageModel, key: str, text: str, out: str) -> DataFrame:
@@ -188,7 +189,7 @@ def identify(
 def language_gate(table: GramTable, language: str) -> Callable[[pd.Series], np.ndarray]:
     """Predicate for the attempt sweep: is the text in the wanted language?  Case does not matter."""
     wanted = language.lower()
-    return lambda texts: (table.predict(texts) == wanted).to_numpy()
+    return lambda texts: (table.predict(texts.map(_python_words)) == wanted).to_numpy()
 
 
 def matches_expected(detected: Column, expected: Column) -> Column:
