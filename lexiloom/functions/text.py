@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # These patterns decide where sentences begin and must not change.
@@ -65,28 +65,15 @@ def normalize(text: Column) -> Column:
     return F.translate(F.lower(text), ASCII_PUNCTUATION, "")
 
 
-def chunk(text: Column, max_words: int = DEFAULT_MAX_WORDS) -> Column:
-    """Split a long text at sentence ends into chunks of at least ``max_words`` words.
+def with_chunks(df: DataFrame, text: str, out: str, max_words: int = DEFAULT_MAX_WORDS) -> DataFrame:
+    """Add an array of chunks of a long text, cut at sentence ends, each of at least ``max_words`` words.
 
-    A text of at most ``max_words`` words is returned untouched as the only chunk.  A longer one is cut
-    after the first word ending in ``. ! ?`` once the open chunk holds ``max_words`` words; the rest
-    stays as the last chunk.  The fold walks positions of terminators only, so its state is a few
-    integers however long the text is.
+    A text of at most ``max_words`` words is its only chunk, untouched.  A longer one is cut after the
+    first word ending in ``. ! ?`` once the open chunk holds ``max_words`` words; the rest stays as the
+    last chunk.  The fold walks positions of terminators only, so its state is a few integers however
+    long the text is.  Words and bounds are columns of their own, so each is computed once per row.
     """
-    return bind(
-        split_words(text),
-        lambda words: F.when(F.size(words) <= max_words, F.array(text)).otherwise(
-            bind(_chunk_bounds(words, max_words), lambda bounds: _cut(words, bounds))
-        ),
-    )
-
-
-def _ends_sentence(word: Column) -> Column:
-    return word.endswith(".") | word.endswith("!") | word.endswith("?")
-
-
-def _chunk_bounds(words: Column, max_words: int) -> Column:
-    """0, the word counts after which to cut, and the number of words."""
+    words, bounds = F.col("_words"), F.col("_bounds")
     ends = F.filter(
         F.transform(words, lambda word, i: F.when(_ends_sentence(word), i + 1)),
         lambda end: end.isNotNull(),
@@ -98,14 +85,20 @@ def _chunk_bounds(words: Column, max_words: int) -> Column:
             end - F.element_at(taken, -1) >= max_words, F.concat(taken, F.array(end))
         ).otherwise(taken),
     )
-    return F.array_distinct(F.concat(cuts, F.array(F.size(words))))
-
-
-def _cut(words: Column, bounds: Column) -> Column:
-    return F.transform(
+    chunks = F.transform(
         F.slice(bounds, F.lit(1), F.size(bounds) - 1),
         lambda start, i: F.array_join(F.slice(words, start + 1, F.element_at(bounds, i + 2) - start), " "),
     )
+    return (
+        df.withColumn("_words", split_words(F.col(text)))
+        .withColumn("_bounds", F.array_distinct(F.concat(cuts, F.array(F.size(words)))))
+        .withColumn(out, F.when(F.size(words) <= max_words, F.array(text)).otherwise(chunks))
+        .drop("_words", "_bounds")
+    )
+
+
+def _ends_sentence(word: Column) -> Column:
+    return word.endswith(".") | word.endswith("!") | word.endswith("?")
 
 
 def join_parts(parts: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions.languages import DEFAULT_PAIR, LanguagePair
 from lexiloom.functions.prompts import TRANSLATE_SYSTEM, render
 from lexiloom.functions.results import check_languages
-from lexiloom.functions.text import DEFAULT_MAX_WORDS, chunk, join_parts
+from lexiloom.functions.text import DEFAULT_MAX_WORDS, join_parts, with_chunks
 from lexiloom.operators.filters import filter_known_language
 from lexiloom.operators.joins import INDEX, pending_rows
 from lexiloom.providers import Provider, RetryPolicy, call_model
@@ -67,14 +67,14 @@ def translate_table(
     todo = known if saved is None else pending_rows(known, saved)
     call = call_model_on_parts(
         provider,
-        chunk(F.col(text), max_words),
+        F.col("_chunks"),
         pair_system(pair, F.col(language)),
         model_name,
         0.0,
         max_tokens,
         policy,
     )
-    called = todo.withColumn("_call", call)
+    called = with_chunks(todo, text, "_chunks", max_words).withColumn("_call", call).drop("_chunks")
     return called.withColumns(
         {
             "translation_text": F.when(F.col("_call.error").isNull(), join_parts(F.col("_call.values"))),

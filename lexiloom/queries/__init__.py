@@ -10,7 +10,7 @@ from lexiloom.queries.base import REGISTRY
 
 
 def _load() -> None:
-    from lexiloom.queries import metrics, relational, scalars, sinks  # noqa: F401
+    from lexiloom.queries import jobs, metrics, relational, scalars, sinks, streams  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -71,9 +71,8 @@ def normalize_text(spark, sf_dir):
     UNION ALL SELECT doc_id, 0::INT, text FROM w WHERE len(words) <= {CHUNK_WORDS}""",
 )
 def chunk_text(spark, sf_dir):
-    return documents(spark, sf_dir).select(
-        "doc_id", F.posexplode(text.chunk(F.col("text"), CHUNK_WORDS)).alias("chunk_index", "chunk")
-    )
+    chunked = text.with_chunks(documents(spark, sf_dir).select("doc_id", "text"), "text", "chunks", CHUNK_WORDS)
+    return chunked.select("doc_id", F.posexplode("chunks").alias("chunk_index", "chunk"))
 
 
 @query(
@@ -83,8 +82,9 @@ def chunk_text(spark, sf_dir):
       ELSE translate(array_to_string(words, ' '), '{PLAIN}', '{CODED}') END AS translation FROM w""",
 )
 def chunk_rejoin(spark, sf_dir):
-    mapped = F.transform(text.chunk(F.col("text"), CHUNK_WORDS), lambda c: F.translate(c, PLAIN, CODED))
-    return documents(spark, sf_dir).select("doc_id", text.join_parts(mapped).alias("translation"))
+    chunked = text.with_chunks(documents(spark, sf_dir).select("doc_id", "text"), "text", "chunks", CHUNK_WORDS)
+    mapped = F.transform("chunks", lambda c: F.translate(c, PLAIN, CODED))
+    return chunked.select("doc_id", text.join_parts(mapped).alias("translation"))
 
 
 BUDGET_SQL = (
