@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions import ngrams
-from lexiloom.functions.text import normalize, split_words
+from lexiloom.functions.text import normalize
 
 CHRF_BETA = 2
 LONG_TEXT = 1024
@@ -29,7 +29,7 @@ def without_space(text: Column) -> Column:
 
 
 def corpus_tokens(text: Column) -> Column:
-    """Words of raw text with punctuation split off, as in the standard newswire tokenization."""
+    """Raw text with punctuation split off by blanks, as in the standard newswire tokenization."""
     line = F.replace(F.replace(text, F.lit("-\n"), F.lit("")), F.lit("\n"), F.lit(" "))
     for entity, char in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         line = F.replace(line, F.lit(entity), F.lit(char))
@@ -42,24 +42,18 @@ def corpus_tokens(text: Column) -> Column:
         (r"([0-9])(-)", "$1 $2 "),
     ):
         line = F.regexp_replace(line, pattern, replacement)
-    return split_words(line)
+    return line
 
 
 def chrf_words(text: Column) -> Column:
-    """Words for chrF++, one leading or trailing punctuation mark split off."""
-    mark = r"[!-/:-@\[-`{-~]"
-    return F.flatten(
-        F.transform(
-            split_words(text),
-            lambda w: F.when(F.char_length(w) == 1, F.array(w))
-            .when(
-                w.rlike(mark + "$"),
-                F.array(F.substr(w, F.lit(1), F.char_length(w) - 1), F.right(w, F.lit(1))),
-            )
-            .when(w.rlike("^" + mark), F.array(F.left(w, F.lit(1)), F.substr(w, F.lit(2))))
-            .otherwise(F.array(w)),
-        )
-    )
+    """Text for the word part of chrF++: one mark is split off a word, its last if it is one, else its first.
+
+    A word of one character stays whole.
+    """
+    mark, space = r"[!-/:-@\[-`{-~]", r"\s\x1c-\x1f"
+    trailing = rf"(?U)(?<=[^{space}])({mark})(?=[{space}]|$)"
+    leading = rf"(?U)(?<=^|[{space}])({mark})(?=[^{space}]*[^{space}!-/:-@\[-`{{-~](?:[{space}]|$))"
+    return F.regexp_replace(F.regexp_replace(text, leading, "$1 "), trailing, " $1")
 
 
 # --- corpus formulas on summed counts -----------------------------------------------------------
@@ -137,7 +131,7 @@ class SentenceBleu(Metric):
         def bleu(hyp: pd.Series, ref: pd.Series) -> pd.Series:
             return pd.Series(ngrams.bleu_scores(hyp, ref, max_order))
 
-        return bleu(split_words(normalize(hypothesis)), split_words(normalize(reference)))
+        return bleu(normalize(hypothesis), normalize(reference))
 
 
 class Chrf(Metric):

@@ -24,7 +24,8 @@ def _char_symbols(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return points.astype(np.int64), lengths
 
 
-def _word_symbols(word_lists: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+def _word_symbols(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    word_lists = [text.split() for text in texts]
     lengths = np.fromiter((len(w) for w in word_lists), dtype=np.int64, count=len(word_lists))
     return np.array(list(chain.from_iterable(word_lists)), dtype=object), lengths
 
@@ -91,7 +92,7 @@ def char_stats(hypothesis: Column, reference: Column) -> Column:
 
 
 def word_stats(hypothesis: Column, reference: Column, max_order: int = WORD_ORDER) -> Column:
-    """Struct ``wm1.., wh1.., wr1..`` of two arrays of words."""
+    """Struct ``wm1.., wh1.., wr1..`` of two texts whose words are separated by whitespace."""
 
     @F.pandas_udf(_schema(("w", max_order)))
     def count(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
@@ -101,7 +102,7 @@ def word_stats(hypothesis: Column, reference: Column, max_order: int = WORD_ORDE
 
 
 def bleu_scores(hypotheses: pd.Series, references: pd.Series, max_order: int = WORD_ORDER) -> np.ndarray:
-    """Sentence BLEU of word lists: exponential smoothing, averaged over the orders a row is long enough for."""
+    """Sentence BLEU of spaced words: exponential smoothing, averaged over the orders a row is long enough for."""
     matches, hyp_total, ref_total = match_counts(_word_symbols(hypotheses), _word_symbols(references), max_order)
     usable = hyp_total > 0
     missed = usable & (matches == 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,5 +75,13 @@ def render(template: str | Column, **values: str | Column) -> Column:
     return F.concat(*pieces)
 
 
+def fill(template: str, values: dict[str, str]) -> str:
+    """The same filling for one prompt inside a task: one pass, so filled-in text is not read again."""
+    if not values:
+        return template
+    slot = re.compile("|".join(re.escape("{" + name + "}") for name in values))
+    return slot.sub(lambda found: values[found.group()[1:-1]], template)
+
+
 def _column(value: str | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value)

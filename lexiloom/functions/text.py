@@ -15,6 +15,7 @@ SENTENCE_RUN = r"[^\n][^.!?\n]*+[.!?]++"
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 DEFAULT_MAX_WORDS = 500
 
+_PUNCTUATION = r"[!-/:-@\[-`{-~]+"
 # Whitespace as Python's str.split and str.strip see it: Unicode White_Space plus the four separators.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 _OPEN_END = r"(?<![^.!?\n])[^.!?\n]++(?=\n|\z)"
@@ -62,7 +63,7 @@ def split_sentences(text: Column) -> Column:
 
 def normalize(text: Column) -> Column:
     """Lower-case and delete ASCII punctuation."""
-    return F.translate(F.lower(text), ASCII_PUNCTUATION, "")
+    return F.regexp_replace(F.lower(text), _PUNCTUATION, "")
 
 
 def with_chunks(df: DataFrame, text: str, out: str, max_words: int = DEFAULT_MAX_WORDS) -> DataFrame:

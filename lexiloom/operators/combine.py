@@ -50,8 +50,17 @@ def dedup_words(words: DataFrame) -> DataFrame:
 
 def explode_sentences(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per sentence with its 0-based index."""
-    others = [c for c in docs.columns if c != text]
-    return docs.select(*others, F.posexplode(split_sentences(F.col(text))).alias("sentence_index", "sentence"))
+    return explode_parts(docs, split_sentences(F.col(text)), ("sentence_index", "sentence"), [text])
+
+
+def explode_parts(df: DataFrame, parts: Column, names: tuple[str, str], drop: list[str]) -> DataFrame:
+    """One row per element of an array, with its 0-based index.
+
+    The outer form keeps the optimizer from adding a filter on the array's size, which would be pushed
+    down and compute the array twice; rows without elements are dropped after the fact.
+    """
+    others = [c for c in df.columns if c not in drop]
+    return df.select(*others, F.posexplode_outer(parts).alias(*names)).filter(F.col(names[0]).isNotNull())
 
 
 def expand_attempts(df: DataFrame, temperatures: tuple[float, ...]) -> DataFrame:

@@ -15,18 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.languages import LanguagePair
+from lexiloom.session import materialize
 
 ORDERS = (1, 2, 3)
 # A model of more n-grams than this is not sent to the tasks; texts are then scored by joins.
 BROADCAST_GRAMS = 2_000_000
+_NOT_LETTERS = r"[^\p{L}]+"
 
 
-def _python_words(text: str) -> list[str]:
-    return "".join(c if c.isalpha() else " " for c in text.lower()).split()
+def _letters(text: str) -> str:
+    return "".join(c if c.isalpha() else " " for c in text.lower())
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+", -1), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), _NOT_LETTERS, -1), lambda w: w != "")
 
 
 def _grams(word: Column) -> Column:
@@ -44,7 +46,7 @@ def _grams(word: Column) -> Column:
 
 @dataclass
 class LanguageModel:
-    """``grams(language, gram, n)`` and ``languages(language, docs, total)``, both written tables."""
+    """``grams(language, gram, n)``, checkpointed, and ``languages(language, docs, total)``."""
 
     grams: DataFrame
     languages: DataFrame
@@ -62,7 +64,7 @@ def train(docs: DataFrame, text: str = "text", language: str = "language") -> La
         .groupBy("language", "word")
         .agg(F.count("*").alias("n"))
     )
-    grams = (
+    grams = materialize(
         words.select("language", "n", F.explode(_grams(F.col("word"))).alias("gram"))
         .groupBy("language", "gram")
         .agg(F.sum("n").alias("n"))
@@ -74,29 +76,32 @@ def train(docs: DataFrame, text: str = "text", language: str = "language") -> La
 
 @dataclass(frozen=True)
 class GramTable:
-    """The model as arrays, small enough to be sent to every task."""
+    """The model as arrays, small enough to be sent to every task.
+
+    ``weights`` has one row per n-gram and, last, the row of unseen n-grams; ``rows`` finds a n-gram's row.
+    """
 
     languages: tuple[str, ...]
     prior: np.ndarray
-    unseen: np.ndarray
-    weights: dict[str, np.ndarray]
-
-    def word_score(self, word: str) -> np.ndarray:
-        padded = f" {word} "
-        score = np.zeros(len(self.languages))
-        for n in ORDERS:
-            for i in range(len(padded) - n + 1):
-                score += self.weights.get(padded[i : i + n], self.unseen)
-        return score
-
-    def predict(self, lists: pd.Series) -> pd.Series:
-        """Most likely language per list of words; every distinct word of the batch is scored once."""
+    weights: np.ndarray
+    rows: dict[str, int]
+
+    def predict(self, texts: pd.Series) -> pd.Series:
+        """Most likely language per text of spaced words; every distinct word of the batch is scored once."""
+        lists = [text.split() for text in texts]
         owner = np.repeat(np.arange(len(lists)), [len(words) for words in lists])
         codes, distinct = pd.factorize(np.array([w for words in lists for w in words], dtype=object))
         total = np.tile(self.prior, (len(lists), 1))
         if len(distinct):
-            scores = np.array([self.word_score(w) for w in distinct])
-            np.add.at(total, owner, scores[codes])
+            unseen, find = len(self.weights) - 1, self.rows.get
+            ids, starts = [], []
+            for word in distinct:
+                padded = f" {word} "
+                starts.append(len(ids))
+                ids += [find(padded[i : i + n], unseen) for n in ORDERS for i in range(len(padded) - n + 1)]
+            scores = np.add.reduceat(self.weights[ids], starts, axis=0)
+            for language in range(len(self.languages)):
+                total[:, language] += np.bincount(owner, weights=scores[codes, language], minlength=len(lists))
         return pd.Series(np.array(self.languages, dtype=object)[total.argmax(axis=1)])
 
 
@@ -110,9 +115,9 @@ def collect_table(model: LanguageModel, limit: int = BROADCAST_GRAMS) -> GramTab
     distinct = rows["gram"].nunique()
     smooth = languages["total"].to_numpy(dtype=float) + distinct
     counts = rows.pivot(index="gram", columns="language", values="n").reindex(columns=list(names)).fillna(0)
-    weights = np.log((counts.to_numpy(dtype=float) + 1) / smooth)
+    weights = np.log((np.vstack([counts.to_numpy(dtype=float), np.zeros(len(names))]) + 1) / smooth)
     docs = languages["docs"].to_numpy(dtype=float)
-    return GramTable(names, np.log(docs / docs.sum()), np.log(1 / smooth), dict(zip(counts.index, weights)))
+    return GramTable(names, np.log(docs / docs.sum()), weights, {gram: i for i, gram in enumerate(counts.index)})
 
 
 def predict_in_tasks(spark: SparkSession, table: GramTable, text: Column) -> Column:
@@ -121,10 +126,10 @@ def predict_in_tasks(spark: SparkSession, table: GramTable, text: Column) -> Col
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for lists in batches:
-            yield shared.value.predict(lists)
+        for texts in batches:
+            yield shared.value.predict(texts)
 
-    return run(_words(F.coalesce(text, F.lit(""))))
+    return run(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _NOT_LETTERS, " "))
 
 
 def predict_by_joins(docs: DataFrame, model: LanguageModel, key: str, text: str, out: str) -> DataFrame:
@@ -189,7 +194,7 @@ def identify(
 def language_gate(table: GramTable, language: str) -> Callable[[pd.Series], np.ndarray]:
     """Predicate for the attempt sweep: is the text in the wanted language?  Case does not matter."""
     wanted = language.lower()
-    return lambda texts: (table.predict(texts.map(_python_words)) == wanted).to_numpy()
+    return lambda texts: (table.predict(texts.map(_letters)) == wanted).to_numpy()
 
 
 def matches_expected(detected: Column, expected: Column) -> Column:

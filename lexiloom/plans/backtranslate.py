@@ -13,7 +13,7 @@ from lexiloom.operators.combine import expand_attempts, explode_sentences
 from lexiloom.operators.joins import UNTRANSLATED, resume_documents
 from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.operators.selection import best_of_attempts
-from lexiloom.providers import Provider, RetryPolicy, call_model, sweep_attempts
+from lexiloom.providers import Provider, RetryPolicy, call_round_trip, sweep_attempts
 from lexiloom.providers.calls import EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
 
 
@@ -37,17 +37,8 @@ def back_translate(
     degree = F.col(temperature) if isinstance(temperature, str) else temperature
     there = render(template, src_lang=source, tgt_lang=intermediate)
     home = render(template, src_lang=intermediate, tgt_lang=source)
-    forward = df.withColumn("_there", call_model(provider, F.col(text), there, model_name, degree, None, policy))
-    returned = forward.withColumn(
-        "_home", call_model(provider, F.coalesce("_there.value", F.lit("")), home, model_name, degree, None, policy)
-    )
-    named = returned.withColumns(
-        {
-            "forward": F.col("_there.value"),
-            "back": F.when(F.col("_there.error").isNull(), F.col("_home.value")),
-            "error": F.coalesce("_there.error", "_home.error"),
-        }
-    ).drop("_there", "_home")
+    trip = call_round_trip(provider, F.col(text), there, home, model_name, degree, policy)
+    named = df.withColumn("_trip", trip).select(*df.columns, "_trip.*")
     scored = add_metrics(named, metrics, "forward", "back", text)
     total = sum((F.col(m) for m in metrics), F.lit(0.0))
     return scored.withColumn("overall_score", total / len(metrics) if metrics else F.lit(None).cast("double"))

@@ -2,27 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions import prompts
 from lexiloom.functions.responses import parse_judge
 from lexiloom.functions.results import flatten_result
-from lexiloom.functions.text import bind
-from lexiloom.providers import Provider, RetryPolicy, call_model
-
-
-@dataclass(frozen=True)
-class Step:
-    """One prompt of a chain: templates over earlier columns, and the column the answer goes to."""
-
-    out: str
-    system: str
-    text: str
-    slots: dict[str, str] = field(default_factory=dict)
-    temperature: float = 0.0
+from lexiloom.providers import Provider, RetryPolicy, Step, call_chain, call_model
 
 
 def sentence_chain(source: str = "English", target: str = "Kinyarwanda") -> list[Step]:
@@ -91,37 +77,12 @@ def _directed(template: str, source: str, target: str) -> str:
 def run_chain(
     df: DataFrame, steps: list[Step], provider: Provider, model_name: str, policy: RetryPolicy = RetryPolicy()
 ) -> DataFrame:
-    """Run the steps in order, each a column.  After a failed step the later ones are not asked.
-
-    A row that fails keeps the first error, with the name of its step, in ``error``.
-    """
-    done = df if "error" in df.columns else df.withColumn("error", F.lit(None).cast("string"))
-    for step in steps:
-        values = {slot: F.coalesce(F.col(column), F.lit("")) for slot, column in step.slots.items()}
-        text = prompts.render(step.text, **{s: v for s, v in values.items() if "{" + s + "}" in step.text})
-        system = prompts.render(step.system, **{s: v for s, v in values.items() if "{" + s + "}" in step.system})
-        called = done.withColumn("_ok", F.col("error").isNull()).withColumn(
-            "_call", _call_where(F.col("_ok"), provider, text, system, model_name, step.temperature, policy)
-        )
-        failed = F.when(
-            F.col("_ok") & F.col("_call.error").isNotNull(), F.concat(F.lit(f"{step.out}: "), F.col("_call.error"))
-        )
-        done = called.withColumns(
-            {step.out: F.when(F.col("_ok"), F.col("_call.value")), "error": F.coalesce("error", failed)}
-        ).drop("_call", "_ok")
-    return done
-
-
-def _call_where(ok: Column, provider, text, system, model_name, temperature, policy) -> Column:
-    """Only rows that are still good hand a text to the provider; the others hand it none."""
-    from lexiloom.providers.calls import call_model_on_parts
-
-    parts = F.when(ok, F.array(text)).otherwise(F.array().cast("array<string>"))
-    call = call_model_on_parts(provider, parts, system, model_name, temperature, None, policy)
-    return bind(
-        call,
-        lambda c: F.struct(F.try_element_at(c["values"], F.lit(1)).alias("value"), c["error"].alias("error")),
-    )
+    """Run the steps in order: a column per step, and ``error`` with the first failure of the row."""
+    made = {step.out for step in steps}
+    needed = sorted({name for step in steps for name in step.slots.values()} - made)
+    inputs = {name: F.coalesce(F.col(name), F.lit("")) for name in needed}
+    chained = df.withColumn("_chain", call_chain(provider, inputs, steps, model_name, policy))
+    return chained.select(*df.columns, "_chain.*")
 
 
 def judge(
@@ -152,14 +113,18 @@ def word_dataset(
     saved: DataFrame | None = None,
     retry_failed: bool = False,
     policy: RetryPolicy = RetryPolicy(),
+    tasks: int | None = None,
 ) -> DataFrame:
     """Rows of the word dataset for ``index, word`` attempts that are not saved yet.
 
     By default any saved row counts as done, failed ones too; ``retry_failed`` takes those up again.
+    The rows are short and their model calls long, so they are spread over ``tasks`` tasks (the session's
+    parallelism by default) whatever their size in bytes.
     """
     if saved is not None:
         done = saved.filter(F.col("error") == "") if retry_failed else saved
         attempts = attempts.join(done.select("index"), "index", "left_anti")
+    attempts = attempts.repartition(tasks or attempts.sparkSession.sparkContext.defaultParallelism)
     chained = run_chain(attempts, sentence_chain() + judge_chain(), provider, model_name, policy)
     judged = chained.withColumns(
         {"_word": parse_judge(F.col("word_judgement")), "_sentence": parse_judge(F.col("sentence_judgement"))}

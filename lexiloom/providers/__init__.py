@@ -1,4 +1,14 @@
-from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, TruncatedOutput
-from lexiloom.providers.calls import call_model, sweep_attempts
+from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, TruncatedOutput
+from lexiloom.providers.calls import call_chain, call_model, call_round_trip, sweep_attempts
 
-__all__ = ["CallSettings", "Provider", "RetryPolicy", "TruncatedOutput", "call_model", "sweep_attempts"]
+__all__ = [
+    "CallSettings",
+    "Provider",
+    "RetryPolicy",
+    "Step",
+    "TruncatedOutput",
+    "call_chain",
+    "call_model",
+    "call_round_trip",
+    "sweep_attempts",
+]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from lexiloom.functions.responses import ANSWER_LABEL, EMPTY, TRUNCATED
 
@@ -76,6 +76,17 @@ class RetryPolicy:
         return None if base is None else min(base * self.tiers[tier], self.tier_ceiling)
 
 
+@dataclass(frozen=True)
+class Step:
+    """One prompt of a chain: templates over earlier columns, and the column the answer goes to."""
+
+    out: str
+    system: str
+    text: str
+    slots: dict[str, str] = field(default_factory=dict)
+    temperature: float = 0.0
+
+
 @dataclass
 class Outcome:
     value: str | None = None

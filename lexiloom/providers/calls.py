@@ -11,8 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexiloom.functions.ngrams import chrf_scores
+from lexiloom.functions.prompts import fill
 from lexiloom.functions.text import ASCII_PUNCTUATION, bind
-from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, run_batch
+from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, run_batch
 
 CALL_SCHEMA = "values array<string>, error string, attempts int, budget long"
 SWEEP_SCHEMA = "translation string, backtranslation string, score double, temperature double, status string"
@@ -106,6 +107,86 @@ def _named(call: Column, pick: Callable[[Column], Column]) -> Column:
     )
 
 
+def call_round_trip(
+    provider: Provider,
+    text: Column,
+    forward_system: Column,
+    backward_system: Column,
+    model_name: str,
+    temperature: Column | float = 0.0,
+    policy: RetryPolicy = RetryPolicy(),
+) -> Column:
+    """Struct ``forward, back, error``: both calls of a row in one visit to Python."""
+
+    @F.pandas_udf("forward string, back string, error string")
+    def run(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
+    ) -> Iterator[pd.DataFrame]:
+        provider.open()
+        try:
+            for texts, forth, home, temperatures in batches:
+                configs = [CallSettings(model_name, float(t)) for t in temperatures]
+                there = run_batch(provider, policy, [t or "" for t in texts], forth.tolist(), configs)
+                good = [i for i, o in enumerate(there) if o.error is None]
+                back = run_batch(
+                    provider, policy, [there[i].value for i in good], home.iloc[good].tolist(), [configs[i] for i in good]
+                )
+                returned: list[str | None] = [None] * len(there)
+                errors = [o.error for o in there]
+                for i, outcome in zip(good, back):
+                    returned[i], errors[i] = outcome.value, outcome.error
+                yield pd.DataFrame({"forward": [o.value for o in there], "back": returned, "error": errors})
+        finally:
+            provider.close()
+
+    temperature = temperature if isinstance(temperature, Column) else F.lit(float(temperature))
+    return run.asNondeterministic()(text, forward_system, backward_system, temperature)
+
+
+def call_chain(
+    provider: Provider, inputs: dict[str, Column], steps: list[Step], model_name: str, policy: RetryPolicy = RetryPolicy()
+) -> Column:
+    """Struct of every step's answer and ``error``: all steps of a row in one visit to Python.
+
+    A row that fails keeps the first error with the name of its step; its later steps are not asked.
+    """
+    names = list(inputs)
+    schema = ", ".join(f"{name} string" for name in [*(step.out for step in steps), "error"])
+
+    @F.pandas_udf(schema)
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        provider.open()
+        try:
+            for columns in batches:
+                size = len(columns[0])
+                values = {name: column.to_numpy(dtype=object) for name, column in zip(names, columns)}
+                error = np.full(size, None, dtype=object)
+                active = np.arange(size)
+                for step in steps:
+                    values[step.out] = np.full(size, None, dtype=object)
+                    slots = [{slot: values[name][i] for slot, name in step.slots.items()} for i in active]
+                    outcomes = run_batch(
+                        provider,
+                        policy,
+                        [fill(step.text, s) for s in slots],
+                        [fill(step.system, s) for s in slots],
+                        [CallSettings(model_name, step.temperature)] * len(active),
+                    )
+                    for i, outcome in zip(active, outcomes):
+                        if outcome.error is None:
+                            values[step.out][i] = outcome.value
+                        else:
+                            error[i] = f"{step.out}: {outcome.error}"
+                    active = active[[o.error is None for o in outcomes]]
+                yield pd.DataFrame({step.out: values[step.out] for step in steps} | {"error": error})
+        finally:
+            provider.close()
+
+    # The iterator form takes a tuple of columns; a constant second one serves chains with one input.
+    columns = list(inputs.values())
+    return run.asNondeterministic()(*columns, *([F.lit("")] if len(columns) == 1 else []))
+
+
 def sweep_attempts(
     provider: Provider,
     sentence: Column,
@@ -137,45 +218,43 @@ def sweep_attempts(
 
     def _sweep(sentences: pd.Series, forwards: pd.Series, backwards: pd.Series) -> pd.DataFrame:
         size = len(sentences)
-        best = pd.DataFrame(
-            {
-                "translation": pd.Series([None] * size, dtype=object),
-                "backtranslation": pd.Series([None] * size, dtype=object),
-                "score": np.zeros(size),
-                "temperature": np.zeros(size),
-                "status": "discarded",
-            }
-        )
+        texts, forth, home = (column.to_numpy(dtype=object) for column in (sentences, forwards, backwards))
+        there_best, back_best = np.full(size, None, dtype=object), np.full(size, None, dtype=object)
+        best, degree, stopped = np.zeros(size), np.zeros(size), np.zeros(size, dtype=bool)
+        bare = _bare(sentences).to_numpy(dtype=object)
         active = np.arange(size)
         for temperature in temperatures:
             if not len(active):
                 break
             settings = CallSettings(model_name, temperature)
-            there = run_batch(
-                provider, policy, sentences.iloc[active].tolist(), forwards.iloc[active].tolist(), [settings] * len(active)
-            )
+            there = run_batch(provider, policy, list(texts[active]), list(forth[active]), [settings] * len(active))
             usable = np.array([o.error is None for o in there])
+            translated = np.array([o.value for o in there], dtype=object)
             if gate is not None and usable.any():
-                usable[usable] = gate(pd.Series([o.value for o in there if o.error is None]))
-            rows = active[usable]
-            translations = [o.value for o, ok in zip(there, usable) if ok]
-            back = run_batch(provider, policy, translations, backwards.iloc[rows].tolist(), [settings] * len(rows))
-            kept = [i for i, o in enumerate(back) if o.error is None]
-            rows = rows[kept]
-            if not len(rows):
+                usable[usable] = gate(pd.Series(translated[usable]))
+            rows, translated = active[usable], translated[usable]
+            back = run_batch(provider, policy, list(translated), list(home[rows]), [settings] * len(rows))
+            kept = np.array([o.error is None for o in back], dtype=bool)
+            if not kept.any():
                 continue
-            returned = pd.Series([back[i].value for i in kept])
-            scores = chrf_scores(_bare(returned), _bare(sentences.iloc[rows].reset_index(drop=True)))
-            for row, i, text, score in zip(rows, kept, returned, scores):
-                if score >= early_stop or score > best.at[row, "score"]:
-                    status = "accepted_early_stop" if score >= early_stop else "accepted"
-                    best.loc[row] = [translations[i], text, float(score), temperature, status]
-            active = np.setdiff1d(active, rows[scores >= early_stop])
-        low = (best["score"] < min_threshold) & (best["status"] != "accepted_early_stop")
-        best.loc[low, ["translation", "backtranslation"]] = None
-        best.loc[low, ["score", "temperature"]] = np.nan
-        best.loc[low, "status"] = "discarded"
-        return best
+            rows, translated = rows[kept], translated[kept]
+            returned = np.array([o.value for o in back], dtype=object)[kept]
+            scores = chrf_scores(_bare(pd.Series(returned)), pd.Series(bare[rows]))
+            better = (scores >= early_stop) | (scores > best[rows])
+            won = rows[better]
+            there_best[won], back_best[won] = translated[better], returned[better]
+            best[won], degree[won], stopped[won] = scores[better], temperature, scores[better] >= early_stop
+            active = active[~stopped[active]]
+        accepted = stopped | ((best >= min_threshold) & (best > 0))
+        return pd.DataFrame(
+            {
+                "translation": np.where(accepted, there_best, None),
+                "backtranslation": np.where(accepted, back_best, None),
+                "score": np.where(accepted, best, np.nan),
+                "temperature": np.where(accepted, degree, np.nan),
+                "status": np.where(stopped, "accepted_early_stop", np.where(accepted, "accepted", "discarded")),
+            }
+        )
 
     return run.asNondeterministic()(sentence, forward_system, backward_system)
 

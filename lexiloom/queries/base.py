@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions.languages import Language, LanguagePair
 from lexiloom.operators.combine import expand_directions, explode_sentences
 from lexiloom.providers.standins import CODED, PLAIN, cipher_backward, cipher_forward, drop_below
+from lexiloom.session import ship_package
 
 PAIR = LanguagePair(Language("en", "English", "eng_Latn", "en"), Language("fr", "French", "fra_Latn", "fr"))
 
@@ -28,7 +30,13 @@ def query(name: str, sql: str | None = None):
     def register(run):
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = Entry(run, sql)
+
+        @wraps(run)
+        def start(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, sf_dir)
+
+        REGISTRY[name] = Entry(start, sql)
         return run
 
     return register

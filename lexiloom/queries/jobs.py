@@ -203,9 +203,8 @@ def _coded(text: str) -> str:
     NULL::VARCHAR AS error FROM band""",
 )
 def prompt_chain(spark, sf_dir):
-    return word_jobs.run_chain(
-        _band(spark, sf_dir).select("word"), word_jobs.simple_chain(), WordsmithProvider(), "smith", AT_ONCE
-    )
+    words = _band(spark, sf_dir).select("word").repartition(spark.sparkContext.defaultParallelism)
+    return word_jobs.run_chain(words, word_jobs.simple_chain(), WordsmithProvider(), "smith", AT_ONCE)
 
 
 def _rating(text: str) -> str:

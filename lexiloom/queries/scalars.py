@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiloom.functions import budgets, languages, prompts, responses, results, text
-from lexiloom.operators.combine import align_languages
+from lexiloom.operators.combine import align_languages, explode_parts
 from lexiloom.providers.standins import CODED, PLAIN
 from lexiloom.queries.base import (
     DIRECTED,
@@ -72,7 +72,7 @@ def normalize_text(spark, sf_dir):
 )
 def chunk_text(spark, sf_dir):
     chunked = text.with_chunks(documents(spark, sf_dir).select("doc_id", "text"), "text", "chunks", CHUNK_WORDS)
-    return chunked.select("doc_id", F.posexplode("chunks").alias("chunk_index", "chunk"))
+    return explode_parts(chunked, F.col("chunks"), ("chunk_index", "chunk"), ["text", "chunks"])
 
 
 @query(

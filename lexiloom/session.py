@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +28,9 @@ def build_session(app_name: str = "lexiloom", master: str | None = None, **conf:
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +49,26 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lexiloom-"), "lexiloom.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, files in os.walk(root):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    bundle.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for an intermediate table."""
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
