@@ -9,10 +9,11 @@ from lexiloom.functions.languages import DEFAULT_PAIR, LanguagePair
 from lexiloom.functions.prompts import TRANSLATE_SYSTEM, render
 from lexiloom.functions.results import check_languages
 from lexiloom.functions.text import DEFAULT_MAX_WORDS, join_parts, with_chunks
-from lexiloom.operators.filters import filter_known_language
+from lexiloom.operators.filters import failure_report, filter_known_language
 from lexiloom.operators.joins import INDEX, pending_rows
 from lexiloom.providers import Provider, RetryPolicy, call_model
 from lexiloom.providers.calls import call_model_on_parts
+from lexiloom.session import materialize
 
 
 def pair_system(pair: LanguagePair, language: Column, template: str = TRANSLATE_SYSTEM) -> Column:
@@ -86,17 +87,18 @@ def translate_table(
 
 
 def run_translate_table(
-    df: DataFrame, output: str, provider: Provider, model_name: str, **options
-) -> DataFrame:
-    """Resumable job: translate what the output lacks, append the successes, return everything saved.
+    df: DataFrame, output: str, provider: Provider, model_name: str, text: str = "text", **options
+) -> tuple[DataFrame, DataFrame]:
+    """Resumable job: translate what the output lacks and append it; ``(everything saved, failures)``.
 
-    The result of the model calls is written once, before anything reads it.
+    The model's answers are checkpointed once, because both the output and the failure report read them.
+    Failed rows are not saved, so the next run takes them up again.
     """
     spark = df.sparkSession
     saved = spark.read.parquet(output) if _has_data(df, output) else None
-    done = translate_table(df, provider, model_name, saved=saved, **options)
+    done = materialize(translate_table(df, provider, model_name, text=text, saved=saved, **options))
     done.filter(F.col("error").isNull()).drop("error").write.mode("append").parquet(output)
-    return spark.read.parquet(output)
+    return spark.read.parquet(output), failure_report(done, text)
 
 
 def _has_data(df: DataFrame, path: str) -> bool:
