@@ -6,6 +6,7 @@ cost per pair is a few vector operations instead of Python objects per n-gram.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 CHAR_ORDER = 6
 WORD_ORDER = 4
+# Pairs counted together; the tables of so many stay in the processor's cache.
+SLICE = 500
 
 
 def _char_symbols(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +68,16 @@ def match_counts(
     return matches, hyp_total, ref_total
 
 
+def _counts(
+    symbols: Callable[[pd.Series], tuple[np.ndarray, np.ndarray]], hyp: pd.Series, ref: pd.Series, max_order: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [
+        match_counts(symbols(hyp.iloc[at : at + SLICE]), symbols(ref.iloc[at : at + SLICE]), max_order)
+        for at in range(0, max(len(hyp), 1), SLICE)
+    ]
+    return tuple(np.concatenate(kind) for kind in zip(*parts))
+
+
 def _stat_frame(prefix: str, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
     frame = {}
     for kind, values in zip(("m", "h", "r"), counts):
@@ -86,7 +99,7 @@ def char_stats(hypothesis: Column, reference: Column) -> Column:
 
     @F.pandas_udf(_schema(("c", CHAR_ORDER)))
     def count(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(_stat_frame("c", match_counts(_char_symbols(hyp), _char_symbols(ref), CHAR_ORDER)))
+        return pd.DataFrame(_stat_frame("c", _counts(_char_symbols, hyp, ref, CHAR_ORDER)))
 
     return count(hypothesis, reference)
 
@@ -96,14 +109,14 @@ def word_stats(hypothesis: Column, reference: Column, max_order: int = WORD_ORDE
 
     @F.pandas_udf(_schema(("w", max_order)))
     def count(hyp: pd.Series, ref: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(_stat_frame("w", match_counts(_word_symbols(hyp), _word_symbols(ref), max_order)))
+        return pd.DataFrame(_stat_frame("w", _counts(_word_symbols, hyp, ref, max_order)))
 
     return count(hypothesis, reference)
 
 
 def bleu_scores(hypotheses: pd.Series, references: pd.Series, max_order: int = WORD_ORDER) -> np.ndarray:
     """Sentence BLEU of spaced words: exponential smoothing, averaged over the orders a row is long enough for."""
-    matches, hyp_total, ref_total = match_counts(_word_symbols(hypotheses), _word_symbols(references), max_order)
+    matches, hyp_total, ref_total = _counts(_word_symbols, hypotheses, references, max_order)
     usable = hyp_total > 0
     missed = usable & (matches == 0)
     smoothed = 1.0 / (np.exp2(np.cumsum(missed, axis=1)) * np.maximum(hyp_total, 1))
@@ -127,7 +140,7 @@ def _f_score(*counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
 
 def chrf_scores(hypotheses: pd.Series, references: pd.Series) -> np.ndarray:
     """chrF of whitespace-free texts."""
-    return _f_score(match_counts(_char_symbols(hypotheses), _char_symbols(references), CHAR_ORDER))
+    return _f_score(_counts(_char_symbols, hypotheses, references, CHAR_ORDER))
 
 
 def chrf_word_scores(
@@ -135,6 +148,6 @@ def chrf_word_scores(
 ) -> np.ndarray:
     """chrF with word n-grams (chrF++ for ``word_order=2``)."""
     return _f_score(
-        match_counts(_char_symbols(hypotheses), _char_symbols(references), CHAR_ORDER),
-        match_counts(_word_symbols(hyp_words), _word_symbols(ref_words), word_order),
+        _counts(_char_symbols, hypotheses, references, CHAR_ORDER),
+        _counts(_word_symbols, hyp_words, ref_words, word_order),
     )
