@@ -112,10 +112,13 @@ def hash_sql(key: str) -> str:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentence results with a score made from a digest; some scores are null, one file has none."""
+    """Sentence results with a score made from a digest; some scores are null, one file has none.
+
+    Scores are multiples of a power of two, so their sums are exact and do not depend on the order of rows.
+    """
     key = F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("sentence_index").cast("string"))
     missing = F.substring(F.md5(key), 9, 1).eqNullSafe("0") | (F.col("source") == "src7")
-    score = F.when(~missing, (hash_number(key) % 11001 - 500) / F.lit(10000.0))
+    score = F.when(~missing, (hash_number(key) % 9011 - 410) / F.lit(8192.0))
     return sentences(spark, sf_dir).select(
         F.concat("source", F.lit(".tsv")).alias("source_file"),
         "doc_id",
@@ -133,7 +136,7 @@ SCORED = f"""{SENTENCES},
 scored AS (SELECT source||'.tsv' AS source_file, doc_id, lang, sentence_index, sentence AS original_sentence,
   translate(sentence, '{PLAIN}', '{CODED}') AS forward_translation, sentence AS back_translation,
   CASE WHEN substr(md5(doc_id||':'||sentence_index),9,1)='0' OR source='src7' THEN NULL
-    ELSE ({hash_sql("doc_id||':'||sentence_index")} % 11001 - 500)/10000.0::DOUBLE END AS comet_score,
+    ELSE ({hash_sql("doc_id||':'||sentence_index")} % 9011 - 410)/8192.0::DOUBLE END AS comet_score,
   1.0::DOUBLE AS temperature FROM sentences)"""
 
 GRID = tuple(n / 10 for n in range(11))
@@ -146,14 +149,14 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = expand_attempts(sentences(spark, sf_dir).select("doc_id", "sentence_index"), GRID)
     key = F.concat_ws(":", F.col("doc_id"), F.col("sentence_index"), F.col("attempt"))
     missing = F.substring(F.md5(key), 9, 1) == "0"
-    return grid.withColumn("score", F.when(~missing, hash_number(key) % 1001 / F.lit(10.0)))
+    return grid.withColumn("score", F.when(~missing, hash_number(key) % 6401 / F.lit(64.0)))
 
 
 ATTEMPTS = f"""{SENTENCES},
 grid AS (SELECT doc_id, sentence_index, unnest(range(11))::INT AS attempt FROM sentences),
 attempts AS (SELECT *, attempt/10.0::DOUBLE AS temperature,
   CASE WHEN substr(md5(doc_id||':'||sentence_index||':'||attempt),9,1)='0' THEN NULL
-   ELSE ({hash_sql("doc_id||':'||sentence_index||':'||attempt")} % 1001)/10.0::DOUBLE END AS score FROM grid)"""
+   ELSE ({hash_sql("doc_id||':'||sentence_index||':'||attempt")} % 6401)/64.0::DOUBLE END AS score FROM grid)"""
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -309,6 +309,12 @@ def direction_from_filename(spark, sf_dir):
     CASE WHEN e IS NULL THEN source_file ELSE '' END AS output_term, coalesce(e, '') AS error FROM r""",
 )
 def flatten_result(spark, sf_dir):
+    flat = _flattened(spark, sf_dir)
+    term = F.coalesce(F.get_json_object("full_output", "$.translated_descriptive_word"), F.lit(""))
+    return flat.withColumn("output_term", term).drop("full_output")
+
+
+def _flattened(spark, sf_dir):
     result = F.struct(
         F.col("original_sentence"),
         F.col("source_file").alias("translated_descriptive_word"),
@@ -320,9 +326,17 @@ def flatten_result(spark, sf_dir):
     )
     error = F.when(F.col("comet_score").isNull(), F.lit("no score"))
     index = F.col("doc_id") * 1000000 + F.col("sentence_index")
-    flat = scored(spark, sf_dir).select(*results.flatten_result(index, F.col("lang"), result, error))
-    term = F.coalesce(F.get_json_object("full_output", "$.translated_descriptive_word"), F.lit(""))
-    return flat.withColumn("output_term", term).drop("full_output")
+    return scored(spark, sf_dir).select(*results.flatten_result(index, F.col("lang"), result, error))
+
+
+@query(
+    "error_row",
+    f"""WITH {SCORED} SELECT doc_id*1000000+sentence_index AS "index", lang AS word, '' AS english_sentence,
+    NULL::DOUBLE AS kinyarwanda_word_score, '' AS full_output, 'no score' AS error FROM scored WHERE comet_score IS NULL""",
+)
+def error_row(spark, sf_dir):
+    failed = _flattened(spark, sf_dir).filter(F.col("error") != "")
+    return failed.select("index", "word", "english_sentence", "kinyarwanda_word_score", "full_output", "error")
 
 
 @query(

@@ -154,6 +154,14 @@ def scan_row_json(spark, sf_dir):
 
 @query("write_row_json", ROW_JSON_SQL)
 def write_row_json(spark, sf_dir):
+    path = scratch_path(spark, "rows")
+    writers.write_row_json(_row_json(spark, sf_dir), path)
+    found = spark.read.schema(readers.ROW_JSON_SCHEMA).json(path)
+    return found.select("row_id", F.size("sentences").alias("sentences"), "reconstructed_text")
+
+
+@query("aggregate_row_json", ROW_JSON_SQL + " ORDER BY row_id")
+def aggregate_row_json(spark, sf_dir):
     """Rows saved one by one, then merged in order of their id."""
     path = scratch_path(spark, "rows")
     writers.write_row_json(_row_json(spark, sf_dir), f"{path}/single")
