@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe
+from lexiloom.llm import byte_bpe, line_rules
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,3 +23,39 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks, pattern = public_ranks()
     return byte_bpe.encode(docs, ranks, pattern, ids=False, digests=True).drop("text")
+
+
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+_PASSES = rf"""(NOT regexp_matches(l, '[^\x20\x09-\x0D]') OR NOT (
+    (len({_WORDS.format("l")}) < 4 AND NOT regexp_matches(l, '{line_rules.END_MARK.replace("'", "''")}'))
+    OR (len(regexp_extract_all(l, '{line_rules.SEPARATOR}')) >= 2
+        AND len(regexp_extract_all(l, '{line_rules.SEPARATOR}')) * 100 >= 20 * len({_WORDS.format("l")}))
+    OR len(regexp_extract_all(l, '{line_rules.SYMBOLS}')) * 100 >= 20 * len({_WORDS.format("l")})
+    OR (NOT regexp_matches(l, '{line_rules.SMALL}') AND regexp_matches(l, '({line_rules.CAPITAL}[^a-z]*){{4}}'))
+    OR regexp_matches(lower(l), '{line_rules.BOILERPLATE}')))"""
+
+
+@query(
+    "op7_line_rules",
+    rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS (SELECT doc_id, t, {_WORDS.format("t")} AS w, string_split(t, chr(10)) AS ls FROM d),
+g AS (SELECT doc_id, i, w[i]||' '||w[i+1]||' '||w[i+2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w)-1)) AS i FROM s WHERE len(w) >= 3)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+m AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, i FROM r UNION SELECT doc_id, i+1 FROM r
+  UNION SELECT doc_id, i+2 FROM r) GROUP BY doc_id),
+b AS (SELECT s.doc_id, t, ls, len(w)::BIGINT AS n_words,
+  length(regexp_replace(t, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+  (len(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-]')))
+    - len(list_distinct(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-]')))))::BIGINT AS n_dup_lines,
+  coalesce(m.n, 0)::BIGINT AS n_repeat_words FROM s LEFT JOIN m ON m.doc_id = s.doc_id),
+f AS (SELECT *, n_words < 50 OR 100*n_repeat_words > 50*n_words AS base_failed,
+  array_to_string(list_filter(ls, lambda l: {_PASSES}), chr(10)) AS clean FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100*length(clean) >= 60*length(t) AS kept, sha256(clean) AS clean_sha256 FROM f""",
+)
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    measured = line_rules.measure(docs).drop("text")
+    return measured.withColumn("clean_sha256", F.sha2(F.col("clean_text").cast("binary"), 256)).drop("clean_text")
