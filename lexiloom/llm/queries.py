@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, line_rules
+from lexiloom.llm import byte_bpe, line_dedup, line_rules
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -45,10 +45,13 @@ r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS
 m AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, i FROM r UNION SELECT doc_id, i+1 FROM r
   UNION SELECT doc_id, i+2 FROM r) GROUP BY doc_id),
 b AS (SELECT s.doc_id, t, ls, len(w)::BIGINT AS n_words,
-  length(regexp_replace(t, '[ 	-]+', '', 'g'))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[ 	-
+]+', '', 'g'))::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
-  (len(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-]')))
-    - len(list_distinct(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-]')))))::BIGINT AS n_dup_lines,
+  (len(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-
+]')))
+    - len(list_distinct(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-
+]')))))::BIGINT AS n_dup_lines,
   coalesce(m.n, 0)::BIGINT AS n_repeat_words FROM s LEFT JOIN m ON m.doc_id = s.doc_id),
 f AS (SELECT *, n_words < 50 OR 100*n_repeat_words > 50*n_words AS base_failed,
   array_to_string(list_filter(ls, lambda l: {_PASSES}), chr(10)) AS clean FROM b)
@@ -59,3 +62,30 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = line_rules.measure(docs).drop("text")
     return measured.withColumn("clean_sha256", F.sha2(F.col("clean_text").cast("binary"), 256)).drop("clean_text")
+
+
+@query(
+    "op5_line_dedup",
+    r"""WITH l AS (SELECT doc_id, i-1 AS pos, ls[i] AS line, length(ls[i]) AS len FROM
+  (SELECT doc_id, ls, unnest(range(1, len(ls)+1)) AS i
+   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+w AS (SELECT doc_id, pos, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l),
+k AS (SELECT *, array_to_string(w, ' ') AS k, len(w) AS n FROM w WHERE len(w) > 0),
+f AS (SELECT k, w, n, min(doc_id::HUGEINT * 2147483648 + pos) AS o FROM k GROUP BY k, w, n),
+v AS (SELECT k, n, o, i, array_to_string(w[:i-1], ' ')||chr(1)||array_to_string(w[i+1:], ' ') AS place_key,
+  array_to_string(list_concat(w[:i-1], w[i+1:]), ' ') AS d
+  FROM (SELECT *, unnest(range(1, n+1)) AS i FROM f WHERE n >= 6)),
+r AS (SELECT o FROM (SELECT o, min(o) OVER (PARTITION BY n, i, place_key) AS m FROM v) WHERE m < o
+  UNION SELECT v.o FROM v JOIN f ON f.k = v.d WHERE f.n >= 6 AND f.o < v.o
+  UNION SELECT f.o FROM v JOIN f ON f.k = v.d WHERE f.n >= 6 AND v.o < f.o),
+g AS (SELECT k.doc_id, k.pos FROM k JOIN f ON f.k = k.k
+  WHERE f.o <> k.doc_id::HUGEINT * 2147483648 + k.pos OR f.o IN (SELECT o FROM r))
+SELECT l.doc_id, count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]'))::BIGINT AS n_lines,
+  count(g.pos)::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id""",
+)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.deduplicate(docs).drop("text")
+    return out.withColumn("kept_sha256", F.sha2(F.col("dedup_text").cast("binary"), 256)).drop("dedup_text")
