@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, line_dedup, line_rules
+from lexiloom.llm import byte_bpe, line_dedup, line_rules, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -89,3 +89,9 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.deduplicate(docs).drop("text")
     return out.withColumn("kept_sha256", F.sha2(F.col("dedup_text").cast("binary"), 256)).drop("dedup_text")
+
+
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.Mix(docs).per_document().withColumnRenamed("_doc", "doc_id")
