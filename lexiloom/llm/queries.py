@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, line_dedup, line_rules, mixing
+from lexiloom.llm import byte_bpe, kd_search, line_dedup, line_rules, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -95,3 +95,19 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.Mix(docs).per_document().withColumnRenamed("_doc", "doc_id")
+
+
+@query(
+    "op2_kd_search",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings WHERE len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id,
+  list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * v.e[i]))::BIGINT AS score
+  FROM v q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+)
+def op2_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return kd_search.top_k(vectors, F.col("vec_id") % 50 == 0)
