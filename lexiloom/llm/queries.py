@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, kd_search, line_dedup, line_rules, mixing
+from lexiloom.llm import byte_bpe, kd_search, line_dedup, line_rules, lsh_forest, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -111,3 +111,9 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 def op2_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return kd_search.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op3_lsh_forest")
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lsh_forest.near_duplicates(docs, width=3, percent=85)
