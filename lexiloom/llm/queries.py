@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, kd_search, line_dedup, line_rules, lsh_forest, mixing
+from lexiloom.llm import byte_bpe, html_templates, kd_search, line_dedup, line_rules, lsh_forest, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -117,3 +117,8 @@ def op2_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lsh_forest.near_duplicates(docs, width=3, percent=85)
+
+
+@query("op9_html_templates")
+def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
