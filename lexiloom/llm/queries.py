@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, html_templates, kd_search, line_dedup, line_rules, lsh_forest, mixing
+from lexiloom.llm import byte_bpe, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -122,3 +122,8 @@ def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_html_templates")
 def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_templates.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op10_kneser_ney")
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
