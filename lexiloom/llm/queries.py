@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing
+from lexiloom.llm import byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -127,3 +127,10 @@ def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_kneser_ney")
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_hidden_markov")
+def op8_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return hidden_markov.score(docs, remainder == 2)
