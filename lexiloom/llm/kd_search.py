@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.session import scratch_path
+from lexiloom.llm.scratch import stored
 
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
@@ -129,7 +129,6 @@ def top_k(
     df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the k best other rows of each row that ``queries`` marks."""
-    spark = df.sparkSession
     rows = whole_vectors(df, key, vector, scale)
     asked = whole_vectors(df.filter(queries), key, vector, scale)
     n_rows, n_asked = rows.count(), asked.count()
@@ -154,10 +153,8 @@ def top_k(
         return left.cogroup(right).applyInPandas(run, "query_id long, vec_id long, score long")
 
     every_block = F.sequence(F.lit(0), F.lit(blocks - 1))
-    path = scratch_path(spark, "first_hits")
     at_home = F.filter(every_block, lambda b: F.pmod(b, F.lit(shards)) == F.col("_shard"))
-    search(F.array(first), at_home, asked).write.parquet(path)
-    found = spark.read.parquet(path)
+    found = stored(search(F.array(first), at_home, asked), "first_hits")
     kth = found.groupBy("query_id").agg(F.min("score").cast("double").alias("_kth"), F.count(F.lit(1)).alias("_c"))
     bounded = asked.join(kth, asked["_id"] == kth["query_id"], "left").select(
         "_id", "_v", "_dim", "_block", F.when(F.col("_c") >= k, F.col("_kth")).otherwise(F.col("_floor")).alias("_floor")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing
+from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -134,3 +134,25 @@ def op8_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
     return hidden_markov.score(docs, remainder == 2)
+
+
+@query(
+    "op6_bwt_dedup",
+    """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, row_number() OVER () AS r FROM documents),
+w AS (SELECT r, s, md5(substr(h, 2*s + 1, 400)) AS m FROM
+  (SELECT r, h, unnest(range(0, len(h)//2 - 199)) AS s FROM d WHERE len(h) >= 400)),
+c AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY m) AS n FROM w) WHERE n > 1),
+g AS (SELECT r, s, sum(CASE WHEN s <= p + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY s) AS g
+  FROM (SELECT r, s, lag(s, 1, -1000) OVER (PARTITION BY r ORDER BY s) AS p FROM c)),
+x AS (SELECT r, min(s) AS a, max(s) + 200 AS b FROM g GROUP BY r, g),
+e AS (SELECT r, a, b, lead(a) OVER (PARTITION BY r ORDER BY a) AS next FROM x),
+k AS (SELECT d.r, sum(b - a)::BIGINT AS n, count(*)::BIGINT AS spans,
+  substr(any_value(h), 1, 2*min(a)::BIGINT)
+    || string_agg(substr(h, 2*b + 1, 2*(coalesce(next, len(h)//2) - b)), '' ORDER BY a) AS left_
+  FROM e JOIN d ON d.r = e.r GROUP BY d.r)
+SELECT doc_id, (len(h)//2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(left_, h))) AS kept_sha256 FROM d LEFT JOIN k ON k.r = d.r""",
+)
+def op6_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bwt_dedup.remove_repeats(docs).drop("kept_bytes")
