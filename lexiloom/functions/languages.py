@@ -63,7 +63,7 @@ KINYARWANDA_NAMES = ("kin", "rw", "kinyarwanda")
 
 def display_name(language: Column) -> Column:
     """First letter upper, the rest lower."""
-    return F.concat(F.upper(F.substring(language, 1, 1)), F.lower(F.substring(language, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(language, 1, 1)), F.lower(F.substr(language, F.lit(2))))
 
 
 def backend_for(model_name: Column) -> Column:

@@ -7,6 +7,7 @@ row's counts, the corpus score is the same arithmetic on their sums.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from lexiloom.functions import ngrams
 from lexiloom.functions.text import normalize
 
+log = logging.getLogger(__name__)
+
 CHRF_BETA = 2
-LONG_TEXT = 1024
 
 
 # --- preparation -------------------------------------------------------------------------------
@@ -172,7 +174,10 @@ class EditSimilarity(Metric):
 
 
 class ExternalScorer(Metric):
-    """A quality model: ``open`` runs once per Python worker task, ``score_batch`` per Arrow batch."""
+    """A quality model: ``make`` opens it once per task, and it is called per Arrow batch.
+
+    Rows without hypothesis or reference do not reach it; a batch on which it fails scores 0.
+    """
 
     needs_source = True
 
@@ -181,13 +186,20 @@ class ExternalScorer(Metric):
         self._make = make
 
     def score(self, source, hypothesis, reference):
-        make = self._make
+        make, name = self._make, self.name
 
         @F.pandas_udf("double")
         def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             scorer = make()
             for src, hyp, ref in batches:
-                yield scorer(src, hyp, ref).astype("float64")
+                out = pd.Series(0.0, index=hyp.index)
+                there = hyp.notna() & ref.notna()
+                if there.any():
+                    try:
+                        out[there] = scorer(src[there], hyp[there], ref[there]).astype("float64").fillna(0.0)
+                    except Exception:
+                        log.warning("%s failed on %d rows", name, int(there.sum()), exc_info=True)
+                yield out
 
         return run.asNondeterministic()(source, hypothesis, reference)
 
@@ -196,9 +208,11 @@ def add_metrics(
     df: DataFrame, metrics: dict[str, Metric], source: str, hypothesis: str, reference: str
 ) -> DataFrame:
     """Add one score column per metric; a row without hypothesis or reference, or a failed score, gets 0."""
-    src, hyp, ref = (F.coalesce(F.col(c), F.lit("")) for c in (source, hypothesis, reference))
     present = F.col(hypothesis).isNotNull() & F.col(reference).isNotNull()
-    scored = df.withColumns({column: metric.score(src, hyp, ref) for column, metric in metrics.items()})
+    src = F.coalesce(F.col(source), F.lit(""))
+    blank = [src, *(F.coalesce(F.col(c), F.lit("")) for c in (hypothesis, reference))]
+    masked = [src, *(F.when(present, F.col(c)) for c in (hypothesis, reference))]  # models skip nulls
+    scored = df.withColumns({column: metric.score(*(masked if metric.needs_source else blank)) for column, metric in metrics.items()})
     return scored.withColumns(
         {c: F.when(present, F.coalesce(F.col(c), F.lit(0.0))).otherwise(F.lit(0.0)) for c in metrics}
     )
@@ -237,50 +251,8 @@ def corpus_scores(df: DataFrame, hypothesis: str, reference: str, group_by: list
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance on code points.
-
-    Pairs of ordinary length use the built-in function.  Its cost is the product of the lengths, so
-    pairs with a text of more than 1024 characters go to a bit-parallel count instead; both are exact.
-    """
-    long_pair = F.greatest(F.char_length(a), F.char_length(b)) > LONG_TEXT
-
-    @F.pandas_udf("long")
-    def distance(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series(
-            [_bit_distance(x, y) if isinstance(x, str) and isinstance(y, str) else None for x, y in zip(xs, ys)],
-            dtype="Int64",
-        )
-
-    counted = distance(F.when(long_pair, a), F.when(long_pair, b))
-    return F.when(long_pair, counted).otherwise(F.levenshtein(a, b).cast("long"))
-
-
-def _bit_distance(x: str, y: str) -> int:
-    """Myers' bit-vector distance; the columns of the table are the bits of Python integers."""
-    if len(x) < len(y):
-        x, y = y, x
-    if not y:
-        return len(x)
-    at: dict[str, int] = {}
-    for i, char in enumerate(x):
-        at[char] = at.get(char, 0) | (1 << i)
-    full, top = (1 << len(x)) - 1, 1 << (len(x) - 1)
-    plus, minus, score = full, 0, len(x)
-    for char in y:
-        equal = at.get(char, 0)
-        vertical = equal | minus
-        equal = (((equal & plus) + plus) ^ plus) | equal
-        horizontal_plus = minus | (full & ~(equal | plus))
-        horizontal_minus = plus & equal
-        if horizontal_plus & top:
-            score += 1
-        elif horizontal_minus & top:
-            score -= 1
-        horizontal_plus = ((horizontal_plus << 1) | 1) & full
-        horizontal_minus = (horizontal_minus << 1) & full
-        plus = horizontal_minus | (full & ~(vertical | horizontal_plus))
-        minus = horizontal_plus & vertical
-    return score
+    """Levenshtein distance on code points."""
+    return F.levenshtein(a, b).cast("long")
 
 
 def edit_similarity(a: Column, b: Column) -> Column:

@@ -30,7 +30,7 @@ SUBSTITUTE_SYSTEM = (
     "Replace the original word by the replacement word everywhere in the sentence and keep the grammar "
     "right. Answer with the corrected sentence alone."
 )
-SUBSTITUTE_TEXT = "Sentence: {sentence}\nOriginal word: {word}\nReplacement word: {replacement}"
+SUBSTITUTE_TEXT = "In the sentence below, put \"{replacement}\" where it says \"{word}\".\n\n{sentence}"
 ANCHORED_SYSTEM = (
     "Translate the sentence from {src_lang} to {tgt_lang}. \"{term}\" is already translated as "
     "\"{term_translation}\"; use that translation wherever \"{term}\" appears. "

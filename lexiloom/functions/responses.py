@@ -15,7 +15,7 @@ GOOD_FROM = 4.0
 ACCEPTABLE_FROM = 2.5
 
 SERVER_SCHEMA = "response string, thinking string, done_reason string"
-JUDGE_SCHEMA = "score double, fluency double, adequacy double, consistency double, reasoning string"
+JUDGE_SCHEMA = "score string, fluency double, adequacy double, consistency double, reasoning string"
 TRUNCATED = "output truncated at the token limit"
 EMPTY = "empty translation"
 
@@ -60,7 +60,11 @@ def parse_judge(answer: Column) -> Column:
     data = F.from_json(bare, JUDGE_SCHEMA, {"mode": "PERMISSIVE"})
     # A malformed document parses to a struct of nulls; an object is told from it by its keys.
     valid = F.json_object_keys(bare).isNotNull() & bare.endswith("}")
-    score = F.when(valid, F.coalesce(data["score"], F.lit(0.0)))
+    # No score is 0; one that is there but is no number, null included, is an error.
+    given = F.array_contains(F.json_object_keys(bare), "score")
+    number = data["score"].try_cast("double")
+    valid = valid & (~given | number.isNotNull())
+    score = F.when(valid, F.coalesce(number, F.lit(0.0)))
     return F.struct(
         score.alias("score"),
         judge_label(score).alias("label"),

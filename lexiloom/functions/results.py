@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.functions.text import is_blank
+
 # Column order of the word dataset and of the sentence result table.
 WORD_DATASET_COLUMNS = (
     "index",
@@ -106,7 +108,7 @@ def row_problem(
     problem = F.lit(None).cast("string")
     checks = []
     if word is not None:
-        checks.append((word.isNull() | (F.trim(word) == ""), "blank word"))
+        checks.append((word.isNull() | is_blank(word), "blank word"))
     if temperature is not None:
         checks.append((temperature.isNull() | ~temperature.between(0.0, 2.0), "temperature out of range"))
     if source is not None and target is not None:

@@ -97,13 +97,17 @@ def sample_stats(sample: DataFrame, score: str = "comet_score") -> DataFrame:
 
 
 def metric_summary(df: DataFrame, metrics: list[str], by: str = "direction") -> DataFrame:
-    """Mean, deviation, minimum and maximum per metric, for all rows (null direction) and per direction."""
+    """Mean, deviation, minimum and maximum per metric, per direction and for all rows.
+
+    ``overall`` tells the row of all rows from that of rows without a direction; both have a null one.
+    """
     parts = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.rollup(by).agg(*[fn(m).alias(f"{m}_{part}") for m in metrics for part, fn in parts.items()])
+    overall = (F.grouping(by) == 1).alias("overall")
+    wide = df.rollup(by).agg(overall, *[fn(m).alias(f"{m}_{part}") for m in metrics for part, fn in parts.items()])
     rows = [
         F.struct(F.lit(m).alias("metric"), *[F.col(f"{m}_{part}").alias(part) for part in parts]) for m in metrics
     ]
-    return wide.select(by, F.explode(F.array(*rows)).alias("s")).select(by, "s.*")
+    return wide.select(by, "overall", F.explode(F.array(*rows)).alias("s")).select(by, "overall", "s.*")
 
 
 def direction_summary(df: DataFrame, metrics: list[str], by: str = "direction") -> DataFrame:

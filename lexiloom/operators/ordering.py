@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.text import word_count
 from lexiloom.operators.joins import INDEX
-from lexiloom.operators.skew import with_positions
-
-# Beyond this many rows a top-n would gather too much in one task; positions are used instead.
-TOP_N_LIMIT = 100_000
 
 
 def shortest_first(df: DataFrame, text: str = "text", key: str = INDEX) -> DataFrame:
@@ -45,10 +41,11 @@ def reconstruct_documents(
 
 
 def first_n(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """The first ``n`` rows of an order."""
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(*order).limit(n)
-    return with_positions(df, order, "_position").filter(F.col("_position") < n).drop("_position")
+    """The first ``n`` rows of an order: every task keeps its own first ``n``, and one merges them.
+
+    For a share of a large table rather than a number of rows, use ``split_train_dev``.
+    """
+    return df.orderBy(*order).limit(n)
 
 
 def shuffle_key(keys: list[str], seed: int) -> Column:

@@ -107,9 +107,14 @@ def run_batch(
             replace(configs[i], max_tokens=policy.budget(configs[i].max_tokens, tier[i]), attempt=tries[i] + 1)
             for i in pending
         ]
-        answers = provider.invoke_many([texts[i] for i in pending], [systems[i] for i in pending], calls)
+        try:
+            answers = list(provider.invoke_many([texts[i] for i in pending], [systems[i] for i in pending], calls))
+            if len(answers) != len(pending):
+                raise ValueError(f"{len(answers)} answers to {len(pending)} texts")
+        except Exception as problem:  # a failed batch is failed rows, which are data
+            answers = [problem] * len(pending)
         again, wait = [], 0.0
-        for i, call, answer in zip(pending, calls, answers):
+        for i, call, answer in zip(pending, calls, answers, strict=True):
             outcome = outcomes[i]
             outcome.attempts += 1
             outcome.budget = call.max_tokens

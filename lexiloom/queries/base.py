@@ -43,13 +43,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.  One that comes in fewer splits than there are cores is spread over them.
-
-    Large tables have more splits than cores and are read as they are, without a shuffle.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A driver table, read as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -334,7 +334,7 @@ MEASURED = f"{DIRECTED}, measured AS (SELECT *, length(translation)::DOUBLE AS b
 @query(
     "metric_summary",
     f"""WITH {MEASURED}, m AS (SELECT direction, 'bleu' AS metric, bleu AS v FROM measured UNION ALL SELECT direction, 'chrf', chrf FROM measured)
-    SELECT direction, metric, round(avg(v),6) AS mean, round(stddev_samp(v),6) AS std, min(v) AS min, max(v) AS max
+    SELECT direction, grouping(direction) = 1 AS overall, metric, round(avg(v),6) AS mean, round(stddev_samp(v),6) AS std, min(v) AS min, max(v) AS max
     FROM m GROUP BY GROUPING SETS ((direction, metric), (metric))""",
 )
 def metric_summary(spark, sf_dir):

@@ -84,15 +84,9 @@ def _result_folder(spark, sf_dir) -> str:
 def scan_result_folder(spark, sf_dir):
     """Spark names part files itself, so a row's file is the folder its part lies in."""
     path = _result_folder(spark, sf_dir)
-    found = (
-        spark.read.options(**readers.CSV_OPTIONS)
-        .option("sep", "\t")
-        .option("basePath", path)
-        .schema(readers.RESULT_SCHEMA)
-        .csv(f"{path}/source_file=*")
-    )
+    rows, _ = readers.scan_results(spark, path, pattern="*.csv")
     file = F.regexp_extract(F.col("_metadata.file_path"), r"source_file=([^/]+)/", 1)
-    return found.withColumn("source_file", file).select(*RESULT_COLUMNS.split(", "))
+    return rows.withColumn("source_file", file).select(*RESULT_COLUMNS.split(", "))
 
 
 def _export_text_files(spark, sf_dir) -> str:
@@ -139,6 +133,10 @@ def _row_json(spark, sf_dir):
     )
 
 
+def _readable(rows):
+    return rows.filter(F.col(readers.CORRUPT).isNull()).drop(readers.CORRUPT)
+
+
 ROW_JSON_SQL = f"""WITH {SENTENCES} SELECT d.doc_id AS row_id, len(p.parts)::INT AS sentences,
     array_to_string(p.parts, ' ') AS reconstructed_text FROM documents d JOIN split_docs p USING (doc_id)"""
 
@@ -147,7 +145,7 @@ ROW_JSON_SQL = f"""WITH {SENTENCES} SELECT d.doc_id AS row_id, len(p.parts)::INT
 def scan_row_json(spark, sf_dir):
     path = scratch_path(spark, "rows")
     writers.write_row_json(_row_json(spark, sf_dir), path)
-    return readers.scan_row_json(spark, path).select(
+    return readers.scan_row_json(spark, path, "*.json", multi_line=False).select(
         "row_id", F.size("sentences").alias("sentences"), "reconstructed_text"
     )
 
@@ -165,8 +163,8 @@ def aggregate_row_json(spark, sf_dir):
     """Rows saved one by one, then merged in order of their id."""
     path = scratch_path(spark, "rows")
     writers.write_row_json(_row_json(spark, sf_dir), f"{path}/single")
-    writers.aggregate_row_json(readers.scan_row_json(spark, f"{path}/single"), f"{path}/all")
-    return readers.scan_row_json(spark, f"{path}/all").select(
+    writers.aggregate_row_json(_readable(readers.scan_row_json(spark, f"{path}/single", "*.json", multi_line=False)), f"{path}/all")
+    return readers.scan_row_json(spark, f"{path}/all", "*.json", multi_line=False).select(
         "row_id", F.size("sentences").alias("sentences"), "reconstructed_text"
     )
 
@@ -183,8 +181,8 @@ def load_parallel_benchmark(spark, sf_dir):
 
 @query(
     "read_results_tsv",
-    f"""WITH {SCORED} SELECT sentence_index::VARCHAR AS sentence_index, original_sentence, forward_translation
-        FROM scored""",
+    f"""WITH {SCORED} SELECT sentence_index::VARCHAR AS sentence_index, original_sentence, forward_translation,
+        back_translation, comet_score, temperature FROM scored""",
 )
 def read_results_tsv(spark, sf_dir):
     """All columns as text, as the saved file has them."""
@@ -192,9 +190,8 @@ def read_results_tsv(spark, sf_dir):
     rows = scored(spark, sf_dir).select(*RESULT_COLUMNS.split(", ")[1:])
     rows.write.options(**writers.CSV_OPTIONS).option("sep", "\t").csv(path)
     schema = ", ".join(f"{name} string" for name in rows.columns)
-    return readers.read_results(spark, path, schema).select(
-        "sentence_index", "original_sentence", "forward_translation"
-    )
+    found = readers.read_results(spark, path, schema)
+    return found.withColumns({c: F.col(c).cast("double") for c in ("comet_score", "temperature")})
 
 
 @query("load_corpus", "SELECT doc_id, text FROM documents")

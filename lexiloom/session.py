@@ -36,7 +36,7 @@ def build_session(app_name: str = "lexiloom", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, a laptop) is a local folder made and set.
+    Where none is named, a local folder is made and set if all tasks run on this machine; else that is an error.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lexiloom-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 CSV_OPTIONS = {
     "header": True,
-    "multiLine": True,
+    "multiLine": True,  # quoted line ends; a file is then one task, so turn it off where texts have none
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
@@ -92,22 +92,44 @@ def _arrow_schema(uri: str):
         return reader.schema
 
 
-def scan_results(spark: SparkSession, folder: str, schema: str = RESULT_SCHEMA) -> DataFrame:
-    """All result files of a folder in one scan, each row with its file name.
+CORRUPT = "_corrupt_record"
 
-    Unreadable files and rows are skipped by the reader; a missing or empty folder is an error.
+
+def _parted(found: DataFrame, fields: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of a permissive scan: records that do not fit are returned, not dropped."""
+    # The reader fills the record only together with other columns; their length keeps them in the plan.
+    used = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in fields.fields])) >= 0
+    rows = found.filter(F.col(CORRUPT).isNull() & used).drop(CORRUPT)
+    return rows, found.filter(F.col(CORRUPT).isNotNull() & used)
+
+
+def _need_files(spark: SparkSession, folder: str, pattern: str) -> None:
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    if listing.load(folder).select("path").isEmpty():
+        raise ValueError(f"No {pattern} files found in {folder}")
+
+
+def scan_results(
+    spark: SparkSession, folder: str, schema: str = RESULT_SCHEMA, pattern: str = "*.tsv", multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of all result files of a folder, each row with its file name.
+
+    A row that does not fit the schema is rejected with its text and file; a missing or empty folder is an error.
     """
-    return (
-        spark.read.options(**CSV_OPTIONS)
+    _need_files(spark, folder, pattern)
+    fields = T._parse_datatype_string(schema)
+    found = (
+        spark.read.options(**CSV_OPTIONS | {"multiLine": multi_line})
         .option("sep", "\t")
-        .option("pathGlobFilter", "*.tsv")
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .option("mode", "DROPMALFORMED")
-        .option("ignoreCorruptFiles", True)
-        .schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())]))
         .csv(folder)
         .withColumn("source_file", F.col("_metadata.file_name"))
     )
+    return _parted(found, fields)
 
 
 def headers_by_file(spark: SparkSession, folder: str, pattern: str = "*.tsv") -> DataFrame:
@@ -156,7 +178,7 @@ def scan_mixed_results(
         tables.append(
             spark.read.options(**CSV_OPTIONS)
             .option("sep", "\t")
-            .option("mode", "DROPMALFORMED")
+            .option("mode", "FAILFAST")
             .schema(fields)
             .csv(files)
             .withColumn("source_file", F.col("_metadata.file_name"))
@@ -172,12 +194,12 @@ def scan_mixed_results(
 
 
 def scan_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per text file with the id from its name (``row_12.txt`` -> 12)."""
+    """One row per text file with the id from its name (``row_12.txt`` -> 12), null for other names."""
     return (
         spark.read.option("pathGlobFilter", "*.txt")
         .text(folder, wholetext=True)
         .select(
-            F.regexp_extract(F.col("_metadata.file_name"), r"row_(\d+)", 1).cast("long").alias("doc_id"),
+            F.regexp_extract(F.col("_metadata.file_name"), r"row_(\d+)", 1).try_cast("long").alias("doc_id"),
             F.col("_metadata.file_name").alias("file_name"),
             F.col("value").alias("text"),
         )
@@ -195,19 +217,26 @@ def iterate_chunks(df: DataFrame, chunk_size: int = 1000) -> Iterator[list[dict]
         yield chunk
 
 
-def scan_row_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Saved document rows, one JSON object per file or line; unreadable ones are skipped."""
+def scan_row_json(
+    spark: SparkSession, folder: str, pattern: str = "row_*.json", multi_line: bool = True
+) -> DataFrame:
+    """Saved document rows; what cannot be read has its text in ``_corrupt_record``.
+
+    With ``multi_line`` a file holds one object, indented or not; without, one object a line.
+    """
     return (
-        spark.read.schema(ROW_JSON_SCHEMA)
-        .option("mode", "DROPMALFORMED")
+        spark.read.schema(f"{ROW_JSON_SCHEMA}, {CORRUPT} string")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .json(folder)
     )
 
 
-def read_results(spark: SparkSession, path: str, schema: str = RESULT_SCHEMA) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).option("sep", "\t").schema(schema).csv(path)
+def read_results(spark: SparkSession, path: str, schema: str = RESULT_SCHEMA, multi_line: bool = True) -> DataFrame:
+    return spark.read.options(**CSV_OPTIONS | {"multiLine": multi_line}).option("sep", "\t").schema(schema).csv(path)
 
 
 def load_corpus(spark: SparkSession, path: str, text: str = "text") -> DataFrame:

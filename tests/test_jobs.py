@@ -45,6 +45,27 @@ def call(answers, tokens=None, **policy):
     return outcome, waits, provider.budgets
 
 
+class Short(Provider):
+    """Loses an answer in the first batch and fails as a whole in the second."""
+
+    def __init__(self):
+        self.batches = 0
+
+    def invoke_many(self, texts, systems, configs):
+        self.batches += 1
+        if self.batches == 2:
+            raise RuntimeError("server down")
+        return texts if self.batches > 2 else texts[1:]
+
+
+def test_short_and_failing_batches_are_failed_rows():
+    outcomes = run_batch(Short(), RetryPolicy(attempts=2, sleep=lambda _: None, tiers=(1,)), ["a", "b"], ["", ""], [CallSettings("m")] * 2)
+    assert [o.value for o in outcomes] == [None, None]
+    assert all(o.error == "server down" and o.attempts == 2 for o in outcomes)
+    outcomes = run_batch(Short(), RetryPolicy(attempts=3, sleep=lambda _: None), ["a", "b"], ["", ""], [CallSettings("m")] * 2)
+    assert [o.value for o in outcomes] == ["a", "b"]
+
+
 def test_retry_then_success_with_growing_waits():
     outcome, waits, _ = call([RuntimeError("boom"), "  ", " Translation: yes "])
     assert (outcome.value, outcome.error, outcome.attempts) == ("yes", None, 3)
@@ -182,14 +203,27 @@ def test_result_folder_names_its_files(spark, tmp_path):
     header = "\t".join(["sentence_index", "original_sentence", "forward_translation", "back_translation", "comet_score", "temperature"])
     for i in range(3):
         (tmp_path / f"row_{i}.tsv").write_text(f"{header}\n{i}\ta\tb\tc\t0.{i}\t1.0\n")
-    rows = readers.scan_results(spark, str(tmp_path)).select("source_file", "comet_score").orderBy("source_file").collect()
-    assert [tuple(r) for r in rows] == [("row_0.tsv", 0.0), ("row_1.tsv", 0.1), ("row_2.tsv", 0.2)]
-
-
-def test_unreadable_row_json_is_skipped(spark, tmp_path):
-    (tmp_path / "row_1.json").write_text(json.dumps({"row_id": 1, "reconstructed_text": "x"}))
+    (tmp_path / "row_3.tsv").write_text(f"{header}\nnot a number\ta\tb\tc\t0.5\t1.0\n7\ta\tb\tc\t0.7\t1.0\n")
+    rows, rejected = readers.scan_results(spark, str(tmp_path))
+    found = rows.select("source_file", "comet_score").orderBy("source_file").collect()
+    assert [tuple(r) for r in found] == [
+        ("row_0.tsv", 0.0), ("row_1.tsv", 0.1), ("row_2.tsv", 0.2), ("row_3.tsv", 0.7)
+    ]
+    assert rejected.count() == 1
+    bad = rejected.select("source_file", readers.CORRUPT).first()
+    assert bad["source_file"] == "row_3.tsv" and bad[readers.CORRUPT].startswith("not a number")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="No .* files"):
+        readers.scan_results(spark, str(tmp_path / "empty"))
+
+
+def test_row_json_indented_and_unreadable(spark, tmp_path):
+    whole = {"row_id": 1, "reconstructed_text": "x", "metadata": {"total_sentences": 3, "avg_score": 0.5}}
+    (tmp_path / "row_1.json").write_text(json.dumps(whole, indent=2))
     (tmp_path / "row_2.json").write_text("{broken")
-    assert [r["row_id"] for r in readers.scan_row_json(spark, str(tmp_path)).collect()] == [1]
+    found = readers.scan_row_json(spark, str(tmp_path)).cache()
+    assert [r["metadata"]["total_sentences"] for r in found.filter("row_id = 1").collect()] == [3]
+    assert [r[readers.CORRUPT] for r in found.filter("row_id IS NULL").collect()] == ["{broken"]
 
 
 def test_chunked_iteration(spark):
@@ -200,8 +234,11 @@ def test_chunked_iteration(spark):
 def test_text_folder(spark, tmp_path):
     (tmp_path / "row_10.txt").write_text("ten\nlines")
     (tmp_path / "row_2.txt").write_text("two")
+    (tmp_path / "notes.txt").write_text("other")
     rows = readers.scan_documents(spark, str(tmp_path)).orderBy("file_name").collect()
-    assert [tuple(r) for r in rows] == [(10, "row_10.txt", "ten\nlines"), (2, "row_2.txt", "two")]
+    assert [tuple(r) for r in rows] == [
+        (None, "notes.txt", "other"), (10, "row_10.txt", "ten\nlines"), (2, "row_2.txt", "two")
+    ]
 
 
 def test_stream_restarts_from_its_checkpoint(spark, tmp_path):

@@ -12,7 +12,6 @@ from lexiloom.functions.metrics import (
     Chrf,
     EditSimilarity,
     SentenceBleu,
-    _bit_distance,
     add_metrics,
     chrf_words,
     corpus_scores,
@@ -155,11 +154,22 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def test_bit_distance():
-    rng = random.Random(3)
-    for _ in range(300):
-        a, b = ("".join(rng.choice("abcé") for _ in range(rng.randint(0, 70))) for _ in range(2))
-        assert _bit_distance(a, b) == levenshtein(a, b)
+def test_failing_scorers_give_zero_and_skip_masked_rows(spark):
+    from lexiloom.functions.metrics import ExternalScorer
+
+    def make():
+        def score(source, hypothesis, reference):
+            assert hypothesis.notna().all() and reference.notna().all()
+            if (hypothesis == "boom").any():
+                raise RuntimeError("no model")
+            return hypothesis.str.len()
+
+        return score
+
+    for hypothesis, expected in (("abc", 3.0), ("boom", 0.0)):
+        df = spark.createDataFrame([("s", hypothesis, "r"), ("s", None, "r"), ("s", "h", None)], "s string, h string, r string")
+        done = add_metrics(df.coalesce(1), {"q": ExternalScorer("q", make)}, "s", "h", "r")
+        assert sorted(r["q"] for r in done.collect()) == [0.0, 0.0, expected]
 
 
 def test_edit_distance_of_long_texts(spark):

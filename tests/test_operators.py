@@ -119,8 +119,7 @@ def test_sample_and_split(spark):
     assert ordering.split_train_dev(df, ["id"], 0.0).filter("split = 'dev'").isEmpty()
 
 
-def test_large_n_uses_positions(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "TOP_N_LIMIT", 10)
+def test_first_n_follows_the_order(spark):
     df = spark.range(500).repartition(7)
     assert rows(ordering.first_n(df, 40, [F.col("id").desc()]), "id") == [(i,) for i in range(460, 500)]
 
@@ -173,3 +172,9 @@ def test_language_gate_ignores_case(spark):
 def test_word_failures(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", ""), ("b", "z"), ("c", None)], "word string, error string")
     assert rows(aggregates.word_failures(df, 2), "word") == [("a", 2, True), ("b", 1, False)]
+
+
+def test_summary_tells_all_rows_from_rows_without_direction(spark):
+    df = spark.createDataFrame([("en->fr", 1.0), (None, 3.0)], "direction string, bleu double")
+    found = rows(aggregates.metric_summary(df, ["bleu"]).select("direction", "overall", "mean"), "overall", "direction")
+    assert found == [(None, False, 3.0), ("en->fr", False, 1.0), (None, True, 2.0)]

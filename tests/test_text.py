@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import budgets, languages, prompts, responses, results, text
 
+# Fixed value: the sentence boundary.
 BOUNDARY = r"(?<!\w\.\w.)(?<![A-Z][a-z]\.)(?<=\.|\?|\!)\s+"
 CASES = [
     "",
@@ -43,16 +44,23 @@ def python_sentences(value):
     return [s.strip() for s in re.split(BOUNDARY, value) if s.strip()]
 
 
-def python_chunks(value, limit):
-    words, chunks, open_chunk = value.split(), [], []
+def cut_places(value, limit):
+    """Where chunks must end, as word counts from the start: the first sentence end at or after each limit."""
+    words = value.split()
+    if len(words) <= limit:
+        return []
+    ends = [i for i, word in enumerate(words, 1) if re.search(r"[.!?]$", word)]
+    places = [0]
+    while (later := [e for e in ends if e >= places[-1] + limit]):
+        places.append(later[0])
+    return [p for p in places[1:] if p < len(words)]
+
+
+def expected_chunks(value, limit):
+    places, words = cut_places(value, limit), value.split()
     if len(words) <= limit:
         return [value]
-    for word in words:
-        open_chunk.append(word)
-        if len(open_chunk) >= limit and word[-1] in ".!?":
-            chunks.append(" ".join(open_chunk))
-            open_chunk = []
-    return chunks + ([" ".join(open_chunk)] if open_chunk else [])
+    return [" ".join(words[a:b]) for a, b in zip([0, *places], [*places, len(words)])]
 
 
 def chunks_of(spark, values, limit):
@@ -72,7 +80,7 @@ def test_sentences_words_and_counts(spark):
 
 @pytest.mark.parametrize("limit", [1, 2, 3, 5, 500])
 def test_chunks(spark, limit):
-    assert chunks_of(spark, CASES, limit) == [python_chunks(v, limit) for v in CASES]
+    assert chunks_of(spark, CASES, limit) == [expected_chunks(v, limit) for v in CASES]
 
 
 WORDS = st.lists(st.sampled_from(["a", "b.", "cc", "d!", "e?", "f.g", "."]), max_size=40).map(" ".join)
@@ -82,7 +90,7 @@ WORDS = st.lists(st.sampled_from(["a", "b.", "cc", "d!", "e?", "f.g", "."]), max
 @given(values=st.lists(WORDS, min_size=5, max_size=20), limit=st.integers(1, 8))
 def test_chunk_properties(spark, values, limit):
     for value, chunks in zip(values, chunks_of(spark, values, limit)):
-        assert chunks == python_chunks(value, limit)
+        assert chunks == expected_chunks(value, limit)
         assert " ".join(chunks).split() == value.split()
         for chunk in chunks[:-1]:
             assert chunk[-1] in ".!?" and len(chunk.split()) >= limit
@@ -98,7 +106,7 @@ def test_random_texts(spark, values):
 
 def test_budget_follows_the_words(spark):
     values = ["w " * n for n in (0, 1, 74, 75, 76, 150, 2000, 3000)]
-    expected = [min(max(512, int((len(v.split()) * 1.3 * 3.5 * 1.5 + 511) // 512) * 512), 16384) for v in values]
+    expected = [512, 512, 512, 512, 1024, 1024, 13824, 16384]
     assert collect(spark, values, budgets.token_budget(F.col("text"))) == expected
     tiers = collect(spark, values, budgets.budget_tiers(budgets.token_budget(F.col("text"))))
     assert tiers == [[min(b * f, 16384) for f in (1, 2, 4)] for b in expected]
@@ -120,6 +128,19 @@ def test_judge_answers(spark):
     assert [r["error"] is None for r in rows] == [True, True, True, False, False]
 
 
+def test_judge_scores_as_text_null_or_nonsense(spark):
+    answers = ['{"score": "4.5"}', '{"score": null}', '{"score": "high"}', '{"fluency": 1}']
+    rows = collect(spark, answers, responses.parse_judge(F.col("text")))
+    assert [r["score"] for r in rows] == [4.5, None, None, 0.0]
+    assert [r["error"] is None for r in rows] == [True, False, False, True]
+
+
+def test_blank_words_are_routed(spark):
+    words = ["ok", "\t\n", " ", "", None]
+    problems = collect(spark, words, results.row_problem(word=F.col("text")))
+    assert problems == [None, "blank word", "blank word", "blank word", "blank word"]
+
+
 def test_error_marks(spark):
     values = ["[ERROR after 3 attempts: x]", "[ERROR: x]", "Error: x", "fine", None]
     assert collect(spark, values, responses.is_error(F.col("text"))) == [True, True, True, False, False]
