@@ -15,6 +15,7 @@ from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.operators.selection import best_of_attempts
 from lexiloom.providers import Provider, RetryPolicy, call_round_trip, sweep_attempts
 from lexiloom.providers.calls import EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
+from lexiloom.session import table_exists
 
 
 def back_translate(
@@ -128,10 +129,17 @@ def synth_documents(sentences: DataFrame) -> DataFrame:
 def run_document_job(docs: DataFrame, saved: DataFrame | None, results_path: str, **sweep) -> DataFrame:
     """Resumable document job: already saved documents are reloaded, the others are made.
 
-    The swept sentences are written once; both the documents and later reports read that table.
+    The swept sentences are written once; both the documents and later reports read that table.  Documents whose
+    sentences are in it are not swept again, so a run that lost its documents can be repeated.  A document
+    without a sentence has an empty text and zero counts.
     """
+    spark = docs.sparkSession
     todo, there = (docs, None) if saved is None else resume_documents(docs, saved)
-    swept = synth_sentences(explode_sentences(todo.select("doc_id", "text")), **sweep)
-    swept.write.mode("append").parquet(results_path)
-    made = synth_documents(docs.sparkSession.read.parquet(results_path).join(todo.select("doc_id"), "doc_id", "left_semi"))
+    missing = todo.select("doc_id", "text")
+    if table_exists(spark, results_path):
+        missing = missing.join(spark.read.parquet(results_path).select("doc_id").distinct(), "doc_id", "left_anti")
+    synth_sentences(explode_sentences(missing), **sweep).write.mode("append").parquet(results_path)
+    made = synth_documents(spark.read.parquet(results_path).join(todo.select("doc_id"), "doc_id", "left_semi"))
+    made = todo.select("doc_id").join(made, "doc_id", "left").fillna("", ["reconstructed_text"])
+    made = made.fillna(0, [c for c in made.columns if c not in ("doc_id", "reconstructed_text")])
     return made if there is None else made.unionByName(there, allowMissingColumns=True)

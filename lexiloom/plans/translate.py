@@ -13,7 +13,9 @@ from lexiloom.operators.filters import failure_report, filter_known_language
 from lexiloom.operators.joins import INDEX, pending_rows
 from lexiloom.providers import Provider, RetryPolicy, call_model
 from lexiloom.providers.calls import call_model_on_parts
-from lexiloom.session import materialize
+from lexiloom.session import materialize, table_exists
+
+NO_TEXT = "no text"
 
 
 def pair_system(pair: LanguagePair, language: Column, template: str = TRANSLATE_SYSTEM) -> Column:
@@ -62,7 +64,8 @@ def translate_table(
     """Rows of both directions translated in one plan; the direction is a column, not a pass.
 
     Filter and resume come before the model.  Chunks of a long text stay in their row, so nothing is
-    shuffled to put them together.  Failed rows keep their error and a null translation.
+    shuffled to put them together.  Failed rows keep their error and a null translation; a row without a text
+    is one of them and costs no call.
     """
     known = filter_known_language(df, pair, language)
     todo = known if saved is None else pending_rows(known, saved)
@@ -76,11 +79,12 @@ def translate_table(
         policy,
     )
     called = with_chunks(todo, text, "_chunks", max_words).withColumn("_call", call).drop("_chunks")
+    error = F.when(F.col(text).isNull(), F.lit(NO_TEXT)).otherwise(F.col("_call.error"))
     return called.withColumns(
         {
-            "translation_text": F.when(F.col("_call.error").isNull(), join_parts(F.col("_call.values"))),
+            "translation_text": F.when(error.isNull(), join_parts(F.col("_call.values"))),
             "model_name": F.lit(model_name),
-            "error": F.col("_call.error"),
+            "error": error,
             "attempts": F.col("_call.attempts"),
         }
     ).drop("_call")
@@ -92,25 +96,19 @@ def run_translate_table(
     """Resumable job: translate what the output lacks and append it; ``(everything saved, failures)``.
 
     The model's answers are checkpointed once, because both the output and the failure report read them.
-    Failed rows are not saved, so the next run takes them up again.
+    Failed rows are not saved, so the next run takes them up again.  A key that is saved is not appended again,
+    whatever its translation, so a run can be repeated.
     """
     spark = df.sparkSession
-    saved = spark.read.parquet(output) if _has_data(df, output) else None
+    saved = spark.read.parquet(output) if table_exists(spark, output) else None
     done = materialize(translate_table(df, provider, model_name, text=text, saved=saved, **options))
-    done.filter(F.col("error").isNull()).drop("error").write.mode("append").parquet(output)
+    made = done.filter(F.col("error").isNull()).drop("error")
+    if saved is not None:
+        made = made.join(saved.select(INDEX), INDEX, "left_anti").select(*made.columns)
+    made.write.mode("append").parquet(output)
     return spark.read.parquet(output), failure_report(done, text)
 
 
-def _has_data(df: DataFrame, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        df.sparkSession.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def with_index(df: DataFrame, order: list[Column]) -> DataFrame:
     """Add the row identity a resumed run relies on: the row's place in a fixed total order."""
     from lexiloom.operators.skew import with_positions

@@ -83,3 +83,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table can be read at ``path``."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True

@@ -150,6 +150,25 @@ def test_failed_rows_are_reported_and_retried(spark, tmp_path):
     assert saved.count() == 1 and failed.count() == 1
 
 
+def test_rows_without_text_are_failures_and_runs_can_be_repeated(spark, tmp_path):
+    df = spark.createDataFrame([(1, "good", "english"), (2, None, "english"), (3, "", "english")], "_original_index long, text string, language string")
+    path = str(tmp_path / "out")
+    for _ in range(3):
+        saved, failed = translate.run_translate_table(df, path, CIPHER, "m")
+        keys = [r[0] for r in saved.orderBy("_original_index").select("_original_index").collect()]
+        assert len(keys) == len(set(keys)) and 1 in keys and 2 not in keys
+        assert (2, "no text") in [(r["_original_index"], r["error"]) for r in failed.collect()]
+
+
+def test_document_job_survives_the_loss_of_its_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "One two. Three four."), (2, " "), (3, None)], "doc_id long, text string")
+    sweep = {"provider": CIPHER, "source": "English", "target": "French", "model_name": "m"}
+    made = [backtranslate.run_document_job(docs, None, str(tmp_path / "r"), **sweep).orderBy("doc_id").collect() for _ in range(2)]
+    assert made[0] == made[1]
+    assert [(r["doc_id"], r["total_sentences"], r["reconstructed_text"] == "") for r in made[0]] == [(1, 2, False), (2, 0, True), (3, 0, True)]
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+
+
 def test_document_job_resumes(spark, tmp_path):
     docs = spark.createDataFrame([(1, "One two. Three four."), (2, "Five six!")], "doc_id long, text string")
     sweep = {"provider": CIPHER, "source": "English", "target": "French", "model_name": "m"}
