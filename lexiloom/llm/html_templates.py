@@ -197,7 +197,10 @@ def host_of(url: str | None) -> str | None:
 
 
 def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """One row per page: blocks, which of them may be content, and the subtrees outside articles."""
+    """One row per page: blocks, which of them may be content, and the subtrees outside articles.
+
+    ``undecided`` tells that a subtree holds blocks that nothing but the template can rule out.
+    """
     source = pages.select(
         F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html")
     )
@@ -217,13 +220,16 @@ def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
                         "subtrees": [
                             [{"hash": h, "first": f, "last": e} for h, f, e in page.subtrees] for page in found
                         ],
+                        "undecided": [
+                            any(any(page.kept[f:e]) for _, f, e in page.subtrees) for page in found
+                        ],
                     }
                 )
 
     return source.mapInPandas(
         run,
         "page_id long, url string, host string, blocks array<string>, content array<boolean>, "
-        "subtrees array<struct<hash:long,first:int,last:int>>",
+        "subtrees array<struct<hash:long,first:int,last:int>>, undecided boolean",
     )
 
 
@@ -232,7 +238,7 @@ def main_text(
     min_pages: int = MIN_PAGES, min_share: int = MIN_SHARE,
 ) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
-    rows = stored(parsed(pages, key, url, html), "parsed_pages")
+    rows = stored(parsed(pages, key, url, html), "parsed_pages", compression="zstd")
     rows = rows.withColumn("host", F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")))
     open_pages = rows.filter(F.size("subtrees") > 0)
     pages_of = open_pages.groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
@@ -241,19 +247,24 @@ def main_text(
     template = counts.join(pages_of, "host").filter(
         (F.col("_c") >= min_pages) & (F.col("_c") * min_share >= F.col("_pages"))
     )
-    # Page rows are told apart by what they hold: equal rows have equal results.
+    # Pages of which every subtree is ruled out anyway keep their text whatever the template says; the others,
+    # told apart by what they hold (equal rows have equal results), meet it.
     row = F.xxhash64("page_id", "url", "host", "blocks").alias("_row")
+    undecided = rows.filter("undecided").withColumn("_row", row)
     found = (
-        open_pages.select("host", row, F.inline("subtrees"))
+        undecided.select("host", "_row", F.inline("subtrees"))
         .join(template.select("host", "hash"), ["host", "hash"])
         .groupBy("_row")
         .agg(F.collect_set(F.struct("first", "last")).alias("_gone"))
     )
-    joined = rows.withColumn("_row", row).join(found, "_row", "left")
-    gone = F.coalesce("_gone", F.array().cast("array<struct<first:int,last:int>>"))
+    none = F.array().cast("array<struct<first:int,last:int>>").alias("_gone")
+    columns = ("page_id", "url", "blocks", "content")
+    met = undecided.join(found, "_row", "left").select(*columns, F.coalesce("_gone", none).alias("_gone"))
+    joined = met.unionByName(rows.filter("NOT undecided").select(*columns, none))
     left = F.filter(
         "blocks",
-        lambda b, i: F.get("content", i) & ~F.exists(gone, lambda g: (g["first"] <= i) & (i < g["last"])),
+        lambda b, i: F.get("content", i)
+        & ~F.exists(F.col("_gone"), lambda g: (g["first"] <= i) & (i < g["last"])),
     )
     text = F.array_join(left, " ")
     return joined.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
