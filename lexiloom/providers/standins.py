@@ -13,6 +13,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexiloom.functions.prompts import SUBSTITUTE_TEXT
 from lexiloom.functions.text import split_words
 from lexiloom.providers.base import CallSettings, Provider, TruncatedOutput
 
@@ -20,6 +21,14 @@ PLAIN = "abcdefghijklmnopqrstuvwxyz"
 CODED = "bcdfghjklmnpqrstvwxyzaeiou"
 _DIRECTION = re.compile(r"from (\S+) to ([^\s:.]+)")
 
+_SUBSTITUTION = re.compile(
+    re.escape(SUBSTITUTE_TEXT)
+    .replace(r"\{replacement\}", "(.*?)")
+    .replace(r"\{word\}", "(.*?)")
+    .replace(r"\{sentence\}", "(.*)"),
+    re.DOTALL,
+)
+
 
 def drop_below(tenths: int) -> str:
     """Words whose digest starts below this hex byte are dropped; the share grows with temperature."""
@@ -102,7 +111,7 @@ class WordsmithProvider(Provider):
         if system.startswith("Write one"):
             return f"Here is {text} today."
         if system.startswith("Replace the original"):
-            sentence, word, replacement = (line.split(": ", 1)[1] for line in text.split("\n"))
+            replacement, word, sentence = _SUBSTITUTION.fullmatch(text).groups()
             return sentence.replace(word, replacement)
         if "evaluator" in system:
             score = int(digest(text)[:2], 16) % 41 / 10 + 1

@@ -286,7 +286,7 @@ def multi_metric_eval(spark, sf_dir):
 @query(
     "evaluate_table",
     f"""WITH {EVALUATED}, m AS (SELECT direction, unnest(['bleu','chrf','comet']) AS metric, unnest([bleu, chrf, comet]) AS v FROM evaluated)
-    SELECT direction, metric, round(avg(v),6) AS mean, round(stddev_samp(v),6) AS std, round(min(v),6) AS min, round(max(v),6) AS max
+    SELECT direction, grouping(direction) = 1 AS overall, metric, round(avg(v),6) AS mean, round(stddev_samp(v),6) AS std, round(min(v),6) AS min, round(max(v),6) AS max
     FROM m GROUP BY GROUPING SETS ((direction, metric), (metric))""",
 )
 def evaluate_table(spark, sf_dir):
