@@ -28,8 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiloom.llm.scratch import stored
 from lexiloom.llm.words import WORD, words
-from lexiloom.session import scratch_path
 
 BLOCK = 1024
 SHARD_WORDS = 1 << 24
@@ -144,7 +144,8 @@ def packed(rows: DataFrame) -> DataFrame:
     """
     rows = rows.filter("_size > 0").withColumn("_hash", F.xxhash64(F.lit(SEED), "_doc", "_row"))
     buckets = rows.groupBy("_source").agg(F.ceil(F.count(F.lit(1)) / BUCKET_ROWS).alias("_buckets"))
-    rows = rows.join(buckets, "_source").withColumn("_bucket", F.pmod("_hash", F.col("_buckets")))
+    # One row per source: bounded by MAX_SOURCES.  A shuffle by source would gather a hot one in a task.
+    rows = rows.join(F.broadcast(buckets), "_source").withColumn("_bucket", F.pmod("_hash", F.col("_buckets")))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("_source", "_bucket")
@@ -238,10 +239,7 @@ class Mix:
         weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2,
         block: int = BLOCK, seed: int = SEED,
     ):
-        spark = df.sparkSession
-        path = scratch_path(spark, "sizes")
-        sized(df, key, text, source).write.parquet(path)
-        self.df, self.rows = df, spark.read.parquet(path)
+        self.df, self.rows = df, stored(sized(df, key, text, source), "sizes")
         sizes = self.rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
         self.targets = source_targets(sizes, weights, share, most)
         self.slices = slices(packed(self.rows), slots(self.targets, block, seed=seed), block)
