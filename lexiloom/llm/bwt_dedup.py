@@ -6,12 +6,14 @@ are cut into contexts, the bytes of the windows of one anchor, and contexts meet
 
 1. Anchors that occur once in the corpus hold no repeated window; counting hashes puts them aside.
 2. Equal contexts fold into one with a count.  One that occurs twice is covered as a whole.
-3. The contexts of an anchor that has several go to one task in batches of bounded size.  Each batch is cut into
+3. Two contexts with a window in common agree in the anchor and half the rest of a window to its left or right;
+   hashes of these sides put contexts aside that agree with no other.
+4. The contexts of an anchor that has several left go to one task in batches of bounded size.  Each batch is cut into
    shards; the transform of a shard comes from sorting its suffixes, and the transforms merge by refining their
    interleave: step h orders all suffixes by h bytes from the order by h - 1 bytes and the preceding bytes
-   alone.  A boundary that appears in step h tells a common prefix of h - 1 bytes; runs without a boundary after
-   ``length`` steps are the repeated intervals, and their suffixes start repeated windows.
-4. An anchor with more distinct contexts than a batch holds has its windows counted by a 128-bit hash instead,
+   alone.  A boundary that appears in step h tells a common prefix of h - 1 bytes; suffixes with boundaries on
+   both sides leave, and what is left after ``length`` steps are the repeated intervals: starts of windows.
+5. An anchor with more distinct contexts than a batch holds has its windows counted by a 128-bit hash instead,
    one row per window, with map-side combining.
 
 Equal texts fold first: a text of at least ``length`` bytes that occurs twice goes as a whole.
@@ -65,9 +67,9 @@ def _rolling(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(raw: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of all windows in order: hash, first and last window start that belongs to it."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def anchors(raw: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """Anchors of all windows in order: hash, first and last window start that belongs to it, its own place."""
+    found: list[tuple[np.ndarray, ...]] = []
     for offset in range(0, len(raw) - length + 1, CHUNK):
         part = raw[offset : offset + CHUNK + length - 1]
         hashes = _rolling(part)
@@ -81,12 +83,24 @@ def anchors(raw: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
         at = low & _INDEX
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-        found.append((hashes[at[first].astype(np.int64)].view(np.int64), first + offset, last + offset))
+        places = at[first].astype(np.int64)
+        found.append((hashes[places].view(np.int64), first + offset, last + offset, places + offset))
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _sides(raw: bytes, begin: int, end: int, place: int, length: int) -> tuple[bytes | None, bytes | None]:
+    """Hashes of the anchor with half the rest of a window before and after it, where the context holds that."""
+    half = -(-(length - ANCHOR) // 2)
+    left = raw[place - half : place + ANCHOR] if place - half >= begin else None
+    right = raw[place : place + ANCHOR + half] if place + ANCHOR + half <= end else None
+    return (
+        None if left is None else blake2b(b"l" + left, digest_size=16).digest(),
+        None if right is None else blake2b(b"r" + right, digest_size=16).digest(),
+    )
+
+
 def shard_transform(contexts: list[bytes], first_end: int, ends: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix starts in order, preceding symbol of each suffix, and its place after one step to the left.
 
@@ -99,7 +113,11 @@ def shard_transform(contexts: list[bytes], first_end: int, ends: int) -> tuple[n
     body[stops] = False
     text[body] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int64) + ends
     text[stops] = first_end + np.arange(len(contexts))
-    rank, step, n = text.copy(), 1, len(text)
+    n = len(text)
+    wide = np.concatenate([text, np.zeros(3, np.int64)])
+    packed = ((wide[:n] << 45) | (wide[1 : n + 1] << 30) | (wide[2 : n + 2] << 15) | wide[3:]) if ends < 30_000 else text
+    _, rank = np.unique(packed, return_inverse=True)
+    step = 4 if ends < 30_000 else 1
     while True:  # order by twice as many symbols each time; string ends make all suffixes different
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:] + 1
@@ -134,29 +152,23 @@ def merged_repeats(contexts: list[bytes], length: int = LENGTH, shards: int = SH
         base += len(order)
     symbol = np.concatenate(befores).astype(np.uint16 if ends + 256 < 1 << 16 else np.int64)
     left = np.concatenate(lefts)
-    # The interleave: suffixes of all shards, shard by shard at first, then ordered by one more symbol a step.
+    # The interleave: suffixes of all shards, shard by shard at first, then ordered by one more symbol a step.  A
+    # suffix alone in its block stays alone, and so do those that extend it to the left: both leave the interleave,
+    # their common prefix with any other known.
     interleave = np.arange(len(symbol))
     block = np.zeros(len(symbol), np.int32)
-    common = np.full(len(symbol), length, np.int32)  # common prefix with the suffix before, where below length
-    common[0] = 0
-    apart = np.zeros(len(symbol), bool)
-    apart[0] = True
-    for h in range(1, length + 1):
+    for _ in range(length):
         symbols = symbol[interleave]
         order = np.argsort(symbols, kind="stable")
-        interleave = left[interleave[order]]
-        symbols, blocks = symbols[order], block[order]
-        new = np.zeros(len(symbol), bool)
-        new[0] = True
-        new[1:] = (symbols[1:] != symbols[:-1]) | (blocks[1:] != blocks[:-1])
-        common[new & ~apart] = h - 1
-        if h > 1 and np.array_equal(new, apart) and new.all():
+        interleave, symbols, blocks = left[interleave[order]], symbols[order], block[order]
+        new = np.ones(len(symbols) + 1, bool)
+        new[1:-1] = (symbols[1:] != symbols[:-1]) | (blocks[1:] != blocks[:-1])
+        shared = ~(new[:-1] & new[1:])
+        interleave = interleave[shared]
+        if not len(interleave):
             break
-        apart = new
-        block = np.cumsum(new, dtype=np.int32)
-    repeated = common >= length
-    repeated[:-1] |= repeated[1:]
-    hit = interleave[repeated]
+        block = np.cumsum(new[:-1], dtype=np.int32)[shared]
+    hit = interleave  # runs of suffixes that agree in their first ``length`` bytes
     owner, place = np.concatenate(owners)[hit], np.concatenate(places)[hit]
     sort = np.lexsort((place, owner))
     owner, place = owner[sort], place[sort]
@@ -251,20 +263,21 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                     "f": [x[0] for x in found],
                     "first": [x[1].astype(np.int32) for x in found],
                     "last": [x[2].astype(np.int32) for x in found],
+                    "place": [x[3].astype(np.int32) for x in found],
                 }
             )
 
-    schema = "doc_id long, _key binary, f array<long>, first array<int>, last array<int>"
+    schema = "doc_id long, _key binary, f array<long>, first array<int>, last array<int>, place array<int>"
     table = stored(rows.mapInPandas(anchored, schema), "anchors")
     classes = stored(table.groupBy("_key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("_copies")), "texts")
     # One document per text from here on; rows equal in id and text fold by their key.
     single = table.join(classes.select("_key", "doc_id"), ["_key", "doc_id"], "left_semi")
-    exploded = single.select("_key", "doc_id", F.explode(F.arrays_zip("f", "first", "last")).alias("x")).select(
+    exploded = single.select("_key", "doc_id", F.explode(F.arrays_zip("f", "first", "last", "place")).alias("x")).select(
         "_key", "doc_id", "x.*"
     )
     shared = exploded.groupBy("f").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("f")
     places = exploded.join(shared, "f").groupBy("_key", "doc_id").agg(
-        F.collect_set(F.struct("f", "first", "last")).alias("_at")
+        F.collect_set(F.struct("f", "first", "last", "place")).alias("_at")
     )
 
     def cut(frames):
@@ -272,6 +285,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
             for doc, k, text_, at in zip(frame["doc_id"], frame["_key"], frame["_text"], frame["_at"], strict=True):
                 raw = text_.encode("utf-8", "surrogatepass")
                 parts = [raw[x["first"] : x["last"] + length] for x in at]
+                sides = [_sides(raw, x["first"], x["last"] + length, x["place"], length) for x in at]
                 yield pd.DataFrame(
                     {
                         "doc_id": doc,
@@ -279,21 +293,29 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                         "f": [x["f"] for x in at],
                         "first": [x["first"] for x in at],
                         "digest": [blake2b(p, digest_size=16).digest() for p in parts],
+                        "left": [x for x, _ in sides],
+                        "right": [x for _, x in sides],
                         "context": parts,
                     }
                 ).astype({"doc_id": "Int64"})
 
     texts = rows.join(places.hint("shuffle_hash"), ["_key", "doc_id"])
-    schema = "doc_id long, _key binary, f long, first int, digest binary, context binary"
+    schema = "doc_id long, _key binary, f long, first int, digest binary, left binary, right binary, context binary"
     contexts = stored(texts.select("doc_id", "_key", "_text", "_at").mapInPandas(cut, schema), "contexts")
 
-    kinds = contexts.groupBy("f", "digest").agg(F.countDistinct("_key", "first").alias("_n"))
+    kinds = contexts.groupBy("f", "digest").agg(
+        F.countDistinct("_key", "first").alias("_n"), F.min("left").alias("left"), F.min("right").alias("right")
+    )
     kinds = stored(kinds, "context_kinds")
-    groups = kinds.groupBy("f").agg(
+    sides = kinds.select("f", "digest", F.explode(F.array_compact(F.array("left", "right"))).alias("_side"))
+    agreed = sides.groupBy("_side").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_side")
+    linked = stored(sides.join(agreed, "_side", "left_semi").select("f", "digest").distinct(), "context_links")
+    close = kinds.join(linked, ["f", "digest"], "left_semi")
+    groups = close.groupBy("f").agg(
         F.count(F.lit(1)).alias("_kinds"), F.sum(F.when(F.col("_n") == 1, 1).otherwise(0)).alias("_lone")
     )
     needed = groups.filter("_kinds > 1 AND _lone > 0").select("f", (F.col("_kinds") > BATCH // (2 * length)).alias("_many"))
-    one_each = contexts.join(needed, "f").dropDuplicates(["f", "digest"]).select("f", "digest", "context", "_many")
+    one_each = contexts.join(linked, ["f", "digest"], "left_semi").join(needed, "f").dropDuplicates(["f", "digest"]).select("f", "digest", "context", "_many")
     one_each = stored(one_each, "context_texts")
     partly = merged_coverage(one_each.filter(~F.col("_many")), length).unionByName(
         counted_coverage(one_each.filter("_many"), length)
@@ -301,7 +323,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     partly = stored(partly.filter(F.size("ranges") > 0), "context_ranges")
     size = F.octet_length("context")
     whole = F.array(F.struct(F.lit(0).alias("begin"), size.alias("stop")))
-    occurrences = contexts.select("_key", "first", "f", "digest", whole.alias("_whole")).join(kinds, ["f", "digest"])
+    occurrences = contexts.select("_key", "first", "f", "digest", whole.alias("_whole"))
+    occurrences = occurrences.join(kinds.select("f", "digest", "_n"), ["f", "digest"])
     occurrences = occurrences.join(partly, ["f", "digest"], "left")
     ranges = F.when(F.col("_n") > 1, F.col("_whole")).otherwise(F.col("ranges"))
     covered = occurrences.select("_key", "first", F.explode(ranges).alias("r")).groupBy("_key").agg(
