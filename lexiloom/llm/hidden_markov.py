@@ -186,6 +186,22 @@ def word_hashes(df: DataFrame, text: str) -> Column:
     return F.transform(words(lower_ascii(F.col(f"`{text}`"))), lambda w: F.xxhash64(w))
 
 
+def frequent_words(counts: DataFrame) -> DataFrame:
+    """The most frequent words, at most ``HEAD`` of them: whole bands of counts, an eighth of a power of two wide.
+
+    Bands are few, so only their sizes and the words themselves reach the driver.
+    """
+    band = F.floor(8 * F.log2("c")).cast("int")
+    sizes = sorted(counts.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    total, least = 0, None
+    for row in sizes:
+        total += row["n"]
+        if total > HEAD:
+            break
+        least = row["band"]
+    return counts.filter(F.lit(False) if least is None else band >= least)
+
+
 def score(
     df: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, states: int = STATES
 ) -> DataFrame:
@@ -205,7 +221,7 @@ def score(
     n_of[END] = texts
     prior = (n_of + 1) / (n_of.sum() + len(n_of))
 
-    head = counts.orderBy(F.col("c").desc(), "word").limit(HEAD).toPandas().sort_values("word")
+    head = frequent_words(counts).toPandas().sort_values("word")
     frequent = df.sparkSession.sparkContext.broadcast((head["word"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
 
     def numbered(frames):
