@@ -9,7 +9,8 @@ on the full sets.
 
 Dense regions would lose links that way, so two further steps look at regions only:
 
-* the class with most links in a region (its hub) meets every class of the region, which is linear;
+* the class with most links (the hub) of the main component of a region meets the classes apart from it, which
+  is linear;
 * classes still apart from the main component of a region meet all others of it whose signatures do not rule
   the pair out, in chunks of bounded size.
 
@@ -33,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.components import components
+from lexiloom.llm.scratch import stored
 from lexiloom.llm.words import lower_ascii, words
-from lexiloom.session import scratch_path
 
 TREES = 24
 DEPTH = 4  # minima that a region agrees on
@@ -43,6 +44,7 @@ SPAN = 32  # neighbours looked at on each side
 BEST = 2  # of these, candidates per class and tree
 MARGIN = 0.14  # more than three deviations of a similarity estimated from a signature
 CHUNK = 1024
+SKETCH = 256  # smallest shingle hashes kept for a second, finer estimate
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,24 +78,59 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The smallest hashes of a set, in order; all of a small set."""
+    return (shingles[:SKETCH] >> np.uint64(32)).astype(np.uint32)
+
+
+def sketches_allow(a: list[bytes], b: list[bytes], least: float) -> np.ndarray:
+    """Which pairs of sketches allow a similarity of ``least``: exact for small sets, four deviations else."""
+
+    def padded(rows: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray]:
+        values = np.full((len(rows), SKETCH), pad, np.uint64)
+        for i, row in enumerate(rows):
+            own = np.frombuffer(row, np.uint32)
+            values[i, : len(own)] = own
+        cut = np.array([len(row) == 4 * SKETCH for row in rows])
+        return values, np.where(cut, values[:, -1], np.uint64(1 << 32))
+
+    left, left_end = padded(a, 1 << 33)
+    right, right_end = padded(b, 1 << 34)
+    end = np.minimum(left_end, right_end)[:, None]
+    merged = np.sort(np.concatenate([left, right], axis=1), axis=1)
+    both = ((merged[:, 1:] == merged[:, :-1]) & (merged[:, 1:] <= end)).sum(axis=1)
+    union = (left <= end).sum(axis=1) + (right <= end).sum(axis=1) - both
+    slack = np.where(end[:, 0] < 1 << 32, 4 * np.sqrt(least * (1 - least) / np.maximum(union, 1)), 0.01)
+    return both >= (least - slack) * union
+
+
 def document_sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``digest`` of the set and ``sig`` of every row."""
+    """``doc_id``, ``n_shingles``, ``digest`` of the set, ``sig`` and ``sketch`` of every row."""
     hashes = F.transform(words(lower_ascii(F.col(f"`{text}`"))), lambda w: F.xxhash64(w))
     source = df.select(F.col(f"`{key}`").alias("doc_id"), hashes.alias("h"))
 
     def run(frames):
         for frame in frames:
-            sizes, digests, signatures = [], [], []
+            sizes, digests, signatures, sketches = [], [], [], []
             for h in frame["h"]:
                 s = shingle_set(np.asarray(h), width)
                 sizes.append(len(s))
                 digests.append(blake2b(s.tobytes(), digest_size=16).digest())
                 signatures.append(signature(s).tobytes() if len(s) else b"")
-            yield pd.DataFrame(
-                {"doc_id": frame["doc_id"], "n_shingles": sizes, "digest": digests, "sig": signatures}
-            )
+                sketches.append(sketch(s).tobytes())
+            columns = {"n_shingles": sizes, "digest": digests, "sig": signatures, "sketch": sketches}
+            yield pd.DataFrame({"doc_id": frame["doc_id"]} | columns)
+
+    return source.mapInPandas(run, "doc_id long, n_shingles long, digest binary, sig binary, sketch binary")
 
-    return source.mapInPandas(run, "doc_id long, n_shingles long, digest binary, sig binary")
+
+def region_keys(sig: np.ndarray) -> np.ndarray:
+    """Region of each class (row) in each tree (column)."""
+    minima = sig.reshape(len(sig), TREES, DEPTH).astype(np.uint64)
+    h = np.arange(1, TREES + 1, dtype=np.uint64)[None, :] + np.zeros((len(sig), 1), np.uint64)
+    for i in range(DEPTH):
+        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + minima[:, :, i])
+    return h.view(np.int64)
 
 
 def regions(nodes: DataFrame) -> DataFrame:
@@ -105,13 +142,11 @@ def regions(nodes: DataFrame) -> DataFrame:
                 continue
             sig = np.frombuffer(b"".join(frame["sig"]), np.uint32).reshape(len(frame), TREES * DEPTH)
             ring = np.concatenate([sig, sig[:, : ORDER - DEPTH]], axis=1)
+            keys = region_keys(sig)
             for t in range(TREES):
-                h = np.full(len(frame), t + 1, np.uint64)
-                for i in range(DEPTH):
-                    h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + ring[:, DEPTH * t + i])
                 rest = ring[:, DEPTH * (t + 1) : DEPTH * t + ORDER].astype(">u4")
                 yield pd.DataFrame(
-                    {"region": h.view(np.int64), "rest": [r.tobytes() for r in rest], "node": frame["node"]}
+                    {"region": keys[:, t], "rest": [r.tobytes() for r in rest], "node": frame["node"]}
                 )
 
     return nodes.select("node", "sig").mapInPandas(run, "region long, rest binary, node long")
@@ -119,9 +154,12 @@ def regions(nodes: DataFrame) -> DataFrame:
 
 def _alike(sig: np.ndarray, other: np.ndarray, n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
     """Estimated similarity of all pairs; -1 where it or the sizes rule a link out."""
-    same = np.zeros((len(sig), len(other)), np.int16)
-    for i in range(sig.shape[1]):
-        same += sig[:, i, None] == other[None, :, i]
+    if len(sig) * len(other) < 1024:
+        same = (sig[:, None, :] == other[None, :, :]).sum(axis=2)
+    else:
+        same = np.zeros((len(sig), len(other)), np.int16)
+        for i in range(sig.shape[1]):
+            same += sig[:, i, None] == other[None, :, i]
     estimate = same / sig.shape[1]
     small, large = np.minimum(n[:, None], m[None, :]), np.maximum(n[:, None], m[None, :])
     return np.where((estimate >= least - MARGIN) & (small >= least * large), estimate, -1.0)
@@ -166,19 +204,34 @@ def neighbours(rows: DataFrame, least: float) -> DataFrame:
     return ordered.mapInPandas(run, "a long, b long").distinct()
 
 
-def hub_pairs(rows: DataFrame, links: DataFrame, least: float) -> DataFrame:
-    """The class with most links of each region that no block can hold, with all classes of that region."""
+def mixed_regions(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of regions that hold several components, with ``label``, the ``main`` one and the region's chunks."""
+    labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    counts = labelled.groupBy("region", "label").agg(F.count(F.lit(1)).alias("_c"))
+    mixed = counts.groupBy("region").agg(
+        F.max(F.struct("_c", "label")).alias("_main"), F.sum("_c").alias("_all"), F.count(F.lit(1)).alias("_labels")
+    )
+    mixed = mixed.filter("_labels > 1").select(
+        "region",
+        F.col("_main.label").alias("main"),
+        F.ceil(F.col("_all") / CHUNK).cast("int").alias("_chunks"),
+        F.ceil((F.col("_all") - F.col("_main._c")) / CHUNK).cast("int").alias("_pieces"),
+    )
+    return labelled.join(mixed, "region")
+
+
+def hub_pairs(rows: DataFrame, links: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """The class with most links of the main component of each region, with the classes apart from it.
+
+    A group of copies has its original as its hub: one meeting with it decides for nearly every copy.
+    """
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("_degree"))
-    large = rows.groupBy("region").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > SPAN).select("region")
-    dense = rows.join(large, "region")
-    most = dense.join(degree, "node").groupBy("region").agg(
-        F.max(F.struct("_degree", "node")).alias("_top")
-    )
-    hubs = most.select("region", F.col("_top.node").alias("hub"))
-    signed = rows.select("node", "sig", "n_shingles").dropDuplicates(["node"])
-    hubs = hubs.join(signed.withColumnsRenamed({"node": "hub", "sig": "hub_sig", "n_shingles": "hub_n"}), "hub")
-    joined = dense.join(hubs, "region").filter("node <> hub").dropDuplicates(["node", "hub"])
+    hubs = degree.join(labels, "node").groupBy("label").agg(F.max(F.struct("_degree", "node")).alias("_top"))
+    hubs = hubs.select(F.col("label").alias("main"), F.col("_top.node").alias("hub"))
+    signed = rows.select("node", "sig").dropDuplicates(["node"])
+    hubs = hubs.join(signed.withColumnsRenamed({"node": "hub", "sig": "hub_sig"}), "hub")
+    outside = mixed_regions(rows, labels).filter("label <> main").dropDuplicates(["node", "main"])
 
     def run(frames):
         for frame in frames:
@@ -187,46 +240,64 @@ def hub_pairs(rows: DataFrame, links: DataFrame, least: float) -> DataFrame:
                 good = same >= least - MARGIN
                 yield _pairs(frame["node"].to_numpy()[good], frame["hub"].to_numpy()[good])
 
-    return joined.select("node", "sig", "hub", "hub_sig").mapInPandas(run, "a long, b long")
+    joined = outside.join(hubs, "main").select("node", "sig", "hub", "hub_sig")
+    return joined.mapInPandas(run, "a long, b long").distinct()
 
 
-def apart_pairs(rows: DataFrame, labels: DataFrame, least: float) -> DataFrame:
-    """Pairs of a region in different components, one of them not its main one, unless signatures rule it out."""
-    labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    counts = labelled.groupBy("region", "label").agg(F.count(F.lit(1)).alias("_c"))
-    mixed = counts.groupBy("region").agg(
-        F.max(F.struct(F.col("_c"), -F.col("label"))).alias("_main"), F.sum("_c").alias("_all")
-    )
-    mixed = mixed.filter(F.col("_main._c") < F.col("_all")).select(
-        "region",
-        (-F.col("_main.col2")).alias("_main"),
-        F.ceil(F.col("_all") / CHUNK).cast("int").alias("_chunks"),
+def apart_pairs(rows: DataFrame, sketches: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """Pairs of a region in different components, one of them not its main one, unless signatures rule it out.
+
+    A pair that shares several regions is listed in the one of its first tree only.
+    """
+    within = mixed_regions(rows, labels).join(sketches, "node")
+    # All classes of a region in chunks, those apart from its main component in pieces: every piece meets every chunk.
+    chunk = F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int")
+    piece = F.pmod(F.xxhash64("node", F.lit(1)), F.col("_pieces")).cast("int")
+    everyone = within.withColumn("_chunk", chunk).withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))
     )
-    within = labelled.join(mixed, "region")
-    everyone = within.withColumn("_chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int"))
-    outside = within.filter("label <> _main").withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    outside = within.filter("label <> main").withColumn("_piece", piece)
+    outside = outside.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    columns = ["region", "_chunk", "_piece", "node", "n_shingles", "sig", "sketch", "label"]
+    both = everyone.select(*columns, F.lit(False).alias("_apart")).unionByName(
+        outside.select(*columns, F.lit(True).alias("_apart"))
     )
+    grouped = both.repartition("region", "_chunk", "_piece").sortWithinPartitions("region", "_chunk", "_piece")
+
+    def meet(group: pd.DataFrame):
+        apart = group["_apart"].to_numpy()
+        sig, n, label = _signatures(group["sig"]), group["n_shingles"].to_numpy(), group["label"].to_numpy()
+        left, right = np.flatnonzero(apart), np.flatnonzero(~apart)
+        if not len(left) or not len(right):
+            return
+        good = _alike(sig[left], sig[right], n[left], n[right], least) >= 0
+        good &= label[left][:, None] != label[right][None, :]
+        a, b = np.nonzero(good)
+        if not len(a):
+            return
+        a, b = left[a], right[b]
+        first = (sig[a] == sig[b]).reshape(len(a), TREES, DEPTH).all(axis=2).argmax(axis=1)
+        here = region_keys(sig[a])[np.arange(len(a)), first] == group["region"].iloc[0]
+        a, b = a[here], b[here]
+        node, sketch_ = group["node"].to_numpy(), group["sketch"].to_numpy()
+        for start in range(0, len(a), 2048):
+            i, j = a[start : start + 2048], b[start : start + 2048]
+            fine = sketches_allow(sketch_[i].tolist(), sketch_[j].tolist(), least)
+            yield _pairs(node[i[fine]], node[j[fine]])
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for start in range(0, len(left), CHUNK):
-            part = left.iloc[start : start + CHUNK]
-            if not len(right):
-                break
-            good = _alike(
-                _signatures(part["sig"]), _signatures(right["sig"]),
-                part["n_shingles"].to_numpy(), right["n_shingles"].to_numpy(), least,
-            ) >= 0
-            good &= part["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]
-            a, b = np.nonzero(good)
-            found.append(_pairs(part["node"].to_numpy()[a], right["node"].to_numpy()[b]))
-        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    columns = ["region", "_chunk", "node", "n_shingles", "sig", "label"]
-    left, right = outside.select(*columns).toDF(*columns), everyone.select(*columns).toDF(*columns)
-    grouped = left.groupBy("region", "_chunk").cogroup(right.groupBy("region", "_chunk"))
-    return grouped.applyInPandas(run, "a long, b long").distinct()
+    def run(frames):
+        rest = None
+        for frame in frames:
+            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            keys = rest[["region", "_chunk", "_piece"]].to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for start, end in zip(np.concatenate([[0], cuts[:-1]]), cuts, strict=False):
+                yield from meet(rest.iloc[start:end])
+            rest = rest.iloc[cuts[-1] :] if len(cuts) else rest
+        if rest is not None and len(rest):
+            yield from meet(rest)
+
+    return grouped.mapInPandas(run, "a long, b long").distinct()
 
 
 def exact_sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -258,35 +329,32 @@ def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row."""
-    spark = df.sparkSession
     least = percent / 100
-
-    def write(frame: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
-
-    documents = write(document_sets(df, key, text, width), "signatures")
+    documents = stored(document_sets(df, key, text, width), "signatures")
     worded = documents.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = worded.groupBy("digest").agg(F.min("doc_id").alias("node"))
     nodes = (
         worded.join(classes, "digest").filter("doc_id = node").dropDuplicates(["digest"])
-        .select("node", "n_shingles", "sig")
+        .select("node", "n_shingles", "sig", "sketch")
     )
-    places = write(regions(nodes), "regions")
+    places = stored(regions(nodes), "regions")
     shared = places.groupBy("region").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("region")
-    rows = write(places.join(shared, "region").join(nodes, "node"), "forest")
+    rows = stored(places.join(shared, "region").join(nodes.drop("sketch"), "node"), "forest")
     busy = rows.select("node").distinct()
-    sets = write(exact_sets(df.join(busy, F.col(f"`{key}`") == busy["node"], "left_semi"), key, text, width), "sets")
+    sketches = stored(nodes.select("node", "sketch").join(busy, "node", "left_semi"), "sketches")
+    sets = stored(exact_sets(df.join(busy, F.col(f"`{key}`") == busy["node"], "left_semi"), key, text, width), "sets")
 
-    tried = write(neighbours(rows, least), "pairs")
-    links = write(verified(tried, sets, percent), "links")
-    more = write(hub_pairs(rows, links, least).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    tried = tried.unionByName(more)
-    links = links.unionByName(write(verified(more, sets, percent), "links"))
+    tried = stored(neighbours(rows, least), "pairs")
+    links = stored(verified(tried, sets, percent), "links")
     labels = components(links)
-    rest = write(apart_pairs(rows, labels, least).join(tried, ["a", "b"], "left_anti"), "pairs")
-    late = write(verified(rest, sets, percent), "links")
+    more = stored(hub_pairs(rows, links, labels, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    tried = tried.unionByName(more)
+    late = stored(verified(more, sets, percent), "links")
+    if late.limit(1).count():
+        links = links.unionByName(late)
+        labels = components(links)
+    rest = stored(apart_pairs(rows, sketches, labels, least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    late = stored(verified(rest, sets, percent), "links")
     if late.limit(1).count():
         labels = components(links.unionByName(late))
     # Rows of one class share a node; rows of one id share a component by their node.
