@@ -113,7 +113,21 @@ def op2_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_search.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
-@query("op3_lsh_forest")
+@query(
+    "op3_lsh_forest",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i]||' '||w[i+1]||' '||w[i+2]) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node),
+m AS (SELECT node, min(label) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+)
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lsh_forest.near_duplicates(docs, width=3, percent=85)
