@@ -25,10 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.words import words
-from lexiloom.session import scratch_path
+from lexiloom.llm.scratch import stored
+from lexiloom.llm.words import GAP, SPACES, words
 
 MIN_WORDS = 6
+HALVES = [f"_k{i}" for i in range(4)]
 WORDED = r"[^\x20\x09-\x0D]"
 
 
@@ -50,29 +51,43 @@ def _order() -> Column:
     )
 
 
-def _half_keys(h: Column, n: Column) -> list[Column]:
-    """Keys of both halves.  A line one word longer or shorter is cut alike for one of its two lengths."""
+def _cut(n: Column) -> Column:
+    """Words of a half that lines of about ``n`` words are compared by: at most (n - 1) / 2, in coarse steps."""
+    most = F.floor((n - 1) / 2).cast("int")
+    step = F.when(n < 24, F.lit(1)).when(n < 96, F.lit(4)).otherwise(F.lit(16))
+    return most - most % step
 
-    def key(side: int, m: Column) -> Column:
-        k = F.floor(m / 2).cast("int")
-        part = F.slice(h, F.lit(1), k) if side == 0 else F.slice(h, n - (m - k) + 1, m - k)
-        return F.xxhash64(F.lit(side), m, part)
 
-    # An edit after the first k words leaves them alone; one among them leaves the last m - k alone.
-    return [key(0, n - 1), key(0, n), key(1, n - 1), key(1, n)]
+def _normal(line: Column) -> Column:
+    """A line with single spaces between its words and none around them."""
+    odd = line.startswith(" ") | line.endswith(" ") | line.contains("  ")
+    for space in SPACES[1:]:
+        odd = odd | line.contains(space)
+    return F.when(odd, F.regexp_replace(F.btrim(line, F.lit(SPACES)), GAP, " ")).otherwise(line)
+
+
+def _half_keys(line: Column, n: Column) -> list[Column]:
+    """Keys of the first and the last words of a line, as it is cut and as a line of one word less is.
+
+    One edit leaves the first or the last ``_cut`` words of both lines alone, and both know the shorter's cut.
+    """
+
+    def key(side: int, k: Column) -> Column:
+        return F.xxhash64(F.lit(side), k, F.call_function("substring_index", line, F.lit(" "), k if side == 0 else -k))
+
+    own, less = _cut(n), _cut(n - 1)
+    return [key(0, own), key(1, own), F.when(less != own, key(0, less)), F.when(less != own, key(1, less))]
 
 
 def lines_table(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """Every worded line by its hash, with the keys of its halves (null where it is too short)."""
-    rows = _places(df, key, text).select(
-        "_doc", "_row", "_at", F.transform(words(F.col("_line")), lambda w: F.xxhash64(w)).alias("_h")
-    )
-    rows = rows.select("_doc", "_row", "_at", F.size("_h").alias("_n"), "_h")
-    halves = [F.when(F.col("_n") >= min_words, k) for k in _half_keys(F.col("_h"), F.col("_n"))]
+    rows = _places(df, key, text).select("_doc", "_row", "_at", _normal(F.col("_line")).alias("_line"))
+    n = F.length("_line") - F.length(F.replace(F.col("_line"), F.lit(" "), F.lit(""))) + 1
+    rows = rows.select("*", n.alias("_n"))
+    halves = [F.when(F.col("_n") >= min_words, k) for k in _half_keys(F.col("_line"), F.col("_n"))]
     return rows.select(
-        "_doc", "_row", "_at", "_n", F.xxhash64("_h").alias("_id"), _order().alias("_order"),
-        *(k.alias(f"_k{i}") for i, k in enumerate(halves)),
-    )
+        "_doc", "_row", "_at", F.xxhash64("_line").alias("_id"), *(k.alias(f"_k{i}") for i, k in enumerate(halves))
+    )
 
 
 def _fold(*parts: Column) -> Column:
@@ -122,19 +137,33 @@ def neighbourhood(lines: DataFrame) -> DataFrame:
 
 
 def near_lines(df: DataFrame, distinct: DataFrame, key: str, text: str) -> DataFrame:
-    """``_order`` (first place) of distinct lines that have an earlier one within one edit."""
-    spark = df.sparkSession
-    keys = F.array_compact(F.array(*(F.col(f"_k{i}") for i in range(4))))
-    halves = distinct.select("_order", F.explode(F.array_distinct(keys)).alias("_half"))
+    """``_id`` of distinct lines (``_id``, first ``_order``, keys) that have an earlier one within one edit."""
+    keys = F.array_compact(F.array(*HALVES))
+    halves = distinct.select("_id", F.explode(keys).alias("_half"))
     shared = halves.groupBy("_half").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
-    some = halves.join(shared, "_half", "left_semi").select("_order").distinct()
-    texts = _places(df, key, text).select(_order().alias("_order"), "_row", "_line")
-    firsts = distinct.select("_order", "_row").join(some, "_order", "left_semi")
-    path = scratch_path(spark, "near_lines")
-    texts.join(firsts, ["_order", "_row"]).dropDuplicates(["_order", "_row"]).select(
-        "_order", words(F.col("_line")).alias("_words")
-    ).write.parquet(path)
-    near = spark.read.parquet(path)
+    some = stored(halves.join(shared, "_half", "left_semi").select("_id").distinct(), "line_candidates")
+    at = F.pmod("_order", F.lit(1 << 31).cast("decimal(38,0)"))
+    firsts = distinct.join(some, "_id", "left_semi").select(
+        "_id",
+        "_order",
+        ((F.col("_order") - at) / F.lit(1 << 31).cast("decimal(11,0)")).cast("long").alias("_doc"),
+        at.cast("int").alias("_at"),
+    )
+    # One row per document on both sides: no hot key, and a hash of the few places spares sorting all texts.
+    wanted = firsts.groupBy("_doc").agg(F.collect_list(F.struct("_at", "_id", "_order")).alias("_wanted"))
+    docs = df.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.col(text).alias("_text")
+    )
+    found = docs.join(wanted.hint("shuffle_hash"), "_doc").select(
+        F.split(F.coalesce("_text", F.lit("")), "\n").alias("_lines"), "_wanted"
+    )
+    line = F.transform(
+        "_wanted",
+        lambda w: F.struct(w["_id"].alias("_id"), w["_order"].alias("_order"), F.get("_lines", w["_at"]).alias("_line")),
+    )
+    found = found.select(F.inline(line)).select("_id", "_order", words(F.col("_line")).alias("_words"))
+    # Rows that repeat a document id may have other lines at that place.
+    near = stored(found.filter(F.xxhash64(F.array_join("_words", " ")) == F.col("_id")), "line_texts")
 
     variants = neighbourhood(near.select("_order", F.transform("_words", lambda w: F.xxhash64(w)).alias("_h")))
     groups = variants.groupBy("_key").agg(
@@ -160,7 +189,7 @@ def near_lines(df: DataFrame, distinct: DataFrame, key: str, text: str) -> DataF
         .distinct()
         .join(near, "_order")
         .join(near.select(F.col("_order").alias("_witness"), F.col("_words").alias("_their_words")), "_witness")
-        .select("_order", longer.alias("_a"), other.alias("_b"))
+        .select("_id", longer.alias("_a"), other.alias("_b"))
     )
     differs = F.array_position(
         F.transform(
@@ -174,27 +203,19 @@ def near_lines(df: DataFrame, distinct: DataFrame, key: str, text: str) -> DataF
         F.slice("_b", F.greatest(differs, F.lit(1)), F.greatest(F.size("_b") - differs + 1, F.lit(0)))
     )
     within = (F.size("_a") - F.size("_b") <= 1) & ((differs == 0) | (tail_a == tail_b))
-    return paired.filter(within).select("_order").distinct()
+    return paired.filter(within).select("_id").distinct()
 
 
 def removed_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``_doc``, ``_row`` and the places of its lines that go (``_gone``), for documents that lose any."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "lines")
-    lines_table(df, key, text, min_words).write.parquet(path)
-    lines = spark.read.parquet(path)
-    halves = [f"_k{i}" for i in range(4)]
-    distinct = lines.groupBy("_id", *halves).agg(F.min("_order").alias("_order"))
-    first_rows = lines.select("_id", "_order", "_row")
-    distinct = distinct.join(first_rows, ["_id", "_order"])
+    lines = stored(lines_table(df, key, text, min_words), "lines")
+    first = F.min(_order()).alias("_order")
+    distinct = stored(lines.groupBy("_id", *HALVES).agg(first), "distinct_lines")
     near = near_lines(df, distinct, key, text).withColumn("_near", F.lit(True))
-    verdict = distinct.select("_id", F.col("_order").alias("_first")).join(
-        near.withColumnRenamed("_order", "_first"), "_first", "left"
-    )
-    verdict = verdict.groupBy("_id").agg(F.min("_first").alias("_first"), F.max("_near").alias("_near"))
-    gone = lines.select("_id", "_doc", "_row", "_at", "_order").join(verdict, "_id")
-    gone = gone.filter((F.col("_order") != F.col("_first")) | F.col("_near"))
-    return gone.groupBy("_doc", "_row").agg(F.collect_set("_at").alias("_gone"))
+    verdict = distinct.select("_id", F.col("_order").alias("_first")).join(near, "_id", "left")
+    gone = lines.select("_id", "_doc", "_row", "_at").join(verdict, "_id")
+    gone = gone.filter((_order() != F.col("_first")) | F.col("_near"))
+    return stored(gone.groupBy("_doc", "_row").agg(F.collect_set("_at").alias("_gone")), "removed_lines")
 
 
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -209,7 +230,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", min_word
         F.split(content, "\n").alias("_lines"),
     )
     gone = removed_lines(df, key, text, min_words)
-    joined = rows.join(gone, ["_doc", "_row"], "left")
+    joined = rows.join(gone.hint("shuffle_hash"), ["_doc", "_row"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
     return joined.select(
