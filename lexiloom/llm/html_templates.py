@@ -1,18 +1,20 @@
 """Main text of web pages by site template removal.
 
-1. Each page is parsed once, in Arrow batches, into blocks of text and the element subtrees outside its article.
-   A subtree is hashed with its tags, attributes that do not vary by page (class, id, role) and text.
-2. Spark counts on how many pages of a host each subtree hash occurs.
-3. Subtrees on ``MIN_PAGES`` pages of their host and at least one in ``MIN_SHARE`` of them are the site's
+1. Each page is parsed once, in Arrow batches, into blocks of text and the element subtrees that hold no whole
+   article.  A subtree is hashed with its tags, attributes that do not vary by page (class, id, role) and text.
+2. Spark counts on how many articles of a host each subtree hash occurs, inside articles and outside.  Pages
+   with the same article count once.
+3. Subtrees with ``MIN_PAGES`` articles of their host and at least one in ``MIN_SHARE`` of them are the site's
    template; the blocks inside them go.
 4. A site of few pages repeats nothing, and some parts change from page to page.  Of what is left, blocks in
    elements that are never content go by name, role or class: menus, headers and footers of the page, sidebars,
    notices, adverts, forms, reader comments.  Where a page has an article, what else is outside it goes too.
 
-Subtrees inside an article are not counted: copies of an article are still articles.
+Copies of an article are still articles: their pages count once, by a hash of the article's text (of all text
+that may be content, where a page has no article), and an element that holds an article is no template.
 
-Counts combine on the map side, so a host with a third of all pages is one row per task and subtree there; the
-join of pages with the template table is by host and hash, which splits at hot hosts.
+Subtrees are counted by host, hash and article, then by host and hash, so no key holds more than its share.  What
+a host's template holds is bounded by ``MIN_SHARE`` times the subtrees of a page; pages meet it by host.
 
 Defined results: null or empty html gives an empty text; open elements end where their parents do; markup
 inside scripts, styles and comments is not read; unknown character references stay as they are; rows that
@@ -77,8 +79,15 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"
 _SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0 -     　]+")
 
 
+def _digest(data: bytes) -> int:
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 class Page:
-    """Blocks of text in order, and the subtrees a template may hold as (hash, first block, last block + 1)."""
+    """Blocks of text in order, and the subtrees a template may hold as (hash, first block, last block + 1).
+
+    ``article`` is a hash of the text that the page's article holds, or the page where it has none.
+    """
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, bool, bool]] = []  # text, whether it may be content, whether in an article
@@ -86,6 +95,7 @@ class Page:
         self.text: list[str] = []
         # Open elements: name, whether content may be inside, inside an article, first block, parts of the hash.
         self.open: list[tuple[str, bool, bool, int, list[bytes]]] = [("", True, False, 0, [])]
+        self.whole = 0  # so many of the open elements, from the outermost on, hold an article or are one
         place = 0
         while True:
             token = _TOKEN.search(html, place)
@@ -111,6 +121,8 @@ class Page:
         self._flush()
         has_article = any(content and inside for _, content, inside in self.blocks)
         self.kept = [content and (inside or not has_article) for _, content, inside in self.blocks]
+        own = "\0".join(text for (text, _, _), kept in zip(self.blocks, self.kept, strict=True) if kept)
+        self.article = _digest(own.encode("utf-8", "surrogatepass"))
 
     def _data(self, data: str) -> None:
         self.text.append(unescape(data) if "&" in data else data)
@@ -147,12 +159,15 @@ class Page:
             marks = "|".join(
                 f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in _ATTRIBUTE.finditer(attributes)
             )
-        article = article or name in ("article", "main") or "role=main" in marks
+        is_article = name in ("article", "main") or "role=main" in marks
+        article = article or is_article
         if name in NEVER or (name == "header" and not article) or (marks and self._chrome(marks, name)):
             content = False
         elif name == "header" and article and self.open[-1][0] not in ("article", "main"):
             content = False
         self.open.append((name, content, article, len(self.blocks), [f"<{name} {marks}>".encode()]))
+        if is_article:
+            self.whole = len(self.open)
 
     def _chrome(self, marks: str, name: str) -> bool:
         if name in ("html", "body", "article", "main"):
@@ -179,12 +194,13 @@ class Page:
     def _pop(self) -> None:
         if self.open[-1][0] in BLOCK:
             self._flush()
-        name, _, article, first, parts = self.open.pop()
+        name, _, _, first, parts = self.open.pop()
+        holds_article = len(self.open) < self.whole
+        self.whole = min(self.whole, len(self.open))
         if self.text and name not in BLOCK:
             return  # text that runs on belongs to the block around it
-        if not article and len(self.blocks) > first and name not in ("html", "body"):
-            digest = blake2b(b"\0".join(parts), digest_size=8).digest()
-            self.subtrees.append((int.from_bytes(digest, "little", signed=True), first, len(self.blocks)))
+        if not holds_article and len(self.blocks) > first and name not in ("html", "body"):
+            self.subtrees.append((_digest(b"\0".join(parts)), first, len(self.blocks)))
 
 
 def host_of(url: str | None) -> str | None:
@@ -197,10 +213,7 @@ def host_of(url: str | None) -> str | None:
 
 
 def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """One row per page: blocks, which of them may be content, and the subtrees outside articles.
-
-    ``undecided`` tells that a subtree holds blocks that nothing but the template can rule out.
-    """
+    """One row per page: hash of its article, blocks, which of them may be content by name, and its subtrees."""
     source = pages.select(
         F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html")
     )
@@ -215,56 +228,57 @@ def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
                         "page_id": part["page_id"],
                         "url": part["url"],
                         "host": [host_of(u) for u in part["url"]],
+                        "article": [page.article for page in found],
                         "blocks": [[text for text, _, _ in page.blocks] for page in found],
                         "content": [page.kept for page in found],
                         "subtrees": [
                             [{"hash": h, "first": f, "last": e} for h, f, e in page.subtrees] for page in found
                         ],
-                        "undecided": [
-                            any(any(page.kept[f:e]) for _, f, e in page.subtrees) for page in found
-                        ],
                     }
                 )
 
     return source.mapInPandas(
         run,
-        "page_id long, url string, host string, blocks array<string>, content array<boolean>, "
-        "subtrees array<struct<hash:long,first:int,last:int>>, undecided boolean",
+        "page_id long, url string, host string, article long, blocks array<string>, content array<boolean>, "
+        "subtrees array<struct<hash:long,first:int,last:int>>",
     )
 
 
-def main_text(
+def templates(rows: DataFrame, min_pages: int = MIN_PAGES, min_share: int = MIN_SHARE) -> DataFrame:
+    """``host`` and the subtree hashes of its template, of hosts that have one."""
+    open_pages = rows.filter(F.size("subtrees") > 0)
+    pages_of = open_pages.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
+    hashes = open_pages.select("host", "article", F.explode(F.array_distinct("subtrees.hash")).alias("hash"))
+    counts = hashes.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("_c"))
+    template = counts.filter(F.col("_c") >= min_pages).join(pages_of, "host")
+    template = template.filter(F.col("_c") * min_share >= F.col("_pages"))
+    return template.groupBy("host").agg(F.collect_list("hash").alias("_template"))
+
+
+def decided(
     pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
     min_pages: int = MIN_PAGES, min_share: int = MIN_SHARE,
 ) -> DataFrame:
-    """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
+    """``page_id``, ``url``, ``blocks``, what the template takes (``in_template``) and what names leave (``content``)."""
     rows = stored(parsed(pages, key, url, html), "parsed_pages", compression="zstd")
     rows = rows.withColumn("host", F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")))
-    open_pages = rows.filter(F.size("subtrees") > 0)
-    pages_of = open_pages.groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
-    hashes = open_pages.select("host", F.explode(F.array_distinct("subtrees.hash")).alias("hash"))
-    counts = hashes.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("_c"))
-    template = counts.join(pages_of, "host").filter(
-        (F.col("_c") >= min_pages) & (F.col("_c") * min_share >= F.col("_pages"))
-    )
-    # Pages of which every subtree is ruled out anyway keep their text whatever the template says; the others,
-    # told apart by what they hold (equal rows have equal results), meet it.
-    row = F.xxhash64("page_id", "url", "host", "blocks").alias("_row")
-    undecided = rows.filter("undecided").withColumn("_row", row)
-    found = (
-        undecided.select("host", "_row", F.inline("subtrees"))
-        .join(template.select("host", "hash"), ["host", "hash"])
-        .groupBy("_row")
-        .agg(F.collect_set(F.struct("first", "last")).alias("_gone"))
+    template = stored(templates(rows, min_pages, min_share), "templates")
+    met = rows.join(template, "host", "left").withColumn(
+        "_gone", F.filter("subtrees", lambda s: F.array_contains("_template", s["hash"]))
     )
-    none = F.array().cast("array<struct<first:int,last:int>>").alias("_gone")
-    columns = ("page_id", "url", "blocks", "content")
-    met = undecided.join(found, "_row", "left").select(*columns, F.coalesce("_gone", none).alias("_gone"))
-    joined = met.unionByName(rows.filter("NOT undecided").select(*columns, none))
-    left = F.filter(
-        "blocks",
-        lambda b, i: F.get("content", i)
-        & ~F.exists(F.col("_gone"), lambda g: (g["first"] <= i) & (i < g["last"])),
+    inside = F.transform(
+        "blocks", lambda _, i: F.exists(F.col("_gone"), lambda g: (g["first"] <= i) & (i < g["last"]))
     )
+    inside = F.when(F.size("_gone") > 0, inside).otherwise(F.transform("blocks", lambda _: F.lit(False)))
+    return met.select("page_id", "url", "blocks", inside.alias("in_template"), "content")
+
+
+def main_text(
+    pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
+    min_pages: int = MIN_PAGES, min_share: int = MIN_SHARE,
+) -> DataFrame:
+    """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
+    rows = decided(pages, key, url, html, min_pages, min_share)
+    left = F.filter("blocks", lambda _, i: ~F.get("in_template", i) & F.get("content", i))
     text = F.array_join(left, " ")
-    return joined.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    return rows.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))

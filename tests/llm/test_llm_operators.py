@@ -279,6 +279,17 @@ def test_templates_go_and_articles_stay(spark):
     assert html_templates.main_text(df.unionAll(df)).count() == 2 * len(pages)
 
 
+def test_templates_inside_articles_go_and_count_articles_once(spark):
+    page = "<article><h1>Title {0}</h1><p>Story {0}</p><div><p>Read more</p><p>Tell a friend</p></div></article>"
+    pages = [(i, "http://a.example/x", page.format(i)) for i in range(8)]
+    copy = "<article><h1>Same</h1><p>Words {0}</p></article><p>out {1}</p>"
+    pages += [(20 + i, "http://b.example/x", copy.format(i % 4, i)) for i in range(12)]  # four articles only
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = rows(html_templates.main_text(df), "page_id")
+    assert all(found[i]["text"] == f"Title {i} Story {i}" for i in range(8))
+    assert all(found[20 + i]["text"] == f"Same Words {i % 4}" for i in range(12))
+
+
 def test_quality_model_tells_junk_from_prose(spark, docs_of, empty_docs):
     good = [prose(80, i) for i in range(300)]
     junk = [" ".join(f"{w.upper()}%%" for w in prose(80, 1000 + i).split()) for i in range(20)]
