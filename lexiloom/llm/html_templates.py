@@ -9,9 +9,11 @@
 4. A site of few pages repeats nothing, and some parts change from page to page.  Of what is left, blocks in
    elements that are never content go by name, role or class: menus, headers and footers of the page, sidebars,
    notices, adverts, forms, reader comments.  Where a page has an article, what else is outside it goes too.
+   Classes and ids are compared as a whole, and none rules out an element that holds an article (a reader's
+   comment is none).
 
-Copies of an article are still articles: their pages count once, by a hash of the article's text (of all text
-that may be content, where a page has no article), and an element that holds an article is no template.
+Copies of an article are still articles: what is inside counts once for all of them, by a hash of the article's
+text, what is outside once for all pages of equal content, and an element that holds an article is no template.
 
 Subtrees are counted by host, hash and article, then by host and hash, so no key holds more than its share.  What
 a host's template holds is bounded by ``MIN_SHARE`` times the subtrees of a page; pages meet it by host.
@@ -49,14 +51,19 @@ NEVER = frozenset(
     "select input label menu dialog search xmp".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar".split())
-# Words of a class or id that name what is never content.
-CHROME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|"
-    r"sidebar|widget|footer|masthead|site-?header|page-?header|topbar|cookies?|consent|gdpr|notice|popup|modal|"
-    r"newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|comment-?list|"
-    r"disqus|respond|replies|pagination|pager|skip-?link|toolbar)(?:$|[\s_-])",
-    re.IGNORECASE,
+# Classes and ids that name what is never content: whole ones, since "has-sidebar" names no sidebar.
+CHROME = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adsbygoogle banner sponsor sponsors sponsored promo promos "
+    "promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar widget widgets footer masthead topbar cookie "
+    "cookies consent gdpr notice popup modal newsletter subscribe signup login share sharing social related recommended "
+    "comment comments disqus respond replies pagination pager toolbar "
+    "ad-slot ad-container ad-banner ad-unit banner-ad main-nav site-nav nav-menu nav-links main-menu post-navigation "
+    "site-header page-header siteheader pageheader site-footer page-footer main-sidebar left-sidebar right-sidebar "
+    "widget-area cookie-notice cookie-banner cookie-consent cookie-bar gdpr-notice newsletter-signup share-buttons "
+    "share-bar social-links social-share social-icons related-posts related-articles recommended-posts comment-list "
+    "commentlist comments-area comment-section comment-form disqus_thread skip-link skiplink".split()
 )
+COMMENT = frozenset(["comment", "comment-body"])  # an article of these classes is a reader's
 CLOSES = {  # an opening tag ends an open element of these names
     "p": frozenset(["p"]),
     "li": frozenset(["li"]),
@@ -84,17 +91,22 @@ def _digest(data: bytes) -> int:
 
 
 class Page:
-    """Blocks of text in order, and the subtrees a template may hold as (hash, first block, last block + 1).
+    """Blocks of text in order, and the subtrees a template may hold.
 
-    ``article`` is a hash of the text that the page's article holds, or the page where it has none.
+    These are (hash, first block, last block + 1, hash of the text of the article around it or of the page's content).
     """
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, bool, bool]] = []  # text, whether it may be content, whether in an article
-        self.subtrees: list[tuple[int, int, int]] = []
+        self.subtrees: list[tuple[int, int, int, int]] = []
         self.text: list[str] = []
-        # Open elements: name, whether content may be inside, inside an article, first block, parts of the hash.
-        self.open: list[tuple[str, bool, bool, int, list[bytes]]] = [("", True, False, 0, [])]
+        # Open elements: name, whether content may be inside, number of the article around or 0, first block, parts of
+        # the hash, and the numbers of open elements whose class or id rules them out.
+        self.open: list[tuple[str, bool, int, int, list[bytes], tuple[int, ...]]] = [("", True, 0, 0, [], ())]
+        self.named = self.articles = 0
+        self.article_of: list[int] = []  # of each block
+        self.spared: set[int] = set()  # elements ruled out by a class or id that hold an article
+        self.by_class: list[tuple[int, ...]] = []  # of each block
         self.whole = 0  # so many of the open elements, from the outermost on, hold an article or are one
         place = 0
         while True:
@@ -119,10 +131,20 @@ class Page:
         while len(self.open) > 1:
             self._pop()
         self._flush()
+        self.blocks = [
+            (text, content and self.spared.issuperset(named), inside)
+            for (text, content, inside), named in zip(self.blocks, self.by_class, strict=True)
+        ]
         has_article = any(content and inside for _, content, inside in self.blocks)
         self.kept = [content and (inside or not has_article) for _, content, inside in self.blocks]
-        own = "\0".join(text for (text, _, _), kept in zip(self.blocks, self.kept, strict=True) if kept)
-        self.article = _digest(own.encode("utf-8", "surrogatepass"))
+        texts: dict[int, list[str]] = {0: []}
+        for (text, _, _), article, kept in zip(self.blocks, self.article_of, self.kept, strict=True):
+            if kept:
+                texts[0].append(text)
+                if article:
+                    texts.setdefault(article, []).append(text)
+        of = {n: _digest("\0".join(t).encode("utf-8", "surrogatepass")) for n, t in texts.items()}
+        self.subtrees = [(h, first, end, of.get(article, of[0])) for h, first, end, article in self.subtrees]
 
     def _data(self, data: str) -> None:
         self.text.append(unescape(data) if "&" in data else data)
@@ -133,7 +155,9 @@ class Page:
             self.text = []
             if joined:
                 top = self.open[-1]
-                self.blocks.append((joined, top[1], top[2]))
+                self.blocks.append((joined, top[1], top[2] > 0))
+                self.article_of.append(top[2])
+                self.by_class.append(top[5])
                 for element in self.open:
                     element[4].append(joined.encode("utf-8", "surrogatepass"))
 
@@ -153,29 +177,41 @@ class Page:
             self._flush()
         if name in VOID:
             return
-        _, content, article, _, _ = self.open[-1]
+        _, content, article, _, _, named = self.open[-1]
         marks = ""
         if attributes and len(attributes) > 1:
             marks = "|".join(
                 f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in _ATTRIBUTE.finditer(attributes)
             )
         is_article = name in ("article", "main") or "role=main" in marks
-        article = article or is_article
-        if name in NEVER or (name == "header" and not article) or (marks and self._chrome(marks, name)):
+        if is_article and not article:
+            self.articles += 1
+            article = self.articles
+        if name in NEVER or (name == "header" and not article) or (marks and self._hidden(marks, name)):
             content = False
         elif name == "header" and article and self.open[-1][0] not in ("article", "main"):
             content = False
-        self.open.append((name, content, article, len(self.blocks), [f"<{name} {marks}>".encode()]))
+        tokens = self._tokens(marks) if marks else frozenset()
+        if is_article:
+            if name == "main" or tokens.isdisjoint(COMMENT):
+                self.spared.update(named)
+        elif name not in ("html", "body") and not tokens.isdisjoint(CHROME):
+            self.named += 1
+            named = (*named, self.named)
+        self.open.append((name, content, article, len(self.blocks), [f"<{name} {marks}>".encode()], named))
         if is_article:
             self.whole = len(self.open)
 
-    def _chrome(self, marks: str, name: str) -> bool:
+    def _tokens(self, marks: str) -> frozenset[str]:
+        """Classes and ids in small letters."""
+        pairs = (mark.partition("=") for mark in marks.split("|"))
+        return frozenset(token.lower() for kind, _, value in pairs if kind in ("class", "id") for token in value.split())
+
+    def _hidden(self, marks: str, name: str) -> bool:
         if name in ("html", "body", "article", "main"):
             return False
         for mark in marks.split("|"):
             kind, _, value = mark.partition("=")
-            if kind in ("class", "id") and CHROME.search(value):
-                return True
             if kind == "role" and value.lower() in ROLES:
                 return True
             if kind == "hidden" or (kind == "aria-hidden" and value == "true"):
@@ -194,13 +230,13 @@ class Page:
     def _pop(self) -> None:
         if self.open[-1][0] in BLOCK:
             self._flush()
-        name, _, _, first, parts = self.open.pop()
+        name, _, article, first, parts, _ = self.open.pop()
         holds_article = len(self.open) < self.whole
         self.whole = min(self.whole, len(self.open))
         if self.text and name not in BLOCK:
             return  # text that runs on belongs to the block around it
         if not holds_article and len(self.blocks) > first and name not in ("html", "body"):
-            self.subtrees.append((_digest(b"\0".join(parts)), first, len(self.blocks)))
+            self.subtrees.append((_digest(b"\0".join(parts)), first, len(self.blocks), article))
 
 
 def host_of(url: str | None) -> str | None:
@@ -213,7 +249,7 @@ def host_of(url: str | None) -> str | None:
 
 
 def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """One row per page: hash of its article, blocks, which of them may be content by name, and its subtrees."""
+    """One row per page: blocks, which of them may be content by name, and its subtrees."""
     source = pages.select(
         F.col(f"`{key}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html")
     )
@@ -228,27 +264,27 @@ def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
                         "page_id": part["page_id"],
                         "url": part["url"],
                         "host": [host_of(u) for u in part["url"]],
-                        "article": [page.article for page in found],
                         "blocks": [[text for text, _, _ in page.blocks] for page in found],
                         "content": [page.kept for page in found],
                         "subtrees": [
-                            [{"hash": h, "first": f, "last": e} for h, f, e in page.subtrees] for page in found
+                            [{"hash": h, "first": f, "last": e, "of": o} for h, f, e, o in page.subtrees] for page in found
                         ],
                     }
                 )
 
     return source.mapInPandas(
         run,
-        "page_id long, url string, host string, article long, blocks array<string>, content array<boolean>, "
-        "subtrees array<struct<hash:long,first:int,last:int>>",
+        "page_id long, url string, host string, blocks array<string>, content array<boolean>, "
+        "subtrees array<struct<hash:long,first:int,last:int,of:long>>",
     )
 
 
 def templates(rows: DataFrame, min_pages: int = MIN_PAGES, min_share: int = MIN_SHARE) -> DataFrame:
     """``host`` and the subtree hashes of its template, of hosts that have one."""
-    open_pages = rows.filter(F.size("subtrees") > 0)
-    pages_of = open_pages.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
-    hashes = open_pages.select("host", "article", F.explode(F.array_distinct("subtrees.hash")).alias("hash"))
+    articles = rows.select("host", F.explode(F.array_distinct("subtrees.of")).alias("of")).distinct()
+    pages_of = articles.groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
+    pairs = F.transform("subtrees", lambda s: F.struct(s["hash"], s["of"]))
+    hashes = rows.select("host", F.inline(F.array_distinct(pairs)).alias("hash", "of"))
     counts = hashes.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("_c"))
     template = counts.filter(F.col("_c") >= min_pages).join(pages_of, "host")
     template = template.filter(F.col("_c") * min_share >= F.col("_pages"))

@@ -290,6 +290,23 @@ def test_templates_inside_articles_go_and_count_articles_once(spark):
     assert all(found[20 + i]["text"] == f"Same Words {i % 4}" for i in range(12))
 
 
+def test_wrapped_articles_stay(spark):
+    classes = ("layout has-sidebar", "no-sidebar", "content-with-sidebar", "elementor-widget-text-editor", "widget", "sidebar")
+    pages = [(i, f"http://{i}.example/", f"<div class='{c}'><article><p>Own words</p></article></div>") for i, c in enumerate(classes)]
+    pages += [(20 + i, f"http://d{i}.example/", f"<div class='{c}'><p>Own words</p></div>") for i, c in enumerate(classes[:4])]
+    copy = "<div id=page><article><p>Same words</p></article></div><p>out {0}</p>"
+    pages += [(30 + i, "http://b.example/x", copy.format(i)) for i in range(6)]
+    shell = "<div id=page><article><p>Same words</p></article></div><div><article><p>Story {0}</p></article></div>"
+    pages += [(40 + i, "http://c.example/x", shell.format(i)) for i in range(6)]
+    comments = "<main><p>Own words</p><div class=comments-area><article class=comment-body><p>first!</p></article></div></main>"
+    pages += [(50, "http://e.example/", comments)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = rows(html_templates.main_text(df), "page_id")
+    assert all(found[i]["text"] == "Own words" for i in [*range(6), *range(20, 24), 50])
+    assert all(found[30 + i]["text"] == "Same words" for i in range(6))
+    assert all(found[40 + i]["text"] == f"Same words Story {i}" for i in range(6))
+
+
 def test_quality_model_tells_junk_from_prose(spark, docs_of, empty_docs):
     good = [prose(80, i) for i in range(300)]
     junk = [" ".join(f"{w.upper()}%%" for w in prose(80, 1000 + i).split()) for i in range(20)]
