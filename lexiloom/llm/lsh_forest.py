@@ -14,7 +14,9 @@ Dense regions would lose links that way, so two further steps look at regions on
 * classes still apart from the main component of a region meet all others of it whose signatures do not rule
   the pair out, in chunks of bounded size.
 
-Two documents at the threshold share no region with a probability below 1e-7 (0.85) or 1e-5 (0.8).
+Two documents at the threshold share no region with a probability of 2.1e-8 (0.85) or 3.3e-6 (0.8).  Signatures rule
+such a pair out in 4.4e-9 or 3.6e-8 of the cases and sketches in less than 3e-9, by binomial tails: whole, less than
+3e-8 or 4e-6 of the pairs at the threshold are missed, and fewer above it.
 
 Pairs inside a group of copies are never listed beyond that: copies in one component need no further link.
 Classes are found by a hash of 128 bits; links, sets and components stay in the cluster.
@@ -42,9 +44,10 @@ DEPTH = 4  # minima that a region agrees on
 ORDER = 8  # minima that an order sorts by
 SPAN = 32  # neighbours looked at on each side
 BEST = 2  # of these, candidates per class and tree
-MARGIN = 0.14  # more than three deviations of a similarity estimated from a signature
+MARGIN = 0.24  # of a similarity estimated from a signature; its binomial tail is below the miss of the regions
 CHUNK = 1024
 SKETCH = 256  # smallest shingle hashes kept for a second, finer estimate
+DEVIATIONS = 6.5  # that a sketch may be off; its tail is below the miss of the regions too
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = _RANDOM.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,7 +87,7 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches_allow(a: list[bytes], b: list[bytes], least: float) -> np.ndarray:
-    """Which pairs of sketches allow a similarity of ``least``: exact for small sets, four deviations else."""
+    """Which pairs of sketches allow a similarity of ``least``: exact for small sets, ``DEVIATIONS`` else."""
 
     def padded(rows: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray]:
         values = np.full((len(rows), SKETCH), pad, np.uint64)
@@ -100,7 +103,7 @@ def sketches_allow(a: list[bytes], b: list[bytes], least: float) -> np.ndarray:
     merged = np.sort(np.concatenate([left, right], axis=1), axis=1)
     both = ((merged[:, 1:] == merged[:, :-1]) & (merged[:, 1:] <= end)).sum(axis=1)
     union = (left <= end).sum(axis=1) + (right <= end).sum(axis=1) - both
-    slack = np.where(end[:, 0] < 1 << 32, 4 * np.sqrt(least * (1 - least) / np.maximum(union, 1)), 0.01)
+    slack = np.where(end[:, 0] < 1 << 32, DEVIATIONS * np.sqrt(least * (1 - least) / np.maximum(union, 1)), 0.01)
     return both >= (least - slack) * union
 
 
@@ -276,12 +279,15 @@ def apart_pairs(rows: DataFrame, sketches: DataFrame, labels: DataFrame, least:
         if not len(a):
             return
         a, b = left[a], right[b]
-        first = (sig[a] == sig[b]).reshape(len(a), TREES, DEPTH).all(axis=2).argmax(axis=1)
-        here = region_keys(sig[a])[np.arange(len(a)), first] == group["region"].iloc[0]
-        a, b = a[here], b[here]
+        keys, region = region_keys(sig), group["region"].iloc[0]
         node, sketch_ = group["node"].to_numpy(), group["sketch"].to_numpy()
-        for start in range(0, len(a), 2048):
+        for start in range(0, len(a), 2048):  # a group may have a million pairs
             i, j = a[start : start + 2048], b[start : start + 2048]
+            first = (sig[i] == sig[j]).reshape(len(i), TREES, DEPTH).all(axis=2).argmax(axis=1)
+            here = keys[i, first] == region
+            i, j = i[here], j[here]
+            if not len(i):
+                continue
             fine = sketches_allow(sketch_[i].tolist(), sketch_[j].tolist(), least)
             yield _pairs(node[i[fine]], node[j[fine]])
 

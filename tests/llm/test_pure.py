@@ -1,6 +1,7 @@
 """Parts that need no cluster, against brute force."""
 
 import base64
+import math
 import random
 from collections import Counter
 from itertools import product
@@ -165,6 +166,30 @@ def test_sketches_never_rule_out_a_link():
         assert not lsh_forest.sketches_allow([a], [far], 0.8)[0]
 
 
+def test_filters_miss_less_than_the_regions():
+    def tail(below, n, p):
+        return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(below))
+
+    width, ends = lsh_forest.TREES * lsh_forest.DEPTH, np.array([100])
+    for least in (0.8, 0.85):
+        miss = (1 - least**lsh_forest.DEPTH) ** lsh_forest.TREES
+        sig = np.arange(width, dtype=np.uint32)[None, :]
+        for same in range(width + 1):
+            other = np.where(np.arange(width) < same, sig, sig + 1000).astype(np.uint32)
+            if lsh_forest._alike(sig, other, ends, ends, least)[0, 0] >= 0:
+                break
+        assert tail(same, width, least) < miss
+        size = lsh_forest.SKETCH
+        for both in range(size, 0, -1):  # `size` hashes of the union, then one above them that cuts each sketch off
+            own = size - both
+            low = np.arange(1, size + 1, dtype=np.uint32)
+            a = np.concatenate([low[:both], low[both : both + own // 2], 1000 + np.arange(size, dtype=np.uint32)])[:size]
+            b = np.concatenate([low[:both], low[both + own // 2 :], 1000 + np.arange(size, dtype=np.uint32)])[:size]
+            if tail(both, size, least) < miss:
+                break
+            assert lsh_forest.sketches_allow([a.tobytes()], [b.tobytes()], least)[0]
+
+
 def test_pages():
     def text(html):
         page = html_templates.Page(html)
