@@ -320,6 +320,16 @@ def test_quality_model_tells_junk_from_prose(spark, docs_of, empty_docs):
     assert kneser_ney.classify(empty_docs, labels).count() == 0
 
 
+def test_a_long_trusted_document_leaves_room_for_others(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "MAX_WORDS", 2000)
+    docs = docs_of([prose(10, i) for i in range(150)])
+    first = docs.orderBy(F.pmod(F.xxhash64(F.lit(10), "doc_id"), F.lit(1 << 30))).first()["doc_id"]
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == first, F.lit(prose(3000, 1))).otherwise(F.col("text")))
+    sample = rows(kneser_ney.sample_of(docs, docs.select("doc_id"), "text"))
+    assert len(sample) == 150 and len(sample[first]["_text"].split()) == 20
+    assert len(kneser_ney.train(kneser_ney.sample_of(docs, docs.select("doc_id"), "text")).vocabulary) > 100
+
+
 def test_quality_model_sums_to_one(spark, docs_of):
     sample = docs_of([prose(60, i) for i in range(40)]).select("doc_id", F.col("text").alias("_text"))
     model = kneser_ney.train(sample)
