@@ -18,8 +18,8 @@ are cut into contexts, the bytes of the windows of one anchor, and contexts meet
 
 Equal texts fold first: a text of at least ``length`` bytes that occurs twice goes as a whole.
 
-Defined results: null is the empty text, from which nothing goes; strings are judged on the input, so what is
-left can still hold a string twice across a gap; matches never cross documents; rows with equal id and text are
+Defined results: rows without id count like others; a null text is the empty text, from which nothing goes; strings
+are judged on the input, so what is left can still hold a string twice across a gap; matches never cross documents; rows with equal id and text are
 two documents with one result; extra columns are ignored.
 """
 
@@ -271,7 +271,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     table = stored(rows.mapInPandas(anchored, schema), "anchors")
     classes = stored(table.groupBy("_key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("_copies")), "texts")
     # One document per text from here on; rows equal in id and text fold by their key.
-    single = table.join(classes.select("_key", "doc_id"), ["_key", "doc_id"], "left_semi")
+    # A text with null ids only is found by its key: null equals null in these joins.
+    ids = classes.select(F.col("_key").alias("_k"), F.col("doc_id").alias("_id"))
+    single = table.join(ids, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     exploded = single.select("_key", "doc_id", F.explode(F.arrays_zip("f", "first", "last", "place")).alias("x")).select(
         "_key", "doc_id", "x.*"
     )
@@ -299,7 +301,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                     }
                 ).astype({"doc_id": "Int64"})
 
-    texts = rows.join(places.hint("shuffle_hash"), ["_key", "doc_id"])
+    at = places.select(F.col("_key").alias("_k"), F.col("doc_id").alias("_id"), "_at").hint("shuffle_hash")
+    texts = rows.join(at, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     schema = "doc_id long, _key binary, f long, first int, digest binary, left binary, right binary, context binary"
     contexts = stored(texts.select("doc_id", "_key", "_text", "_at").mapInPandas(cut, schema), "contexts")
 

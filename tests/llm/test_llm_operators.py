@@ -241,6 +241,23 @@ def test_repeats_equal_brute_force(docs_of, empty_docs, monkeypatch):
     assert bwt_dedup.remove_repeats(empty_docs).count() == 0
 
 
+def test_repeats_of_rows_without_id_equal_brute_force(docs_of):
+    passage, alone = prose(60, 9), prose(60, 10)
+    texts = [prose(50, 1) + passage + prose(50, 2), prose(50, 3) + passage, prose(50, 4) + alone, alone + prose(50, 5), prose(70, 6)]
+    raws = [t.encode() for t in texts]
+    counts = Counter(raw[i : i + 200] for raw in raws for i in range(len(raw) - 199))
+    docs = docs_of(texts).withColumn("doc_id", F.when(F.col("doc_id").isin(0, 4), F.col("doc_id")))
+    want = Counter()
+    for i, raw in enumerate(raws):
+        gone = np.zeros(len(raw), bool)
+        for j in range(len(raw) - 199):
+            if counts[raw[j : j + 200]] > 1:
+                gone[j : j + 200] = True
+        want[(i if i in (0, 4) else None, bytes(np.frombuffer(raw, np.uint8)[~gone]), int(gone.sum()))] += 1
+    got = Counter((r["doc_id"], bytes(r["kept_bytes"]), r["n_removed"]) for r in bwt_dedup.remove_repeats(docs).collect())
+    assert got == want
+
+
 def test_hidden_markov_scores(docs_of, empty_docs, monkeypatch):
     monkeypatch.setattr(hidden_markov, "HEAD", 20)  # most words are joined
     texts = [*TEXTS[:8], *(prose(40, i) for i in range(30)), "unseen words only here"]
