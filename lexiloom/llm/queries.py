@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing
+from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing, super_windows
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -170,3 +170,26 @@ SELECT doc_id, (len(h)//2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_remov
 def op6_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bwt_dedup.remove_repeats(docs).drop("kept_bytes")
+
+
+@query(
+    "op11_super_windows",
+    r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (SELECT r, i, md5(array_to_string(w[i:i+34], ' ')) AS m FROM
+  (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+c AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS n FROM v) WHERE n > 1),
+g AS (SELECT r, i, sum(CASE WHEN i <= p + 35 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT r, i, lag(i, 1, -1000) OVER (PARTITION BY r ORDER BY i) AS p FROM c)),
+x AS (SELECT r, min(i) AS a, max(i) + 35 AS b FROM g GROUP BY r, g),
+e AS (SELECT r, a, b, lead(a) OVER (PARTITION BY r ORDER BY a) AS next FROM x),
+k AS (SELECT d.r, sum(b - a)::BIGINT AS n, list_concat(any_value(w)[1:min(a)-1],
+    flatten(list(w[b:coalesce(next, len(w) + 1) - 1] ORDER BY a))) AS left_
+  FROM e JOIN d ON d.r = e.r GROUP BY d.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(coalesce(left_, w), ' '), '')) AS kept_sha256 FROM d LEFT JOIN k ON k.r = d.r""",
+)
+def op11_super_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = super_windows.remove_windows(docs)
+    return out.withColumn("kept_sha256", F.sha2(F.col("kept_text").cast("binary"), 256)).drop("kept_text")
