@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing, super_windows
+from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing, spelling, super_windows
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -193,3 +193,36 @@ def op11_super_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = super_windows.remove_windows(docs)
     return out.withColumn("kept_sha256", F.sha2(F.col("kept_text").cast("binary"), 256)).drop("kept_text")
+
+
+# CRC-32 in SQL: its table of 256 entries by the rule, then one look-up a byte.
+_CRC = """t AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
+
+
+@query(
+    "op12_spelling",
+    rf"""WITH RECURSIVE {_CRC},
+o AS (SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n FROM
+  (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents)
+  WHERE length(r) >= 6 GROUP BY ALL),
+b AS (SELECT r, n, list_transform(string_split(rtrim(regexp_replace(hex(encode(coalesce(doc_id::VARCHAR, '')||':'||r)), '(..)', '\1 ', 'g')), ' '),
+    lambda x: ('0x'||x)::BIGINT) AS b FROM o),
+h AS (SELECT r, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM b, t),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r))||substr(r, h % length(r) + 2) ELSE r END AS w, sum(n)::BIGINT AS n
+  FROM h GROUP BY 1),
+v AS MATERIALIZED (SELECT w, n, length(w) AS l FROM w WHERE length(w) >= 6 AND n >= 5),
+d AS MATERIALIZED (SELECT w, n, l, i, substr(w, 1, i - 1) AS p, substr(w, i + 1) AS s FROM (SELECT *, unnest(range(1, l + 1)) AS i FROM v)),
+near AS (SELECT a.w, b.w AS x, b.n FROM d a JOIN d b ON a.i = b.i AND a.p = b.p AND a.s = b.s AND a.l = b.l AND a.w <> b.w
+  UNION SELECT d.w, v.w, v.n FROM d JOIN v ON v.w = d.p||d.s UNION SELECT v.w, d.w, d.n FROM d JOIN v ON v.w = d.p||d.s),
+best AS (SELECT w, count(*)::BIGINT AS n_near, arg_min(x, (-n, x)) AS x, max(n) AS xn FROM near GROUP BY w),
+f AS MATERIALIZED (SELECT v.w, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN xn >= 5 * v.n THEN x END AS form,
+  CASE WHEN xn >= 5 * v.n THEN xn END AS form_n FROM v LEFT JOIN best ON best.w = v.w),
+c(w, root) AS (SELECT w, w FROM f UNION ALL SELECT c.w, f.form FROM c JOIN f ON f.w = c.root WHERE f.form IS NOT NULL)
+SELECT f.w AS word, form, c.root, n, n_near, form_n FROM f
+  JOIN (SELECT c.w, c.root FROM c JOIN f ON f.w = c.root WHERE f.form IS NULL) c ON c.w = f.w""",
+)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.vocabulary(docs))
