@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing, spelling, super_windows
+from lexiloom.llm import bwt_dedup, byte_bpe, hidden_markov, html_templates, kd_search, kneser_ney, line_dedup, line_rules, lsh_forest, mixing, spelling, super_windows, token_alignment
 from lexiloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -226,3 +226,12 @@ SELECT f.w AS word, form, c.root, n, n_near, form_n FROM f
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.group_variants(spelling.vocabulary(docs))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align(docs, *paths, groups=False).withColumnRenamed("groups", "groups_sha256")
