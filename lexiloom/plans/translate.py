@@ -13,7 +13,7 @@ from lexiloom.operators.filters import failure_report, filter_known_language
 from lexiloom.operators.joins import INDEX, pending_rows
 from lexiloom.providers import Provider, RetryPolicy, call_model
 from lexiloom.providers.calls import call_model_on_parts
-from lexiloom.session import materialize, table_exists
+from lexiloom.sources.committed import BATCHES, CommittedTable, append_as_completed
 
 NO_TEXT = "no text"
 
@@ -91,22 +91,36 @@ def translate_table(
 
 
 def run_translate_table(
-    df: DataFrame, output: str, provider: Provider, model_name: str, text: str = "text", **options
+    df: DataFrame,
+    output: str,
+    provider: Provider,
+    model_name: str,
+    text: str = "text",
+    batches: int = BATCHES,
+    **options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Resumable job: translate what the output lacks and append it; ``(everything saved, failures)``.
+    """Resumable job: translate what the output lacks and append it; ``(everything saved, failures of this run)``.
 
-    The model's answers are checkpointed once, because both the output and the failure report read them.
-    Failed rows are not saved, so the next run takes them up again.  A key that is saved is not appended again,
-    whatever its translation, so a run can be repeated.
+    Rows go through the model in ``batches`` parts by key, and each part is committed as soon as it is done, so a run that
+    is lost costs one part and the next run takes up the rest.  Failed rows are written beside the others and
+    taken up again.  A key that is saved is not appended again, whatever its translation, so a run can be repeated.
     """
-    spark = df.sparkSession
-    saved = spark.read.parquet(output) if table_exists(spark, output) else None
-    done = materialize(translate_table(df, provider, model_name, text=text, saved=saved, **options))
-    made = done.filter(F.col("error").isNull()).drop("error")
-    if saved is not None:
-        made = made.join(saved.select(INDEX), INDEX, "left_anti").select(*made.columns)
-    made.write.mode("append").parquet(output)
-    return spark.read.parquet(output), failure_report(done, text)
+    table = CommittedTable(df.sparkSession, output)
+    before = table.read()
+    saved = None if before is None else before.filter(F.col("error").isNull())
+    known = filter_known_language(df, options.get("pair", DEFAULT_PAIR), options.get("language", "language"))
+    todo = known if saved is None else pending_rows(known, saved)
+
+    def answer(part: DataFrame) -> DataFrame:
+        done = translate_table(part, provider, model_name, text=text, **options)
+        if saved is None:
+            return done
+        there = saved.select(F.col(INDEX).alias("_saved")).distinct()
+        marked = done.join(there, done[INDEX] == there["_saved"], "left")
+        return marked.filter(F.col("_saved").isNull() | F.col("error").isNotNull()).drop("_saved")
+
+    run = append_as_completed(todo, table, answer, INDEX, batches)
+    return table.read().filter(F.col("error").isNull()).drop("error"), failure_report(table.read(run), text)
 
 
 def with_index(df: DataFrame, order: list[Column]) -> DataFrame:

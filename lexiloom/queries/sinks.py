@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lexiloom.operators.combine import union_aligned
+from lexiloom.operators.joins import pending_rows
 from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.queries.base import (
     DIRECTED,
@@ -24,7 +25,7 @@ from lexiloom.queries.base import (
     words_sql,
 )
 from lexiloom.session import scratch_path
-from lexiloom.sources import readers, writers
+from lexiloom.sources import committed, readers, writers
 
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 FORMATS = ("csv", "json", "parquet")
@@ -199,18 +200,36 @@ def load_corpus(spark, sf_dir):
     return readers.load_corpus(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+class _Lost(Exception):
+    """Ends a run between two batches."""
+
+
 @query(
     "append_results",
     "SELECT doc_id, text, lang, '' AS note FROM documents",
 )
 def append_results(spark, sf_dir):
-    """Two appends of half the languages each; a column the rows lack becomes an empty string."""
-    path = scratch_path(spark, "appended")
+    """A run that is lost after three batches and a fourth one half-way, and the run that takes up the rest."""
+    table = committed.CommittedTable(spark, scratch_path(spark, "appended"))
     docs = documents(spark, sf_dir)
-    columns = ["doc_id", "text", "lang", "note"]
-    writers.append_results(docs.filter(F.col("lang") == "en"), path, columns)
-    writers.append_results(docs.filter(F.col("lang") != "en"), path, columns)
-    return spark.read.parquet(path)
+    done = 0
+
+    def lay_out(part):
+        nonlocal done
+        done += 1
+        if done == 4:
+            table.stage(writers.laid_out(part, RESULT_LAYOUT), "lost", 3)  # written, never committed
+            raise _Lost
+        return writers.laid_out(part, RESULT_LAYOUT)
+
+    try:
+        committed.append_as_completed(docs, table, lay_out, "doc_id")
+    except _Lost:
+        committed.append_as_completed(pending_rows(docs, table.read(), "doc_id", retry_failed=False), table, lay_out, "doc_id", 2)
+    return table.read()
+
+
+RESULT_LAYOUT = ["doc_id", "text", "lang", "note"]
 
 
 LENGTH_SQL = f"""WITH m AS (SELECT len({words_sql('text')}) AS w, len(regexp_extract_all(text, '.+?[.!?]+')) AS s FROM documents)

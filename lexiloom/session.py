@@ -85,12 +85,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a Parquet table can be read at ``path``."""
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> bool:
+    """Whether a table can be read at ``path``; with a schema no file is opened for that."""
     from pyspark.errors import AnalysisException
 
     try:
-        spark.read.parquet(path)
+        reader = spark.read.format(fmt)
+        (reader if schema is None else reader.schema(schema)).load(path)
     except AnalysisException:
         return False
     return True

@@ -28,13 +28,17 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "over
         raise ValueError(f"Unknown format: {fmt!r}")
 
 
+def laid_out(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows in a fixed column layout; a column they lack is an empty string."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in columns])
+
+
 def append_results(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet") -> None:
-    """Append rows in a fixed column layout; a column the rows lack is written as an empty string.
+    """Append rows in a fixed column layout, as one write job that commits whole part files.
 
-    Each append commits whole part files, so a run that dies leaves no half-written rows.
+    ``committed.append_as_completed`` appends in batches that count one by one.
     """
-    present = [F.col(c) if c in df.columns else F.lit("").alias(c) for c in columns]
-    save_table(df.select(*present), path, fmt, "append")
+    save_table(laid_out(df, columns), path, fmt, "append")
 
 
 def write_seeds(docs: DataFrame, path: str) -> DataFrame:

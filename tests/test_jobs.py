@@ -16,7 +16,7 @@ from lexiloom.providers import CallSettings, Provider, RetryPolicy, TruncatedOut
 from lexiloom.providers.base import run_batch
 from lexiloom.providers.standins import CipherProvider, cipher_backward, cipher_forward
 from lexiloom.queries.base import sentences
-from lexiloom.sources import readers, writers
+from lexiloom.sources import committed, readers, writers
 from lexiloom.streaming import jobs as streams
 
 CIPHER = CipherProvider("English")
@@ -134,6 +134,49 @@ def test_table_job_resumes(spark, tmp_path):
     assert [r[0] for r in again.orderBy("_original_index").select("_original_index").collect()] == [1, 2, 4]
 
 
+def test_lost_run_continues_where_it_was_committed(spark, tmp_path):
+    """A run killed between two batches, or between a batch and its record, then run again, equals a single run."""
+    data = [(i, f"text number {i}", "english" if i % 3 else "Kinyarwanda") for i in range(60)]
+    df = spark.createDataFrame(data, "_original_index long, text string, language string")
+    single, _ = translate.run_translate_table(df, str(tmp_path / "single"), CIPHER, "m", batches=5)
+    path = str(tmp_path / "lost")
+
+    class Lost(Exception):
+        pass
+
+    for method, after in (("append", 2), ("commit", 1), ("stage", 0)):
+        table, left = committed.CommittedTable, [after]
+        whole = getattr(table, method)
+
+        def dies(self, *arguments):
+            if left[0] == 0:
+                raise Lost
+            left[0] -= 1
+            return whole(self, *arguments)  # noqa: B023
+
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(table, method, dies)
+            with pytest.raises(Lost):
+                translate.run_translate_table(df, path, CIPHER, "m", batches=5)
+    found = committed.CommittedTable(spark, path)
+    assert 0 < found.read().count() < 60 and len(found.folders()) == 3
+    saved, failed = translate.run_translate_table(df, path, CIPHER, "m", batches=5)
+    assert sorted(saved.collect()) == sorted(single.collect()) and failed.isEmpty()
+
+
+def test_commits(spark, tmp_path):
+    table = committed.CommittedTable(spark, str(tmp_path))
+    assert table.read() is None and table.folders() == []
+    for n in range(4):
+        table.append(spark.range(n * 10, n * 10 + 10), f"run{n % 2}", n)
+    table.stage(spark.range(1000), "lost", 9)
+    assert table.read().count() == 40 and sorted(r[0] for r in table.read("run1").collect()) == [*range(10, 20), *range(30, 40)]
+    table.compact(lambda df: df.filter("id % 2 = 0"))
+    assert len(table.folders()) == 1 and table.read().count() == 20
+    table.append(spark.range(1), "run2", 0)
+    assert len(table.folders()) == 2 and table.read().count() == 21
+
+
 def test_failed_rows_are_reported_and_retried(spark, tmp_path):
     class Stubborn(Provider):
         def invoke(self, text, system, config):
