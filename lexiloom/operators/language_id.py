@@ -1,12 +1,17 @@
 """Language identification by character n-grams: a count model trained on labelled texts.
 
 Score of a language: ``ln prior + sum over n-grams of ln((count + 1) / (all + distinct))``.
+
+N-grams share ``BUCKETS`` buckets by the first digits of their MD5, so the model has that many rows whatever the corpus,
+and logarithms are whole numbers of 1/``SCALE``.  Sums of whole numbers do not depend on the order of
+rows or on how they are split, so one plan serves all sizes and gives the same answers in each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -18,8 +23,10 @@ from lexiloom.functions.languages import LanguagePair
 from lexiloom.session import materialize
 
 ORDERS = (1, 2, 3)
-# A model of more n-grams than this is not sent to the tasks; texts are then scored by joins.
-BROADCAST_GRAMS = 2_000_000
+DIGITS = 4
+BUCKETS = 16**DIGITS
+SCALE = 1 << 16
+MEMO = 1_000_000  # n-grams whose bucket a worker remembers
 _NOT_LETTERS = r"[^\p{L}]+"
 
 
@@ -46,12 +53,16 @@ def _grams(word: Column) -> Column:
 
 @dataclass
 class LanguageModel:
-    """``grams(language, gram, n)``, checkpointed, and ``languages(language, docs, total)``."""
+    """``grams(language, bucket, n)``, checkpointed, and ``languages(language, docs, total)``."""
 
     grams: DataFrame
     languages: DataFrame
 
 
+def _bucket(gram: Column) -> Column:
+    return F.conv(F.substring(F.md5(gram), 1, DIGITS), 16, 10).cast("int")
+
+
 def train(docs: DataFrame, text: str = "text", language: str = "language") -> LanguageModel:
     """Count n-grams per language.
 
@@ -66,7 +77,7 @@ def train(docs: DataFrame, text: str = "text", language: str = "language") -> La
     )
     grams = materialize(
         words.select("language", "n", F.explode(_grams(F.col("word"))).alias("gram"))
-        .groupBy("language", "gram")
+        .groupBy("language", _bucket(F.col("gram")).alias("bucket"))
         .agg(F.sum("n").alias("n"))
     )
     totals = grams.groupBy("language").agg(F.sum("n").alias("total"))
@@ -74,53 +85,62 @@ def train(docs: DataFrame, text: str = "text", language: str = "language") -> La
     return LanguageModel(grams, priors.join(totals, "language", "left").fillna(0, ["total"]))
 
 
-@dataclass(frozen=True)
-class GramTable:
-    """The model as arrays, small enough to be sent to every task.
-
-    ``weights`` has one row per n-gram and, last, the row of unseen n-grams; ``rows`` finds a n-gram's row.
-    """
+@dataclass
+class BucketTable:
+    """The model as arrays: one row of weights per bucket and one column per language, so its size is known beforehand."""
 
     languages: tuple[str, ...]
     prior: np.ndarray
     weights: np.ndarray
-    rows: dict[str, int]
+    memo: dict[str, int] = field(default_factory=dict)
+
+    def __getstate__(self):
+        return self.__dict__ | {"memo": {}}
+
+    def _row(self, gram: str) -> int:
+        row = self.memo.get(gram)
+        if row is None:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            row = self.memo[gram] = int(md5(gram.encode("utf-8", "surrogatepass")).hexdigest()[:DIGITS], 16)
+        return row
 
     def predict(self, texts: pd.Series) -> pd.Series:
-        """Most likely language per text of spaced words; every distinct word of the batch is scored once."""
+        """Most likely language per text of spaced words, the first by name where several are; a batch's words count once."""
         lists = [text.split() for text in texts]
-        owner = np.repeat(np.arange(len(lists)), [len(words) for words in lists])
+        ends = np.cumsum([0, *map(len, lists)])
         codes, distinct = pd.factorize(np.array([w for words in lists for w in words], dtype=object))
         total = np.tile(self.prior, (len(lists), 1))
         if len(distinct):
-            unseen, find = len(self.weights) - 1, self.rows.get
-            ids, starts = [], []
+            rows, starts = [], []
             for word in distinct:
                 padded = f" {word} "
-                starts.append(len(ids))
-                ids += [find(padded[i : i + n], unseen) for n in ORDERS for i in range(len(padded) - n + 1)]
-            scores = np.add.reduceat(self.weights[ids], starts, axis=0)
-            for language in range(len(self.languages)):
-                total[:, language] += np.bincount(owner, weights=scores[codes, language], minlength=len(lists))
+                starts.append(len(rows))
+                rows += [self._row(padded[i : i + n]) for n in ORDERS for i in range(len(padded) - n + 1)]
+            scores = np.add.reduceat(self.weights[rows], starts, axis=0)
+            sums = np.vstack([np.zeros_like(self.prior), np.cumsum(scores[codes], axis=0)])
+            total = total + sums[ends[1:]] - sums[ends[:-1]]
         return pd.Series(np.array(self.languages, dtype=object)[total.argmax(axis=1)])
 
 
-def collect_table(model: LanguageModel, limit: int = BROADCAST_GRAMS) -> GramTable | None:
-    """The model for the tasks, or None where it has more than ``limit`` n-grams."""
-    rows = model.grams.limit(limit + 1).toPandas()
-    if len(rows) > limit:
-        return None
+def _fixed(logarithms: np.ndarray) -> np.ndarray:
+    return np.rint(logarithms * SCALE).astype(np.int64)
+
+
+def bucket_table(model: LanguageModel) -> BucketTable:
+    """The model for the tasks: at most ``BUCKETS`` rows per language reach the driver."""
     languages = model.languages.orderBy("language").toPandas()
     names = tuple(languages["language"])
-    distinct = rows["gram"].nunique()
+    rows = model.grams.toPandas()
+    counts = np.zeros((BUCKETS, len(names)), np.int64)
+    counts[rows["bucket"].to_numpy(np.int64), pd.Index(names).get_indexer(rows["language"])] = rows["n"].to_numpy(np.int64)
+    distinct = int((counts > 0).any(axis=1).sum())
     smooth = languages["total"].to_numpy(dtype=float) + distinct
-    counts = rows.pivot(index="gram", columns="language", values="n").reindex(columns=list(names)).fillna(0)
-    weights = np.log((np.vstack([counts.to_numpy(dtype=float), np.zeros(len(names))]) + 1) / smooth)
     docs = languages["docs"].to_numpy(dtype=float)
-    return GramTable(names, np.log(docs / docs.sum()), weights, {gram: i for i, gram in enumerate(counts.index)})
+    return BucketTable(names, _fixed(np.log(docs / docs.sum())), _fixed(np.log((counts + 1) / smooth)))
 
 
-def predict_in_tasks(spark: SparkSession, table: GramTable, text: Column) -> Column:
+def predict_in_tasks(spark: SparkSession, table: BucketTable, text: Column) -> Column:
     """Prediction as a column; the model travels once per executor."""
     shared = spark.sparkContext.broadcast(table)
 
@@ -132,66 +152,12 @@ def predict_in_tasks(spark: SparkSession, table: GramTable, text: Column) -> Col
     return run(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _NOT_LETTERS, " "))
 
 
-def predict_by_joins(docs: DataFrame, model: LanguageModel, key: str, text: str, out: str) -> DataFrame:
-    """The same prediction for models too large for the tasks.
-
-    A text's words are counted in its own task first, then its n-grams; a frequent n-gram occurs once per
-    text and the join on it is salted by the text's key.
-    """
-    from lexiloom.operators.skew import salted_join
-
-    words = docs.select(key, F.explode(_words(F.col(text))).alias("word")).groupBy(key, "word").agg(F.count("*").alias("c"))
-    found = (
-        words.select(key, "c", F.explode(_grams(F.col("word"))).alias("gram"))
-        .groupBy(key, "gram")
-        .agg(F.sum("c").alias("c"))
-    )
-    distinct = model.grams.agg(F.countDistinct("gram")).scalar()
-    corpus = model.languages.agg(F.sum("docs")).scalar()
-    languages = model.languages.select(
-        "language",
-        F.log(F.col("docs") / corpus).alias("prior"),
-        F.log(F.lit(1.0) / (F.col("total") + distinct)).alias("unseen"),
-    )
-    seen = (
-        model.grams.groupBy("gram")
-        .agg(F.collect_list(F.struct("language", F.log((F.col("n") + 1).cast("double")).alias("gain"))).alias("gains"))
-    )
-    gained = (
-        salted_join(found, seen, ["gram"], [key])
-        .select(key, "c", F.inline("gains"))
-        .groupBy(key, "language")
-        .agg(F.sum(F.col("c") * F.col("gain")).alias("gain"))
-    )
-    lengths = found.groupBy(key).agg(F.sum("c").alias("grams"))
-    # One row per (text, language): languages come from a bounded list kept as an array literal per row.
-    listed = languages.agg(F.collect_list(F.struct("language", "prior", "unseen"))).scalar()
-    candidates = (
-        docs.select(key)
-        .join(lengths, key, "left")
-        .select(key, F.coalesce("grams", F.lit(0)).alias("grams"), F.inline(listed))
-        .join(gained, [key, "language"], "left")
-    )
-    score = F.col("prior") + F.col("grams") * F.col("unseen") + F.coalesce("gain", F.lit(0.0))
-    best = (
-        candidates.withColumn("score", score)
-        .groupBy(key)
-        .agg(F.min_by("language", F.struct(-F.col("score"), F.col("language"))).alias(out))
-    )
-    return docs.join(best, key)
-
-
-def identify(
-    docs: DataFrame, model: LanguageModel, key: str, text: str = "text", out: str = "detected", limit: int = BROADCAST_GRAMS
-) -> DataFrame:
-    """Add the detected language, in the tasks or by joins depending on the checked model size."""
-    table = collect_table(model, limit)
-    if table is None:
-        return predict_by_joins(docs, model, key, text, out)
-    return docs.withColumn(out, predict_in_tasks(docs.sparkSession, table, F.col(text)))
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str = "detected") -> DataFrame:
+    """Add the detected language; a text without letters has the most frequent one of the training."""
+    return docs.withColumn(out, predict_in_tasks(docs.sparkSession, bucket_table(model), F.col(text)))
 
 
-def language_gate(table: GramTable, language: str) -> Callable[[pd.Series], np.ndarray]:
+def language_gate(table: BucketTable, language: str) -> Callable[[pd.Series], np.ndarray]:
     """Predicate for the attempt sweep: is the text in the wanted language?  Case does not matter."""
     wanted = language.lower()
     return lambda texts: (table.predict(texts.map(_letters)) == wanted).to_numpy()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,9 @@ from lexiloom.operators.combine import expand_attempts, explode_sentences
 from lexiloom.operators.joins import UNTRANSLATED, resume_documents
 from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.operators.selection import best_of_attempts
-from lexiloom.providers import Provider, RetryPolicy, call_round_trip, sweep_attempts
+from lexiloom.providers import Provider, RetryPolicy, call_round_trip, passes, try_attempt
 from lexiloom.providers.calls import EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
-from lexiloom.session import table_exists
+from lexiloom.session import table_exists, written
 
 
 def back_translate(
@@ -53,11 +55,13 @@ def document_attempts(
     model_name: str,
     metric: Metric,
     temperatures: tuple[float, ...] = (1.0,),
+    gate: Gate | None = None,
     policy: RetryPolicy = RetryPolicy(),
 ) -> DataFrame:
     """Best attempt per sentence in the layout of the sentence result table.
 
-    Sentences without a single successful attempt are missing.
+    ``gate`` tells which translations are in the target language.  Sentences without a single successful attempt that
+    passes are missing.
     """
     sentences = explode_sentences(docs.select("doc_id", "text")).withColumnRenamed("sentence", "original_sentence")
     attempts = expand_attempts(sentences, temperatures)
@@ -72,6 +76,8 @@ def document_attempts(
         temperature="temperature",
         policy=policy,
     ).filter(F.col("error").isNull())
+    if gate is not None:
+        done = done.filter(passes(gate, F.col("forward")))
     best = best_of_attempts(done, ["doc_id", "sentence_index"])
     return best.select(
         "doc_id",
@@ -97,23 +103,53 @@ def synth_sentences(
     gate: Gate | None = None,
     policy: RetryPolicy = RetryPolicy(),
 ) -> DataFrame:
-    """Temperature sweep per sentence.  Adds ``translation, backtranslation, score, temperature, status``."""
-    swept = sentences.withColumn(
-        "_swept",
-        sweep_attempts(
-            provider,
-            F.col(sentence),
-            render(TRANSLATE_SYSTEM, src_lang=source, tgt_lang=target),
-            render(TRANSLATE_SYSTEM, src_lang=target, tgt_lang=source),
-            model_name,
-            temperatures,
-            early_stop,
-            min_threshold,
-            gate,
-            policy,
-        ),
-    )
-    return swept.select(*sentences.columns, "_swept.*")
+    """Temperature sweep in rounds over the sentences that are still open.
+
+    Every round translates its sentences there and back at one temperature.  One that reaches ``early_stop`` (chrF of
+    the round trip) is finished and leaves; the others go on with the best attempt so far, the first where scores are
+    equal.  What is open after the last round is accepted from ``min_threshold`` on.  ``gate`` tells which
+    translations are in the target language; other attempts count for nothing.
+
+    A round is written to the shared folder before the next one reads its open sentences, so a lost executor costs work
+    of one round, and calls are dealt evenly to tasks again as the open set shrinks.
+
+    Adds ``translation, backtranslation, score, temperature, status``; without an accepted attempt the first four
+    are null.
+    """
+    names = ("translation", "backtranslation", "score", "temperature")
+    there = render(TRANSLATE_SYSTEM, src_lang=source, tgt_lang=target)
+    home = render(TRANSLATE_SYSTEM, src_lang=target, tgt_lang=source)
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    best = F.struct(*[(text if n < 2 else number).alias(name) for n, name in enumerate(names)])
+    open_ = sentences.select(F.struct(*sentences.columns).alias("_row"), best.alias("_best"))
+    finished = []
+    for temperature in temperatures:
+        tried = open_.hint("rebalance").withColumn(
+            "_try", try_attempt(provider, F.col(f"_row.{sentence}"), there, home, model_name, temperature, gate, policy)
+        )
+        score, so_far = F.col("_try.score"), F.coalesce(F.col("_best.score"), F.lit(0.0))
+        usable = score.isNotNull() & ~F.isnan(score)
+        stopped = usable & (score >= early_stop)
+        attempt = F.struct("_try.forward", "_try.back", "_try.score", F.lit(temperature).alias("t"))
+        better = usable & ((score >= early_stop) | (score > so_far))
+        round_ = tried.select(
+            "_row",
+            F.when(better, attempt.cast(_BEST)).otherwise(F.col("_best")).alias("_best"),
+            F.coalesce(stopped, F.lit(False)).alias("_stopped"),
+        )
+        done = written(round_, "sweep_round")
+        finished.append(done.filter("_stopped"))
+        open_ = done.filter("NOT _stopped").drop("_stopped")
+        if open_.isEmpty():
+            break
+    rest = open_.withColumn("_stopped", F.lit(False))
+    swept = reduce(DataFrame.unionByName, finished, rest)
+    accepted = F.col("_stopped") | (F.coalesce(F.col("_best.score"), F.lit(0.0)) >= min_threshold) & (F.col("_best.score") > 0)
+    status = F.when(F.col("_stopped"), "accepted_early_stop").when(accepted, "accepted").otherwise("discarded")
+    return swept.select("_row.*", *[F.when(accepted, F.col(f"_best.{n}")).alias(n) for n in names], status.alias("status"))
+
+
+_BEST = "struct<translation: string, backtranslation: string, score: double, temperature: double>"
 
 
 def synth_documents(sentences: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, TruncatedOutput
-from lexiloom.providers.calls import call_chain, call_model, call_round_trip, sweep_attempts
+from lexiloom.providers.calls import call_chain, call_model, call_round_trip, passes, try_attempt
 
 __all__ = [
     "CallSettings",
@@ -10,5 +10,6 @@ __all__ = [
     "call_chain",
     "call_model",
     "call_round_trip",
-    "sweep_attempts",
+    "passes",
+    "try_attempt",
 ]

@@ -16,7 +16,7 @@ from lexiloom.functions.text import ASCII_PUNCTUATION, bind
 from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, run_batch
 
 CALL_SCHEMA = "values array<string>, error string, attempts int, budget long"
-SWEEP_SCHEMA = "translation string, backtranslation string, score double, temperature double, status string"
+ATTEMPT_SCHEMA = "forward string, back string, score double"
 
 # Fixed values of the sweep: stop at once from 95, keep the best one from 50.
 EARLY_STOP = 95.0
@@ -187,78 +187,61 @@ def call_chain(
     return run.asNondeterministic()(*columns, *([F.lit("")] if len(columns) == 1 else []))
 
 
-def sweep_attempts(
+def try_attempt(
     provider: Provider,
     sentence: Column,
     forward_system: Column,
     backward_system: Column,
     model_name: str,
-    temperatures: tuple[float, ...] = TEMPERATURES,
-    early_stop: float = EARLY_STOP,
-    min_threshold: float = MIN_THRESHOLD,
+    temperature: float,
     gate: Gate | None = None,
     policy: RetryPolicy = RetryPolicy(),
 ) -> Column:
-    """Translate there and back at growing temperatures until the round trip scores well enough.
+    """Struct ``forward, back, score`` of one attempt at a round trip, in one visit to Python.
 
-    The first attempt that reaches ``early_stop`` (chrF of the round trip against the sentence) is taken
-    and the sentence drops out of the batch, which saves its remaining calls.  Otherwise the best attempt
-    is taken if it reaches ``min_threshold``.  ``gate`` tells which translations are in the target
-    language; the others are skipped.  The struct equals ``early_stop_select`` on all attempts.
+    The score is the chrF of the way back against the sentence.  It is null where a call fails or ``gate`` finds that
+    the translation is not in the target language; then the way back is not asked for.
     """
 
-    @F.pandas_udf(SWEEP_SCHEMA)
+    @F.pandas_udf(ATTEMPT_SCHEMA)
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        settings = CallSettings(model_name, temperature)
         provider.open()
         try:
-            for sentences, forwards, backwards in batches:
-                yield _sweep(sentences, forwards, backwards)
+            for sentences, forth, home in batches:
+                size = len(sentences)
+                there = run_batch(provider, policy, sentences.tolist(), forth.tolist(), [settings] * size)
+                usable = np.array([o.error is None for o in there], dtype=bool)
+                forward = np.array([o.value for o in there], dtype=object)
+                if gate is not None and usable.any():
+                    usable[usable] = gate(pd.Series(forward[usable]))
+                rows = np.flatnonzero(usable)
+                returned = run_batch(
+                    provider, policy, forward[rows].tolist(), home.iloc[rows].tolist(), [settings] * len(rows)
+                )
+                kept = np.array([o.error is None for o in returned], dtype=bool)
+                rows, values = rows[kept], [o.value for o in returned if o.error is None]
+                back, score = np.full(size, None, dtype=object), np.full(size, np.nan)
+                if len(rows):
+                    back[rows] = values
+                    score[rows] = chrf_scores(_bare(pd.Series(values)), _bare(sentences.iloc[rows].reset_index(drop=True)))
+                yield pd.DataFrame({"forward": forward, "back": back, "score": score})
         finally:
             provider.close()
 
-    def _sweep(sentences: pd.Series, forwards: pd.Series, backwards: pd.Series) -> pd.DataFrame:
-        size = len(sentences)
-        texts, forth, home = (column.to_numpy(dtype=object) for column in (sentences, forwards, backwards))
-        there_best, back_best = np.full(size, None, dtype=object), np.full(size, None, dtype=object)
-        best, degree, stopped = np.zeros(size), np.zeros(size), np.zeros(size, dtype=bool)
-        bare = _bare(sentences).to_numpy(dtype=object)
-        active = np.arange(size)
-        for temperature in temperatures:
-            if not len(active):
-                break
-            settings = CallSettings(model_name, temperature)
-            there = run_batch(provider, policy, list(texts[active]), list(forth[active]), [settings] * len(active))
-            usable = np.array([o.error is None for o in there])
-            translated = np.array([o.value for o in there], dtype=object)
-            if gate is not None and usable.any():
-                usable[usable] = gate(pd.Series(translated[usable]))
-            rows, translated = active[usable], translated[usable]
-            back = run_batch(provider, policy, list(translated), list(home[rows]), [settings] * len(rows))
-            kept = np.array([o.error is None for o in back], dtype=bool)
-            if not kept.any():
-                continue
-            rows, translated = rows[kept], translated[kept]
-            returned = np.array([o.value for o in back], dtype=object)[kept]
-            scores = chrf_scores(_bare(pd.Series(returned)), pd.Series(bare[rows]))
-            better = (scores >= early_stop) | (scores > best[rows])
-            won = rows[better]
-            there_best[won], back_best[won] = translated[better], returned[better]
-            best[won], degree[won], stopped[won] = scores[better], temperature, scores[better] >= early_stop
-            active = active[~stopped[active]]
-        accepted = stopped | ((best >= min_threshold) & (best > 0))
-        return pd.DataFrame(
-            {
-                "translation": np.where(accepted, there_best, None),
-                "backtranslation": np.where(accepted, back_best, None),
-                "score": np.where(accepted, best, np.nan),
-                "temperature": np.where(accepted, degree, np.nan),
-                "status": np.where(stopped, "accepted_early_stop", np.where(accepted, "accepted", "discarded")),
-            }
-        )
-
     return run.asNondeterministic()(sentence, forward_system, backward_system)
 
 
+def passes(gate: Gate, text: Column) -> Column:
+    """A gate as a column."""
+
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(gate(texts.fillna("")))
+
+    return run(text)
+
+
 def _bare(texts: pd.Series) -> pd.Series:
     table = str.maketrans("", "", ASCII_PUNCTUATION)
     return texts.map(lambda t: "".join(t.lower().translate(table).split()))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.languages import Language, LanguagePair
 from lexiloom.operators.combine import expand_directions, explode_sentences
-from lexiloom.providers.standins import CODED, PLAIN, cipher_backward, cipher_forward, drop_below
+from lexiloom.queries.standins import CODED, PLAIN, cipher_backward, cipher_forward, drop_below
 from lexiloom.session import ship_package
 
 PAIR = LanguagePair(Language("en", "English", "eng_Latn", "en"), Language("fr", "French", "fra_Latn", "fr"))

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.metrics import Chrf, SentenceBleu
 from lexiloom.operators.selection import attempt_indices
+from lexiloom.operators.language_id import bucket_table, language_gate, train
 from lexiloom.plans import backtranslate, translate as translation, words as word_jobs
 from lexiloom.providers import RetryPolicy, call_model
-from lexiloom.providers.standins import CODED, PLAIN, CipherProvider, FlakyProvider, WordsmithProvider
+from lexiloom.providers.calls import TEMPERATURES
+from lexiloom.queries.standins import CODED, PLAIN, CipherProvider, FlakyProvider, WordsmithProvider
 from lexiloom.queries.base import (
     INPUT,
     PAIR,
@@ -22,10 +24,10 @@ from lexiloom.queries.base import (
     sentences,
     words_sql,
 )
-from lexiloom.queries.metrics import bleu_sql, chars_sql, chrf_sql, counts_sql, normalized_sql
+from lexiloom.queries.metrics import bleu_sql, chars_sql, chrf_sql, counts_sql, language_sql, normalized_sql
 from lexiloom.queries.relational import BAND, _band
 from lexiloom.queries.scalars import CHUNK_WORDS
-from lexiloom.session import materialize, scratch_path
+from lexiloom.session import materialize
 
 CIPHER = CipherProvider("English")
 AT_ONCE = RetryPolicy(delay=0.0)
@@ -65,15 +67,19 @@ def back_translate(spark, sf_dir):
     return rounded(done.select("id", "forward", "back", *metrics, "overall_score"), *metrics, "overall_score")
 
 
-GRID = (0.0, 0.5, 1.0)
+# The gate's model knows documents as they are and coded; a translation must look coded.
+GATE_TRAINING = f"""training AS (SELECT 'english' AS lang, text FROM documents UNION ALL
+  SELECT 'french', translate(text, '{PLAIN}', '{CODED}') FROM documents)"""
 # The metric is computed once per distinct (sentence, round trip); attempts of repeated sentences share it.
-SWEEP = f"""{SENTENCES},
-tried AS (SELECT doc_id, sentence_index, sentence, t, {forward_sql('sentence', 't')} AS forward FROM sentences, (VALUES (0), (5), (10)) g(t)),
-returned AS (SELECT *, {backward_sql('forward')} AS back FROM tried),
+SWEEP = f"""{SENTENCES}, {GATE_TRAINING},
+tried AS MATERIALIZED (SELECT doc_id, sentence_index, sentence, t, {forward_sql('sentence', 't')} AS forward FROM sentences, range(11) g(t)),
+gated AS (SELECT md5(forward) AS id, any_value(forward) AS forward FROM tried GROUP BY 1),
+{language_sql('gated', 'id', 'forward')},
+returned AS (SELECT tried.*, {backward_sql('forward')} AS back FROM tried JOIN detected d ON d.id = md5(forward) AND d.language = 'french'),
 distinct_trips AS (SELECT md5(sentence||chr(1)||back) AS id, any_value(sentence) AS sentence, any_value(back) AS back FROM returned GROUP BY 1),
 {counts_sql('chars', 'distinct_trips', 'id', chars_sql(normalized_sql('back')), chars_sql(normalized_sql('sentence')), 6)},
 {chrf_sql('chrf', 'chars', 'id')},
-judged AS (SELECT r.*, c.score FROM returned r JOIN chrf c ON c.id = md5(r.sentence||chr(1)||r.back)),
+judged AS MATERIALIZED (SELECT r.*, c.score FROM returned r JOIN chrf c ON c.id = md5(r.sentence||chr(1)||r.back)),
 early AS (SELECT doc_id, sentence_index, min(t) AS t FROM judged WHERE score >= 95 GROUP BY ALL),
 top AS (SELECT doc_id, sentence_index, t, score FROM judged WHERE score > 0
   QUALIFY row_number() OVER (PARTITION BY doc_id, sentence_index ORDER BY score DESC, t) = 1),
@@ -84,9 +90,17 @@ swept AS (SELECT c.doc_id, c.sentence_index, c.sentence, j.forward AS translatio
   c.t/10.0::DOUBLE AS temperature, c.status FROM choice c LEFT JOIN judged j USING (doc_id, sentence_index, t))"""
 
 
+def _gate(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("text")
+    plain = docs.withColumn("language", F.lit("English"))
+    coded = docs.select(F.translate("text", PLAIN, CODED).alias("text"), F.lit("French").alias("language"))
+    return language_gate(bucket_table(train(plain.unionByName(coded))), "French")
+
+
 def _swept(spark, sf_dir):
+    """All temperatures, with the language gate."""
     rows = sentences(spark, sf_dir).select("doc_id", "sentence_index", "sentence")
-    return backtranslate.synth_sentences(rows, CIPHER, "English", "French", "cipher", temperatures=GRID)
+    return backtranslate.synth_sentences(rows, CIPHER, "English", "French", "cipher", gate=_gate(spark, sf_dir))
 
 
 @query(
@@ -106,10 +120,7 @@ def synth_sentences(spark, sf_dir):
     round(count(*) FILTER (status LIKE 'accepted%') * 100.0::DOUBLE / count(*), 6) AS success_rate FROM swept GROUP BY 1""",
 )
 def synth_documents(spark, sf_dir):
-    """The swept sentences feed two aggregates, so the model's work is written once."""
-    path = scratch_path(spark, "swept")
-    _swept(spark, sf_dir).write.parquet(path)
-    return rounded(backtranslate.synth_documents(spark.read.parquet(path)), "avg_score", "success_rate")
+    return rounded(backtranslate.synth_documents(_swept(spark, sf_dir)), "avg_score", "success_rate")
 
 
 @query(
@@ -121,7 +132,7 @@ def synth_documents(spark, sf_dir):
 def document_attempts(spark, sf_dir):
     """The document job's other form: all temperatures are tried, the best attempt is kept."""
     done = backtranslate.document_attempts(
-        documents(spark, sf_dir), CIPHER, "English", "French", "cipher", Chrf(), GRID
+        documents(spark, sf_dir), CIPHER, "English", "French", "cipher", Chrf(), TEMPERATURES, _gate(spark, sf_dir)
     )
     return rounded(done, "comet_score")
 

@@ -10,7 +10,7 @@ from lexiloom.functions.metrics import Chrf, EditSimilarity, ExternalScorer, Sen
 from lexiloom.operators import language_id
 from lexiloom.operators.aggregates import metric_summary
 from lexiloom.plans import evaluate
-from lexiloom.providers.standins import cipher_backward, cipher_forward
+from lexiloom.queries.standins import cipher_backward, cipher_forward
 from lexiloom.queries.base import (
     DIRECTED,
     SENTENCES,
@@ -303,18 +303,19 @@ def _letters_sql(text: str) -> str:
     return rf"list_filter(regexp_split_to_array(lower({text}), '[^\pL]+'), lambda w: w<>'')"
 
 
-def language_sql(rows: str, key: str, text: str) -> str:
-    """CTE ``detected(key, language)``: all documents train, ``rows`` are identified."""
+def language_sql(rows: str, key: str, text: str, training: str = "training") -> str:
+    """CTE ``detected(key, language)``: ``training(lang, text)`` trains, ``rows`` are identified."""
     grams = ", ".join(f"list_transform(range(1, length(p)-{k}+2), lambda i: substr(p, i, {k}))" for k in (1, 2, 3))
-    return rf"""train_words AS (SELECT lang, unnest({_letters_sql('text')}) AS word FROM documents),
+    fixed = f"(round(ln({{0}}) * {language_id.SCALE}))::BIGINT"
+    return rf"""train_words AS (SELECT lang, unnest({_letters_sql('text')}) AS word FROM {training}),
 train_counts AS (SELECT lang, word, count(*) AS n FROM train_words GROUP BY ALL),
 distinct_words AS (SELECT word, ' '||word||' ' AS p FROM (SELECT word FROM train_counts UNION SELECT unnest({_letters_sql(text)}) FROM {rows})),
-word_grams AS (SELECT word, unnest(flatten([{grams}])) AS gram FROM distinct_words),
-profile AS (SELECT lang, gram, sum(n) AS n FROM train_counts JOIN word_grams USING (word) GROUP BY ALL),
-sizes AS (SELECT lang, sum(n)::DOUBLE + (SELECT count(DISTINCT gram) FROM profile) AS size FROM profile GROUP BY 1),
-priors AS (SELECT lang, ln(count(*)::DOUBLE / (SELECT count(*) FROM documents)) AS prior FROM documents GROUP BY 1),
-word_scores AS (SELECT g.word, s.lang, sum(ln((coalesce(p.n, 0)+1)::DOUBLE / s.size)) AS score FROM word_grams g CROSS JOIN sizes s
-  LEFT JOIN profile p ON p.gram = g.gram AND p.lang = s.lang GROUP BY ALL),
+word_buckets AS (SELECT word, ('0x'||substr(md5(gram),1,{language_id.DIGITS}))::INT AS bucket FROM (SELECT word, unnest(flatten([{grams}])) AS gram FROM distinct_words)),
+profile AS (SELECT lang, bucket, sum(n) AS n FROM train_counts JOIN word_buckets USING (word) GROUP BY ALL),
+sizes AS (SELECT lang, sum(n)::DOUBLE + (SELECT count(DISTINCT bucket) FROM profile) AS size FROM profile GROUP BY 1),
+priors AS (SELECT lang, {fixed.format(f"count(*)::DOUBLE / (SELECT count(*) FROM {training})")} AS prior FROM {training} GROUP BY 1),
+word_scores AS (SELECT g.word, s.lang, sum({fixed.format("(coalesce(p.n, 0)+1)::DOUBLE / s.size")}) AS score FROM word_buckets g CROSS JOIN sizes s
+  LEFT JOIN profile p ON p.bucket = g.bucket AND p.lang = s.lang GROUP BY ALL),
 row_words AS (SELECT {key}, word, count(*) AS c FROM (SELECT {key}, unnest({_letters_sql(text)}) AS word FROM {rows}) GROUP BY ALL),
 gained AS (SELECT {key}, lang, sum(c*score) AS gain FROM row_words JOIN word_scores USING (word) GROUP BY ALL),
 ranked AS (SELECT r.{key}, p.lang, p.prior + coalesce(g.gain, 0) AS score FROM {rows} r CROSS JOIN priors p
@@ -322,24 +323,34 @@ ranked AS (SELECT r.{key}, p.lang, p.prior + coalesce(g.gain, 0) AS score FROM {
 detected AS (SELECT {key}, lang AS language FROM ranked QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY score DESC, lang) = 1)"""
 
 
+# One document in four is held out of the training.
+HELD_OUT = "substr(md5(doc_id::VARCHAR),1,1) IN ('0','1','2','3')"
+TRAINING = f"training AS (SELECT lang, text FROM documents WHERE NOT {HELD_OUT})"
+
+
+def held_out():
+    return F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).isin(list("0123"))
+
+
 def language_model(spark, sf_dir):
-    return language_id.train(documents(spark, sf_dir), "text", "lang")
+    return language_id.train(documents(spark, sf_dir).filter(~held_out()), "text", "lang")
 
 
 @query(
     "lang_id",
-    f"""WITH {language_sql('documents', 'doc_id', 'text')}
-    SELECT doc_id, d.language AS detected, d.language = lang AS expected FROM documents JOIN detected d USING (doc_id)""",
+    f"""WITH {TRAINING}, {language_sql('documents', 'doc_id', 'text')}
+    SELECT doc_id, d.language AS detected, d.language = lang AS expected, {HELD_OUT} AS held_out FROM documents JOIN detected d USING (doc_id)""",
 )
 def lang_id(spark, sf_dir):
-    found = language_id.identify(documents(spark, sf_dir), language_model(spark, sf_dir), "doc_id")
+    """All documents by a model that has not seen the held-out ones."""
+    found = language_id.identify(documents(spark, sf_dir), language_model(spark, sf_dir))
     matches = language_id.matches_expected(F.col("detected"), F.upper("lang"))
-    return found.select("doc_id", "detected", matches.alias("expected"))
+    return found.select("doc_id", "detected", matches.alias("expected"), held_out().alias("held_out"))
 
 
 @query(
     "lang_id_gate",
-    f"""WITH {LOSSY}, tagged AS (SELECT doc_id*1000000+sentence_index AS id, lang, sentence FROM sentences),
+    f"""WITH {LOSSY}, tagged AS (SELECT doc_id*1000000+sentence_index AS id, lang, sentence FROM sentences), {TRAINING},
     {language_sql('tagged', 'id', 'sentence')}
     SELECT id, lang FROM tagged JOIN detected d USING (id) WHERE d.language = lang""",
 )
@@ -348,5 +359,5 @@ def lang_id_gate(spark, sf_dir):
     rows = sentences(spark, sf_dir).select(
         (F.col("doc_id") * 1000000 + F.col("sentence_index")).alias("id"), "lang", "sentence"
     )
-    found = language_id.identify(rows, language_model(spark, sf_dir), "id", "sentence")
+    found = language_id.identify(rows, language_model(spark, sf_dir), "sentence")
     return found.filter(language_id.matches_expected(F.col("detected"), F.col("lang"))).select("id", "lang")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.text import word_count
 from lexiloom.operators import aggregates, combine, filters, joins, ordering, selection, vocabulary
-from lexiloom.providers.standins import CODED, PLAIN
+from lexiloom.queries.standins import CODED, PLAIN
 from lexiloom.queries.base import (
     ATTEMPTS,
     DIRECTED,

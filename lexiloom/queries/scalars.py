@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import budgets, languages, prompts, responses, results, text
 from lexiloom.operators.combine import align_languages, explode_parts
-from lexiloom.providers.standins import CODED, PLAIN
+from lexiloom.queries.standins import CODED, PLAIN
 from lexiloom.queries.base import (
     DIRECTED,
     INPUT,

@@ -76,6 +76,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scratch/{uuid.uuid4().hex}/{name}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the shared folder, for results that are read column by column or in parts."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage on reliable storage, so lost executors do not recompute what came before.
 

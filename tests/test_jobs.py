@@ -14,7 +14,7 @@ from lexiloom.operators.selection import early_stop_select
 from lexiloom.plans import backtranslate, translate
 from lexiloom.providers import CallSettings, Provider, RetryPolicy, TruncatedOutput
 from lexiloom.providers.base import run_batch
-from lexiloom.providers.standins import CipherProvider, cipher_backward, cipher_forward
+from lexiloom.queries.standins import CipherProvider, cipher_backward, cipher_forward
 from lexiloom.queries.base import sentences
 from lexiloom.sources import committed, readers, writers
 from lexiloom.streaming import jobs as streams

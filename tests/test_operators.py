@@ -148,21 +148,60 @@ def test_length_batches_with_one_dominant_language(spark):
         assert [g[2] for g in group] == [i // 32 for i in range(len(group))]
 
 
-def test_language_id_by_joins_equals_in_tasks(spark, small):
-    docs = sentences(spark, small).select(
-        (F.col("doc_id") * 1000000 + F.col("sentence_index")).alias("id"), "lang", F.col("sentence").alias("text")
-    ).limit(800)
-    docs = docs.unionByName(spark.createDataFrame([(-1, "en", ""), (-2, "en", "123 !?")], docs.schema))
-    model = language_id.train(docs, "text", "lang")
-    in_tasks = language_id.identify(docs, model, "id").select("id", "detected")
-    by_joins = language_id.identify(docs, model, "id", limit=5).select("id", "detected")
-    assert language_id.collect_table(model, 5) is None
-    assert rows(in_tasks, "id") == rows(by_joins, "id")
+def brute_language(trained, texts):
+    """The definition in plain Python: buckets by digest, whole-number logarithms."""
+    import math
+    import re
+    from collections import Counter
+    from hashlib import md5
+
+    def buckets(text):
+        for word in re.sub(r"[^\w]|[\d_]", " ", text.lower()).split():
+            padded = f" {word} "
+            for n in (1, 2, 3):
+                for i in range(len(padded) - n + 1):
+                    yield int(md5(padded[i : i + n].encode()).hexdigest()[:4], 16)
+
+    counts, docs = {}, Counter()
+    for text, language in trained:
+        counts.setdefault(language, Counter()).update(buckets(text))
+        docs[language] += 1
+    distinct = len({b for c in counts.values() for b in c})
+    out = []
+    for text in texts:
+        found = list(buckets(text or ""))
+        score = {
+            language: round(math.log(docs[language] / sum(docs.values())) * 65536)
+            + sum(round(math.log((c[b] + 1) / (c.total() + distinct)) * 65536) for b in found)
+            for language, c in counts.items()
+        }
+        out.append(min(score, key=lambda x: (-score[x], x)))
+    return out
+
+
+def test_language_id_equals_its_definition_in_any_split(spark, small):
+    pool = [(r["text"][:400], r["lang"]) for r in spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").take(90)]
+    trained, texts = pool[:60], [t for t, _ in pool[60:]] + ["", "123 !?", None, "É", "the the"]
+    docs = spark.createDataFrame(trained, "text string, lang string")
+    rows_ = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    want = brute_language(trained, texts)
+    for parts in (1, 7):
+        model = language_id.train(docs.repartition(parts), "text", "lang")
+        found = rows(language_id.identify(rows_.repartition(parts), model).select("id", "detected"), "id")
+        assert [r[1] for r in found] == want
+
+
+def test_held_out_texts_are_identified(spark):
+    from lexiloom.queries import queries
+
+    found = queries()["lang_id"](spark, "/root/testdata/sf0.01").filter("held_out")
+    total, right = found.selectExpr("count(*)", "count_if(expected)").first()
+    assert total > 150 and right > 0.95 * total
 
 
 def test_language_gate_ignores_case(spark):
     docs = spark.createDataFrame([("the cat and the dog", "English"), ("umwana n'umugabo", "Kinyarwanda")], "text string, language string")
-    table = language_id.collect_table(language_id.train(docs))
+    table = language_id.bucket_table(language_id.train(docs))
     import pandas as pd
 
     texts = pd.Series(["the dog", "umugabo"])
