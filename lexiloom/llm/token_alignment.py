@@ -10,7 +10,7 @@ what is open on both sides of a joint closes to a group.  The composition is ass
   tasks and composed in a tree, ``FAN`` neighbours at a time.
 
 No token of either tokenizer spans a blank between two visible characters, so the stretches between such blanks are
-encoded alone, and equal ones once per worker; a byte range is encoded from the stretches that cover it.
+encoded and grouped alone, and equal ones once per worker; a byte range is encoded from the stretches that cover it.
 
 Links are pairs of tokens that end together.  The bytes of one are then the end of the other's, so the two
 vocabularies alone bound the pairs that can occur (about half a million); counts of pairs over the corpus are summed in
@@ -24,11 +24,11 @@ from __future__ import annotations
 
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +41,32 @@ from lexiloom.llm.scratch import stored
 
 CHUNK = 1 << 16
 FAN = 16
-MEMO = 300_000  # stretches whose ids a worker keeps
+MEMO = 120_000  # stretches whose groups a worker keeps, twice
+TOGETHER = 64  # stretches encoded in one text
 MEMO_CHARS = 64
-SLICE = 1 << 21  # bytes of texts worked on together
+SLICE = 1 << 19  # bytes of texts worked on together
+
+_HALF = 31  # two numbers of tokens in one whole number
 
 # A blank between characters that no tokenizer takes for white space; what is left out here only makes stretches longer.
 _HIDDEN = r"\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u2581\u3000\ufeff"
 STRETCH = re.compile(rf"(?<=[^{_HIDDEN}]) (?=[^{_HIDDEN}])")
 
 
+_UNSAFE = re.compile(rf" (?:(?=[{_HIDDEN}])|(?<=[{_HIDDEN}] ))")
+
+
+def stretches_of(text: str) -> list[str]:
+    if text[:1] == " " or text[-1:] == " " or _UNSAFE.search(text):
+        return STRETCH.split(text)
+    return text.split(" ")  # the same, and faster, where all blanks part stretches
+
+
+@lru_cache(maxsize=1 << 16)
+def visible(character: str) -> bool:
+    return re.match(f"[^{_HIDDEN}]", character) is not None
+
+
 @dataclass
 class Fragment:
     """Tokens that end in one byte range.  Without a common end (``closed`` is None) all of them are in the prefix."""
@@ -132,7 +149,8 @@ class Aligner:
         self.ids = max(len(self.a_size), self.width)
         self.names = [f"{i}{mark}" for mark in ",|;" for i in range(self.ids)]
         self.pairs = self._pairs()
-        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
+        self.memo: dict[str, tuple[int, str, bytes] | None] = {}
+        self.older: dict[str, tuple[int, str, bytes] | None] = {}
 
     def _pairs(self) -> np.ndarray:
         a_of: dict[bytes, list[int]] = {}
@@ -157,38 +175,65 @@ class Aligner:
         }
         return np.array(sorted(found), np.int64)
 
-    def _encode(self, stretches: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        """Ids of both tokenizers over a space and each stretch, as 32-bit integers; None where the bytes do not come back."""
-        firsts = self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)
+    def encoded(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both tokenizers over a space and each stretch, with their numbers, and which stretches both give back.
+
+        For A, which spends more on a text than on its tokens, stretches that start and end visibly are encoded many in
+        a text; its tokens give all bytes back, so the places of the bytes tell those of the stretches.
+        """
+        texts, several = [], []
+        for s in stretches:
+            if visible(s[:1]) and visible(s[-1:]):
+                several.append(s)
+                if len(several) < TOGETHER:
+                    continue
+                s = None
+            if several:
+                texts.append(" " + " ".join(several))
+                several = []
+            if s is not None:
+                texts.append(" " + s)
+        if several:
+            texts.append(" " + " ".join(several))
+        encodings = self.a.encode_batch_fast(texts, add_special_tokens=False)
+        a = np.array([*chain.from_iterable([e.ids for e in encodings])], np.int32)
         seconds = self.b.encode(stretches, num_threads=1)
-        for stretch, first, b in zip(stretches, firsts, seconds, strict=True):
-            raw = (" " + stretch).encode()
-            a = first.ids
-            if b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b)):
-                yield array("i", a).tobytes(), array("i", b).tobytes()
+        flat = [*chain.from_iterable(seconds)]
+        b, n_b = np.array(flat, np.int32), np.array([len(x) for x in seconds], np.int64)
+        raws = [(" " + s).encode() for s in stretches]
+        sizes = np.array([len(r) for r in raws], np.int64)
+        a_ends = np.searchsorted(np.cumsum(self.a_size[a]), np.cumsum(sizes)) + 1
+        b_ends = np.concatenate([[0], np.cumsum(self.b_size[b])])[np.concatenate([[0], np.cumsum(n_b)])]
+        valid = np.ones(len(stretches), bool)
+        if (np.diff(b_ends) != sizes).any() or b"".join(map(self.b_bytes.__getitem__, flat)) != b"".join(raws):
+            valid[:] = [b"".join(map(self.b_bytes.__getitem__, x)) == raw for x, raw in zip(seconds, raws, strict=True)]
+        return a, np.diff(a_ends, prepend=0), b, n_b, valid
+
+    def learn(self, stretches: list[str]) -> None:
+        """Numbers, groups and links of stretches, each of which starts and ends at a common end; None if not given back."""
+        a, n_a, b, n_b, valid = self.encoded(stretches)
+        if not valid.all():
+            a, b = a[np.repeat(valid, n_a)], b[np.repeat(valid, n_b)]
+        n_a, n_b = n_a[valid], n_b[valid]
+        a_last, b_last, links = self.groups(a, b, np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+        names, stops = self.spell(a, b, a_last, b_last)
+        ends = np.concatenate([[0], np.cumsum(a_last)])[np.concatenate([[0], np.cumsum(n_a)])]  # groups up to each stretch
+        cuts = np.concatenate([[0], stops])[ends].tolist()
+        raw, ends = links.astype(np.uint32).tobytes(), (4 * ends).tolist()
+        numbers = (n_a + (n_b << _HALF)).tolist()
+        at = 0
+        for s, good in zip(stretches, valid.tolist(), strict=True):
+            if good:
+                text = "".join(names[cuts[at] : cuts[at + 1]])[:-1]
+                self.memo[s] = (numbers[at], text, raw[ends[at] : ends[at + 1]])
+                at += 1
             else:
-                yield None
-
-    def tokens(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of both tokenizers over a space and each text."""
-        cut = [STRETCH.split(t) for t in texts]
-        memo = self.memo
-        new = list({s for stretches in cut for s in stretches if s not in memo})
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = list({s for stretches in cut for s in stretches})
-        memo.update(zip(new, self._encode(new), strict=True))
-        out: list[tuple[bytes, bytes] | None] = []
-        for stretches in cut:
-            parts = [memo[s] for s in stretches]
-            out.append(None if None in parts else (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
-        for s in new:
-            if len(s) > MEMO_CHARS:
-                del memo[s]
-        return out
+                self.memo[s] = None
 
     def groups(self, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """Whether each token ends a group, both ways, and ranks of the linked pairs.  The last tokens end together."""
+        if not len(a):
+            return np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.int64)
         a_last = b_ends[np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)] == a_ends
         b_last = a_ends[np.minimum(np.searchsorted(a_ends, b_ends), len(a_ends) - 1)] == b_ends
         return a_last, b_last, np.searchsorted(self.pairs, a[a_last].astype(np.int64) * self.width + b[b_last])
@@ -204,32 +249,32 @@ class Aligner:
 
     def whole(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray] | None]:
         """Numbers, groups and links of whole texts; None for one that a tokenizer does not give back."""
-        found = self.tokens(texts)
-        held = [f for f in found if f is not None]
-        if held:
-            a = np.frombuffer(b"".join([f[0] for f in held]), np.int32)
-            b = np.frombuffer(b"".join([f[1] for f in held]), np.int32)
-            a_last, b_last, links = self.groups(a, b, np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
-            names, stops = self.spell(a, b, a_last, b_last)
-            stops = np.concatenate([[0], stops])
-            groups = np.concatenate([[0], np.cumsum(a_last)])
-        at = 0
-        for f in found:
-            if f is None:
+        cut = [stretches_of(t) for t in texts]
+        if len(self.memo) > MEMO:  # what is asked for again comes back from the older half
+            self.older, self.memo = self.memo, {}
+        memo = self.memo
+        unseen = {s for stretches in cut for s in stretches if s not in memo}
+        memo |= {s: self.older[s] for s in unseen if s in self.older}
+        new = [s for s in unseen if s not in memo]
+        if new:
+            self.learn(new)
+        for stretches in cut:
+            parts = [memo[s] for s in stretches]
+            if None in parts:
                 yield None
                 continue
-            n_a, n_b = len(f[0]) // 4, len(f[1]) // 4
-            first, last = int(groups[at]), int(groups[at + n_a])
-            text = "".join(names[stops[first] : stops[last]])[:-1]
-            yield n_a, n_b, last - first, text, links[first:last]
-            at += n_a
+            numbers, groups, ranks = zip(*parts, strict=True)
+            total, links = sum(numbers), np.frombuffer(b"".join(ranks), np.uint32)
+            yield total & ((1 << _HALF) - 1), total >> _HALF, len(links), ";".join(groups), links
+        for s in new:
+            if len(s) > MEMO_CHARS:
+                del memo[s]
 
     def ranged(self, text: str, offset: int, low: int, high: int) -> Fragment:
         """The fragment of a byte range (``low``, ``high``], from stretches that cover it; the first starts at ``offset``."""
-        found = self.tokens([text])[0]
-        if found is None:
+        a, _, b, _, valid = self.encoded(stretches_of(text))
+        if not valid.all():
             return Fragment(valid=False)
-        a, b = (np.frombuffer(x, np.int32) for x in found)
         a_ends, b_ends = offset + np.cumsum(self.a_size[a]), offset + np.cumsum(self.b_size[b])
         a_in, b_in = (a_ends > low) & (a_ends <= high), (b_ends > low) & (b_ends <= high)
         a, b, a_ends, b_ends = a[a_in], b[b_in], a_ends[a_in], b_ends[b_in]
@@ -301,7 +346,7 @@ def _of_row(row: dict) -> Fragment:
 
 def chunk_ranges(text: str, size: int) -> Iterator[tuple[int, int, int, int, int, str]]:
     """Byte ranges of a space and a text, each with the stretches that cover it: (chunk, chunks, offset, low, high, part)."""
-    stretches = STRETCH.split(text)
+    stretches = stretches_of(text)
     ends = np.cumsum([1 + len(s.encode()) for s in stretches])
     chunks = -(-int(ends[-1]) // size)
     for chunk in range(chunks):
