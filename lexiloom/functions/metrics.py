@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions import ngrams
+from lexiloom.functions.edits import edit_distance
 from lexiloom.functions.text import normalize
 
 log = logging.getLogger(__name__)
@@ -250,11 +251,6 @@ def corpus_scores(df: DataFrame, hypothesis: str, reference: str, group_by: list
     )
 
 
-def edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance on code points."""
-    return F.levenshtein(a, b).cast("long")
-
-
 def edit_similarity(a: Column, b: Column) -> Column:
     longer = F.greatest(F.char_length(a), F.char_length(b))
     return F.when(longer == 0, F.lit(1.0)).otherwise(F.lit(1.0) - edit_distance(a, b) / longer)

@@ -48,8 +48,8 @@ def opposite_translation(
 ) -> DataFrame:
     """For each row the translation of the first row of the other direction whose source is my target.
 
-    The first row per (direction, source) is an aggregate with map-side combining.  The join is salted,
-    because one target text may be repeated in any number of rows.
+    The first row per (direction, source) is an aggregate with map-side combining.  The join splits target
+    texts that are repeated in very many rows, and only those.
     """
     first = (
         df.groupBy("direction", "source")

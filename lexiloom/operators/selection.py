@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators.skew import salted_join, with_positions
 from lexiloom.providers.calls import EARLY_STOP, MIN_THRESHOLD
+from lexiloom.session import written
 
 
 def best_of_attempts(
@@ -58,11 +59,13 @@ def file_gate(
 ) -> DataFrame:
     """Rows at or above the threshold, only from files whose mean lies strictly above it.
 
-    The means combine map-side and the rows are joined to them salted, so a file that holds a third of
-    all rows is neither one window group nor one join partition.
+    The means combine map-side and are stored with the number of rows of each file, which tells which files the
+    join has to split: one that holds a third of all rows is neither one window group nor one join partition.
     """
-    good = df.groupBy(file).agg(F.avg(score).alias("_mean")).filter(F.col("_mean") > threshold).select(file)
-    return salted_join(df.filter(F.col(score) >= threshold), good, [file], spread, "left_semi")
+    good = F.count_if(F.col(score) >= threshold).alias("_rows")
+    means = written(df.groupBy(file).agg(F.avg(score).alias("_mean"), good), "file_means")
+    kept = means.filter(F.col("_mean") > threshold).select(file, "_rows")
+    return salted_join(df.filter(F.col(score) >= threshold), kept, [file], spread, "left_semi", "_rows")
 
 
 def first_match(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -85,12 +88,12 @@ def length_batches(
     """Number the batches of ``batch_size`` rows of similar length within each language.
 
     One global order by (language, length, tie) serves all languages; a language's batches start at its
-    first position.  The starts are one row per language, joined salted.
+    first position.  The starts are one row per language; the join splits languages that hold too many rows.
     """
     measured = df.withColumn("_length", length)
     numbered = with_positions(measured, [F.col(language), F.col("_length"), F.col(tie)], "_position")
-    starts = numbered.groupBy(language).agg(F.min("_position").alias("_start"))
-    joined = salted_join(numbered, starts, [language], [tie])
+    starts = numbered.groupBy(language).agg(F.min("_position").alias("_start"), F.count("*").alias("_rows"))
+    joined = salted_join(numbered, written(starts, "batch_starts"), [language], [tie], size="_rows")
     return joined.withColumn(
         "batch_id", F.floor((F.col("_position") - F.col("_start")) / batch_size)
-    ).drop("_position", "_start", "_length")
+    ).drop("_position", "_start", "_length", "_rows")

@@ -5,9 +5,13 @@ import random
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
+from lexiloom.functions import edits
+from lexiloom.functions.edits import edit_distance
 from lexiloom.functions.metrics import (
     Chrf,
     EditSimilarity,
@@ -15,7 +19,7 @@ from lexiloom.functions.metrics import (
     add_metrics,
     chrf_words,
     corpus_scores,
-    edit_distance,
+
 )
 
 PAIRS = [
@@ -172,6 +176,28 @@ def test_failing_scorers_give_zero_and_skip_masked_rows(spark):
         assert sorted(r["q"] for r in done.collect()) == [0.0, 0.0, expected]
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="abé😀 ", max_size=150), st.text(alphabet="abé😀 ", max_size=150))
+def test_edit_distance_equals_the_table(a, b):
+    assert edits.levenshtein(a, b) == levenshtein(a, b)
+
+
+def test_edit_distance_of_very_long_texts_takes_seconds():
+    import time
+
+    rng = random.Random(6)
+    a = "".join(rng.choices("abcdefgh ", k=100_000))
+    b = a[:50_000] + "x" + a[50_001:99_000]
+    start = time.time()
+    assert edits.levenshtein("q" + a + "p", "r" + b + "s") == 1003
+    assert time.time() - start < 60
+
+
+def test_edit_distance_of_nulls(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("a", "a")], "a string, b string")
+    assert [r[0] for r in df.select(edit_distance(F.col("a"), F.col("b"))).collect()] == [None, None, None, 0]
+
+
 def test_edit_distance_of_long_texts(spark):
     rng = random.Random(5)
     a = "".join(rng.choice("abcdé ") for _ in range(1500))

@@ -22,6 +22,32 @@ def test_best_of_attempts_ties_and_nulls(spark):
     assert rows(best, "s") == [(1, 1, 0.5), (2, 0, None), (3, 0, -0.5)]
 
 
+@pytest.mark.parametrize("text", [False, True])
+def test_selection_of_numbers_and_of_texts_agree_with_a_sort(spark, text):
+    import random
+
+    r = random.Random(3)
+    scores = [None, -0.0, 0.0, 1e-300, 2e-300, -5.5, -1.0, 49.999, 50.0, 94.99999999999999, 95.0, 95.00000000000001, 100.0]
+    data = [(k, a, r.choice(scores), a / 10) for k in range(200) for a in range(r.randrange(1, 12))]
+    r.shuffle(data)
+    df = spark.createDataFrame(data, "k int, attempt int, score double, temperature double").repartition(5)
+    df = df.withColumn("note", F.lit("x")) if text else df
+    best, early = selection.best_of_attempts(df, ["k"], "score"), selection.early_stop_select(df, ["k"])
+    by_key = {k: sorted(x[1:] for x in data if x[0] == k) for k in {x[0] for x in data}}
+    top = {k: max(v, key=lambda x: (-1.0 if x[1] is None else x[1], -x[0])) for k, v in by_key.items()}
+    assert {x["k"]: (x["attempt"], x["score"], x["temperature"]) for x in best.collect()} == top
+    want = {}
+    for k, v in by_key.items():
+        stop = next((x for x in v if x[1] is not None and x[1] >= 95), None)
+        good = max((x for x in v if (x[1] or 0) > 0), key=lambda x: (x[1], -x[0]), default=None)
+        good = good if good is not None and good[1] >= 50 else None
+        chosen = stop or good or (None, None, None)
+        want[k] = (*chosen, "accepted_early_stop" if stop else "accepted" if good else "discarded")
+    assert {x["k"]: (x["attempt"], x["score"], x["temperature"], x["status"]) for x in early.collect()} == want
+    first = selection.first_match(df.withColumn("big", F.col("k").cast("long") % 7), ["k"], ["big", "attempt"])
+    assert {x["k"]: x["attempt"] for x in first.collect()} == {k: v[0][0] for k, v in by_key.items()}
+
+
 def test_early_stop_select(spark):
     data = [(1, 0, 40.0), (1, 1, 95.0), (1, 2, 99.0), (2, 0, 60.0), (2, 1, 60.0), (3, 0, 49.9), (4, 0, None), (5, 0, 50.0)]
     df = spark.createDataFrame(data, "s int, attempt int, score double")
@@ -63,6 +89,35 @@ def test_salted_join_keeps_every_row(spark):
         salted_join(df, keys, ["k"], ["id"], "full")
 
 
+def test_only_hot_keys_are_split(spark):
+    """70 % of the rows on one key: no task holds much more than its share, no cold key is repeated."""
+    from lexiloom.operators.skew import hot_keys, sized_keys
+
+    n, parts = 40_000, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(n).select("id", F.when(F.col("id") % 10 < 7, -1).otherwise(F.col("id") % 5000).cast("int").alias("k"))
+    keys = df.groupBy("k").agg(F.count("*").alias("_rows"), F.lit("x" * 50).alias("name")).select(F.col("k").cast("long"), "_rows", "name")
+    hot = hot_keys(df, ["k"])
+    assert [(h, p) for h, p in hot] == sized_keys(keys.select(F.col("k").cast("int"), "_rows"), ["k"], "_rows") and len(hot) == 1
+    assert hot[0][1] >= 0.7 * 2 * parts
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for size in (None, "_rows"):
+            joined = salted_join(df, keys, ["k"], ["id"], size=size)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == n and max(sizes) < 3 * n / parts
+            plain = df.join(keys, "k").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            assert plain > 0.7 * n
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert hot_keys(df.limit(0), ["k"]) == []
+    cold = df.select(F.col("id").alias("k"), "id")
+    assert hot_keys(cold, ["k"]) == []
+
+
 def test_file_gate_is_strict(spark):
     data = [("a", 1, 0.5), ("a", 2, 0.5), ("b", 3, 0.9), ("b", 4, 0.3), ("c", 5, None)]
     df = spark.createDataFrame(data, "source_file string, id int, comet_score double")
