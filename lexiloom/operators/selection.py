@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.operators.skew import salted_join, with_positions
@@ -83,17 +83,29 @@ def attempt_indices(words: DataFrame, attempts: int, order: list[Column]) -> Dat
 
 
 def length_batches(
-    df: DataFrame, batch_size: int, length: Column, tie: str, language: str = "language"
+    df: DataFrame, batch_size: int, length: Column, tie: str, language: str = "language", padded: int | None = None
 ) -> DataFrame:
     """Number the batches of ``batch_size`` rows of similar length within each language.
 
     One global order by (language, length, tie) serves all languages; a language's batches start at its
     first position.  The starts are one row per language; the join splits languages that hold too many rows.
+
+    With ``padded``, a batch whose rows, all padded to its longest, exceed that many characters is cut in parts of equal
+    numbers of rows that do not, down to one row: ``batch_part`` numbers them, and ``batch_longest`` is the longest
+    text of a part.
     """
     measured = df.withColumn("_length", length)
     numbered = with_positions(measured, [F.col(language), F.col("_length"), F.col(tie)], "_position")
     starts = numbered.groupBy(language).agg(F.min("_position").alias("_start"), F.count("*").alias("_rows"))
     joined = salted_join(numbered, written(starts, "batch_starts"), [language], [tie], size="_rows")
-    return joined.withColumn(
-        "batch_id", F.floor((F.col("_position") - F.col("_start")) / batch_size)
-    ).drop("_position", "_start", "_length", "_rows")
+    place = F.col("_position") - F.col("_start")
+    batched = joined.withColumn("batch_id", F.floor(place / batch_size))
+    if padded is not None:
+        batch = Window.partitionBy(language, "batch_id")  # at most batch_size rows
+        part = Window.partitionBy(language, "batch_id", "batch_part")
+        longest = F.greatest(F.max("_length").over(batch), F.lit(1))
+        rows = F.greatest(F.floor(F.lit(padded) / longest), F.lit(1))
+        batched = batched.withColumn("batch_part", F.floor((place % batch_size) / rows)).withColumn(
+            "batch_longest", F.max("_length").over(part)
+        )
+    return batched.drop("_position", "_start", "_length", "_rows")

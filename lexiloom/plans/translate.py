@@ -12,7 +12,8 @@ from lexiloom.functions.text import DEFAULT_MAX_WORDS, join_parts, with_chunks
 from lexiloom.operators.filters import failure_report, filter_known_language
 from lexiloom.operators.joins import INDEX, pending_rows
 from lexiloom.providers import Provider, RetryPolicy, call_model
-from lexiloom.providers.calls import call_model_on_parts
+from lexiloom.operators.selection import length_batches
+from lexiloom.providers.calls import call_batches, call_model_on_parts
 from lexiloom.sources.committed import BATCHES, CommittedTable, append_as_completed
 
 NO_TEXT = "no text"
@@ -138,26 +139,37 @@ def batch_translate(
     text: str = "text",
     language: str = "language",
     key: str = INDEX,
+    batch_size: int = 32,
     max_new_tokens: int = 512,
-    partitions: int | None = None,
+    padded: int = 1 << 16,
+    policy: RetryPolicy = RetryPolicy(),
 ) -> DataFrame:
-    """Batch inference: texts of similar length meet in one batch, whatever task they come from.
+    """Batch inference: the model gets batches of one language and similar length, with one cap for a batch.
+
+    A batch has at most ``batch_size`` rows, and fewer where they would exceed ``padded`` characters when padded to the
+    longest of them.  The cap on new tokens is twice the longest text of the batch, ``max_new_tokens`` at most.  A batch
+    is one row on its way to the model, so batches, not texts, are dealt to tasks, long ones among short ones.
 
-    Rows are range-partitioned by language and length, which spreads the long texts, and sorted within
-    the partition; the Arrow batch size (``spark.sql.execution.arrow.maxRecordsPerBatch``) is the model's.
+    Adds ``batch_id`` and ``batch_part`` (numbers within the language), ``max_tokens``, ``translation_text``, ``error`` and
+    ``model_name``.
     """
-    length = F.char_length(text)
-    order = [F.col(language), F.col("_length"), F.col(key)]
-    known = filter_known_language(df, pair, language).withColumn("_length", length)
-    spread = known.repartitionByRange(partitions, *order) if partitions else known.repartitionByRange(*order)
-    call = call_model(
-        provider,
-        F.col(text),
-        pair_system(pair, F.col(language)),
-        model_name,
-        max_tokens=F.least(F.lit(max_new_tokens), F.col("_length") * 2).cast("long"),
+    known = filter_known_language(df, pair, language)
+    length = F.coalesce(F.char_length(text), F.lit(0))
+    batched = length_batches(known, batch_size, length, key, language, padded)
+    cap = F.least(F.lit(max_new_tokens), F.col("batch_longest") * 2).cast("long")
+    row = F.struct(*[c for c in df.columns if c not in (language, text)], F.col(text).alias("_text"))
+    batches = batched.groupBy(language, "batch_id", "batch_part").agg(
+        F.first(cap).alias("max_tokens"), F.collect_list(row).alias("_rows")
     )
-    called = spread.sortWithinPartitions(*order).withColumn("_call", call)
-    return called.withColumns(
-        {"translation_text": F.col("_call.value"), "error": F.col("_call.error"), "model_name": F.lit(model_name)}
-    ).drop("_call", "_length")
+    system = pair_system(pair, F.col(language))
+    texts = F.transform("_rows", lambda r: r["_text"])
+    call = call_batches(provider, texts, system, model_name, F.col("max_tokens"), policy)
+    called = batches.withColumn("_calls", call).select(
+        language, "batch_id", "batch_part", "max_tokens", F.inline(F.arrays_zip("_rows", "_calls"))
+    )
+    rest = [F.col(f"_rows.{c}") for c in df.columns if c not in (language, text)]
+    return called.select(
+        *rest, F.col("_rows._text").alias(text), language, "batch_id", "batch_part", "max_tokens",
+        F.col("_calls.value").alias("translation_text"), F.col("_calls.error").alias("error"),
+        F.lit(model_name).alias("model_name"),
+    )

@@ -95,6 +95,33 @@ def call_model_on_parts(
     return run.asNondeterministic()(parts, system, temperature, budget)
 
 
+def call_batches(
+    provider: Provider,
+    texts: Column,
+    system: Column,
+    model_name: str,
+    max_tokens: Column,
+    policy: RetryPolicy = RetryPolicy(),
+) -> Column:
+    """Array of ``value, error`` for an array of texts that the model gets as one batch."""
+
+    @F.pandas_udf("array<struct<value: string, error: string>>")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        provider.open()
+        try:
+            for text_lists, systems, caps in batches:
+                answers = []
+                for texts, system, cap in zip(text_lists, systems, caps, strict=True):
+                    settings = [CallSettings(model_name, 0.0, int(cap))] * len(texts)
+                    outcomes = run_batch(provider, policy, [t or "" for t in texts], [system] * len(texts), settings)
+                    answers.append([{"value": o.value, "error": o.error} for o in outcomes])
+                yield pd.Series(answers)
+        finally:
+            provider.close()
+
+    return run.asNondeterministic()(texts, system, max_tokens)
+
+
 def _named(call: Column, pick: Callable[[Column], Column]) -> Column:
     return bind(
         call,

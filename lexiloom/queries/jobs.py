@@ -175,14 +175,24 @@ def translate_table(spark, sf_dir):
     return done.select("_original_index", "language", "translation_text", "model_name", "error")
 
 
+BATCH, PADDED = 8, 20_000
+
+
 @query(
     "batch_inference",
-    f"""WITH {INPUT} SELECT _original_index, language, CASE language WHEN 'en' THEN {forward_sql('text', '0')}
-      ELSE trim({backward_sql('text')}, ' '||chr(9)||chr(10)) END AS translation_text FROM input WHERE language IN ('en','fr')""",
+    f"""WITH {INPUT}, p AS (SELECT *, length(text) AS len, row_number() OVER (PARTITION BY language ORDER BY length(text), _original_index) - 1 AS pos
+      FROM input WHERE language IN ('en','fr')),
+    b AS (SELECT *, pos // {BATCH} AS batch_id, max(len) OVER (PARTITION BY language, pos // {BATCH}) AS longest FROM p),
+    c AS (SELECT *, (pos % {BATCH}) // greatest({PADDED} // longest, 1) AS batch_part FROM b)
+    SELECT _original_index, language, batch_id, batch_part,
+      least(512, 2 * max(len) OVER (PARTITION BY language, batch_id, batch_part))::BIGINT AS max_tokens,
+      CASE language WHEN 'en' THEN {forward_sql('text', '0')} ELSE trim({backward_sql('text')}, ' '||chr(9)||chr(10)) END AS translation_text FROM c""",
 )
 def batch_inference(spark, sf_dir):
-    done = translation.batch_translate(input_text(spark, sf_dir), CIPHER, "cipher", PAIR)
-    return done.select("_original_index", "language", "translation_text")
+    done = translation.batch_translate(
+        input_text(spark, sf_dir), CIPHER, "cipher", PAIR, batch_size=BATCH, padded=PADDED
+    )
+    return done.select("_original_index", "language", "batch_id", "batch_part", "max_tokens", "translation_text")
 
 
 @query(

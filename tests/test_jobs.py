@@ -164,6 +164,33 @@ def test_lost_run_continues_where_it_was_committed(spark, tmp_path):
     assert sorted(saved.collect()) == sorted(single.collect()) and failed.isEmpty()
 
 
+def test_batches_reach_the_model_whole_and_within_their_budget(spark):
+    class Batched(Provider):
+        """Answers with what it got in one call."""
+
+        def invoke_many(self, texts, systems, configs):
+            assert len({(s, c.max_tokens) for s, c in zip(systems, configs, strict=True)}) == 1
+            return [f"{len(texts)} {max(map(len, texts))} {configs[0].max_tokens}" for _ in texts]
+
+    data = [(i, "x" * (i * 13 % 97 + 1), "english" if i % 5 else "Kinyarwanda", i * 2) for i in range(300)]
+    data += [(900, "y" * 5000, "english", 0), (901, None, "english", 1)]
+    df = spark.createDataFrame(data, "_original_index long, text string, language string, other int")
+    done = translate.batch_translate(df, Batched(), "m", DEFAULT_PAIR, batch_size=16, max_new_tokens=150, padded=1000).collect()
+    assert sorted((r["_original_index"], r["text"], r["language"], r["other"]) for r in done) == sorted(data)
+    groups = {}
+    for r in done:
+        groups.setdefault((r["language"], r["batch_id"], r["batch_part"]), []).append(r)
+    order = []
+    for (language, batch, part), rows in sorted(groups.items()):
+        lengths = [len(r["text"] or "") for r in rows]
+        assert len(rows) <= 16 and (len(rows) == 1 or len(rows) * max(lengths) <= 1000)
+        want = f"{len(rows)} {max(lengths)} {min(150, 2 * max(lengths))}"
+        assert {r["translation_text"] for r in rows} == {want} and {r["max_tokens"] for r in rows} == {min(150, 2 * max(lengths))}
+        order.append((language, min(lengths), max(lengths)))
+    for a, b in zip(order, order[1:]):
+        assert a[0] != b[0] or a[2] <= b[1]  # similar lengths meet
+
+
 def test_commits(spark, tmp_path):
     table = committed.CommittedTable(spark, str(tmp_path))
     assert table.read() is None and table.folders() == []
