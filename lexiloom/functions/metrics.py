@@ -219,25 +219,33 @@ def add_metrics(
     )
 
 
-def corpus_scores(df: DataFrame, hypothesis: str, reference: str, group_by: list[str] | None = None) -> DataFrame:
-    """Corpus BLEU and chrF on raw text, per group or over all rows.
+def corpus_scores(
+    df: DataFrame,
+    hypothesis: str,
+    reference: str,
+    group_by: list[str] | None = None,
+    counted_if: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Corpus BLEU and chrF on raw text, per group or over all rows; ``counted_if`` counts rows in the same pass.
 
     Rows are reduced to counts first, and those are plain sums with map-side partial aggregation: a
     group holding a third of all rows still sends one row per task through the shuffle.
     """
     hyp, ref = F.col(hypothesis), F.col(reference)
+    flags = counted_if or {}
     counted = df.select(
         *(group_by or []),
+        *[condition.alias(name) for name, condition in flags.items()],
         ngrams.word_stats(corpus_tokens(hyp), corpus_tokens(ref)).alias("words"),
         ngrams.char_stats(without_space(hyp), without_space(ref)).alias("chars"),
-    ).select(*(group_by or []), "words.*", "chars.*")
+    ).select(*(group_by or []), *flags, "words.*", "chars.*")
     sums = [F.sum(f"w{kind}{n}").alias(f"w{kind}{n}") for kind in "mhr" for n in range(1, ngrams.WORD_ORDER + 1)]
     for n in range(1, ngrams.CHAR_ORDER + 1):
         # A hypothesis' n-grams count only where the reference of the row has n-grams of that order.
         sums.append(F.sum(F.when(F.col(f"cr{n}") > 0, F.col(f"ch{n}")).otherwise(F.lit(0))).alias(f"ch{n}"))
         sums.append(F.sum(f"cm{n}").alias(f"cm{n}"))
         sums.append(F.sum(f"cr{n}").alias(f"cr{n}"))
-    total = counted.groupBy(*(group_by or [])).agg(F.count("*").alias("num_samples"), *sums)
+    total = counted.groupBy(*(group_by or [])).agg(F.count("*").alias("num_samples"), *[F.count_if(name).alias(name) for name in flags], *sums)
     scored = with_corpus_chrf(with_corpus_bleu(total))
     return scored.select(
         *(group_by or []),
@@ -248,6 +256,7 @@ def corpus_scores(df: DataFrame, hypothesis: str, reference: str, group_by: list
         F.col("wh1").alias("sys_len"),
         F.col("wr1").alias("ref_len"),
         "chrf",
+        *flags,
     )
 
 

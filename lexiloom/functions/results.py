@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,12 +120,13 @@ def row_problem(
     return problem
 
 
-def run_metadata(df: DataFrame, run_id: str, provider: str) -> DataFrame:
-    """Tag rows with the run that made them."""
-    return df.withColumns(
-        {
-            "run_id": F.lit(run_id),
-            "provider": F.lit(provider),
-            "created_at": F.current_timestamp(),
-        }
-    )
+def run_metadata(df: DataFrame, run_id: str, provider: str, started: datetime | None = None) -> DataFrame:
+    """Tag rows with the run that made them and, where its start is given, with the milliseconds since then."""
+    columns = {
+        "run_id": F.lit(run_id),
+        "provider": F.lit(provider),
+        "created_at": F.current_timestamp(),
+    }
+    if started is not None:
+        columns["duration_ms"] = F.unix_millis(F.current_timestamp()) - F.lit(round(started.timestamp() * 1000))
+    return df.withColumns(columns)

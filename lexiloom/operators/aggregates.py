@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.session import written
+
 from lexiloom.functions.responses import is_error
 from lexiloom.functions.text import sentence_count, word_count
 
@@ -182,11 +184,11 @@ def word_failures(df: DataFrame, attempts: int, word: str = "word", error: str =
 def processing_stats(df: DataFrame, name: str) -> DataFrame:
     """Processed files in name order, each with the total.
 
-    The names stay rows; a single sorted list of all names would have to fit into one task.
+    The names stay rows; a single sorted list of all names would have to fit into one task.  They are made distinct
+    once and stored, for their number and for the listing.
     """
-    names = df.select(name).distinct()
-    total = names.agg(F.count("*")).scalar()
-    return names.withColumn("total_processed", total).orderBy(name)
+    names = written(df.select(name).distinct(), "processed_names")
+    return names.withColumn("total_processed", F.lit(names.count())).orderBy(name)
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import normalize, split_words
+from lexiloom.session import written
 
 
 def word_counts(docs: DataFrame, text: str = "text", by: list[str] | None = None) -> DataFrame:
@@ -16,7 +17,10 @@ def word_counts(docs: DataFrame, text: str = "text", by: list[str] | None = None
 
 
 def zipf_vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word, n, commonality``: the base-10 logarithm of occurrences per billion words."""
-    counts = word_counts(docs, text)
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("commonality", F.log10(F.col("n") / total * F.lit(1e9)))
+    """``word, n, commonality``: the base-10 logarithm of occurrences per billion words.
+
+    The counts are stored once: the total is their sum, so the corpus is read and counted one time.
+    """
+    counts = written(word_counts(docs, text), "word_counts")
+    total = counts.agg(F.sum("n")).first()[0]
+    return counts.withColumn("commonality", F.log10(F.col("n") / F.lit(total) * F.lit(1e9)))

@@ -38,21 +38,22 @@ def evaluate_rows(
     return add_metrics(looked_up, {"comet": external}, "source", "translation", "opposite_translation")
 
 
-def evaluate_table(df: DataFrame, metrics: dict[str, Metric] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(scored rows, summary over all rows and per direction)``.
+def evaluate_table(
+    df: DataFrame, metrics: dict[str, Metric] | None = None, external: Metric | None = None, position: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``(scored rows, summary over all rows and per direction)``, with the external score where there is a scorer.
 
     The scored rows come from Python workers; write them once if both results are needed.
     """
     chosen = metrics or default_metrics()
-    scored = evaluate_rows(df, chosen)
-    return scored, metric_summary(scored, list(chosen))
+    scored = evaluate_rows(df, chosen, external, position)
+    return scored, metric_summary(scored, [*chosen, *(["comet"] if external is not None else [])])
 
 
 def bidirectional_report(df: DataFrame) -> DataFrame:
-    """Corpus BLEU and chrF with sample and error counts per direction, both in one job."""
-    scores = corpus_scores(df, "translation", "target", ["direction"])
-    errors = df.groupBy("direction").agg(F.count_if(is_error(F.col("translation"))).alias("num_errors"))
-    return scores.join(errors, "direction").withColumn("error_rate", F.col("num_errors") / F.col("num_samples"))
+    """Corpus BLEU and chrF with sample and error counts per direction, all from one aggregate."""
+    scores = corpus_scores(df, "translation", "target", ["direction"], {"num_errors": is_error(F.col("translation"))})
+    return scores.withColumn("error_rate", F.col("num_errors") / F.col("num_samples"))
 
 
 def directed_pairs(df: DataFrame, first: str, second: str, names: tuple[str, str]) -> DataFrame:

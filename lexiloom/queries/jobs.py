@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.metrics import Chrf, SentenceBleu
 from lexiloom.operators.selection import attempt_indices
+from lexiloom.operators import aggregates
 from lexiloom.operators.language_id import bucket_table, language_gate, train
 from lexiloom.plans import backtranslate, translate as translation, words as word_jobs
 from lexiloom.providers import RetryPolicy, call_model
@@ -267,3 +268,14 @@ def word_dataset(spark, sf_dir):
     indexed = materialize(attempt_indices(words, ATTEMPTS, [F.col("n"), F.col("word")]).select("index", "word"))
     saved = indexed.filter(F.md5(F.col("index").cast("string")).startswith("0")).withColumn("error", F.lit(""))
     return word_jobs.word_dataset(indexed, WordsmithProvider(), "smith", saved, policy=AT_ONCE).drop("full_output")
+
+
+@query(
+    "word_failures",
+    f"""WITH {BAND}, r AS (SELECT word, row_number() OVER (ORDER BY n, word) - 1 AS rank FROM band),
+    todo AS (SELECT word, rank*{ATTEMPTS}+a AS i FROM r, range({ATTEMPTS}) t(a) WHERE md5((rank*{ATTEMPTS}+a)::VARCHAR) NOT LIKE '0%')
+    SELECT word, count(*) AS failures, count(*) = {ATTEMPTS} AS all_failed FROM todo WHERE md5(word) LIKE '0%' GROUP BY 1""",
+)
+def word_failures(spark, sf_dir):
+    """Failures of a run of the word job: some words fail at every attempt, of some one attempt was saved before."""
+    return aggregates.word_failures(word_dataset(spark, sf_dir), ATTEMPTS)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.metrics import Chrf, EditSimilarity, ExternalScorer, SentenceBleu, add_metrics, corpus_scores
 from lexiloom.operators import language_id
-from lexiloom.operators.aggregates import metric_summary
 from lexiloom.plans import evaluate
 from lexiloom.queries.standins import cipher_backward, cipher_forward
 from lexiloom.queries.base import (
@@ -23,6 +22,8 @@ from lexiloom.queries.base import (
     sentences,
     words_sql,
 )
+from lexiloom.session import scratch_path
+from lexiloom.sources import writers
 
 # --- SQL for n-gram metrics -----------------------------------------------------------------------
 
@@ -215,6 +216,27 @@ def bidirectional_report(spark, sf_dir):
     )
 
 
+@query(
+    "write_metrics_report",
+    f"""WITH {CORPUS} SELECT d.pair_id, d.direction, d.source, d.translation, d.target AS reference, num_samples, num_errors,
+    round(b.score,6) AS bleu, round(c.score,6) AS chrf, sys_len, ref_len
+    FROM directed d JOIN samples USING (direction) JOIN bleu b USING (direction) JOIN chrf c USING (direction) JOIN lengths USING (direction)""",
+)
+def write_metrics_report(spark, sf_dir):
+    """The report as it is read back: scores of each direction, and its lines."""
+    path = scratch_path(spark, "report")
+    rows = directed(spark, sf_dir)
+    report = evaluate.bidirectional_report(rows).select(
+        "direction", "num_samples", "num_errors", "bleu", "chrf", "sys_len", "ref_len"
+    )
+    writers.write_report(report, rows, path)
+    metrics = spark.read.schema(report.schema).json(f"{path}/metrics")
+    lines = spark.read.schema(
+        "pair_id long, direction string, source string, translation string, reference string"
+    ).json(f"{path}/translations")
+    return rounded(lines.join(metrics, "direction"), "bleu", "chrf")
+
+
 # --- evaluation of tables ---------------------------------------------------------------------------
 
 
@@ -292,8 +314,8 @@ def multi_metric_eval(spark, sf_dir):
 def evaluate_table(spark, sf_dir):
     """An existing table with the other column names, scored and summarized."""
     old = directed(spark, sf_dir).withColumnsRenamed({"source": "source_text", "target": "reference"})
-    scored = evaluate.evaluate_rows(old, external=length_scorer(), position="pair_id")
-    return rounded(metric_summary(scored, ["bleu", "chrf", "comet"]), "mean", "std", "min", "max")
+    _, summary = evaluate.evaluate_table(old, external=length_scorer(), position="pair_id")
+    return rounded(summary, "mean", "std", "min", "max")
 
 
 # --- language identification ------------------------------------------------------------------------

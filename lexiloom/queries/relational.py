@@ -27,6 +27,8 @@ from lexiloom.queries.base import (
     sentences,
     words_sql,
 )
+from lexiloom.session import scratch_path
+from lexiloom.sources import readers, writers
 
 T = 0.5
 
@@ -57,20 +59,30 @@ def filter_known_language(spark, sf_dir):
 
 
 def _translated(spark, sf_dir):
-    """Translated table: some rows blank, some null, some not saved at all."""
+    """Translated table of all documents: some rows empty, some null, some of white space only."""
     kind = F.substring(F.md5(F.col("_original_index").cast("string")), 1, 1)
     value = (
         F.when(kind.isin("0", "1"), F.lit(""))
         .when(kind.isin("2", "3"), F.lit(None).cast("string"))
+        .when(kind == "4", F.lit(" \n "))
         .otherwise(F.translate("text", PLAIN, CODED))
     )
-    return input_text(spark, sf_dir).filter(~kind.isin("c", "d", "e", "f")).withColumn("translation_text", value)
+    return input_text(spark, sf_dir).withColumn("translation_text", value)
 
 
 TRANSLATED = f"""{INPUT},
 kinds AS (SELECT *, substr(md5(_original_index::VARCHAR),1,1) AS k FROM input),
 translated AS (SELECT *, CASE WHEN k IN ('0','1') THEN '' WHEN k IN ('2','3') THEN NULL
-  ELSE translate(text, '{PLAIN}', '{CODED}') END AS translation_text FROM kinds WHERE k NOT IN ('c','d','e','f'))"""
+  WHEN k = '4' THEN ' '||chr(10)||' ' ELSE translate(text, '{PLAIN}', '{CODED}') END AS translation_text FROM kinds)"""
+
+
+def _saved_table(spark, sf_dir):
+    """What an earlier run saved: some documents are not in it."""
+    kind = F.substring(F.md5(F.col("_original_index").cast("string")), 1, 1)
+    return _translated(spark, sf_dir).filter(~kind.isin("c", "d", "e", "f"))
+
+
+SAVED = f"{TRANSLATED}, saved AS (SELECT * FROM translated WHERE k NOT IN ('c','d','e','f'))"
 
 
 @query(
@@ -149,12 +161,40 @@ def drop_failed(spark, sf_dir):
     return filters.drop_failed(_translated(spark, sf_dir), "translation_text").select("_original_index")
 
 
+# Sources whose files have no score column at all; those of src7 have one without a value.
+BARE_SOURCES = ("src3", "src11")
+
+
+def _mixed_folder(spark, sf_dir) -> str:
+    """Result files of three layouts: all columns, other order of columns, no score column."""
+    path = scratch_path(spark, "mixed")
+    rows = scored(spark, sf_dir).withColumn("source", F.replace("source_file", F.lit(".tsv"), F.lit("")))
+    columns = ["sentence_index", "original_sentence", "comet_score"]
+    layouts = {
+        "bare": (rows.filter(F.col("source").isin(*BARE_SOURCES)), columns[:2]),
+        "turned": (rows.filter(F.col("source").isin("src1", "src7")), columns[::-1]),
+        "whole": (rows.filter(~F.col("source").isin("src1", "src7", *BARE_SOURCES)), columns),
+    }
+    for name, (part, names) in layouts.items():
+        out = part.select("source", *names).hint("rebalance", "source").write.options(**writers.CSV_OPTIONS)
+        out.option("sep", "\t").option("compression", "none").partitionBy("source").csv(f"{path}/{name}")
+    return path
+
+
 @query(
     "skip_without_column",
-    f"WITH {SCORED} SELECT source_file AS file, count(*) AS rows FROM scored GROUP BY 1 HAVING count(comet_score) = 0",
+    f"""WITH {SCORED} SELECT source_file AS file, CASE WHEN source_file IN ('src3.tsv','src11.tsv') THEN 'no column comet_score' ELSE 'no score' END AS reason
+    FROM scored GROUP BY 1 HAVING count(comet_score) = 0 OR source_file IN ('src3.tsv','src11.tsv')""",
 )
 def skip_without_column(spark, sf_dir):
-    return aggregates.files_without_scores(scored(spark, sf_dir))
+    """Files without the score column next to files whose column is empty, from one scan of all layouts."""
+    path = _mixed_folder(spark, sf_dir)
+    rows, _, skipped = readers.scan_mixed_results(spark, path, pattern="*.csv")
+    # Spark names part files itself: the file is the folder that the part lies in.
+    named = lambda path: F.concat(F.regexp_extract(path, "source=([^/]+)/", 1), F.lit(".tsv"))
+    without = skipped.select(named("path").alias("file"), "reason").distinct()
+    empty = aggregates.files_without_scores(rows.withColumn("source_file", named("source_path")))
+    return without.unionByName(empty.select("file", F.lit("no score").alias("reason")))
 
 
 # --- joins --------------------------------------------------------------------------------------
@@ -162,12 +202,12 @@ def skip_without_column(spark, sf_dir):
 
 @query(
     "resume_anti_join",
-    f"""WITH {TRANSLATED} SELECT 'retry' AS policy, _original_index FROM input WHERE _original_index NOT IN
-      (SELECT _original_index FROM translated WHERE translation_text <> '')
-    UNION ALL SELECT 'saved', _original_index FROM input WHERE _original_index NOT IN (SELECT _original_index FROM translated)""",
+    f"""WITH {SAVED} SELECT 'retry' AS policy, _original_index FROM input WHERE _original_index NOT IN
+      (SELECT _original_index FROM saved WHERE translation_text <> '')
+    UNION ALL SELECT 'saved', _original_index FROM input WHERE _original_index NOT IN (SELECT _original_index FROM saved)""",
 )
 def resume_anti_join(spark, sf_dir):
-    rows, saved = input_text(spark, sf_dir).select("_original_index"), _translated(spark, sf_dir)
+    rows, saved = input_text(spark, sf_dir).select("_original_index"), _saved_table(spark, sf_dir)
     retry = joins.pending_rows(rows, saved, retry_failed=True).withColumn("policy", F.lit("retry"))
     skip = joins.pending_rows(rows, saved, retry_failed=False).withColumn("policy", F.lit("saved"))
     return retry.unionByName(skip)
@@ -175,18 +215,20 @@ def resume_anti_join(spark, sf_dir):
 
 @query(
     "resume_documents",
-    f"""WITH {TRANSLATED} SELECT _original_index AS doc_id, CASE WHEN _original_index IN
-      (SELECT _original_index FROM translated WHERE translation_text IS NOT NULL) THEN 'there' ELSE 'todo' END AS state FROM input""",
+    f"""WITH {SAVED} SELECT _original_index AS doc_id, CASE WHEN _original_index IN
+      (SELECT _original_index FROM saved WHERE translation_text IS NOT NULL) THEN 'there' ELSE 'todo' END AS state FROM input""",
 )
 def resume_documents(spark, sf_dir):
-    """A saved row without text stands for one that could not be read."""
-    docs = documents(spark, sf_dir).select("doc_id")
-    saved = _translated(spark, sf_dir).select(
-        F.col("_original_index").alias("doc_id"),
-        F.when(F.col("translation_text").isNull(), F.lit("?")).alias("_corrupt_record"),
-    )
-    todo, there = joins.resume_documents(docs, saved)
-    return todo.withColumn("state", F.lit("todo")).unionByName(there.withColumn("state", F.lit("there")))
+    """Saved rows as files; those of the documents that have to be done again were cut off half-way."""
+    path = scratch_path(spark, "saved_documents")
+    saved = _saved_table(spark, sf_dir).select(F.col("_original_index").alias("row_id"), "text", "translation_text")
+    line = F.to_json(F.struct("row_id", F.col("text").alias("original_text"), F.col("text").alias("reconstructed_text")))
+    cut = F.when(F.col("translation_text").isNull(), F.expr("left(line, length(line) div 2)")).otherwise(F.col("line"))
+    saved.withColumn("line", line).select(cut.alias("value")).write.text(path)
+    found = readers.scan_row_json(spark, path, "part-*", multi_line=False).withColumnRenamed("row_id", "doc_id")
+    todo, there = joins.resume_documents(documents(spark, sf_dir).select("doc_id"), found)
+    there = there.select("doc_id", F.lit("there").alias("state"))
+    return todo.withColumn("state", F.lit("todo")).unionByName(there)
 
 
 @query(
@@ -230,10 +272,10 @@ def sentence_map_join(spark, sf_dir):
 
 @query(
     "attach_results",
-    f"WITH {TRANSLATED} SELECT i._original_index, i.language, t.translation_text FROM input i LEFT JOIN translated t USING (_original_index)",
+    f"WITH {SAVED} SELECT i._original_index, i.language, t.translation_text FROM input i LEFT JOIN saved t USING (_original_index)",
 )
 def attach_results(spark, sf_dir):
-    results = _translated(spark, sf_dir).select("_original_index", "translation_text")
+    results = _saved_table(spark, sf_dir).select("_original_index", "translation_text")
     return joins.attach_results(input_text(spark, sf_dir).select("_original_index", "language"), results)
 
 
@@ -437,18 +479,6 @@ def job_summary(spark, sf_dir):
     return rounded(aggregates.job_summary(aggregates.document_score_stats(scored(spark, sf_dir))), "mean_of_means")
 
 
-@query(
-    "word_failures",
-    f"""WITH {SCORED}, f AS (SELECT source_file AS word, count(*) FILTER (comet_score IS NULL) AS failures FROM scored GROUP BY 1)
-    SELECT word, failures, failures = 250 AS all_failed FROM f WHERE failures > 0""",
-)
-def word_failures(spark, sf_dir):
-    rows = scored(spark, sf_dir).select(
-        F.col("source_file").alias("word"), F.when(F.col("comet_score").isNull(), F.lit("no score")).alias("error")
-    )
-    return aggregates.word_failures(rows, 250)
-
-
 @query(
     "processing_stats",
     "SELECT DISTINCT 'row_'||doc_id||'.json' AS file_name, (SELECT count(*) FROM documents) AS total_processed FROM documents ORDER BY 1",
@@ -569,9 +599,12 @@ def train_dev_split(spark, sf_dir):
 
 @query("union_files", f"WITH {SCORED} SELECT source_file, lang, count(*) AS rows, count(comet_score) AS scores FROM scored GROUP BY ALL")
 def union_files(spark, sf_dir):
-    rows = scored(spark, sf_dir)
-    files = [rows.filter(F.col("lang") == lang) for lang in ("en", "fr", "de", "es")]
-    return combine.union_aligned(files).groupBy("source_file", "lang").agg(
+    """One table file per language, in different orders of columns, united by one scan of the folder."""
+    path = scratch_path(spark, "per_language")
+    rows = scored(spark, sf_dir).select("source_file", "lang", "comet_score", "sentence_index")
+    rows.hint("rebalance", "lang").write.partitionBy("lang").parquet(path)
+    schema = "source_file string, comet_score double, sentence_index int, lang string"
+    return spark.read.schema(schema).parquet(path).groupBy("source_file", "lang").agg(
         F.count("*").alias("rows"), F.count("comet_score").alias("scores")
     )
 

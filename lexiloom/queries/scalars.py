@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from lexiloom.functions import budgets, languages, prompts, responses, results, text
@@ -306,12 +308,25 @@ def direction_from_filename(spark, sf_dir):
     CASE WHEN e IS NULL THEN lang ELSE '' END AS substituted_word,
     CASE WHEN e IS NULL THEN back_translation ELSE '' END AS substituted_sentence,
     comet_score AS kinyarwanda_word_score, comet_score AS kinyarwanda_sentence_score,
-    CASE WHEN e IS NULL THEN source_file ELSE '' END AS output_term, coalesce(e, '') AS error FROM r""",
+    coalesce(e, '') AS error, CASE WHEN e IS NULL THEN original_sentence END AS out_sentence, CASE WHEN e IS NULL THEN source_file END AS out_term,
+    CASE WHEN e IS NULL THEN forward_translation END AS out_translation, CASE WHEN e IS NULL THEN lang END AS out_word,
+    CASE WHEN e IS NULL THEN back_translation END AS out_substituted, CASE WHEN e IS NULL THEN comet_score END AS out_word_score,
+    CASE WHEN e IS NULL THEN comet_score END AS out_sentence_score FROM r""",
 )
 def flatten_result(spark, sf_dir):
-    flat = _flattened(spark, sf_dir)
-    term = F.coalesce(F.get_json_object("full_output", "$.translated_descriptive_word"), F.lit(""))
-    return flat.withColumn("output_term", term).drop("full_output")
+    """The whole object that ``full_output`` holds, next to the flat columns."""
+    names = {
+        "original_sentence": "out_sentence",
+        "translated_descriptive_word": "out_term",
+        "translated_substituted_sentence": "out_translation",
+        "descriptive_word": "out_word",
+        "substituted_sentence": "out_substituted",
+        "word_score": "out_word_score",
+        "sentence_score": "out_sentence_score",
+    }
+    schema = ", ".join(f"{n} {'double' if n.endswith('score') else 'string'}" for n in names)
+    flat = _flattened(spark, sf_dir).withColumn("_output", F.from_json("full_output", schema))
+    return flat.withColumns({out: F.col(f"_output.{n}") for n, out in names.items()}).drop("full_output", "_output")
 
 
 def _flattened(spark, sf_dir):
@@ -442,11 +457,18 @@ def is_error(spark, sf_dir):
 
 @query(
     "run_metadata",
-    f"WITH {INPUT} SELECT _original_index, 'run-1' AS run_id, 'cipher' AS provider, TRUE AS stamped FROM input",
+    f"WITH {INPUT} SELECT _original_index, 'run-1' AS run_id, 'cipher' AS provider, TRUE AS stamped, TRUE AS timed FROM input",
 )
 def run_metadata(spark, sf_dir):
-    tagged = results.run_metadata(input_text(spark, sf_dir), "run-1", "cipher")
-    return tagged.select("_original_index", "run_id", "provider", F.col("created_at").isNotNull().alias("stamped"))
+    started = datetime.now(timezone.utc) - timedelta(seconds=2)
+    tagged = results.run_metadata(input_text(spark, sf_dir), "run-1", "cipher", started)
+    return tagged.select(
+        "_original_index",
+        "run_id",
+        "provider",
+        F.col("created_at").isNotNull().alias("stamped"),
+        F.col("duration_ms").between(2_000, 600_000).alias("timed"),
+    )
 
 
 @query(

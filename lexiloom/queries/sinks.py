@@ -24,6 +24,7 @@ from lexiloom.queries.base import (
     table,
     words_sql,
 )
+from lexiloom.queries.standins import CODED, PLAIN
 from lexiloom.session import scratch_path
 from lexiloom.sources import committed, readers, writers
 
@@ -118,66 +119,130 @@ def scan_text_folder(spark, sf_dir):
     return readers.scan_documents(spark, _export_text_files(spark, sf_dir)).orderBy("file_name")
 
 
-@query("read_jsonl_chunks", "SELECT conv_id, turn, role, text FROM conversations")
+@query(
+    "read_jsonl_chunks",
+    """SELECT conv_id, turn, role, text, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 100 AS chunk_id,
+    (row_number() OVER (ORDER BY conv_id, turn) - 1) % 100 AS chunk_line FROM conversations""",
+)
 def read_jsonl_chunks(spark, sf_dir):
     path = scratch_path(spark, "conversations")
-    table(spark, sf_dir, "conversations").write.json(path)
-    return readers.read_json_lines(spark, path, "conv_id long, turn long, role string, text string")
+    table(spark, sf_dir, "conversations").orderBy("conv_id", "turn").write.json(path)
+    schema = "conv_id long, turn long, role string, text string"
+    return readers.read_json_chunks(spark, path, schema, 100).drop(readers.CORRUPT)
 
 
 def _row_json(spark, sf_dir):
+    """Documents with the result of every sentence and the counts of the document."""
     docs = documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"), F.col("text").alias("original_text"))
     from lexiloom.functions.text import split_sentences
 
-    return docs.withColumn("sentences", split_sentences(F.col("original_text"))).withColumn(
-        "reconstructed_text", F.array_join("sentences", " ")
+    good = lambda s: F.char_length(s) >= 40
+    result = lambda s: F.struct(
+        s.alias("source"),
+        F.when(good(s), F.translate(s, PLAIN, CODED)).alias("translation"),
+        F.when(good(s), s).alias("backtranslation"),
+        F.when(good(s), F.char_length(s) / F.lit(4.0)).alias("score"),
+        F.when(good(s), F.lit(0.5)).alias("temperature"),
+        F.when(good(s), F.lit("accepted")).otherwise(F.lit("discarded")).alias("status"),
     )
+    total = F.size("sentences").cast("long")
+    done = F.size(F.filter("sentences", good)).cast("long")
+    scores = F.aggregate("translated_sentences", F.lit(0.0), lambda a, r: a + F.coalesce(r["score"], F.lit(0.0)))
+    metadata = F.struct(
+        total.alias("total_sentences"),
+        done.alias("translated_sentences"),
+        (total - done).alias("discarded_sentences"),
+        F.when(total > 0, done * 100.0 / total).otherwise(F.lit(0.0)).alias("success_rate"),
+        F.when(done > 0, scores / done).otherwise(F.lit(0.0)).alias("avg_score"),
+    )
+    rows = docs.withColumn("sentences", split_sentences(F.col("original_text")))
+    rows = rows.withColumn("translated_sentences", F.transform("sentences", result))
+    return rows.withColumns({"reconstructed_text": F.array_join("sentences", " "), "metadata": metadata})
 
 
-def _readable(rows):
-    return rows.filter(F.col(readers.CORRUPT).isNull()).drop(readers.CORRUPT)
+def _nested(rows):
+    """The nested parts of saved rows as plain columns."""
+    listed = lambda field, default: F.array_join(
+        F.transform("translated_sentences", lambda r: F.coalesce(r[field].cast("string"), F.lit(default))), "|"
+    )
+    return rows.select(
+        "row_id",
+        F.size("sentences").alias("sentences"),
+        "reconstructed_text",
+        listed("source", "").alias("sources"),
+        listed("translation", "-").alias("translations"),
+        listed("status", "").alias("statuses"),
+        F.round(F.aggregate("translated_sentences", F.lit(0.0), lambda a, r: a + F.coalesce(r["score"], F.lit(0.0))), 6).alias("score_sum"),
+        "metadata.total_sentences",
+        "metadata.translated_sentences",
+        "metadata.discarded_sentences",
+        F.round("metadata.success_rate", 6).alias("success_rate"),
+        F.round("metadata.avg_score", 6).alias("avg_score"),
+    )
 
 
-ROW_JSON_SQL = f"""WITH {SENTENCES} SELECT d.doc_id AS row_id, len(p.parts)::INT AS sentences,
-    array_to_string(p.parts, ' ') AS reconstructed_text FROM documents d JOIN split_docs p USING (doc_id)"""
+def _row_json_sql(where: str = "true") -> str:
+    good = "len(list_filter(parts, lambda s: length(s) >= 40))"
+    total = "list_sum(list_transform(list_filter(parts, lambda s: length(s) >= 40), lambda s: length(s)/4.0::DOUBLE))"
+    return f"""WITH {SENTENCES} SELECT doc_id AS row_id, len(parts)::INT AS sentences, array_to_string(parts, ' ') AS reconstructed_text,
+    array_to_string(parts, '|') AS sources,
+    array_to_string(list_transform(parts, lambda s: CASE WHEN length(s) >= 40 THEN translate(s, '{PLAIN}', '{CODED}') ELSE '-' END), '|') AS translations,
+    array_to_string(list_transform(parts, lambda s: CASE WHEN length(s) >= 40 THEN 'accepted' ELSE 'discarded' END), '|') AS statuses,
+    round(coalesce({total}, 0), 6) AS score_sum, len(parts)::BIGINT AS total_sentences, {good}::BIGINT AS translated_sentences,
+    (len(parts) - {good})::BIGINT AS discarded_sentences,
+    round(CASE WHEN len(parts) > 0 THEN {good}*100.0::DOUBLE/len(parts) ELSE 0 END, 6) AS success_rate,
+    round(CASE WHEN {good} > 0 THEN {total}/{good} ELSE 0 END, 6) AS avg_score FROM split_docs WHERE {where}"""
 
 
-@query("scan_row_json", ROW_JSON_SQL)
-def scan_row_json(spark, sf_dir):
+# Saved rows that were cut off half-way: one document in twenty.
+CUT_OFF = "doc_id % 20 = 7"
+
+
+def _saved_rows(spark, sf_dir) -> str:
+    """A folder of saved rows, some of which end in the middle."""
     path = scratch_path(spark, "rows")
-    writers.write_row_json(_row_json(spark, sf_dir), path)
-    return readers.scan_row_json(spark, path, "*.json", multi_line=False).select(
-        "row_id", F.size("sentences").alias("sentences"), "reconstructed_text"
-    )
+    rows = _row_json(spark, sf_dir)
+    writers.write_row_json(rows.filter("row_id % 20 <> 7"), f"{path}/whole")
+    broken = rows.filter("row_id % 20 = 7").select(F.to_json(F.struct("*")).alias("value"))
+    broken.select(F.expr("left(value, length(value) div 2)").alias("value")).write.option("lineSep", "\n").text(f"{path}/cut")
+    return path
+
 
+def _readable(rows):
+    return rows.filter(F.col(readers.CORRUPT).isNull()).drop(readers.CORRUPT)
 
-@query("write_row_json", ROW_JSON_SQL)
+
+@query("scan_row_json", _row_json_sql(f"NOT ({CUT_OFF})"))
+def scan_row_json(spark, sf_dir):
+    """Rows that can be read; the cut-off ones are left over."""
+    found = readers.scan_row_json(spark, _saved_rows(spark, sf_dir), "part-*", multi_line=False)
+    return _nested(_readable(found))
+
+
+@query("write_row_json", _row_json_sql())
 def write_row_json(spark, sf_dir):
     path = scratch_path(spark, "rows")
     writers.write_row_json(_row_json(spark, sf_dir), path)
-    found = spark.read.schema(readers.ROW_JSON_SCHEMA).json(path)
-    return found.select("row_id", F.size("sentences").alias("sentences"), "reconstructed_text")
+    return _nested(spark.read.schema(readers.ROW_JSON_SCHEMA).json(path))
 
 
-@query("aggregate_row_json", ROW_JSON_SQL + " ORDER BY row_id")
+@query("aggregate_row_json", _row_json_sql(f"NOT ({CUT_OFF})") + " ORDER BY row_id")
 def aggregate_row_json(spark, sf_dir):
     """Rows saved one by one, then merged in order of their id."""
-    path = scratch_path(spark, "rows")
-    writers.write_row_json(_row_json(spark, sf_dir), f"{path}/single")
-    writers.aggregate_row_json(_readable(readers.scan_row_json(spark, f"{path}/single", "*.json", multi_line=False)), f"{path}/all")
-    return readers.scan_row_json(spark, f"{path}/all", "*.json", multi_line=False).select(
-        "row_id", F.size("sentences").alias("sentences"), "reconstructed_text"
-    )
+    found = readers.scan_row_json(spark, _saved_rows(spark, sf_dir), "part-*", multi_line=False)
+    path = scratch_path(spark, "all_rows")
+    writers.aggregate_row_json(_readable(found), path)
+    return _nested(readers.scan_row_json(spark, path, "*.json", multi_line=False))
 
 
 @query(
     "load_parallel_benchmark",
-    f"WITH {PAIRS} SELECT pair_id, sentence_en, sentence_fr FROM pairs ORDER BY pair_id LIMIT 50",
+    f"WITH {PAIRS} SELECT pair_id, sentence_en, sentence_fr FROM pairs",
 )
 def load_parallel_benchmark(spark, sf_dir):
     path = f"{scratch_path(spark, 'benchmark')}/test.parquet"
     pairs(spark, sf_dir).withColumnsRenamed({"sentence_en": "en", "sentence_fr": "fr"}).write.parquet(path)
-    return readers.load_parallel_benchmark(spark, path, "en", "fr", 50, "pair_id")
+    return readers.load_parallel_benchmark(spark, path, "en", "fr")
 
 
 @query(
@@ -260,25 +325,6 @@ def write_documents(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(
-    "write_metrics_report",
-    f"""WITH {DIRECTED}, c AS (SELECT direction, count(*) AS n FROM directed GROUP BY 1)
-    SELECT d.direction, d.source, d.translation, d.target AS reference, c.n AS num_samples
-    FROM directed d JOIN c USING (direction)""",
-)
-def write_metrics_report(spark, sf_dir):
-    path = scratch_path(spark, "report")
-    rows = directed(spark, sf_dir)
-    writers.write_report(rows.groupBy("direction").agg(F.count("*").alias("num_samples")), rows, path)
-    metrics = spark.read.schema("direction string, num_samples long").json(f"{path}/metrics")
-    lines = spark.read.schema("direction string, source string, translation string, reference string").json(
-        f"{path}/translations"
-    )
-    from lexiloom.operators.skew import salted_join
-
-    return salted_join(lines, metrics, ["direction"], ["source"])
-
-
 @query(
     "write_direction_csv",
     f"WITH {DIRECTED} SELECT pair_id, replace(direction,'->','-') AS direction, source, target, translation FROM directed",

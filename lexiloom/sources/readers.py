@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import os
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
+from operator import and_
 from pathlib import PurePosixPath
 
 import pandas as pd
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiloom.session import written
+
 CSV_OPTIONS = {
     "header": True,
     "multiLine": True,  # quoted line ends; a file is then one task, so turn it off where texts have none
@@ -132,65 +138,71 @@ def scan_results(
     return _parted(found, fields)
 
 
-def headers_by_file(spark: SparkSession, folder: str, pattern: str = "*.tsv") -> DataFrame:
-    """``path, header`` of every file.  Tasks read first lines only."""
-    paths = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path")
-    )
+PARSED = "kind string, path string, header string, values array<string>, record string"
 
-    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            headers = []
-            for path in batch["path"]:
-                with _open(path) as stream:
-                    head = b""
-                    while b"\n" not in head and (block := stream.read(4096)):
-                        head += block
-                headers.append(head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-            yield batch.assign(header=headers)
 
-    return paths.mapInPandas(first_lines, "path string, header string")
+def _parsed_file(path: str, names: list[str], required: str) -> Iterator[tuple]:
+    """``(kind, path, header, values, record)`` of every record of a tab-separated file, read by its own header.
 
+    ``kind`` is row, rejected (a record with another number of fields than the header) or skipped (the file: it has
+    no such column or cannot be read).
+    """
+    header = None
+    try:
+        with _open(path) as stream, io.TextIOWrapper(stream, encoding="utf-8-sig", newline="") as text:
+            lines = csv.reader(text, delimiter="\t", quotechar='"', doublequote=True)
+            columns = next(lines, None)
+            header = None if columns is None else "\t".join(columns)
+            if columns is None or required not in columns:
+                yield "skipped", path, header, None, f"no column {required}"
+                return
+            at = [columns.index(n) if n in columns else None for n in names]
+            for record in lines:
+                if len(record) == len(columns):
+                    yield "row", path, None, [None if i is None or record[i] == "" else record[i] for i in at], None
+                elif record:
+                    yield "rejected", path, None, None, "\t".join(record)
+    except (OSError, UnicodeDecodeError, csv.Error) as problem:
+        yield "skipped", path, header, None, f"{type(problem).__name__}: {problem}"
 
-def scan_mixed_results(
-    spark: SparkSession, folder: str, required: str = "comet_score", schema: str = RESULT_SCHEMA
-) -> tuple[DataFrame, DataFrame]:
-    """``(rows, skipped files)`` of a folder whose files do not all have the same columns.
 
-    Files without the required column are skipped and reported.  One scan per distinct header; their
-    number is that of file formats, not of files.
+def scan_mixed_results(
+    spark: SparkSession, folder: str, required: str = "comet_score", schema: str = RESULT_SCHEMA, pattern: str = "*.tsv"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(rows, rejected, skipped)`` of a folder whose files do not all have the same columns.
+
+    The files of the folder are a table of paths, dealt to tasks; a task reads each of its files by that file's own
+    header, so one scan serves any number of formats.  Columns that a file lacks are null, columns that the schema lacks
+    are left out.  A record that does not fit its header, or whose fields do not fit the types (then they come in the
+    order of the schema), is rejected with its text and file; a file
+    without the required column, or that cannot be read to its end, is reported with the reason.  What was read of
+    such a file before counts.  The three results share one parse, which is written once.
     """
-    headers = headers_by_file(spark, folder).cache()
-    if headers.isEmpty():
-        raise ValueError(f"No TSV files found in {folder}")
-    types = {f.name: f for f in T._parse_datatype_string(schema).fields}
-    tables = []
-    for row in headers.select("header").distinct().collect():
-        names = row["header"].split("\t")
-        if required not in names:
-            continue
-        files = [r["path"] for r in headers.filter(F.col("header") == row["header"]).toLocalIterator()]
-        fields = T.StructType([types.get(n, T.StructField(n, T.StringType())) for n in names])
-        tables.append(
-            spark.read.options(**CSV_OPTIONS)
-            .option("sep", "\t")
-            .option("mode", "FAILFAST")
-            .schema(fields)
-            .csv(files)
-            .withColumn("source_file", F.col("_metadata.file_name"))
-        )
-    if not tables:
-        raise ValueError(f"No file in {folder} has the column {required!r}")
-    from lexiloom.operators.combine import union_aligned
+    _need_files(spark, folder, pattern)
+    fields = T._parse_datatype_string(schema).fields
+    names = [f.name for f in fields]
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    paths = listing.load(folder).select("path")
 
-    skipped = headers.filter(~F.array_contains(F.split("header", "\t"), required)).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "header"
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                records = _parsed_file(path, names, required)
+                while part := list(islice(records, 10_000)):
+                    yield pd.DataFrame(part, columns=["kind", "path", "header", "values", "record"])
+
+    parsed = written(paths.repartition("path").mapInPandas(parse, PARSED), "parsed_files")
+    file = F.element_at(F.split("path", "/"), -1)
+    given = parsed.filter("kind = 'row'").select(
+        *[F.get("values", F.lit(i)).alias(f"_{f.name}") for i, f in enumerate(fields)], "values", "path", file.alias("source_file")
     )
-    return union_aligned(tables), skipped
+    typed = given.withColumns({f.name: F.col(f"_{f.name}").try_cast(f.dataType) for f in fields})
+    fits = reduce(and_, [F.col(f"_{n}").isNull() | F.col(n).isNotNull() for n in names])
+    rows = typed.filter(fits).select(*names, "source_file", F.col("path").alias("source_path"))
+    misfits = typed.filter(~fits).select("source_file", F.array_join("values", "\t", "").alias(CORRUPT))
+    short = parsed.filter("kind = 'rejected'").select(file.alias("source_file"), F.col("record").alias(CORRUPT))
+    skipped = parsed.filter("kind = 'skipped'").select(file.alias("file"), "path", "header", F.col("record").alias("reason"))
+    return rows, misfits.unionByName(short), skipped
 
 
 def scan_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,11 +222,31 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType)
     return spark.read.schema(schema).json(path)
 
 
-def iterate_chunks(df: DataFrame, chunk_size: int = 1000) -> Iterator[list[dict]]:
-    """Lists of at most ``chunk_size`` rows for a consumer outside Spark; one partition is held at a time."""
-    rows = (row.asDict(recursive=True) for row in df.toLocalIterator())
-    while chunk := list(islice(rows, chunk_size)):
-        yield chunk
+def read_json_chunks(spark: SparkSession, path: str, schema: str, chunk_size: int = 1000) -> DataFrame:
+    """JSON lines with the number of their chunk: ``chunk_size`` lines each, in the order of files and lines.
+
+    Every task counts the lines of its byte ranges; sums over the ranges before it, one row per range, make a line's number.
+    Blank lines do not count.  A line that is no JSON of that schema has its text in ``_corrupt_record``.
+
+    Adds ``chunk_id`` and ``chunk_line``, the place in the chunk.
+    """
+    lines = (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+        .filter(F.trim("value") != "")
+        .withColumn("_mark", F.monotonically_increasing_id())
+    )
+    ranges = lines.groupBy("_file", "_start").agg(F.min("_mark").alias("_first"), F.count("*").alias("_lines"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)  # one row per byte range
+    bases = written(ranges.withColumn("_base", F.coalesce(F.sum("_lines").over(before), F.lit(0))).drop("_lines"), "ranges")
+    number = F.col("_base") + F.col("_mark") - F.col("_first")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", f"{schema}, {CORRUPT} string", options)
+    return (
+        lines.join(bases, ["_file", "_start"])
+        .select(parsed.alias("_row"), number.alias("_line"))
+        .select("_row.*", F.floor(F.col("_line") / chunk_size).alias("chunk_id"), (F.col("_line") % chunk_size).alias("chunk_line"))
+    )
 
 
 def scan_row_json(

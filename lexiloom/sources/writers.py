@@ -74,7 +74,8 @@ def aggregate_row_json(rows: DataFrame, path: str) -> None:
 def write_report(metrics: DataFrame, translations: DataFrame, path: str) -> None:
     """Metric rows and (source, translation, reference) lines as JSON."""
     metrics.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(f"{path}/metrics")
-    lines = translations.select("direction", "source", "translation", F.col("target").alias("reference"))
+    keys = [c for c in translations.columns if c not in ("source", "translation", "target")]
+    lines = translations.select(*keys, "source", "translation", F.col("target").alias("reference"))
     lines.hint("rebalance", "direction").write.mode("overwrite").partitionBy("direction").json(f"{path}/translations")
 
 

@@ -280,12 +280,25 @@ def test_saved_arrow_dataset(spark, tmp_path):
 def test_mixed_result_folder(spark, tmp_path):
     good = "sentence_index\toriginal_sentence\tcomet_score\n0\tx\t0.5\n"
     (tmp_path / "row_1.tsv").write_text(good)
-    (tmp_path / "row_2.tsv").write_text("comet_score\tsentence_index\n0.7\t3\n")
+    (tmp_path / "row_2.tsv").write_text("comet_score\tsentence_index\tunknown\n0.7\t3\tq\n")
     (tmp_path / "row_3.tsv").write_text("sentence_index\toriginal_sentence\n0\ty\n")
-    rows, skipped = readers.scan_mixed_results(spark, str(tmp_path))
-    found = rows.orderBy("source_file").select("source_file", "sentence_index", "comet_score").collect()
-    assert [tuple(r) for r in found] == [("row_1.tsv", 0, 0.5), ("row_2.tsv", 3, 0.7)]
-    assert [r["file"] for r in skipped.collect()] == ["row_3.tsv"]
+    (tmp_path / "row_4.tsv").write_text('comet_score\toriginal_sentence\n0.1\t"two\nlines ""q"""\nx\ty\n0.2\n0.3\t\n')
+    (tmp_path / "row_5.tsv").write_bytes(b"comet_score\toriginal_sentence\n0.4\tok\n0.5\t\xff\xfe\n")
+    (tmp_path / "row_6.tsv").write_text("")
+    rows, rejected, skipped = readers.scan_mixed_results(spark, str(tmp_path))
+    found = rows.select("source_file", "sentence_index", "original_sentence", "comet_score").collect()
+    want = [
+        ("row_1.tsv", 0, "x", 0.5), ("row_2.tsv", 3, None, 0.7), ("row_4.tsv", None, 'two\nlines "q"', 0.1), ("row_4.tsv", None, None, 0.3)
+    ]
+    assert [t for t in sorted(map(tuple, found), key=str) if t[0] != "row_5.tsv"] == want
+    assert sorted(r["source_file"] for r in rejected.collect()) == ["row_4.tsv", "row_4.tsv"]
+    assert sorted(r[readers.CORRUPT].strip() for r in rejected.collect()) == ["0.2", "y\t\t\tx"]
+    reasons = {r["file"]: r["reason"] for r in skipped.collect()}
+    assert set(reasons) == {"row_3.tsv", "row_5.tsv", "row_6.tsv"} and reasons["row_3.tsv"] == "no column comet_score"
+    assert "UnicodeDecodeError" in reasons["row_5.tsv"]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError, match="No .* files"):
+        readers.scan_mixed_results(spark, str(tmp_path / "none"))
 
 
 def test_result_folder_names_its_files(spark, tmp_path):
@@ -315,9 +328,26 @@ def test_row_json_indented_and_unreadable(spark, tmp_path):
     assert [r[readers.CORRUPT] for r in found.filter("row_id IS NULL").collect()] == ["{broken"]
 
 
-def test_chunked_iteration(spark):
-    chunks = list(readers.iterate_chunks(spark.range(25).coalesce(1), 10))
-    assert [len(c) for c in chunks] == [10, 10, 5] and chunks[0][0] == {"id": 0}
+def test_json_lines_in_chunks(spark, tmp_path):
+    """Chunks follow the order of files and lines, also where a file is read in many byte ranges."""
+    n = 0
+    for part in range(3):
+        lines = []
+        for _ in range(700 + part):
+            lines.append("" if n % 50 == 9 else "{broken" if n % 100 == 5 else json.dumps({"id": n, "text": "x" * (n % 60)}))
+            n += 1
+        (tmp_path / f"part-{part}.jsonl").write_text("\n".join(lines) + "\n")
+    kept = [i for i in range(n) if i % 50 != 9]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("4096", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = readers.read_json_chunks(spark, str(tmp_path), "id long, text string", 100).orderBy("chunk_id", "chunk_line").collect()
+            assert [(r["chunk_id"], r["chunk_line"]) for r in rows] == [divmod(i, 100) for i in range(len(kept))]
+            assert [r["id"] for r in rows] == [None if i % 100 == 5 else i for i in kept]
+            assert all((r[readers.CORRUPT] == "{broken") == (r["id"] is None) for r in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_text_folder(spark, tmp_path):
