@@ -18,6 +18,17 @@ HEADLINE = (
 ).split()
 
 
+def dealt(spark, sf_dir: str, cpus: int) -> str:
+    """The tables that the headline queries read, in as many row groups as twice the cores."""
+    from lexiloom.session import scratch_path
+
+    path = scratch_path(spark, os.path.basename(sf_dir.rstrip("/")))
+    for name in ("documents", "conversations"):
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table.repartition(2 * cpus).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
 def main() -> None:
     from lexiloom.queries import queries
     from lexiloom.session import build_session
@@ -39,6 +50,11 @@ def main() -> None:
     # The first job starts Python workers and compiles; it is not part of any query.
     registered["translate"](spark, sf_dir.replace("sf0.1", "sf0.001")).write.format("noop").mode("overwrite").save()
     seconds = {}
+    if len(names) > 1:
+        # The files hold one row group each, which is one task; they are dealt to more once, and that counts.
+        start = time.perf_counter()
+        sf_dir = dealt(spark, sf_dir, int(cpus))
+        seconds["deal_tables"] = round(time.perf_counter() - start, 3)
     for name in names:
         start = time.perf_counter()
         registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -5,33 +5,37 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiloom.plans.translate import translate_table
-from lexiloom.queries.base import INPUT, PAIR, SCORED, backward_sql, forward_sql, input_text, query, rounded, scored, table
-from lexiloom.queries.jobs import CIPHER
+from lexiloom.queries.base import INPUT, PAIR, SCORED, input_text, query, rounded, scored, table
+from lexiloom.queries.jobs import CHUNKED, CIPHER
+from lexiloom.queries.scalars import CHUNK_WORDS
 from lexiloom.session import scratch_path
 from lexiloom.streaming import jobs
 
-FILES = 4
 INPUT_SCHEMA = "_original_index long, text string, language string, source string"
 
 
+ROWS = 5_000  # in a file, at most
+
+
 def _arrivals(spark, df, name: str) -> str:
+    """A table as files of bounded size, as many as its rows make."""
     path = scratch_path(spark, name)
-    df.repartition(FILES).write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS).parquet(path)
     return path
 
 
 @query(
     "stream_translate",
-    f"""WITH {INPUT} SELECT _original_index, language, CASE language WHEN 'en' THEN {forward_sql('text', '0')}
-      ELSE trim({backward_sql('text')}, ' '||chr(9)||chr(10)) END AS translation_text FROM input WHERE language IN ('en','fr')""",
+    f"""WITH RECURSIVE {INPUT}, todo AS (SELECT * FROM input WHERE language IN ('en','fr')), {CHUNKED}
+    SELECT _original_index, language, translation_text FROM done""",
 )
 def stream_translate(spark, sf_dir):
     path = _arrivals(spark, input_text(spark, sf_dir), "arrivals")
-    stream = jobs.file_stream(spark, path, INPUT_SCHEMA, files_per_trigger=2)
+    stream = jobs.file_stream(spark, path, INPUT_SCHEMA, files_per_trigger=8)
     output, checkpoint = scratch_path(spark, "translated"), scratch_path(spark, "checkpoint")
 
     def transform(rows):
-        done = translate_table(rows, CIPHER, "cipher", PAIR, max_words=1_000_000)
+        done = translate_table(rows, CIPHER, "cipher", PAIR, max_words=CHUNK_WORDS)
         return done.select("_original_index", "language", "translation_text")
 
     jobs.append_stream(stream, transform, output, checkpoint).awaitTermination()
@@ -48,7 +52,7 @@ def stream_chunks(spark, sf_dir):
         measured = chunk.select("conv_id", "turn", "role", F.char_length("text").alias("chars"))
         measured.write.mode("overwrite").parquet(f"{output}/chunk={number}")
 
-    stream = jobs.file_stream(spark, path, schema, files_per_trigger=1)
+    stream = jobs.file_stream(spark, path, schema, files_per_trigger=8)
     jobs.chunk_stream(stream, handle, scratch_path(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(output).drop("chunk")
 
@@ -60,7 +64,7 @@ def stream_chunks(spark, sf_dir):
 )
 def stream_score_stats(spark, sf_dir):
     path = _arrivals(spark, scored(spark, sf_dir).select("source_file", "comet_score"), "scores")
-    stream = jobs.file_stream(spark, path, "source_file string, comet_score double", files_per_trigger=1)
+    stream = jobs.file_stream(spark, path, "source_file string, comet_score double", files_per_trigger=8)
     output = scratch_path(spark, "stats")
     jobs.score_stats_stream(stream, output, scratch_path(spark, "checkpoint")).awaitTermination()
     return rounded(jobs.latest_stats(spark, output), "average_score")
@@ -68,10 +72,14 @@ def stream_score_stats(spark, sf_dir):
 
 @query("stream_resume_dedup", f"WITH {INPUT} SELECT _original_index, language, length(text)::INT AS chars FROM input")
 def stream_resume_dedup(spark, sf_dir):
-    """Every row arrives twice, in different files."""
-    rows = input_text(spark, sf_dir).select("_original_index", "language", F.char_length("text").alias("chars"))
+    """Every row arrives twice, in different files; keys are remembered for a day of event time."""
+    rows = input_text(spark, sf_dir).select(
+        "_original_index", "language", F.char_length("text").alias("chars"),
+        F.timestamp_seconds(1_700_000_000 + F.col("_original_index") % 3600).alias("arrived"),
+    )
     path = _arrivals(spark, rows.unionByName(rows), "twice")
-    stream = jobs.file_stream(spark, path, "_original_index long, language string, chars int", files_per_trigger=1)
+    schema = "_original_index long, language string, chars int, arrived timestamp"
+    stream = jobs.file_stream(spark, path, schema, files_per_trigger=8)
     output = scratch_path(spark, "unique")
-    jobs.dedup_stream(stream, output, scratch_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(output)
+    jobs.dedup_stream(stream, output, scratch_path(spark, "checkpoint"), event_time="arrived").awaitTermination()
+    return spark.read.parquet(output).drop("arrived")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.session import scratch_path, table_exists
+from lexiloom.session import remove, scratch_path, table_exists
 
 BATCHES = 8
 RECORD = "folder string, run string, batch long, replaces array<string>"
@@ -60,12 +60,29 @@ class CommittedTable:
         folders = self.folders(run)
         return self.spark.read.parquet(*[f"{self.path}/batches/{f}" for f in folders]) if folders else None
 
-    def compact(self, fold: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
-        """One folder for all there are, its rows passed through ``fold``; readers see all or nothing of the change."""
+    def last(self, run: str) -> int:
+        """Largest batch number that a run has committed, -1 before the first."""
+        records = self.records()
+        found = None if records is None else records.filter(F.col("run") == run).agg(F.max("batch")).first()[0]
+        return -1 if found is None else found
+
+    def compact(self, fold: Callable[[DataFrame], DataFrame] = lambda df: df, run: str = "compact") -> None:
+        """One folder for all there are, their rows passed through ``fold``; readers see all or nothing of the change.
+
+        The new folder stands for the last batch of ``run``.  What the compaction before this one replaced is deleted,
+        with its records; what this one replaces stays until the next, for readers that hold its folders.
+        """
+        records = self.records()
         folders = self.folders()
-        if len(folders) > 1:
-            rows = self.spark.read.parquet(*[f"{self.path}/batches/{f}" for f in folders])
-            self.commit(self.stage(fold(rows), "compact", 0), "compact", 0, folders)
+        if records is None or len(folders) < 2:
+            return
+        stale = sorted({f for r in records.select("replaces").collect() for f in r["replaces"] or ()})
+        rows = self.spark.read.parquet(*[f"{self.path}/batches/{f}" for f in folders])
+        batch = max(self.last(run), 0)
+        self.commit(self.stage(fold(rows), run, batch), run, batch, folders)
+        for folder in stale:
+            remove(self.spark, f"{self.path}/batches/{folder}")
+            remove(self.spark, f"{self.path}/commits/{folder}")
 
 
 def append_as_completed(

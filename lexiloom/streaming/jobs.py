@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lexiloom.sources.committed import CommittedTable
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int | None = None
@@ -45,38 +47,69 @@ def chunk_stream(
     )
 
 
+_PARTIAL = "num_scores long, total double, min_score double, max_score double, rows long"
+STREAM = "stream"  # name of the run that micro-batches commit under
+EPOCHS = 10  # micro-batches between compactions
+
+
+def _folded(partials: DataFrame) -> DataFrame:
+    """Partial statistics of a file merge into one row; it does not matter how the rows were split."""
+    return partials.groupBy("file").agg(
+        F.sum("num_scores").alias("num_scores"),
+        F.sum("total").alias("total"),
+        F.min("min_score").alias("min_score"),
+        F.max("max_score").alias("max_score"),
+        F.sum("rows").alias("rows"),
+    )
+
+
 def score_stats_stream(
-    stream: DataFrame, output: str, checkpoint: str, file: str = "source_file", score: str = "comet_score"
+    stream: DataFrame,
+    output: str,
+    checkpoint: str,
+    file: str = "source_file",
+    score: str = "comet_score",
+    epochs: int = EPOCHS,
 ) -> StreamingQuery:
-    """Running quality statistics per file.
+    """Running quality statistics per file, without state in the stream.
 
-    Each micro-batch writes the files it changed below its own ``epoch`` folder; a repeated batch
-    overwrites its folder.  ``latest_stats`` reads the newest row per file.
+    Each micro-batch commits the partial statistics of its own rows; one that is repeated after a failure finds its
+    commit and adds nothing.  Every ``epochs`` micro-batches the partials fold into a base table by one commit, so that the
+    table holds a bounded number of folders however long the stream runs.  ``latest_stats`` merges what is there.
     """
-    stats = stream.groupBy(F.col(file).alias("file")).agg(
-        F.count(score).alias("num_scores"),
-        F.avg(score).alias("average_score"),
-        F.min(score).alias("min_score"),
-        F.max(score).alias("max_score"),
-    )
-
-    def write(changed: DataFrame, epoch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
+    table = CommittedTable(stream.sparkSession, output)
+
+    def write(rows: DataFrame, epoch: int) -> None:
+        if epoch <= table.last(STREAM):
+            return
+        partial = rows.groupBy(F.col(file).alias("file")).agg(
+            F.count(score).alias("num_scores"),
+            F.sum(score).alias("total"),
+            F.min(score).alias("min_score"),
+            F.max(score).alias("max_score"),
+            F.count("*").alias("rows"),
+        )
+        table.append(partial, STREAM, epoch)
+        if len(table.folders()) > epochs:
+            table.compact(_folded, STREAM)
 
     return (
-        stats.writeStream.outputMode("update")
-        .foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_stats(spark: SparkSession, output: str, key: str = "file") -> DataFrame:
-    history = spark.read.parquet(output)
-    rest = [c for c in history.columns if c not in (key, "epoch")]
-    newest = history.groupBy(key).agg(F.max_by(F.struct(*rest), "epoch").alias("_last"))
-    return newest.select(key, "_last.*").filter(F.col("num_scores") > 0)
+def latest_stats(spark: SparkSession, output: str) -> DataFrame:
+    """Statistics per file over everything committed; files without a score are left out."""
+    partials = CommittedTable(spark, output).read()
+    if partials is None:
+        partials = spark.createDataFrame([], f"file string, {_PARTIAL}")
+    merged = _folded(partials).filter(F.col("num_scores") > 0)
+    return merged.select(
+        "file", "num_scores", (F.col("total") / F.col("num_scores")).alias("average_score"), "min_score", "max_score"
+    )
 
 
 def dedup_stream(
@@ -85,8 +118,8 @@ def dedup_stream(
 ) -> StreamingQuery:
     """Pass every key once, across batches and restarts.
 
-    Without an event time the state holds every key seen (8 bytes or so each, spread over the state
-    stores).  With one, keys are forgotten ``lateness`` after the watermark, which bounds the state.
+    With an event time, keys are forgotten ``lateness`` after the watermark, which bounds the state by what arrives in
+    that time.  Without one the state holds every key seen.
     """
     if event_time is None:
         unique = stream.dropDuplicates([key])

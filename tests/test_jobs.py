@@ -378,6 +378,59 @@ def test_stream_restarts_from_its_checkpoint(spark, tmp_path):
     assert run() == list(range(15))
 
 
+def test_keys_are_remembered_for_a_time_and_across_a_restart(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def arrive(first, last, day):
+        rows = spark.range(first, last).selectExpr("id AS _original_index", f"timestamp_seconds(1700000000 + {day} * 86400) AS at")
+        rows.coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = streams.file_stream(spark, source, "_original_index long, at timestamp", files_per_trigger=1)
+        streams.dedup_stream(stream, output, checkpoint, event_time="at", lateness="2 days").awaitTermination()
+        return sorted(r[0] for r in spark.read.parquet(output).collect())
+
+    arrive(0, 6, 0)
+    assert run() == list(range(6))
+    arrive(3, 9, 1)
+    assert run() == list(range(9))  # another query, the same checkpoint
+    arrive(20, 21, 10)
+    arrive(20, 22, 11)
+    assert run() == [*range(9), 20, 21]
+
+
+def test_statistics_of_a_stream_stay_compact(spark, tmp_path):
+    source, output, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    total = []
+    for n in range(14):
+        part = [(f"f{i % 3}", None if (i + n) % 7 == 0 else (i * n % 50) / 4) for i in range(20)]
+        total += part
+        spark.createDataFrame(part, "source_file string, comet_score double").coalesce(1).write.mode("append").parquet(source)
+    stream = streams.file_stream(spark, source, "source_file string, comet_score double", files_per_trigger=1)
+    query = streams.score_stats_stream(stream, output, checkpoint, epochs=4)
+    query.awaitTermination()
+    assert len(list((tmp_path / "out" / "batches").iterdir())) <= 12 and len(list((tmp_path / "out" / "commits").iterdir())) <= 12
+    table = committed.CommittedTable(spark, output)
+    assert table.last("stream") == 13 and len(table.folders()) <= 5
+
+    def stats():
+        return {r["file"]: (r["num_scores"], r["average_score"], r["min_score"], r["max_score"]) for r in streams.latest_stats(spark, output).collect()}
+
+    want = {}
+    for name in ("f0", "f1", "f2"):
+        scores = [s for f, s in total if f == name and s is not None]
+        want[name] = (len(scores), sum(scores) / len(scores), min(scores), max(scores))
+    assert stats() == want
+    # A micro-batch that is repeated because its run died before the checkpoint adds nothing.
+    import shutil
+
+    shutil.rmtree(checkpoint)
+    stream = streams.file_stream(spark, source, "source_file string, comet_score double", files_per_trigger=1)
+    streams.score_stats_stream(stream, output, checkpoint, epochs=4).awaitTermination()
+    assert stats() == want
+    assert streams.latest_stats(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_external_scorer_sees_roles_in_order(spark):
     from lexiloom.functions.metrics import ExternalScorer
 
