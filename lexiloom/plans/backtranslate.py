@@ -16,7 +16,7 @@ from lexiloom.operators.joins import UNTRANSLATED, resume_documents
 from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.operators.selection import best_of_attempts
 from lexiloom.providers import Provider, RetryPolicy, call_round_trip, passes, try_attempt
-from lexiloom.providers.calls import EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
+from lexiloom.providers.calls import DIGITS, EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
 from lexiloom.session import table_exists, written
 
 
@@ -78,6 +78,7 @@ def document_attempts(
     ).filter(F.col("error").isNull())
     if gate is not None:
         done = done.filter(passes(gate, F.col("forward")))
+    done = done.withColumn("comet_score", F.round("comet_score", DIGITS))
     best = best_of_attempts(done, ["doc_id", "sentence_index"])
     return best.select(
         "doc_id",

@@ -23,6 +23,9 @@ EARLY_STOP = 95.0
 MIN_THRESHOLD = 50.0
 TEMPERATURES = tuple(n / 10 for n in range(11))
 
+# Scores that differ by the order of additions only are equal: the earlier attempt wins.
+DIGITS = 9
+
 Gate = Callable[[pd.Series], np.ndarray]
 
 
@@ -251,7 +254,8 @@ def try_attempt(
                 back, score = np.full(size, None, dtype=object), np.full(size, np.nan)
                 if len(rows):
                     back[rows] = values
-                    score[rows] = chrf_scores(_bare(pd.Series(values)), _bare(sentences.iloc[rows].reset_index(drop=True)))
+                    found = chrf_scores(_bare(pd.Series(values)), _bare(sentences.iloc[rows].reset_index(drop=True)))
+                    score[rows] = np.round(found, DIGITS)
                 yield pd.DataFrame({"forward": forward, "back": back, "score": score})
         finally:
             provider.close()

@@ -80,7 +80,7 @@ returned AS (SELECT tried.*, {backward_sql('forward')} AS back FROM tried JOIN d
 distinct_trips AS (SELECT md5(sentence||chr(1)||back) AS id, any_value(sentence) AS sentence, any_value(back) AS back FROM returned GROUP BY 1),
 {counts_sql('chars', 'distinct_trips', 'id', chars_sql(normalized_sql('back')), chars_sql(normalized_sql('sentence')), 6)},
 {chrf_sql('chrf', 'chars', 'id')},
-judged AS MATERIALIZED (SELECT r.*, c.score FROM returned r JOIN chrf c ON c.id = md5(r.sentence||chr(1)||r.back)),
+judged AS MATERIALIZED (SELECT r.*, round(c.score, 9) AS score FROM returned r JOIN chrf c ON c.id = md5(r.sentence||chr(1)||r.back)),
 early AS (SELECT doc_id, sentence_index, min(t) AS t FROM judged WHERE score >= 95 GROUP BY ALL),
 top AS (SELECT doc_id, sentence_index, t, score FROM judged WHERE score > 0
   QUALIFY row_number() OVER (PARTITION BY doc_id, sentence_index ORDER BY score DESC, t) = 1),
