@@ -45,13 +45,10 @@ r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS
 m AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, i FROM r UNION SELECT doc_id, i+1 FROM r
   UNION SELECT doc_id, i+2 FROM r) GROUP BY doc_id),
 b AS (SELECT s.doc_id, t, ls, len(w)::BIGINT AS n_words,
-  length(regexp_replace(t, '[ 	-
-]+', '', 'g'))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
-  (len(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-
-]')))
-    - len(list_distinct(list_filter(ls, lambda l: regexp_matches(l, '[^ 	-
-]')))))::BIGINT AS n_dup_lines,
+  (len(list_filter(ls, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+    - len(list_distinct(list_filter(ls, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
   coalesce(m.n, 0)::BIGINT AS n_repeat_words FROM s LEFT JOIN m ON m.doc_id = s.doc_id),
 f AS (SELECT *, n_words < 50 OR 100*n_repeat_words > 50*n_words AS base_failed,
   array_to_string(list_filter(ls, lambda l: {_PASSES}), chr(10)) AS clean FROM b)
