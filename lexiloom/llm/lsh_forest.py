@@ -331,6 +331,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(close).filter((100 + percent) * common >= percent * (F.col("_na") + F.col("_nb"))).select("a", "b")
 
 
+def same_id(worded: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that rows of one ``doc_id`` are in: a star around the smallest of them."""
+    repeated = worded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("doc_id")
+    nodes = worded.select("doc_id", "digest").join(repeated, "doc_id").join(classes, "digest")
+    least = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return nodes.join(least, "doc_id").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -351,7 +359,7 @@ def near_duplicates(
     sets = stored(exact_sets(df.join(busy, F.col(f"`{key}`") == busy["node"], "left_semi"), key, text, width), "sets")
 
     tried = stored(neighbours(rows, least), "pairs")
-    links = stored(verified(tried, sets, percent), "links")
+    links = stored(verified(tried, sets, percent).unionByName(same_id(worded, classes)), "links")
     labels = components(links)
     more = stored(hub_pairs(rows, links, labels, least).join(tried, ["a", "b"], "left_anti"), "pairs")
     tried = tried.unionByName(more)
@@ -363,7 +371,7 @@ def near_duplicates(
     late = stored(verified(rest, sets, percent), "links")
     if late.limit(1).count():
         labels = components(links.unionByName(late))
-    # Rows of one class share a node; rows of one id share a component by their node.
+    # Rows of one class share a node; classes that share an id are linked.
     of_class = classes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("_label"))
     found = documents.join(of_class, "digest", "left").select("doc_id", "n_shingles", "_label")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("_label", "doc_id")).otherwise(F.col("doc_id"))
