@@ -16,8 +16,9 @@ Counts and minima have map-side combining, so a line or half that holds a third
 task; joins back to the rows are plain equi-joins, which adaptive execution splits at hot keys.
 
 Defined results: null text has no lines; lines without a word stay and match nothing; rows with equal id and
-equal text are one document and keep the same lines; a null id sorts first; columns of the input that clash
-with added ones are replaced.
+equal text are one document and keep the same lines; rows with equal id and other texts are documents of their
+own, whose lines are ordered by place, then by a hash of the text; a null id sorts first; columns of the input
+that clash with added ones are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from lexiloom.llm.words import GAP, SPACES, words
 
 MIN_WORDS = 6
 HALVES = [f"_k{i}" for i in range(4)]
+STEP = 1 << 61  # orders of one document
 WORDED = r"[^\x20\x09-\x0D]"
 
 
@@ -45,10 +47,9 @@ def _places(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _order() -> Column:
-    """Document and place as one number that compares like the pair."""
-    return (F.col("_doc").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("_at")).cast(
-        "decimal(38,0)"
-    )
+    """Document, place and 30 bits of the row's hash as one number that compares like the three."""
+    low = F.shiftleft(F.col("_at").cast("long"), 30) + F.shiftrightunsigned("_row", 34)  # 61 bits
+    return (F.col("_doc").cast("decimal(20,0)") * F.lit(STEP).cast("decimal(19,0)") + low).cast("decimal(38,0)")
 
 
 def _cut(n: Column) -> Column:
@@ -90,15 +91,16 @@ def lines_table(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame
     )
 
 
-def _fold(*parts: Column) -> Column:
-    """A hash short enough that sums of up to 2^23 of them fit a long."""
-    return F.shiftright(F.xxhash64(*parts), 24)
+def _fold(window: Column) -> Column:
+    """A hash cut so short that sums of up to 2^23 of them fit a long."""
+    return F.shiftright(window, 24)
 
 
 def neighbourhood(lines: DataFrame) -> DataFrame:
     """Deletion variants of lines (``_order``, ``_h``) as hashed keys: ``_key``, ``_place``, ``_whole``.
 
-    The hash of a line is the sum of the hashes of its 3-word windows, so deleting a word changes five terms.
+    The hash of a line is the sum (of 40 bits each) and the exclusive or (of 64) of the hashes of its 3-word
+    windows, so deleting a word changes five terms.  Windows that repeat vanish from the one, not from the other.
     ``_place`` is the deleted place, 0 for the line itself.  A replaced word is looked for under keys that hold
     the place and length, an inserted one under keys that hold the shorter length.
     """
@@ -109,30 +111,38 @@ def neighbourhood(lines: DataFrame) -> DataFrame:
         return F.coalesce(F.get(h, i), pad)
 
     windows = F.transform(
-        F.sequence(F.lit(0), F.col("_n") + 1), lambda i: _fold(word(i - 2), word(i - 1), word(i))
+        F.sequence(F.lit(0), F.col("_n") + 1), lambda i: F.xxhash64(word(i - 2), word(i - 1), word(i))
     )  # window i ends at word i
-    rows = lines.select("_order", "_h", F.size("_h").alias("_n")).select(
-        "*", F.aggregate(windows, pad, lambda a, b: a + b).alias("_sum")
+    rows = lines.select("_order", "_h", F.size("_h").alias("_n")).select("*", windows.alias("_w"))
+    rows = rows.select(
+        "*",
+        F.aggregate("_w", pad, lambda a, b: a + _fold(b)).alias("_sum"),
+        F.aggregate("_w", pad, lambda a, b: a.bitwiseXOR(b)).alias("_xor"),
+    )
+    # Windows that appear where word i goes: two of them.
+    new = F.transform(
+        F.sequence(F.lit(0), F.col("_n") - 1),
+        lambda i: F.struct(
+            F.xxhash64(word(i - 2), word(i - 1), word(i + 1)).alias("a"),
+            F.xxhash64(word(i - 1), word(i + 1), word(i + 2)).alias("b"),
+        ),
     )
 
-    def without(i: Column) -> Column:
-        return (
-            F.col("_sum")
-            - _fold(word(i - 2), word(i - 1), word(i))
-            - _fold(word(i - 1), word(i), word(i + 1))
-            - _fold(word(i), word(i + 1), word(i + 2))
-            + _fold(word(i - 2), word(i - 1), word(i + 1))
-            + _fold(word(i - 1), word(i + 1), word(i + 2))
-        )
+    def without(pair: Column, i: Column) -> Column:
+        old = [F.get(F.col("_w"), i + k) for k in range(3)]
+        total = F.col("_sum") + _fold(pair["a"]) + _fold(pair["b"])
+        parity = F.col("_xor").bitwiseXOR(pair["a"]).bitwiseXOR(pair["b"])
+        for window in old:
+            total, parity = total - _fold(window), parity.bitwiseXOR(window)
+        return F.xxhash64(total, parity)
 
     def variant(kind: int, key: Column, place: Column) -> Column:
         return F.struct(key.alias("_key"), place.alias("_place"), F.lit(kind).alias("_kind"))
 
-    deletions = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), without)
-    rows = rows.select("_order", "_n", "_sum", deletions.alias("_d"))
+    rows = rows.select("_order", "_n", F.xxhash64("_sum", "_xor").alias("_all"), F.transform(new, without).alias("_d"))
     replaced = F.transform("_d", lambda d, i: variant(0, F.xxhash64(F.lit(0), F.col("_n"), i, d), i + 1))
     shorter = F.transform("_d", lambda d, i: variant(1, F.xxhash64(F.lit(1), F.col("_n") - 1, d), i + 1))
-    whole = F.array(variant(2, F.xxhash64(F.lit(1), F.col("_n"), F.col("_sum")), F.lit(0)))
+    whole = F.array(variant(2, F.xxhash64(F.lit(1), F.col("_n"), F.col("_all")), F.lit(0)))
     return rows.select("_order", F.inline(F.concat(replaced, shorter, whole)))
 
 
@@ -142,12 +152,13 @@ def near_lines(df: DataFrame, distinct: DataFrame, key: str, text: str) -> DataF
     halves = distinct.select("_id", F.explode(keys).alias("_half"))
     shared = halves.groupBy("_half").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     some = stored(halves.join(shared, "_half", "left_semi").select("_id").distinct(), "line_candidates")
-    at = F.pmod("_order", F.lit(1 << 31).cast("decimal(38,0)"))
+    step = F.lit(STEP).cast("decimal(19,0)")
+    within_doc = F.pmod("_order", step.cast("decimal(38,0)"))
     firsts = distinct.join(some, "_id", "left_semi").select(
         "_id",
         "_order",
-        ((F.col("_order") - at) / F.lit(1 << 31).cast("decimal(11,0)")).cast("long").alias("_doc"),
-        at.cast("int").alias("_at"),
+        ((F.col("_order") - within_doc) / step).cast("long").alias("_doc"),
+        F.shiftright(within_doc.cast("long"), 30).cast("int").alias("_at"),
     )
     # One row per document on both sides: no hot key, and a hash of the few places spares sorting all texts.
     wanted = firsts.groupBy("_doc").agg(F.collect_list(F.struct("_at", "_id", "_order")).alias("_wanted"))
