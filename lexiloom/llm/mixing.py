@@ -2,9 +2,14 @@
 
 Each source is one stream of words: its documents in a pseudorandom order, packed into blocks of ``block``
 words.  The mix takes as many words of a source as its target says: whole passes over its blocks first, then
-the blocks that a keyed permutation of the block numbers puts first, the last of them in part.  Output shards
-draw how many slots they get of each source from a multinomial distribution (given the totals of the sources),
-and slots join blocks by index.
+the blocks that a keyed permutation of the block numbers puts first, the last of them in part.  Every pass has a
+permutation of its own.  Output shards draw how many slots they get of each source from a multinomial distribution
+(given the totals of the sources): a slot number belongs to the shard whose share of the draw it falls in, the
+permutation of its pass maps it to a block, and blocks join by index.  ``documents(shard=...)`` writes the shard of
+each document (that of the first block it is taken from) and partitions by it, ``shard_counts`` gives the draw.
+
+The multinomial draw is a tree of binomial ones, each with a generator keyed by source and node, so a task draws
+only the nodes its slots lie under and agrees with all others.
 
 Targets follow the weights; none is above ``most`` times the size of its source, and what that cuts off is
 shared among the others by weight until none is above.
@@ -25,14 +30,14 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.llm.scratch import stored
 from lexiloom.llm.words import WORD, words
 
 BLOCK = 1024
-SHARD_WORDS = 1 << 24
+SHARD_WORDS = 1 << 21
 MAX_SOURCES = 1_000_000
 BUCKET_ROWS = 4096
 SEED = 7
@@ -76,7 +81,7 @@ def source_targets(
     return sizes.sparkSession.createDataFrame(table, schema)
 
 
-def _key(seed: int, name: str, turn: int) -> int:
+def _key(seed: int, name: str, turn: int | str) -> int:
     digest = hashlib.blake2b(f"{seed}|{turn}|{name}".encode(), digest_size=8).digest()
     return int.from_bytes(digest, "little")
 
@@ -105,6 +110,26 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def shards_of(first: int, last: int, slots: int, shards: int, seed: int, name: str) -> np.ndarray:
+    """Shard of each slot from ``first`` to ``last`` - 1 of a source that has ``slots``."""
+    out = np.zeros(max(last - first, 0), np.int64)
+    nodes = [(0, shards, 0, slots)]  # shards from, to; slots from, number of them
+    while nodes:
+        low, high, at, count = nodes.pop()
+        start, end = max(at, first), min(at + count, last)
+        if start >= end:
+            continue
+        if high - low == 1:
+            out[start - first : end - first] = low
+            continue
+        middle = (low + high) // 2
+        draw = np.random.default_rng(_key(seed, name, f"{low}-{high}"))
+        left = int(draw.binomial(count, (middle - low) / (high - low)))
+        nodes.append((low, middle, at, left))
+        nodes.append((middle, high, at + left, count - left))
+    return out
+
+
 def unpermuted(place: int, n: int, key: int) -> int:
     """Index whose place in the permutation is ``place``."""
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
@@ -127,11 +152,17 @@ def unpermuted(place: int, n: int, key: int) -> int:
     return out
 
 
+def row_hash(df: DataFrame) -> Column:
+    """128 bits over all columns."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(SEED), *columns).alias("b"))
+
+
 def sized(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """``_doc``, ``_row`` (hash of all columns), ``_source`` ('' for null, else 's' and the name) and ``_size``."""
     return df.select(
         F.col(f"`{key}`").alias("_doc"),
-        F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"),
+        row_hash(df).alias("_row"),
         F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`")), F.lit("")).alias("_source"),
         F.size(words(F.col(f"`{text}`"))).cast("long").alias("_size"),
     )
@@ -201,14 +232,14 @@ def slots(targets: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS
                 if at < last:
                     last = min(blocks, -(-(rest + short) // block))
                 if turn < whole:
-                    chosen, take = index, np.full(len(index), block, np.int64)
+                    chosen = permuted(index, blocks, _key(seed, name, turn))
+                    take = np.full(len(index), block, np.int64)
                 else:
                     index = index[index < last]
                     chosen = permuted(index, blocks, key)
                     take = np.clip(rest - (index * block - np.where(index > at, short, 0)), 0, block)
-                draws = np.random.default_rng(_key(seed, name, -1))
-                counts = draws.multinomial(whole * blocks + last, np.full(shards, 1 / shards))
-                shard = np.searchsorted(np.cumsum(counts), turn * blocks + index, side="right")
+                begin = turn * blocks + start
+                shard = shards_of(begin, begin + len(index), whole * blocks + last, shards, seed, name)
                 yield pd.DataFrame(
                     {"_source": name, "_block": chosen, "_pass": turn, "_take": take, "_shard": shard}
                 ).astype({"_source": object})
@@ -237,19 +268,28 @@ class Mix:
     def __init__(
         self, df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2,
-        block: int = BLOCK, seed: int = SEED,
+        block: int = BLOCK, seed: int = SEED, shard_words: int = SHARD_WORDS,
     ):
         self.df, self.rows = df, stored(sized(df, key, text, source), "sizes")
         sizes = self.rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
         self.targets = source_targets(sizes, weights, share, most)
-        self.slices = slices(packed(self.rows), slots(self.targets, block, seed=seed), block)
+        self.slots = slots(self.targets, block, shard_words, seed)
+        self.slices = slices(packed(self.rows), self.slots, block)
+
+    def shard_counts(self) -> DataFrame:
+        """``_shard``, ``_source`` and ``slots``, the number of blocks that the shard drew of the source."""
+        return self.slots.groupBy("_shard", "_source").agg(F.count(F.lit(1)).alias("slots"))
 
     def per_document(self) -> DataFrame:
-        """``_doc``, ``size``, ``source_size``, ``target``, ``taken``: one row per row of the table."""
-        taken = self.slices.groupBy("_doc", "_row", "_source", "_start").agg(F.sum(F.expr("_to - _from")).alias("n"))
-        worded = packed(self.rows).join(taken.drop("_source"), ["_doc", "_row", "_start"], "left")
-        every = worded.select("_doc", "_source", "_size", "n").unionByName(
-            self.rows.filter("_size = 0").select("_doc", "_source", "_size", F.lit(0).cast("long").alias("n"))
+        """``_doc``, ``size``, ``source_size``, ``target``, ``taken``, ``first_shard``, ``last_shard``: one row per row.
+
+        The last two are the lowest and the highest output shard that has words of the document (null: none).
+        """
+        shards = [F.min("_shard").alias("first_shard"), F.max("_shard").alias("last_shard")]
+        taken = self.slices.groupBy("_row", "_start").agg(F.sum(F.expr("_to - _from")).alias("n"), *shards)
+        worded = packed(self.rows).join(taken, ["_row", "_start"], "left")
+        every = worded.select("_doc", "_source", "_size", "n", "first_shard", "last_shard").unionByName(
+            self.rows.filter("_size = 0").select("_doc", "_source", "_size"), allowMissingColumns=True
         )
         return every.join(self.targets, "_source").select(
             "_doc",
@@ -257,13 +297,16 @@ class Mix:
             "source_size",
             "target",
             F.coalesce("n", F.lit(0)).cast("long").alias("taken"),
+            "first_shard",
+            "last_shard",
         )
 
-    def documents(self, text: str = "text") -> DataFrame:
+    def documents(self, text: str = "text", shard: str | None = None) -> DataFrame:
         """The mix as documents: one row per document and pass, with the words taken, in the columns of the table.
 
         A document taken whole keeps its text as it is; of one taken in part, the text from the first to the
-        last word of each slice is kept, and slices that do not touch are joined by a line end.
+        last word of each slice is kept, and slices that do not touch are joined by a line end.  ``shard`` names
+        a column for the output shard, by which the rows are then partitioned; a clashing column is replaced.
         """
 
         @F.pandas_udf("string")
@@ -273,18 +316,24 @@ class Mix:
             )
 
         taken = self.slices.groupBy("_row", "_start", "_pass").agg(
-            F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_ranges"),
+            F.sort_array(F.collect_list(F.struct("_from", "_to", "_shard"))).alias("_ranges"),
             F.sum(F.expr("_to - _from")).alias("_n"),
             F.first("_size").alias("_size"),
         )
         columns = [F.col(f"`{c}`") for c in self.df.columns]
-        rows = self.df.select(F.struct(*columns).alias("_all"), F.xxhash64(*columns).alias("_row"))
+        rows = self.df.select(F.struct(*columns).alias("_all"), row_hash(self.df).alias("_row"))
         rows = rows.dropDuplicates(["_row"])
-        joined = rows.join(taken, "_row").select("_all", "_ranges", (F.col("_n") == F.col("_size")).alias("_entire"))
+        joined = rows.join(taken, "_row").select(
+            "_all", "_ranges", (F.col("_n") == F.col("_size")).alias("_entire")
+        )
         body = F.col("_all").getField(text)
         part = cut(F.when(~F.col("_entire"), body), F.col("_ranges._from"), F.col("_ranges._to"))
         new = F.when(F.col("_entire"), body).otherwise(part)
-        return joined.select(F.col("_all").withField(text, new).alias("_all")).select("_all.*")
+        whole = F.col("_all").withField(text, new)
+        if shard is None:
+            return joined.select(whole.alias("_all")).select("_all.*")
+        placed = joined.select(whole.withField(shard, F.col("_ranges")[0]["_shard"]).alias("_all")).select("_all.*")
+        return placed.hint("rebalance", shard)
 
 
 def cut_words(text: str | None, lows, highs) -> str | None:
