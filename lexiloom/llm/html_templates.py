@@ -1,13 +1,15 @@
 """Main text of web pages by site template removal.
 
 1. Each page is parsed once, in Arrow batches, into blocks of text and the element subtrees that hold no whole
-   article.  A subtree is hashed with its tags, attributes that do not vary by page (class, id, role) and text.
+   article.  A subtree is hashed with its tag, attributes that do not vary by page (class, id, role) and text, from
+   the leaves up: an element passes one digest to its parent, so work and memory are linear in the page.
 2. Spark counts on how many articles of a host each subtree hash occurs, inside articles and outside.  Pages
    with the same article count once.
 3. Subtrees with ``MIN_PAGES`` articles of their host and at least one in ``MIN_SHARE`` of them are the site's
    template; the blocks inside them go.
 4. A site of few pages repeats nothing, and some parts change from page to page.  Of what is left, blocks in
-   elements that are never content go by name, role or class: menus, headers and footers of the page, sidebars,
+   elements that are never content go by name, role or class (whole, or a word of PARTS in it): menus, headers and
+   footers of the page, sidebars,
    notices, adverts, forms, reader comments.  Where a page has an article, what else is outside it goes too.
    Classes and ids are compared as a whole, and none rules out an element that holds an article (a reader's
    comment is none).
@@ -26,6 +28,7 @@ repeat a page id are pages of their own; a null url is a host of its own; extra
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from hashlib import blake2b
 from html import unescape
 
@@ -39,7 +42,7 @@ MIN_PAGES = 5
 MIN_SHARE = 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object canvas xmp".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object canvas xmp".split())
 # Elements that break a line of text; the others run on.
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -47,8 +50,8 @@ BLOCK = frozenset(
     "select summary table tbody td tfoot th thead tr ul".split()
 )
 NEVER = frozenset(
-    "nav footer aside form script style noscript template iframe svg math object canvas textarea title head button "
-    "select input label menu dialog search xmp".split()
+    "nav footer aside form script style noscript template iframe svg object canvas textarea title head button "
+    "select input menu dialog search xmp".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar".split())
 # Classes and ids that name what is never content: whole ones, since "has-sidebar" names no sidebar.
@@ -63,6 +66,9 @@ CHROME = frozenset(
     "share-bar social-links social-share social-icons related-posts related-articles recommended-posts comment-list "
     "commentlist comments-area comment-section comment-form disqus_thread skip-link skiplink".split()
 )
+# Words that rule out in any name that is made of words, unless one of the others says it is only about them.
+PARTS = frozenset("ad ads advert adverts advertisement cookie cookies comments share".split())
+ABOUT = frozenset("no not has with without open closed content article post".split())
 COMMENT = frozenset(["comment", "comment-body"])  # an article of these classes is a reader's
 CLOSES = {  # an opening tag ends an open element of these names
     "p": frozenset(["p"]),
@@ -79,15 +85,29 @@ LIMITS = frozenset("article section div main body html ul ol table td th blockqu
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # Quotes count after an equals sign only; one that never ends is part of an unquoted value.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?)*+)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0 -     　]+")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+MARKS = frozenset(["class", "id", "role", "hidden", "aria-hidden"])
+_SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def _bytes(data: bytes) -> bytes:
+    return blake2b(data, digest_size=8).digest()
 
 
 def _digest(data: bytes) -> int:
-    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+    return int.from_bytes(_bytes(data), "little", signed=True)
+
+
+def _chrome(tokens: frozenset[str]) -> bool:
+    """Whether one of these classes and ids names what is never content."""
+    if not tokens.isdisjoint(CHROME):
+        return True
+    words = (frozenset(re.split("[-_]+", token)) for token in tokens)
+    return any(not w.isdisjoint(PARTS) and w.isdisjoint(ABOUT) for w in words)
 
 
 class Page:
@@ -100,13 +120,16 @@ class Page:
         self.blocks: list[tuple[str, bool, bool]] = []  # text, whether it may be content, whether in an article
         self.subtrees: list[tuple[int, int, int, int]] = []
         self.text: list[str] = []
-        # Open elements: name, whether content may be inside, number of the article around or 0, first block, parts of
-        # the hash, and the numbers of open elements whose class or id rules them out.
-        self.open: list[tuple[str, bool, int, int, list[bytes], tuple[int, ...]]] = [("", True, 0, 0, [], ())]
-        self.named = self.articles = 0
+        # Open elements: name, whether content may be inside, number of the article around or 0, first block, tag,
+        # digests of text inside, and the number of the innermost element around whose class or id rules it out, or 0.
+        self.open: list[tuple[str, bool, int, int, bytes, list[bytes], int]] = [("", True, 0, 0, b"", [], 0)]
+        self.depths: dict[str, list[int]] = defaultdict(list)  # of open elements of each name
+        self.limits = [0]  # depths of open elements of LIMITS
+        self.around = [0]  # of each element ruled out by a class or id: the next one around it
+        self.articles = 0
         self.article_of: list[int] = []  # of each block
-        self.spared: set[int] = set()  # elements ruled out by a class or id that hold an article
-        self.by_class: list[tuple[int, ...]] = []  # of each block
+        self.spared = {0}  # elements ruled out by a class or id that hold an article, as all around them do
+        self.by_class: list[int] = []  # of each block
         self.whole = 0  # so many of the open elements, from the outermost on, hold an article or are one
         place = 0
         while True:
@@ -128,11 +151,10 @@ class Page:
                 if name in RAW:
                     close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(html, place)
                     place = close.start() if close else len(html)
-        while len(self.open) > 1:
-            self._pop()
+        self._pop_to(1)
         self._flush()
         self.blocks = [
-            (text, content and self.spared.issuperset(named), inside)
+            (text, content and named in self.spared, inside)
             for (text, content, inside), named in zip(self.blocks, self.by_class, strict=True)
         ]
         has_article = any(content and inside for _, content, inside in self.blocks)
@@ -157,32 +179,26 @@ class Page:
                 top = self.open[-1]
                 self.blocks.append((joined, top[1], top[2] > 0))
                 self.article_of.append(top[2])
-                self.by_class.append(top[5])
-                for element in self.open:
-                    element[4].append(joined.encode("utf-8", "surrogatepass"))
+                self.by_class.append(top[6])
+                top[5].append(_bytes(joined.encode("utf-8", "surrogatepass")))
 
     def _start(self, name: str, attributes: str) -> None:
         closes = CLOSES.get(name)
         if name in ENDS_PARAGRAPH:
             closes = (closes or frozenset()) | {"p"}
         if closes:
-            for depth in range(len(self.open) - 1, 0, -1):
-                if self.open[depth][0] in closes:
-                    while len(self.open) > depth:
-                        self._pop()
-                    break
-                if self.open[depth][0] in LIMITS:
-                    break
+            depth = max(self._depth(other) for other in closes)
+            if depth and depth >= self.limits[-1]:
+                self._pop_to(depth)
         if name in BLOCK:
             self._flush()
         if name in VOID:
             return
-        _, content, article, _, _, named = self.open[-1]
+        _, content, article, _, _, _, named = self.open[-1]
         marks = ""
         if attributes and len(attributes) > 1:
-            marks = "|".join(
-                f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in _ATTRIBUTE.finditer(attributes)
-            )
+            found = [m for m in _ATTRIBUTE.finditer(attributes) if m[1].lower() in MARKS]
+            marks = "|".join(f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in found)
         is_article = name in ("article", "main") or "role=main" in marks
         if is_article and not article:
             self.articles += 1
@@ -194,11 +210,18 @@ class Page:
         tokens = self._tokens(marks) if marks else frozenset()
         if is_article:
             if name == "main" or tokens.isdisjoint(COMMENT):
-                self.spared.update(named)
-        elif name not in ("html", "body") and not tokens.isdisjoint(CHROME):
-            self.named += 1
-            named = (*named, self.named)
-        self.open.append((name, content, article, len(self.blocks), [f"<{name} {marks}>".encode()], named))
+                while named not in self.spared:
+                    self.spared.add(named)
+                    named = self.around[named]
+                named = self.open[-1][6]
+        elif name not in ("html", "body") and _chrome(tokens):
+            self.around.append(named)
+            named = len(self.around) - 1
+        tag = f"<{name} {marks}>".encode("utf-8", "surrogatepass")
+        self.open.append((name, content, article, len(self.blocks), tag, [], named))
+        self.depths[name].append(len(self.open) - 1)
+        if name in LIMITS:
+            self.limits.append(len(self.open) - 1)
         if is_article:
             self.whole = len(self.open)
 
@@ -221,22 +244,33 @@ class Page:
     def _end(self, name: str) -> None:
         if name in BLOCK:
             self._flush()
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == name:
-                while len(self.open) > depth:
-                    self._pop()
-                return
+        if self._depth(name):
+            self._pop_to(self._depth(name))
+
+    def _depth(self, name: str) -> int:
+        """Depth of the innermost open element of this name, 0 if none is open."""
+        return self.depths[name][-1] if self.depths.get(name) else 0
+
+    def _pop_to(self, depth: int) -> None:
+        while len(self.open) > depth:
+            self._pop()
 
     def _pop(self) -> None:
         if self.open[-1][0] in BLOCK:
             self._flush()
-        name, _, article, first, parts, _ = self.open.pop()
+        name, _, article, first, tag, parts, _ = self.open.pop()
+        self.depths[name].pop()
+        if name in LIMITS:
+            self.limits.pop()
+        inside = parts[0] if len(parts) == 1 else _bytes(b"".join(parts))
+        if parts:
+            self.open[-1][5].append(inside)
         holds_article = len(self.open) < self.whole
         self.whole = min(self.whole, len(self.open))
         if self.text and name not in BLOCK:
             return  # text that runs on belongs to the block around it
         if not holds_article and len(self.blocks) > first and name not in ("html", "body"):
-            self.subtrees.append((_digest(b"\0".join(parts)), first, len(self.blocks), article))
+            self.subtrees.append((_digest(tag + b"\0" + inside), first, len(self.blocks), article))
 
 
 def host_of(url: str | None) -> str | None:
