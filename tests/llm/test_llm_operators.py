@@ -152,6 +152,41 @@ def brute_components(texts, width, percent):
     return sets, [find(i) for i in range(len(texts))]
 
 
+def test_line_dedup_of_rows_that_repeat_an_id(spark, docs_of):
+    """Equal id and text: one document.  Equal id, other text: documents of their own."""
+    first, near = "p q r s t u v w\nx y", "p q r s t u v X\nz z"
+    df = spark.createDataFrame(
+        [(1, first), (1, near), (1, first), (2, "x y\nz z\nown"), (None, "a b c d e f"), (None, "a b c d e g")],
+        "doc_id long, text string",
+    )
+    left = Counter()
+    for r in line_dedup.deduplicate(df).collect():
+        left[r["doc_id"], r["dedup_text"]] += 1
+    assert left[2, "own"] == 1
+    kept_first = left == {(1, first): 2, (1, "z z"): 1, (2, "own"): 1, (None, ""): 1, **_one_of(left)}
+    kept_near = left == {(1, near): 1, (1, "x y"): 2, (2, "own"): 1, (None, ""): 1, **_one_of(left)}
+    assert kept_first or kept_near
+
+
+def _one_of(left):
+    return {k: 1 for k in left if k[0] is None and k[1] in ("a b c d e f", "a b c d e g")}
+
+
+def test_line_keys_of_repeated_words(docs_of):
+    """Windows that repeat cancel in one half of a key only; each of the three is one edit from an earlier line."""
+    lines = ["x x x x x x x", "x x x x x x", "y x x x x x x x x", "y x x x x x x", "x y x y x y x y", "x y x y x y x x"]
+    gone = line_dedup.deduplicate(docs_of(lines)).filter("n_removed > 0").collect()
+    assert {r["doc_id"] for r in gone} == {1, 3, 5}
+
+
+def test_rows_of_one_id_share_a_component(spark):
+    a, b, c = prose(60, 50), prose(60, 51), prose(60, 52)
+    rows_ = [(3, a), (5, a), (5, b), (7, b), (7, c), (9, c), (2, prose(60, 53)), (2, prose(60, 54)), (None, a)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    found = {(r["doc_id"], r["component_id"], r["kept"]) for r in lsh_forest.near_duplicates(df).collect()}
+    assert found == {(3, 3, True), (5, 3, False), (7, 3, False), (9, 3, False), (2, 2, True), *(f for f in found if f[0] is None)}
+
+
 @pytest.mark.parametrize("width,percent", [(3, 85), (5, 80)])
 def test_near_duplicates_equal_brute_force(docs_of, empty_docs, width, percent):
     r = random.Random(width)
@@ -201,6 +236,55 @@ def test_mix(docs_of, empty_docs):
     assert mixing.Mix(empty_docs).per_document().count() == 0 and mixing.Mix(empty_docs).documents().count() == 0
     doubled = mixing.Mix(docs.unionAll(docs), block=16).per_document().collect()
     assert len(doubled) == 2 * len(TEXTS) and all(r["taken"] <= 2 * r["size"] for r in doubled)
+    without_ids = mixing.Mix(docs.withColumn("doc_id", F.lit(None).cast("long")), block=16).per_document().collect()
+    assert abs(sum(r["taken"] for r in without_ids) - 1.5 * sum(sizes.values())) <= 3
+
+
+def test_mix_equals_brute_force_over_many_shards(docs_of):
+    """Streams of words, blocks, permutations and draws done by hand, from the places where documents start."""
+    block, shard_words, seed = 16, 512, mixing.SEED
+    docs = docs_of(TEXTS).withColumn("shard", F.lit("clash"))
+    mix = mixing.Mix(docs, block=block, shard_words=shard_words)
+    owner = {}
+    for r in mixing.packed(mix.rows).collect():
+        stream = owner.setdefault(r["_source"], {})
+        for at in range(r["_start"], r["_start"] + r["_size"]):
+            assert at not in stream
+            stream[at] = r["_doc"]
+    targets = {r["_source"]: r for r in mix.targets.collect()}
+    shards = -(-sum(t["_words"] for t in targets.values()) // shard_words)
+    assert shards > 10
+    taken, drawn, of = Counter(), Counter(), {}
+    for name, stream in owner.items():
+        size, wanted = targets[name]["source_size"], targets[name]["_words"]
+        assert sorted(stream) == list(range(size))
+        blocks = -(-size // block)
+        order, left, turn = [], wanted, 0
+        while left > 0:
+            for b in mixing.permuted(np.arange(blocks), blocks, mixing._key(seed, name, turn)):
+                words = range(b * block, min((b + 1) * block, size))[: max(left, 0)]
+                if len(words):
+                    order.append(words)
+                left -= len(words)
+            turn += 1
+        assert left == 0
+        of_slot = mixing.shards_of(0, len(order), len(order), shards, seed, name)
+        for words, shard in zip(order, of_slot, strict=True):
+            drawn[int(shard), name] += 1
+            for at in words:
+                taken[stream[at]] += 1
+                of.setdefault(stream[at], set()).add(int(shard))
+    for r in mix.per_document().collect():
+        assert r["taken"] == taken[r["_doc"]]
+        mine = of.get(r["_doc"])
+        assert (r["first_shard"], r["last_shard"]) == ((min(mine), max(mine)) if mine else (None, None))
+    found = {(r["_shard"], r["_source"]): r["slots"] for r in mix.shard_counts().collect()}
+    assert found == drawn and len({shard for shard, _ in found}) > 10
+    placed = mix.documents(shard="shard").collect()
+    assert all(r["shard"] in of[r["doc_id"]] for r in placed)
+    plain = mix.documents().collect()
+    assert sorted((r["doc_id"], r["text"]) for r in placed) == sorted((r["doc_id"], r["text"]) for r in plain)
+    assert {r["shard"] for r in plain} == {"clash"}
 
 
 def test_top_k(spark):

@@ -3,6 +3,7 @@
 import base64
 import math
 import random
+import time
 from collections import Counter
 from itertools import product
 from math import log
@@ -205,6 +206,43 @@ def test_pages():
     assert html_templates.host_of(None) is None
 
 
+def test_damaged_pages():
+    def text(html):
+        page = html_templates.Page(html)
+        return [block for (block, _, _), kept in zip(page.blocks, page.kept, strict=True) if kept]
+
+    assert text("<p data=it's>Hello world. It's nice</p>") == ["Hello world. It's nice"]
+    assert text('<p title="a > b">one</p><p a="x>two</p>') == ["one", "two"]
+    assert text("<p>x <math>y</math> <label>z</label></p>") == ["x y z"]
+    around = '<div class="cookie-warning"><article>A<div id="ad-box-1">no</div></article></div>'
+    assert text(f'<div class="has-comments">{around}<div class="reader-comments">no</div></div>') == ["A"]
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "".join(f"<font color={i}><b>w {i}<p>x" for i in range(40_000)),
+        "".join(f"<div class=ad><p>t {i}</p>" for i in range(30_000)),
+        "<p><td>" + "<b>" * 50_000 + "<h1>x</h1>" * 50_000,
+        "<b>" * 100_000 + "</i>" * 100_000,
+        '<a b="x' * 100_000,
+    ],
+)
+def test_nested_pages_take_linear_time(html):
+    begin = time.process_time()
+    page = html_templates.Page(html)
+    assert time.process_time() - begin < 20 and len(page.kept) == len(page.blocks)
+
+
+def test_shard_draws_agree_in_parts():
+    whole = mixing.shards_of(0, 5000, 5000, 37, 7, "s")
+    parts = [mixing.shards_of(i, min(i + 321, 5000), 5000, 37, 7, "s") for i in range(0, 5000, 321)]
+    assert (np.concatenate(parts) == whole).all() and (np.diff(whole) >= 0).all()
+    counts = np.bincount(whole, minlength=37)
+    assert len(counts) == 37 and abs(counts - 5000 / 37).max() < 6 * (5000 / 37) ** 0.5
+    assert (mixing.shards_of(0, 5000, 5000, 37, 7, "t") != whole).any()
+
+
 def test_token_shapes_and_model():
     numbers = kneser_ney.Numbers([b"the"])
     tokens = numbers.tokens("the the odd Odd ODD 12 od%d !! the").tolist()
