@@ -348,6 +348,7 @@ detected AS (SELECT {key}, lang AS language FROM ranked QUALIFY row_number() OVE
 # One document in four is held out of the training.
 HELD_OUT = "substr(md5(doc_id::VARCHAR),1,1) IN ('0','1','2','3')"
 TRAINING = f"training AS (SELECT lang, text FROM documents WHERE NOT {HELD_OUT})"
+WHOLE = "training AS (SELECT lang, text FROM documents)"
 
 
 def held_out():
@@ -372,14 +373,15 @@ def lang_id(spark, sf_dir):
 
 @query(
     "lang_id_gate",
-    f"""WITH {LOSSY}, tagged AS (SELECT doc_id*1000000+sentence_index AS id, lang, sentence FROM sentences), {TRAINING},
+    f"""WITH {LOSSY}, tagged AS (SELECT doc_id*1000000+sentence_index AS id, lang, sentence FROM sentences), {WHOLE},
     {language_sql('tagged', 'id', 'sentence')}
     SELECT id, lang FROM tagged JOIN detected d USING (id) WHERE d.language = lang""",
 )
 def lang_id_gate(spark, sf_dir):
-    """Sentences that are in the language of their document."""
+    """Sentences that are in the language of their document, by a model of all documents."""
     rows = sentences(spark, sf_dir).select(
         (F.col("doc_id") * 1000000 + F.col("sentence_index")).alias("id"), "lang", "sentence"
     )
-    found = language_id.identify(rows, language_model(spark, sf_dir), "sentence")
+    model = language_id.train(documents(spark, sf_dir), "text", "lang")
+    found = language_id.identify(rows, model, "sentence")
     return found.filter(language_id.matches_expected(F.col("detected"), F.col("lang"))).select("id", "lang")
