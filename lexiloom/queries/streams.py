@@ -14,16 +14,21 @@ from lexiloom.streaming import jobs
 INPUT_SCHEMA = "_original_index long, text string, language string, source string"
 
 
-ROWS = 5_000  # in a file, at most
+ROWS, SHORT_ROWS = 5_000, 100_000  # in a file, at most; short rows are some numbers
 
 
-def _arrivals(spark, df, name: str) -> str:
+def _arrivals(spark, df, name: str, rows: int = ROWS) -> str:
     """A table as files of bounded size, as many as its rows make."""
     path = scratch_path(spark, name)
-    df.write.option("maxRecordsPerFile", ROWS).parquet(path)
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
     return path
 
 
+def _at_once(spark) -> int:
+    """Files of a micro-batch: some for every core, so that a batch costs more than its planning and commits."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
 @query(
     "stream_translate",
     f"""WITH RECURSIVE {INPUT}, todo AS (SELECT * FROM input WHERE language IN ('en','fr')), {CHUNKED}
@@ -31,7 +36,7 @@ def _arrivals(spark, df, name: str) -> str:
 )
 def stream_translate(spark, sf_dir):
     path = _arrivals(spark, input_text(spark, sf_dir), "arrivals")
-    stream = jobs.file_stream(spark, path, INPUT_SCHEMA, files_per_trigger=8)
+    stream = jobs.file_stream(spark, path, INPUT_SCHEMA, files_per_trigger=_at_once(spark))
     output, checkpoint = scratch_path(spark, "translated"), scratch_path(spark, "checkpoint")
 
     def transform(rows):
@@ -52,7 +57,7 @@ def stream_chunks(spark, sf_dir):
         measured = chunk.select("conv_id", "turn", "role", F.char_length("text").alias("chars"))
         measured.write.mode("overwrite").parquet(f"{output}/chunk={number}")
 
-    stream = jobs.file_stream(spark, path, schema, files_per_trigger=8)
+    stream = jobs.file_stream(spark, path, schema, files_per_trigger=_at_once(spark))
     jobs.chunk_stream(stream, handle, scratch_path(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(output).drop("chunk")
 
@@ -63,8 +68,8 @@ def stream_chunks(spark, sf_dir):
     min(comet_score) AS min_score, max(comet_score) AS max_score FROM scored GROUP BY 1 HAVING count(comet_score) > 0""",
 )
 def stream_score_stats(spark, sf_dir):
-    path = _arrivals(spark, scored(spark, sf_dir).select("source_file", "comet_score"), "scores")
-    stream = jobs.file_stream(spark, path, "source_file string, comet_score double", files_per_trigger=8)
+    path = _arrivals(spark, scored(spark, sf_dir).select("source_file", "comet_score"), "scores", SHORT_ROWS)
+    stream = jobs.file_stream(spark, path, "source_file string, comet_score double", files_per_trigger=_at_once(spark))
     output = scratch_path(spark, "stats")
     jobs.score_stats_stream(stream, output, scratch_path(spark, "checkpoint")).awaitTermination()
     return rounded(jobs.latest_stats(spark, output), "average_score")
@@ -77,9 +82,9 @@ def stream_resume_dedup(spark, sf_dir):
         "_original_index", "language", F.char_length("text").alias("chars"),
         F.timestamp_seconds(1_700_000_000 + F.col("_original_index") % 3600).alias("arrived"),
     )
-    path = _arrivals(spark, rows.unionByName(rows), "twice")
+    path = _arrivals(spark, rows.unionByName(rows), "twice", SHORT_ROWS)
     schema = "_original_index long, language string, chars int, arrived timestamp"
-    stream = jobs.file_stream(spark, path, schema, files_per_trigger=8)
+    stream = jobs.file_stream(spark, path, schema, files_per_trigger=_at_once(spark))
     output = scratch_path(spark, "unique")
     jobs.dedup_stream(stream, output, scratch_path(spark, "checkpoint"), event_time="arrived").awaitTermination()
     return spark.read.parquet(output).drop("arrived")

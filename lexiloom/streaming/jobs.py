@@ -78,9 +78,12 @@ def score_stats_stream(
     table holds a bounded number of folders however long the stream runs.  ``latest_stats`` merges what is there.
     """
     table = CommittedTable(stream.sparkSession, output)
+    done: dict[str, int] = {}  # last commit and number of folders, read once for a run: nobody else commits to it
 
     def write(rows: DataFrame, epoch: int) -> None:
-        if epoch <= table.last(STREAM):
+        if not done:
+            done.update(last=table.last(STREAM), folders=len(table.folders()))
+        if epoch <= done["last"]:
             return
         partial = rows.groupBy(F.col(file).alias("file")).agg(
             F.count(score).alias("num_scores"),
@@ -90,8 +93,10 @@ def score_stats_stream(
             F.count("*").alias("rows"),
         )
         table.append(partial, STREAM, epoch)
-        if len(table.folders()) > epochs:
+        done.update(last=epoch, folders=done["folders"] + 1)
+        if done["folders"] > epochs:
             table.compact(_folded, STREAM)
+            done["folders"] = 1
 
     return (
         stream.writeStream.foreachBatch(write)
