@@ -6,7 +6,7 @@ cost per pair is a few vector operations instead of Python objects per n-gram.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -17,8 +17,22 @@ from pyspark.sql import functions as F
 
 CHAR_ORDER = 6
 WORD_ORDER = 4
-# Pairs counted together; the tables of so many stay in the processor's cache.
+# Pairs counted together, and their characters; the tables of so many stay in the processor's cache.
 SLICE = 500
+SLICE_CHARS = 1 << 16
+
+
+def portions(sizes: Iterable[int], most: int, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Bounds ``(from, to)`` of neighbours whose sizes add up to ``most``, or one larger row, and ``rows`` rows at most."""
+    start = filled = end = 0
+    for end, size in enumerate(sizes):
+        if end > start and (filled + size > most or rows is not None and end - start >= rows):
+            yield start, end
+            start = end
+            filled = 0
+        filled += size
+        end += 1
+    yield start, end
 
 
 def _char_symbols(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -71,9 +85,10 @@ def match_counts(
 def _counts(
     symbols: Callable[[pd.Series], tuple[np.ndarray, np.ndarray]], hyp: pd.Series, ref: pd.Series, max_order: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = (len(h) + len(r) for h, r in zip(hyp, ref, strict=True))
     parts = [
-        match_counts(symbols(hyp.iloc[at : at + SLICE]), symbols(ref.iloc[at : at + SLICE]), max_order)
-        for at in range(0, max(len(hyp), 1), SLICE)
+        match_counts(symbols(hyp.iloc[a:b]), symbols(ref.iloc[a:b]), max_order)
+        for a, b in portions(sizes, SLICE_CHARS, SLICE)
     ]
     return tuple(np.concatenate(kind) for kind in zip(*parts))
 
@@ -139,8 +154,12 @@ def _f_score(*counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def chrf_scores(hypotheses: pd.Series, references: pd.Series) -> np.ndarray:
-    """chrF of whitespace-free texts."""
-    return _f_score(_counts(_char_symbols, hypotheses, references, CHAR_ORDER))
+    """chrF of whitespace-free texts.  Equal texts match in every order and need no count; empty ones have none."""
+    equal = hypotheses.to_numpy() == references.to_numpy()
+    scores = np.where(equal & (hypotheses.str.len().to_numpy() > 0), 100.0, 0.0)
+    if not equal.all():
+        scores[~equal] = _f_score(_counts(_char_symbols, hypotheses[~equal], references[~equal], CHAR_ORDER))
+    return scores
 
 
 def chrf_word_scores(

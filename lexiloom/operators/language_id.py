@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from hashlib import md5
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,18 +21,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.languages import LanguagePair
+from lexiloom.functions.ngrams import portions
 from lexiloom.session import materialize
 
 ORDERS = (1, 2, 3)
 DIGITS = 4
 BUCKETS = 16**DIGITS
 SCALE = 1 << 16
-MEMO = 1_000_000  # n-grams whose bucket a worker remembers
+MEMO = 200_000  # n-grams whose bucket, and words whose weights, a worker remembers
+MEMO_CHARS = 1 << 24  # of remembered words together
+SLICE_CHARS = 1 << 20  # of texts that are scored together
 _NOT_LETTERS = r"[^\p{L}]+"
 
 
+class _OnlyLetters(dict):
+    """Translation table: letters stay, all else is a blank."""
+
+    def __missing__(self, point: int) -> int:
+        value = self[point] = point if chr(point).isalpha() else 32
+        return value
+
+
+_LETTER_TABLE = _OnlyLetters()
+
+
 def _letters(text: str) -> str:
-    return "".join(c if c.isalpha() else " " for c in text.lower())
+    return text.lower().translate(_LETTER_TABLE)
 
 
 def _words(text: Column) -> Column:
@@ -93,9 +108,12 @@ class BucketTable:
     prior: np.ndarray
     weights: np.ndarray
     memo: dict[str, int] = field(default_factory=dict)
+    words: dict[str, int] = field(default_factory=dict)
+    word_chars: int = 0
+    scores: np.ndarray | None = None  # by the numbers that ``words`` gives
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
+        return self.__dict__ | {"memo": {}, "words": {}, "word_chars": 0, "scores": None}
 
     def _row(self, gram: str) -> int:
         row = self.memo.get(gram)
@@ -105,22 +123,48 @@ class BucketTable:
             row = self.memo[gram] = int(md5(gram.encode("utf-8", "surrogatepass")).hexdigest()[:DIGITS], 16)
         return row
 
-    def predict(self, texts: pd.Series) -> pd.Series:
-        """Most likely language per text of spaced words, the first by name where several are; a batch's words count once."""
+    def _learn(self, words: list[str]) -> None:
+        """Weights of words that are not remembered, each the sum over its n-grams."""
+        if len(self.words) > MEMO or self.word_chars > MEMO_CHARS:
+            self.words, self.word_chars, self.scores = {}, 0, None
+        new = [word for word in dict.fromkeys(words) if word not in self.words]
+        if not new:
+            return
+        rows, starts = [], []
+        for word in new:
+            padded = f" {word} "
+            starts.append(len(rows))
+            rows += [self._row(padded[i : i + n]) for n in ORDERS for i in range(len(padded) - n + 1)]
+        found, known = np.add.reduceat(self.weights[rows], starts, axis=0), len(self.words)
+        if self.scores is None or known + len(new) > len(self.scores):
+            grown = np.zeros((2 * (known + len(new)), len(self.languages)), np.int64)
+            if known:
+                grown[:known] = self.scores[:known]
+            self.scores = grown
+        self.scores[known : known + len(new)] = found
+        self.words.update(zip(new, range(known, known + len(new))))
+        self.word_chars += sum(map(len, new))
+
+    def _totals(self, texts: list[str]) -> np.ndarray:
         lists = [text.split() for text in texts]
         ends = np.cumsum([0, *map(len, lists)])
-        codes, distinct = pd.factorize(np.array([w for words in lists for w in words], dtype=object))
+        words = list(chain.from_iterable(lists))
         total = np.tile(self.prior, (len(lists), 1))
-        if len(distinct):
-            rows, starts = [], []
-            for word in distinct:
-                padded = f" {word} "
-                starts.append(len(rows))
-                rows += [self._row(padded[i : i + n]) for n in ORDERS for i in range(len(padded) - n + 1)]
-            scores = np.add.reduceat(self.weights[rows], starts, axis=0)
-            sums = np.vstack([np.zeros_like(self.prior), np.cumsum(scores[codes], axis=0)])
+        if words:
+            self._learn(words)
+            codes = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            sums = np.vstack([np.zeros_like(self.prior), np.cumsum(self.scores[codes], axis=0)])
             total = total + sums[ends[1:]] - sums[ends[:-1]]
-        return pd.Series(np.array(self.languages, dtype=object)[total.argmax(axis=1)])
+        return total
+
+    def predict(self, texts: pd.Series) -> pd.Series:
+        """Most likely language per text of spaced words, the first by name where several are.
+
+        A word is taken apart once and then remembered; texts are scored some at a time, so memory does not grow with a batch.
+        """
+        texts = texts.tolist()
+        best = [self._totals(texts[a:b]).argmax(axis=1) for a, b in portions(map(len, texts), SLICE_CHARS)]
+        return pd.Series(np.array(self.languages, dtype=object)[np.concatenate(best)])
 
 
 def _fixed(logarithms: np.ndarray) -> np.ndarray:

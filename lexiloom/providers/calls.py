@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiloom.functions.ngrams import chrf_scores
+from lexiloom.functions.ngrams import chrf_scores, portions
 from lexiloom.functions.prompts import fill
 from lexiloom.functions.text import ASCII_PUNCTUATION, bind
 from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, run_batch
@@ -26,6 +26,9 @@ TEMPERATURES = tuple(n / 10 for n in range(11))
 # Scores that differ by the order of additions only are equal: the earlier attempt wins.
 DIGITS = 9
 
+# Characters that go through the model and back to Spark together, so that memory does not grow with an Arrow batch.
+PORTION = 1 << 20
+
 Gate = Callable[[pd.Series], np.ndarray]
 
 
@@ -52,44 +55,48 @@ def call_model_on_parts(
     max_tokens: Column | int | None = None,
     policy: RetryPolicy = RetryPolicy(),
 ) -> Column:
-    """Calls for every part of a row's array of texts, all parts of a batch together.
+    """Calls for every part of a row's array of texts, many rows together.
 
     Parts stay in their row, so a long text needs no shuffle to be put together again.  The struct has
     the answers in order, the first error if any part failed, the number of calls and the largest budget.
     """
 
+    def answers(part_lists: pd.Series, systems: pd.Series, temperatures: pd.Series, budgets: pd.Series) -> pd.DataFrame:
+        sizes = [0 if parts is None else len(parts) for parts in part_lists]
+        row_of = np.repeat(np.arange(len(sizes)), sizes)
+        texts = [t or "" for parts in part_lists if parts is not None for t in parts]
+        configs = [
+            CallSettings(
+                model_name,
+                float(temperatures.iat[r]),
+                None if pd.isna(budgets.iat[r]) else int(budgets.iat[r]),
+            )
+            for r in row_of
+        ]
+        outcomes = run_batch(provider, policy, texts, [systems.iat[r] for r in row_of], configs)
+        ends = np.cumsum(sizes)
+        grouped = [outcomes[end - size : end] for end, size in zip(ends, sizes)]
+        return pd.DataFrame(
+            {
+                "values": [[o.value for o in g] for g in grouped],
+                "error": [next((o.error for o in g if o.error is not None), None) for g in grouped],
+                "attempts": [sum(o.attempts for o in g) for g in grouped],
+                "budget": pd.Series(
+                    [max((o.budget for o in g if o.budget is not None), default=None) for g in grouped],
+                    dtype="Int64",
+                ),
+            }
+        )
+
     @F.pandas_udf(CALL_SCHEMA)
     def run(
         batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
     ) -> Iterator[pd.DataFrame]:
         provider.open()
         try:
-            for part_lists, systems, temperatures, budgets in batches:
-                sizes = [0 if parts is None else len(parts) for parts in part_lists]
-                row_of = np.repeat(np.arange(len(sizes)), sizes)
-                texts = [t or "" for parts in part_lists if parts is not None for t in parts]
-                configs = [
-                    CallSettings(
-                        model_name,
-                        float(temperatures.iat[r]),
-                        None if pd.isna(budgets.iat[r]) else int(budgets.iat[r]),
-                    )
-                    for r in row_of
-                ]
-                outcomes = run_batch(provider, policy, texts, [systems.iat[r] for r in row_of], configs)
-                ends = np.cumsum(sizes)
-                grouped = [outcomes[end - size : end] for end, size in zip(ends, sizes)]
-                yield pd.DataFrame(
-                    {
-                        "values": [[o.value for o in g] for g in grouped],
-                        "error": [next((o.error for o in g if o.error is not None), None) for g in grouped],
-                        "attempts": [sum(o.attempts for o in g) for g in grouped],
-                        "budget": pd.Series(
-                            [max((o.budget for o in g if o.budget is not None), default=None) for g in grouped],
-                            dtype="Int64",
-                        ),
-                    }
-                )
+            for batch in batches:
+                for a, b in portions(map(_chars, batch[0]), PORTION):
+                    yield answers(*(column.iloc[a:b] for column in batch))
         finally:
             provider.close()
 
@@ -112,19 +119,24 @@ def call_batches(
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         provider.open()
         try:
-            for text_lists, systems, caps in batches:
-                answers = []
-                for texts, system, cap in zip(text_lists, systems, caps, strict=True):
-                    settings = [CallSettings(model_name, 0.0, int(cap))] * len(texts)
-                    outcomes = run_batch(provider, policy, [t or "" for t in texts], [system] * len(texts), settings)
-                    answers.append([{"value": o.value, "error": o.error} for o in outcomes])
-                yield pd.Series(answers)
+            for batch in batches:
+                for a, b in portions(map(_chars, batch[0]), PORTION):
+                    answers = []
+                    for texts, system, cap in zip(*(column.iloc[a:b] for column in batch), strict=True):
+                        settings = [CallSettings(model_name, 0.0, int(cap))] * len(texts)
+                        outcomes = run_batch(provider, policy, [t or "" for t in texts], [system] * len(texts), settings)
+                        answers.append([{"value": o.value, "error": o.error} for o in outcomes])
+                    yield pd.Series(answers, dtype=object)
         finally:
             provider.close()
 
     return run.asNondeterministic()(texts, system, max_tokens)
 
 
+def _chars(texts: np.ndarray | None) -> int:
+    return 0 if texts is None else sum(len(t) for t in texts if t is not None)
+
+
 def _named(call: Column, pick: Callable[[Column], Column]) -> Column:
     return bind(
         call,
@@ -254,7 +266,7 @@ def try_attempt(
                 back, score = np.full(size, None, dtype=object), np.full(size, np.nan)
                 if len(rows):
                     back[rows] = values
-                    found = chrf_scores(_bare(pd.Series(values)), _bare(sentences.iloc[rows].reset_index(drop=True)))
+                    found = chrf_scores(_bare(values), _bare(sentences.iloc[rows].tolist()))
                     score[rows] = np.round(found, DIGITS)
                 yield pd.DataFrame({"forward": forward, "back": back, "score": score})
         finally:
@@ -273,6 +285,8 @@ def passes(gate: Gate, text: Column) -> Column:
     return run(text)
 
 
-def _bare(texts: pd.Series) -> pd.Series:
-    table = str.maketrans("", "", ASCII_PUNCTUATION)
-    return texts.map(lambda t: "".join(t.lower().translate(table).split()))
+_NO_PUNCTUATION = str.maketrans("", "", ASCII_PUNCTUATION)
+
+
+def _bare(texts: list[str]) -> pd.Series:
+    return pd.Series(["".join(t.lower().translate(_NO_PUNCTUATION).split()) for t in texts], dtype=object)
