@@ -9,6 +9,7 @@ rows or on how they are split, so one plan serves all sizes and gives the same a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from hashlib import md5
@@ -100,6 +101,9 @@ def train(docs: DataFrame, text: str = "text", language: str = "language") -> La
     return LanguageModel(grams, priors.join(totals, "language", "left").fillna(0, ["total"]))
 
 
+_HELD: dict[str, dict] = {}  # the last model of this process, by its key
+
+
 @dataclass
 class BucketTable:
     """The model as arrays: one row of weights per bucket and one column per language, so its size is known beforehand."""
@@ -111,10 +115,18 @@ class BucketTable:
     words: dict[str, int] = field(default_factory=dict)
     word_chars: int = 0
     scores: np.ndarray | None = None  # by the numbers that ``words`` gives
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def __getstate__(self):
         return self.__dict__ | {"memo": {}, "words": {}, "word_chars": 0, "scores": None}
 
+    def __setstate__(self, state):
+        """A worker's next task gets what the one before it remembered of the same model."""
+        if state["key"] not in _HELD:
+            _HELD.clear()
+            _HELD[state["key"]] = state
+        self.__dict__ = _HELD[state["key"]]
+
     def _row(self, gram: str) -> int:
         row = self.memo.get(gram)
         if row is None:

@@ -17,7 +17,7 @@ from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.operators.selection import best_of_attempts
 from lexiloom.providers import Provider, RetryPolicy, call_round_trip, passes, try_attempt
 from lexiloom.providers.calls import DIGITS, EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
-from lexiloom.session import table_exists, written
+from lexiloom.session import dealt, table_exists, written
 
 
 def back_translate(
@@ -61,10 +61,10 @@ def document_attempts(
     """Best attempt per sentence in the layout of the sentence result table.
 
     ``gate`` tells which translations are in the target language.  Sentences without a single successful attempt that
-    passes are missing.
+    passes are missing.  Sentences are dealt to tasks once; their attempts stay where they are, also for the selection.
     """
     sentences = explode_sentences(docs.select("doc_id", "text")).withColumnRenamed("sentence", "original_sentence")
-    attempts = expand_attempts(sentences, temperatures)
+    attempts = expand_attempts(dealt(sentences, "doc_id", "sentence_index"), temperatures)
     done = back_translate(
         attempts,
         provider,
@@ -125,7 +125,7 @@ def synth_sentences(
     open_ = sentences.select(F.struct(*sentences.columns).alias("_row"), best.alias("_best"))
     finished = []
     for temperature in temperatures:
-        tried = open_.hint("rebalance").withColumn(
+        tried = dealt(open_, "_row").withColumn(
             "_try", try_attempt(provider, F.col(f"_row.{sentence}"), there, home, model_name, temperature, gate, policy)
         )
         score, so_far = F.col("_try.score"), F.coalesce(F.col("_best.score"), F.lit(0.0))

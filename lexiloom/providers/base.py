@@ -95,6 +95,13 @@ class Outcome:
     budget: int | None = None
 
 
+def _settings(config: CallSettings, max_tokens: int | None, attempt: int) -> CallSettings:
+    """``config`` itself where nothing changes, as in most first attempts."""
+    if config.max_tokens == max_tokens and config.attempt == attempt:
+        return config
+    return replace(config, max_tokens=max_tokens, attempt=attempt)
+
+
 def run_batch(
     provider: Provider, policy: RetryPolicy, texts: list[str], systems: list[str], configs: list[CallSettings]
 ) -> list[Outcome]:
@@ -103,10 +110,7 @@ def run_batch(
     tier, tries = [0] * len(texts), [0] * len(texts)
     pending = list(range(len(texts)))
     while pending:
-        calls = [
-            replace(configs[i], max_tokens=policy.budget(configs[i].max_tokens, tier[i]), attempt=tries[i] + 1)
-            for i in pending
-        ]
+        calls = [_settings(configs[i], policy.budget(configs[i].max_tokens, tier[i]), tries[i] + 1) for i in pending]
         try:
             answers = list(provider.invoke_many([texts[i] for i in pending], [systems[i] for i in pending], calls))
             if len(answers) != len(pending):
