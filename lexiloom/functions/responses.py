@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiloom.functions.text import strip
+from lexiloom.functions.text import bind, strip
 
 # Labels a model may put in front of its answer, and how failures are marked.
 ANSWER_LABEL = r"(?U)^(?:Translation|translation|Answer|answer):\s*"
@@ -57,11 +57,20 @@ def extract_response(payload: Column) -> Column:
 def parse_judge(answer: Column) -> Column:
     """``struct(score, label, reasoning, error)`` from a judge's JSON, with or without code fences."""
     bare = strip(F.regexp_replace(answer, "```json|```", ""))
-    data = F.from_json(bare, JUDGE_SCHEMA, {"mode": "PERMISSIVE"})
+    read = lambda b: F.struct(
+        F.from_json(b, JUDGE_SCHEMA, {"mode": "PERMISSIVE"}).alias("data"),
+        F.json_object_keys(b).alias("keys"),
+        b.endswith("}").alias("closed"),
+    )
+    return bind(bare, lambda b: bind(read(b), _judged))
+
+
+def _judged(parsed: Column) -> Column:
+    data, keys = parsed["data"], parsed["keys"]
     # A malformed document parses to a struct of nulls; an object is told from it by its keys.
-    valid = F.json_object_keys(bare).isNotNull() & bare.endswith("}")
+    valid = keys.isNotNull() & parsed["closed"]
     # No score is 0; one that is there but is no number, null included, is an error.
-    given = F.array_contains(F.json_object_keys(bare), "score")
+    given = F.array_contains(keys, "score")
     number = data["score"].try_cast("double")
     valid = valid & (~given | number.isNotNull())
     score = F.when(valid, F.coalesce(number, F.lit(0.0)))
