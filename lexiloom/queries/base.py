@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions.languages import Language, LanguagePair
 from lexiloom.operators.combine import expand_directions, explode_sentences
 from lexiloom.queries.standins import CODED, PLAIN, cipher_backward, cipher_forward, drop_below
-from lexiloom.session import ship_package
+from lexiloom.session import dealt, ship_package
 
 PAIR = LanguagePair(Language("en", "English", "eng_Latn", "en"), Language("fr", "French", "fra_Latn", "fr"))
 
@@ -138,10 +138,14 @@ GRID = tuple(n / 10 for n in range(11))
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eleven attempts per sentence with a score of 0-100 made from a digest, some null."""
+    """Eleven attempts per sentence with a score of 0-100 made from a digest, some null.
+
+    Sentences are dealt by their key before they are expanded, so that a selection by this key moves no attempts.
+    """
     from lexiloom.operators.combine import expand_attempts
 
-    grid = expand_attempts(sentences(spark, sf_dir).select("doc_id", "sentence_index"), GRID)
+    keys = ["doc_id", "sentence_index"]
+    grid = expand_attempts(dealt(sentences(spark, sf_dir).select(*keys), *keys), GRID)
     key = F.concat_ws(":", F.col("doc_id"), F.col("sentence_index"), F.col("attempt"))
     missing = F.substring(F.md5(key), 9, 1) == "0"
     return grid.withColumn("score", F.when(~missing, hash_number(key) % 6401 / F.lit(64.0)))
