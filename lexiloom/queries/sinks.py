@@ -25,7 +25,7 @@ from lexiloom.queries.base import (
     words_sql,
 )
 from lexiloom.queries.standins import CODED, PLAIN
-from lexiloom.session import scratch_path
+from lexiloom.session import scratch_path, written
 from lexiloom.sources import committed, readers, writers
 
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -116,7 +116,9 @@ def _export_text_files(spark, sf_dir) -> str:
     "SELECT doc_id, 'row_'||doc_id||'.txt' AS file_name, text FROM documents",
 )
 def scan_text_folder(spark, sf_dir):
-    return readers.scan_documents(spark, _export_text_files(spark, sf_dir)).orderBy("file_name")
+    """Files are opened once: the sort looks at its input twice, for its bounds and for the rows."""
+    found = written(readers.scan_documents(spark, _export_text_files(spark, sf_dir)), "scanned")
+    return found.orderBy("file_name")
 
 
 @query(
@@ -204,7 +206,7 @@ def _saved_rows(spark, sf_dir) -> str:
     rows = _row_json(spark, sf_dir)
     writers.write_row_json(rows.filter("row_id % 20 <> 7"), f"{path}/whole")
     broken = rows.filter("row_id % 20 = 7").select(F.to_json(F.struct("*")).alias("value"))
-    broken.select(F.expr("left(value, length(value) div 2)").alias("value")).write.option("lineSep", "\n").text(f"{path}/cut")
+    broken.select(F.expr("left(value, length(value) div 2)").alias("value")).write.options(lineSep="\n", **writers.PACKED).text(f"{path}/cut")
     return path
 
 
@@ -232,7 +234,7 @@ def aggregate_row_json(spark, sf_dir):
     found = readers.scan_row_json(spark, _saved_rows(spark, sf_dir), "part-*", multi_line=False)
     path = scratch_path(spark, "all_rows")
     writers.aggregate_row_json(_readable(found), path)
-    return _nested(readers.scan_row_json(spark, path, "*.json", multi_line=False))
+    return _nested(readers.scan_row_json(spark, path, "part-*", multi_line=False))
 
 
 @query(
@@ -245,6 +247,9 @@ def load_parallel_benchmark(spark, sf_dir):
     return readers.load_parallel_benchmark(spark, path, "en", "fr")
 
 
+TSV_ROWS = 200_000  # in a file: with quoted line ends a file is one task
+
+
 @query(
     "read_results_tsv",
     f"""WITH {SCORED} SELECT sentence_index::VARCHAR AS sentence_index, original_sentence, forward_translation,
@@ -254,7 +259,7 @@ def read_results_tsv(spark, sf_dir):
     """All columns as text, as the saved file has them."""
     path = scratch_path(spark, "results")
     rows = scored(spark, sf_dir).select(*RESULT_COLUMNS.split(", ")[1:])
-    rows.write.options(**writers.CSV_OPTIONS).option("sep", "\t").csv(path)
+    rows.write.options(**writers.CSV_OPTIONS, maxRecordsPerFile=TSV_ROWS).option("sep", "\t").csv(path)
     schema = ", ".join(f"{name} string" for name in rows.columns)
     found = readers.read_results(spark, path, schema)
     return found.withColumns({c: F.col(c).cast("double") for c in ("comet_score", "temperature")})

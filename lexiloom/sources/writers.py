@@ -17,6 +17,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 BUCKETS = 64
+# Texts are written several times over in these files, so they shrink to a part; a file is then one task.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+ROWS = 10_000  # of documents in a packed file, at most
 
 
 def save_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -55,7 +58,7 @@ def write_results(df: DataFrame, path: str, doc: str = "doc_id", buckets: int =
     bucketed = df.select(
         F.pmod(F.xxhash64(doc), F.lit(buckets)).alias("bucket"), doc, *SENTENCE_RESULT_COLUMNS
     )
-    bucketed.hint("rebalance", "bucket").write.mode("overwrite").options(**CSV_OPTIONS).option("sep", "\t").partitionBy("bucket").csv(path)
+    bucketed.hint("rebalance", "bucket").write.mode("overwrite").options(**CSV_OPTIONS, **PACKED).option("sep", "\t").partitionBy("bucket").csv(path)
 
 
 def write_documents(docs: DataFrame, path: str) -> None:
@@ -63,12 +66,12 @@ def write_documents(docs: DataFrame, path: str) -> None:
 
 
 def write_row_json(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").json(path)
+    rows.write.mode("overwrite").options(**PACKED, maxRecordsPerFile=ROWS).json(path)
 
 
 def aggregate_row_json(rows: DataFrame, path: str) -> None:
     """All saved rows merged in order of their id: range-sorted part files, not one file."""
-    rows.orderBy("row_id").write.mode("overwrite").json(path)
+    rows.orderBy("row_id").write.mode("overwrite").options(**PACKED, maxRecordsPerFile=ROWS).json(path)
 
 
 def write_report(metrics: DataFrame, translations: DataFrame, path: str) -> None:
