@@ -10,9 +10,9 @@ are cut into contexts, the bytes of the windows of one anchor, and contexts meet
    hashes of these sides put contexts aside that agree with no other.
 4. The contexts of an anchor that has several left go to one task in batches of bounded size.  Each batch is cut into
    shards; the transform of a shard comes from sorting its suffixes, and the transforms merge by refining their
-   interleave: step h orders all suffixes by h bytes from the order by h - 1 bytes and the preceding bytes
-   alone.  A boundary that appears in step h tells a common prefix of h - 1 bytes; suffixes with boundaries on
-   both sides leave, and what is left after ``length`` steps are the repeated intervals: starts of windows.
+   interleave: it orders all suffixes by one byte at first, and by 2h bytes from the order by h bytes and the
+   blocks of the h bytes before.  Suffixes with block boundaries on both sides leave, and what is left after
+   ``length`` bytes are the repeated intervals: starts of windows.
 5. An anchor with more distinct contexts than a batch holds has its windows counted by a 128-bit hash instead,
    one row per window, with map-side combining.
 
@@ -39,6 +39,8 @@ ANCHOR = 64
 CHUNK = 1 << 19  # window starts looked at together; must stay below 2^20 with a window's length
 BATCH = 1 << 18  # bytes of contexts merged together
 SHARDS = 4
+PORTION = 1 << 21  # bytes of contexts cut before they are handed on
+TASK = 10_000  # contexts that a task merges, about
 
 _INDEX = np.uint64((1 << 20) - 1)
 _RANDOM = np.random.default_rng(6)
@@ -101,74 +103,102 @@ def _sides(raw: bytes, begin: int, end: int, place: int, length: int) -> tuple[b
     )
 
 
-def shard_transform(contexts: list[bytes], first_end: int, ends: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _ordered(keys: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers below 2^32, 16 bits a pass."""
+    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
+    if len(keys) and keys.max() > 0xFFFF:
+        order = order[np.argsort((keys >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
+def shard_transform(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix starts in order, preceding symbol of each suffix, and its place after one step to the left.
 
-    Symbols are bytes plus ``ends``; below them stand the ends of strings, all different, from ``first_end`` on.
+    Symbols are bytes plus one; 0 ends a string.
     """
     lengths = np.array([len(c) + 1 for c in contexts])
     text = np.zeros(lengths.sum(), np.int64)
-    stops = np.cumsum(lengths) - 1
     body = np.ones(len(text), bool)
-    body[stops] = False
-    text[body] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int64) + ends
-    text[stops] = first_end + np.arange(len(contexts))
-    n = len(text)
-    wide = np.concatenate([text, np.zeros(3, np.int64)])
-    packed = ((wide[:n] << 45) | (wide[1 : n + 1] << 30) | (wide[2 : n + 2] << 15) | wide[3:]) if ends < 30_000 else text
-    _, rank = np.unique(packed, return_inverse=True)
-    step = 4 if ends < 30_000 else 1
-    while True:  # order by twice as many symbols each time; string ends make all suffixes different
-        ahead = np.zeros(n, np.int64)
-        ahead[: n - step] = rank[step:] + 1
-        key = rank * (max(int(rank.max()), int(ahead.max())) + 2) + ahead
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        if rank[order[-1]] == n - 1:
-            break
+    body[np.cumsum(lengths) - 1] = False
+    text[body] = np.frombuffer(b"".join(contexts), np.uint8).astype(np.int64) + 1
+    n, step = len(text), 7
+    wide = np.concatenate([text, np.zeros(step, np.int64)])
+    key = np.zeros(n, np.int64)
+    for i in range(step):
+        key = key << 9 | wide[i : i + n]
+    order, rank, slots = np.arange(n), np.zeros(n, np.int64), np.arange(n)
+    while len(slots):  # suffixes that agree so far are ordered by twice as many symbols; a rank is its group's first place
+        sort = np.argsort(key)
+        order[slots] = order[slots][sort]
+        key = key[sort]
+        new = np.ones(len(key) + 1, bool)
+        new[1:-1] = key[1:] != key[:-1]
+        rank[order[slots]] = np.maximum.accumulate(np.where(new[:-1], slots, 0))
+        slots = slots[~(new[:-1] & new[1:])]
+        tied = order[slots]
+        ahead = np.where(tied + step < n, rank[np.minimum(tied + step, n - 1)] + 1, 0)
+        key = rank[tied] * (n + 1) + ahead
         step *= 2
-    before = text[order - 1]  # the first suffix follows the last string end, in a ring
-    left = rank[order - 1]
-    return order, before, left
+    return order, text[order - 1], rank[order - 1]  # the first suffix follows the last string end, in a ring
+
+
+def _refined(
+    interleave: np.ndarray, block: np.ndarray, left: np.ndarray, blocks: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The interleave by ``m + h`` bytes from the one by ``m`` and the blocks by ``h`` bytes.
+
+    ``left`` leads ``h`` bytes to the left.  Suffixes alone in their block have no block (-1) and leave: those that
+    extend them to the left are alone too.
+    """
+    before = left[interleave]
+    ahead = blocks[before]
+    shared = ahead >= 0
+    before, ahead, block = before[shared], ahead[shared], block[shared]
+    sort = _ordered(ahead)
+    before, ahead, block = before[sort], ahead[sort], block[sort]
+    new = np.ones(len(ahead) + 1, bool)
+    new[1:-1] = (ahead[1:] != ahead[:-1]) | (block[1:] != block[:-1])
+    shared = ~(new[:-1] & new[1:])
+    block = np.cumsum(new[:-1], dtype=np.int32)[shared]
+    return before[shared], block
 
 
 def merged_repeats(contexts: list[bytes], length: int = LENGTH, shards: int = SHARDS) -> list[np.ndarray]:
     """Starts of windows of each context that also occur elsewhere among the contexts."""
     ends = len(contexts)
-    cuts = np.linspace(0, ends, min(shards, ends) + 1).astype(int)
     places, befores, lefts, owners = [], [], [], []
     base = 0
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        part = contexts[a:b]
-        order, before, left = shard_transform(part, int(a), ends)
+    for first in range(min(shards, ends)):  # dealt in turn, so that like contexts, neighbours here, meet in the merge
+        part = contexts[first::shards]
+        order, before, left = shard_transform(part)
         starts = np.concatenate([[0], np.cumsum([len(c) + 1 for c in part])[:-1]])
         owner = np.searchsorted(starts, order, side="right") - 1
-        owners.append(owner + a)
+        owners.append(first + shards * owner)
         places.append(order - starts[owner])
         befores.append(before)
-        lefts.append(left + base)
+        lefts.append((left + base).astype(np.int32))
         base += len(order)
-    symbol = np.concatenate(befores).astype(np.uint16 if ends + 256 < 1 << 16 else np.int64)
-    left = np.concatenate(lefts)
-    # The interleave: suffixes of all shards, shard by shard at first, then ordered by one more symbol a step.  A
-    # suffix alone in its block stays alone, and so do those that extend it to the left: both leave the interleave,
-    # their common prefix with any other known.
-    interleave = np.arange(len(symbol))
-    block = np.zeros(len(symbol), np.int32)
-    for _ in range(length):
-        symbols = symbol[interleave]
-        order = np.argsort(symbols, kind="stable")
-        interleave, symbols, blocks = left[interleave[order]], symbols[order], block[order]
-        new = np.ones(len(symbols) + 1, bool)
-        new[1:-1] = (symbols[1:] != symbols[:-1]) | (blocks[1:] != blocks[:-1])
-        shared = ~(new[:-1] & new[1:])
-        interleave = interleave[shared]
-        if not len(interleave):
+    symbol, left = np.concatenate(befores), np.concatenate(lefts)
+    # The interleave: suffixes of all shards, shard by shard at first, then ordered by one byte, and by twice as many
+    # each time.  The powers of two that make up the length refine each other in the end.
+    blocks = np.zeros(base, np.int32)
+    blocks[left] = np.where(symbol == 0, -1, symbol)  # by one byte: each suffix precedes one other
+    interleave = _ordered(blocks + 1)
+    interleave = interleave[blocks[interleave] >= 0]
+    block = blocks[interleave]
+    h, hit, kinds = 1, None, None
+    while True:
+        if length & h:
+            hit, kinds = (interleave, block) if hit is None else _refined(hit, kinds, left, blocks)
+        if 2 * h > length:
             break
-        block = np.cumsum(new[:-1], dtype=np.int32)[shared]
-    hit = interleave  # runs of suffixes that agree in their first ``length`` bytes
+        interleave, block = _refined(interleave, block, left, blocks)
+        blocks = np.full(base, -1, np.int32)
+        blocks[interleave] = block
+        left, h = left[left], 2 * h
+    if length == 1:  # one byte alone was not refined
+        hit = hit[np.bincount(kinds, minlength=257)[kinds] > 1]
+    # runs of suffixes that agree in their first ``length`` bytes
     owner, place = np.concatenate(owners)[hit], np.concatenate(places)[hit]
     sort = np.lexsort((place, owner))
     owner, place = owner[sort], place[sort]
@@ -221,7 +251,9 @@ def merged_coverage(contexts: DataFrame, length: int) -> DataFrame:
         if rest is not None and len(rest):
             yield merge(rest)
 
-    ordered = contexts.repartition("f").sortWithinPartitions("f")
+    # Merging costs much a byte: tasks go by the number of contexts, since rebalancing by bytes leaves cores idle.
+    tasks = max(4 * contexts.sparkSession.sparkContext.defaultParallelism, -(-contexts.count() // TASK))
+    ordered = contexts.repartition(tasks, "f").sortWithinPartitions("f")
     return ordered.select("f", "digest", "context").mapInPandas(run, f"f long, digest binary, ranges {RANGES}")
 
 
@@ -281,30 +313,43 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     places = exploded.join(shared, "f").groupBy("_key", "doc_id").agg(
         F.collect_set(F.struct("f", "first", "last", "place")).alias("_at")
     )
+    places = stored(places, "places")  # before any text is shuffled, so that shuffle files of anchors and texts never meet
 
     def cut(frames):
+        names = ("doc_id", "_key", "f", "first", "digest", "left", "right", "context")
         for frame in frames:
-            for doc, k, text_, at in zip(frame["doc_id"], frame["_key"], frame["_text"], frame["_at"], strict=True):
+            found, size = {name: [] for name in names}, 0
+            columns = (frame[c] for c in ("doc_id", "_key", "_text", "f", "first", "last", "place"))
+            for doc, k, text_, f, first, last, place in zip(*columns, strict=True):
                 raw = text_.encode("utf-8", "surrogatepass")
-                parts = [raw[x["first"] : x["last"] + length] for x in at]
-                sides = [_sides(raw, x["first"], x["last"] + length, x["place"], length) for x in at]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": doc,
-                        "_key": [k] * len(at),
-                        "f": [x["f"] for x in at],
-                        "first": [x["first"] for x in at],
-                        "digest": [blake2b(p, digest_size=16).digest() for p in parts],
-                        "left": [x for x, _ in sides],
-                        "right": [x for _, x in sides],
-                        "context": parts,
-                    }
-                ).astype({"doc_id": "Int64"})
-
-    at = places.select(F.col("_key").alias("_k"), F.col("doc_id").alias("_id"), "_at").hint("shuffle_hash")
+                found["doc_id"] += [doc] * len(f)
+                found["_key"] += [k] * len(f)
+                found["f"].append(f)
+                found["first"].append(first)
+                for a, b, p in zip(first.tolist(), last.tolist(), place.tolist(), strict=True):
+                    part = raw[a : b + length]
+                    left, right = _sides(raw, a, b + length, p, length)
+                    found["digest"].append(blake2b(part, digest_size=16).digest())
+                    found["left"].append(left)
+                    found["right"].append(right)
+                    found["context"].append(part)
+                    size += len(part)
+                if size > PORTION:
+                    yield put_together(found)
+                    found, size = {name: [] for name in names}, 0
+            if size:
+                yield put_together(found)
+
+    def put_together(found):
+        found["f"], found["first"] = np.concatenate(found["f"]), np.concatenate(found["first"])
+        return pd.DataFrame(found).astype({"doc_id": "Int64"})
+
+    each = (F.col(f"_at.{name}").alias(name) for name in ("f", "first", "last", "place"))
+    at = places.select(F.col("_key").alias("_k"), F.col("doc_id").alias("_id"), *each).hint("shuffle_hash")
     texts = rows.join(at, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     schema = "doc_id long, _key binary, f long, first int, digest binary, left binary, right binary, context binary"
-    contexts = stored(texts.select("doc_id", "_key", "_text", "_at").mapInPandas(cut, schema), "contexts")
+    texts = texts.select("doc_id", "_key", "_text", "f", "first", "last", "place")
+    contexts = stored(texts.mapInPandas(cut, schema), "contexts")
 
     kinds = contexts.groupBy("f", "digest").agg(
         F.countDistinct("_key", "first").alias("_n"), F.min("left").alias("left"), F.min("right").alias("right")
