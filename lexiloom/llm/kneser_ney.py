@@ -1,18 +1,23 @@
 """Quality classifier: an interpolated modified Kneser-Ney trigram model of trusted text.
 
-The model is fitted on a bounded sample of trusted documents (``MAX_DOCS`` documents and ``MAX_WORDS`` words, in
-an order by hash), so its tables have a proven bound and go to every worker.  A document gives one in ``GIVERS`` of
-those words at most, its first ones, so that no long document shuts out the others.  Spark counts the n-grams of the
-sample, sharded by n-gram, and joins them with the sums of their contexts into discounted probabilities.
-Everything after that covers all documents: whole texts are scored, and the limits come from all trusted
-documents outside the sample.
-
-Tokens are words; one that the sample holds less than twice is replaced by its shape (small, capitalized, upper
+The model is counted over all words of all trusted documents but one text in ``HELD_OUT``; documents with
+those set the limits, all of them, and every whole text is scored.  Nothing of the model goes to the driver or to
+every worker but its few reserved tokens:
+
+1. Documents are told in portions, each a row: its distinct words, and its texts as numbers of these.  Words of the
+   portions meet the vocabulary of the trusted text by a join, so a portion learns the numbers of its own words.
+2. Portions give the trigrams of their trusted documents; joins with the sums of their contexts make discounted
+   probabilities.  A token's log probability is a sum of weights of its word, of the word before, of its bigram and
+   its trigram, each zero where the model has none: so a document's is a sum over n-grams.
+3. N-grams are sharded by bigram: each portion sends every shard what it holds of it, counted by document, and each
+   shard looks it up among its weights.  Weights are whole multiples of 1 / ``SCALE``: no sum depends on an order.
+
+Tokens are words; one that the trusted text holds less than twice is replaced by its shape (small, capitalized, upper
 case, number, with marks, other), and a word that repeats the one before it by a token of its own.  An end token
 closes each document.  A document's mean log probability, drawn towards the mean of its language as by
 ``PRIOR`` tokens, must reach a quantile of its language.  That of n documents is moved away from the median by
 2 / sqrt(n) of its distance to it, since few documents do not show the end of a distribution.  There is no limit
-on the other side: copies of the sample are as likely as it gets, and are good text.
+on the other side: copies of trusted text are as likely as it gets, and are good text.
 
 Defined results: null and empty texts have the end token alone and are kept, since nothing speaks against them;
 a language without trusted documents, null included, takes the limits of all languages; without any trusted
@@ -26,17 +31,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.llm.scratch import stored
+from lexiloom.session import remove
 
-MAX_DOCS = 10_000
+PORTION = 1 << 24  # bytes of texts in a portion, if they are several
+SHARD_TOKENS = 2_000_000  # tokens that a shard looks up, about
+SHARD_GRAMS = 250_000  # n-grams of the model in a shard, about
+SCALE = 100_000_000  # so that a weight is a number of 32 bits
+MAX_DOCS = 10_000  # of a sample that fits the driver, as the next two
 MAX_WORDS = 250_000
 GIVERS = 100  # documents that a full sample holds at least
 PRIOR = 20.0
 QUANTILE = 0.995  # of the perplexities of trusted documents
-HELD_OUT = 5  # one trusted document in so many is never in the sample
+HELD_OUT = 5  # one trusted text in so many is not learned
 MEMO = 400_000
 BITS = 21  # of a token number, so that three make a key
 
@@ -46,10 +57,17 @@ _SMALL = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+(?:['’-][^\W\d_A-ZÀ-ÖØ-Þ]+)*[.
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_A-ZÀ-ÖØ-Þ]*[.,;:!?]?\Z")
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}[.,;:!?]?\Z")
 _NUMBER = re.compile(r"[\d.,:/-]*\d[\d.,:/%-]*\Z")
+_MARKS = frozenset(bytes([x]) for x in b".,;:!?")
 _LETTERS = re.compile(r"[^\W\d_]")
 
 
 def shape(word: bytes) -> int:
+    core = word[:-1] if word[-1:] in _MARKS else word
+    if core.isalpha():  # of ASCII alone; the patterns say the same
+        if core.islower():
+            return 0
+        if core[:1].isupper() and (len(core) == 1 or core[1:].islower()):
+            return 1
     text = word.decode("utf-8", "replace")
     for number, pattern in enumerate((_SMALL, _CAPITAL, _UPPER, _NUMBER)):
         if pattern.match(text):
@@ -132,19 +150,45 @@ def discounts(of_counts: dict[int, int]) -> list[float]:
     return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.1), k - 0.1) if n[k] else 0.5 for k in (1, 2, 3)]
 
 
+def _discounts(counts: DataFrame) -> list[float]:
+    return discounts({r["n"]: r["c"] for r in counts.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()})
+
+
+_SUMS = {
+    "_sum": F.sum,
+    "_ones": lambda n: F.count(F.when(F.col(n) == 1, 1)),
+    "_twos": lambda n: F.count(F.when(F.col(n) == 2, 1)),
+    "_more": lambda n: F.count(F.when(F.col(n) > 2, 1)),
+}  # what a context must know of the counts of its n-grams
+
+
+def _rest(d: list[float]) -> Column:
+    return (F.col("_ones") * d[0] + F.col("_twos") * d[1] + F.col("_more") * d[2]) / F.col("_sum")
+
+
+def _contexts(counts: DataFrame, context: str) -> tuple[DataFrame, list[float]]:
+    """``_sum`` of each context and ``rest``, what it leaves to the lower order, with the discounts."""
+    d = _discounts(counts)
+    sums = counts.groupBy(context).agg(*(of("n").alias(name) for name, of in _SUMS.items()))
+    return sums.select(context, "_sum", _rest(d).alias("rest")), d
+
+
+def _share(d: list[float]) -> Column:
+    """Discounted share of an n-gram in its context."""
+    cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+    return (F.col("n") - cut) / F.col("_sum")
+
+
 def _discounted(counts: DataFrame, context: str) -> DataFrame:
     """``p`` (discounted share of the context) of each n-gram and ``rest`` (what its context leaves)."""
-    of = {r["n"]: r["c"] for r in counts.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
-    d = discounts(of)
-    cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-    sums = counts.groupBy(context).agg(F.sum("n").alias("_sum"), F.sum(cut).alias("_cut"))
-    joined = counts.join(sums, context)
-    return joined.withColumns({"p": (F.col("n") - cut) / F.col("_sum"), "rest": F.col("_cut") / F.col("_sum")})
+    sums, d = _contexts(counts, context)
+    return counts.join(sums, context).withColumn("p", _share(d))
 
 
 def sample_of(docs: DataFrame, learned: DataFrame, text: str) -> DataFrame:
     """Documents of ``learned`` (``doc_id``) in an order by hash while they stay within the bounds.
 
+    For models that must fit the driver (``train``); ``classify`` learns from all.
     Ids are thinned before any text is read, so neither the driver nor a single task meets more than the sample.
     """
     share = min(1.0, MAX_DOCS / max(learned.count(), 1))
@@ -166,7 +210,7 @@ def sample_of(docs: DataFrame, learned: DataFrame, text: str) -> DataFrame:
 
 
 def train(sample: DataFrame) -> Model:
-    """``sample``: ``_text`` of trusted documents, bounded in words."""
+    """The model in one process, as ``classify`` has it in shards; ``sample``: ``_text``, bounded in words."""
     words = sample.select(F.explode(F.split("_text", r"[\x20\x09-\x0D]+")).alias("w")).filter("w <> ''")
     twice = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.encode("w", "utf-8").alias("w"))
     vocabulary = sorted(bytes(r["w"]) for r in twice.collect())  # at most MAX_WORDS / 2 words
@@ -220,27 +264,338 @@ def train(sample: DataFrame) -> Model:
     return Model(vocabulary, unigram, unigram_rest, keys, pair, pair_rest, three["g"].to_numpy(), triple)
 
 
-def scored(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """All columns of ``docs`` but the text, with ``n_tokens`` and ``log10_prob``, as a stored table."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS
-    kept = [c for c in docs.columns if c != text]
+def _forget(*tables: DataFrame) -> None:
+    """Delete stored tables that are of no more use, since n-gram tables are as large as the text."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            remove(table.sparkSession, folder)
+
+
+class Distinct(dict):
+    """Words of a portion, numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def portions(docs: DataFrame) -> DataFrame:
+    """``docs``: ``doc_id``, ``lang``, ``_learn``, ``_text``.  A row for each portion, ``b`` its number.
+
+    ``words``, ``counts`` in documents to learn from and ``shapes`` are by distinct word, ``sizes`` in words and the
+    other columns by document; ``tokens`` has a number of a distinct word for each word.
+    """
+    bound = PORTION
+
+    def one(columns: list[pa.Array], texts: list[bytes | None]) -> pa.RecordBatch:
+        own = Distinct()
+        found = []
+        for text in texts:
+            words = (text or b"").split()
+            found.append(np.fromiter(map(own.__getitem__, words), np.uint32, len(words)))
+        sizes = np.array([len(x) for x in found], np.int32)
+        tokens = np.concatenate(found)
+        learned = np.repeat(np.array([bool(x) for x in columns[2].to_pylist()]), sizes)
+        counts = np.bincount(tokens[learned], minlength=len(own)).astype(np.int64)
+        shapes = np.fromiter(map(shape, own), np.int8, len(own))
+        lists = [*columns, pa.array(sizes), pa.array(list(own), pa.binary()), pa.array(counts), pa.array(shapes)]
+        arrays = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+        blob = tokens.astype(_width(len(own))).tobytes()
+        names = ["doc_id", "lang", "learn", "sizes", "words", "counts", "shapes", "tokens"]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([blob], pa.binary())], names)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(3).cast(pa.binary()).to_pylist()
+            begin = size = 0
+            for i, text in enumerate(texts):
+                if size and size + len(text or b"") > bound:
+                    yield one([c.slice(begin, i - begin) for c in batch.columns[:3]], texts[begin:i])
+                    begin, size = i, 0
+                size += len(text or b"")
+            if begin < len(texts):
+                yield one([c.slice(begin) for c in batch.columns[:3]], texts[begin:])
+
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = (
+        f"doc_id array<{kinds['doc_id']}>, lang array<{kinds['lang']}>, learn array<boolean>, sizes array<int>, "
+        "words array<binary>, counts array<long>, shapes array<byte>, tokens binary"
+    )
+    found = docs.select("doc_id", "lang", "_learn", "_text").mapInArrow(run, schema)
+    return stored(found.withColumn("b", F.monotonically_increasing_id()), "portions")
+
+
+def _width(words: int) -> type:
+    return np.uint16 if words <= 1 << 16 else np.uint32
+
+
+class Layout:
+    """Places of a portion's tokens, with two start tokens before each document and an end token behind it."""
+
+    def __init__(self, tokens: bytes, sizes: np.ndarray, words: int):
+        self.own = np.frombuffer(tokens, _width(words))
+        sizes = np.asarray(sizes, np.int64)
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        self.place = np.arange(len(of)) + 3 * of + 2
+        self.stop = np.cumsum(sizes + 3) - 1
+        self.again = np.zeros(len(of), bool)
+        self.again[1:] = (self.own[1:] == self.own[:-1]) & (of[1:] == of[:-1])
+        real = np.ones(len(of) + 3 * len(sizes), bool)
+        first = self.stop - sizes - 2
+        real[first] = real[first + 1] = False
+        self.at = np.flatnonzero(real)
+        self.doc = np.repeat(np.arange(len(sizes)), sizes + 1)
+        self.begins = np.cumsum(sizes + 1) - sizes - 1
+
+    def spread(self, of_word: np.ndarray, reserved: np.ndarray) -> np.ndarray:
+        """A value of each token, from those of distinct words and of reserved tokens."""
+        out = np.full(len(self.own) + 3 * len(self.stop), reserved[START], np.int64)
+        out[self.place] = np.where(self.again, reserved[REPEAT], of_word[self.own])
+        out[self.stop] = reserved[END]
+        return out
+
+    def grams(self, shapes: np.ndarray, pos, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token numbers of all trigrams."""
+        of_word = FIRST_SHAPE + np.asarray(shapes, np.int64)
+        if pos is not None:
+            of_word[pos] = RESERVED + np.asarray(ids)
+        x = self.spread(of_word, np.arange(RESERVED))
+        return x[self.at - 2], x[self.at - 1], x[self.at]
+
+
+def numbered_words(parts: DataFrame) -> tuple[DataFrame, int]:
+    """``b``, ``pos`` and ``id`` of the words of portions that trusted text holds twice, and how many such there are."""
+    words = parts.select("b", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "x"))
+    words = words.select("b", "pos", F.col("x.words").alias("w"), F.col("x.counts").alias("n"))
+    twice = words.filter("n > 0").groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select("w")
+    place = F.lit((1 << 33) - 1)
+    vocabulary = stored(twice.withColumn("_mark", F.monotonically_increasing_id()), "vocabulary")
+    twice = vocabulary.withColumns({"_part": F.shiftright("_mark", 33), "_place": F.col("_mark").bitwiseAND(place)})
+    sizes = twice.groupBy("_part").agg((F.max("_place") + 1).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    bases = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    ids = twice.join(F.broadcast(bases), "_part").select("w", (F.col("_base") + F.col("_place")).alias("id"))
+    known, size = stored(words.join(ids, "w").select("b", "pos", "id"), "known_words"), vocabulary.count()
+    _forget(vocabulary)
+    return known, size
+
+
+def trigrams(parts: DataFrame, known: DataFrame) -> DataFrame:
+    """``u``, ``v``, ``w`` and ``n`` of all trigrams of documents to learn from, with the sums of their contexts.
+
+    ``_lead`` marks one row of each context.
+    """
+    own = known.groupBy("b").agg(F.collect_list(F.struct("pos", "id")).alias("_own"))
+    own = own.select("b", F.col("_own.pos").alias("pos"), F.col("_own.id").alias("id"))
+    learned = parts.filter(F.exists("learn", lambda x: x)).select("b", "tokens", "sizes", "shapes", "learn")
 
     def run(frames):
-        one = shared.value
-        numbers = Numbers(one.vocabulary)
         for frame in frames:
-            sizes, sums = [], []
-            for value in frame["_text"]:
-                logs = one.logs(numbers.tokens(value))
-                sizes.append(len(logs))
-                sums.append(float(logs.sum()))
-            yield frame.drop(columns="_text").assign(n_tokens=sizes, log10_prob=sums)
+            columns = (frame[c] for c in ("tokens", "sizes", "shapes", "learn", "pos", "id"))
+            for tokens, sizes, shapes, learn, pos, ids in zip(*columns, strict=True):
+                layout = Layout(tokens, sizes, len(shapes))
+                kept = np.array([bool(x) for x in learn])[layout.doc]
+                u, v, w = (x[kept] for x in layout.grams(shapes, pos, ids))
+                pairs, place = np.unique(v << 32 | w, return_inverse=True)
+                keys, n = np.unique(place << 32 | u, return_counts=True)
+                vw = pairs[keys >> 32]
+                yield pd.DataFrame({"u": keys & 0xFFFFFFFF, "v": vw >> 32, "w": vw & 0xFFFFFFFF, "n": n})
+
+    rows = _dealt(learned).join(own, "b", "left").mapInPandas(run, "u int, v int, w int, n long")
+    counts = rows.repartition("u", "v").groupBy("u", "v", "w").agg(F.sum("n").alias("n"))  # one shuffle for both
+    context = Window.partitionBy("u", "v")
+    sums = (of("n").over(context).alias(name) for name, of in _SUMS.items())
+    lead = F.row_number().over(context.orderBy("w")) == 1
+    return stored(counts.select("u", "v", "w", "n", *sums, lead.alias("_lead")), "trigrams")
+
+
+def _dealt(parts: DataFrame) -> DataFrame:
+    """Portions dealt to tasks by their number: they are few rows of much work."""
+    context = parts.sparkSession.sparkContext
+    return parts.repartition(max(4 * context.defaultParallelism, -(-parts.count() // 4)), "b")
+
+
+def _whole(log: Column) -> Column:
+    return F.round(log * SCALE).cast("int")
+
 
-    source = docs.select(*kept, F.col(text).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    found = stored(source.mapInPandas(run, f"{fields}, n_tokens long, log10_prob double"), "scores")
-    shared.destroy()
-    return found
+@dataclass(frozen=True)
+class Weights:
+    """Logarithms to base 10, times ``SCALE``."""
+
+    words: DataFrame  # ``token``: ``one`` as itself, ``rest`` as the word before
+    grams: DataFrame  # ``u`` (-1 for a bigram), ``v``, ``w``, ``weight``
+    reserved: np.ndarray  # the weights of words for reserved tokens
+    reserved_rest: np.ndarray
+    unseen: int  # weight of a token that is never counted
+    start: int  # of the two start tokens as a context
+
+
+def weights(triples: DataFrame, vocabulary: int) -> Weights:
+    first = F.col("v") == START  # after a start token there is one context only
+    pairs = triples.groupBy("v", "w").agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_kinds"))
+    pairs = stored(pairs.select("v", "w", F.when(first, F.col("_all")).otherwise(F.col("_kinds")).alias("n")), "bigrams")
+    singles = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    size = RESERVED + vocabulary
+    all_, d = _contexts(singles.withColumn("all", F.lit(0)), "all")
+    total = all_.first()
+    even = (total["rest"] if total else 1.0) / size
+    one = singles.withColumn("_sum", F.lit(total["_sum"] if total else 1)).select("w", (_share(d) + even).alias("p1"))
+    after_one, d = _contexts(pairs, "v")
+    words = one.join(after_one.withColumnRenamed("v", "_v"), F.col("w") == F.col("_v"), "full").select(
+        F.coalesce("w", "_v").alias("token"), F.coalesce("p1", F.lit(even)).alias("p1"),
+        "_sum", F.coalesce("rest", F.lit(1.0)).alias("rest"),
+    )
+    words = stored(words, "unigrams")
+    d3 = _discounts(triples)
+    after_two = triples.filter("_lead").select("u", "v", _rest(d3).alias("rest"))
+
+    before = words.select(F.col("token").alias("v"), "_sum", "rest")
+    two = pairs.join(before, "v").withColumn("p", _share(d)).join(words.select(F.col("token").alias("w"), "p1"), "w")
+    two = two.withColumn("p2", F.col("p") + F.col("rest") * F.col("p1"))
+    own = after_two.select(F.col("u").alias("v"), F.col("v").alias("w"), F.col("rest").alias("r2"))
+    two = two.join(own, ["v", "w"], "left")
+    log = F.log10("p2") - F.log10("rest") - F.log10("p1")
+    two = stored(two.select("v", "w", "p2", _whole(log + F.coalesce(F.log10("r2"), F.lit(0.0))).alias("weight")), "pairs")
+
+    three = triples.select("u", "v", "w", _share(d3).alias("p"), _rest(d3).alias("rest")).join(two.drop("weight"), ["v", "w"])
+    log = F.log10(F.col("p") + F.col("rest") * F.col("p2")) - F.log10("rest") - F.log10("p2")
+    three = three.select("u", "v", "w", _whole(log).alias("weight"))
+    grams = stored(three.unionByName(two.select(F.lit(-1).alias("u"), "v", "w", "weight")), "weights")
+
+    told = words.select("token", _whole(F.log10("p1")).alias("one"), _whole(F.log10("rest")).alias("rest"))
+    unseen = round(float(np.log10(even)) * SCALE)
+    reserved, reserved_rest = np.full(RESERVED, unseen, np.int64), np.zeros(RESERVED, np.int64)
+    for r in told.filter(F.col("token") < RESERVED).collect():
+        reserved[r["token"]], reserved_rest[r["token"]] = r["one"], r["rest"]
+    begin = after_two.filter((F.col("u") == START) & (F.col("v") == START)).select(_whole(F.log10("rest"))).first()
+    _forget(triples, pairs, two)
+    return Weights(told, grams, reserved, reserved_rest, unseen, begin[0] if begin else 0)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Low halves, then high halves, which pack well."""
+    return values.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, "<u2").reshape(2, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def asked(parts: DataFrame, known: DataFrame, model: Weights, shards: int) -> DataFrame:
+    """What portions hold of each shard ``s``: ``u``, ``v``, ``w``, ``docs``, ``n`` packed; ``sums`` of single words."""
+    told = known.join(model.words, F.col("token") == F.col("id") + RESERVED, "left").select(
+        "b", "pos", "id", F.coalesce("one", F.lit(model.unseen)).alias("one"), F.coalesce("rest", F.lit(0)).alias("rest")
+    )
+    own = told.groupBy("b").agg(F.collect_list(F.struct("pos", "id", "one", "rest")).alias("_own"))
+    own = own.select("b", *(F.col(f"_own.{c}").alias(c) for c in ("pos", "id", "one", "rest")))
+    reserved, reserved_rest, start = model.reserved, model.reserved_rest, model.start
+
+    def run(frames):
+        for frame in frames:
+            columns = (frame[c] for c in ("b", "tokens", "sizes", "shapes", "pos", "id", "one", "rest"))
+            for b, tokens, sizes, shapes, pos, ids, one, rest in zip(*columns, strict=True):
+                layout = Layout(tokens, sizes, len(shapes))
+                u, v, w = layout.grams(shapes, pos, ids)
+                kinds = FIRST_SHAPE + np.asarray(shapes, np.int64)
+                by_one, by_rest = reserved[kinds], reserved_rest[kinds]
+                if pos is not None:
+                    by_one[pos], by_rest[pos] = one, rest
+                single = layout.spread(by_one, reserved)[layout.at] + layout.spread(by_rest, reserved_rest)[layout.at - 1]
+                sums = np.add.reduceat(single, layout.begins) + start
+                rows = [(b % shards, b, b"", b"", b"", b"", b"", sums.tobytes())]
+                order = np.argsort(v << 32 | w, kind="stable")
+                shard = (v * 1_000_003 + w) % shards
+                order = order[np.argsort(shard[order].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")]
+                shard, u, v, w, doc = (x[order] for x in (shard, u, v, w, layout.doc))
+                new = np.ones(len(u), bool)  # equal n-grams of a document that lie together are told once
+                new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1])
+                at = np.flatnonzero(new)
+                n = np.diff(np.append(at, len(u)))
+                shard, u, v, w, doc = (x[at] for x in (shard, u, v, w, doc))
+                cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
+                for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                    rows.append((int(shard[i]), b, *(_planes(x[i:j]) for x in (u, v, w, doc, n)), b""))
+                yield pd.DataFrame(rows, columns=["s", "b", "u", "v", "w", "docs", "n", "sums"])
+
+    rows = _dealt(parts.select("b", "tokens", "sizes", "shapes")).join(own, "b", "left")
+    schema = "s long, b long, u binary, v binary, w binary, docs binary, n binary, sums binary"
+    return rows.mapInPandas(run, schema)
+
+
+def _find(keys: np.ndarray, table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of sorted keys in a sorted table, and their values, zero where there is none."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, np.where(table[at] == keys, values[at], 0)
+
+
+def answered(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    """Sums of weights by portion and document, within one shard."""
+    u, v, w, weight = (model[c].to_numpy(np.int64) for c in ("u", "v", "w", "weight"))
+    vw, two = v << 32 | w, u < 0
+    order = np.argsort(vw[two])
+    pairs, pair_weights = vw[two][order], weight[two][order]
+    keys = np.searchsorted(pairs, vw[~two]) << 32 | u[~two]  # the bigram of each trigram is here
+    order = np.argsort(keys)
+    triples, triple_weights = keys[order], weight[~two][order]
+    found = []
+    for row in asks.itertuples(index=False):
+        if row.sums:
+            sums = np.frombuffer(row.sums, np.int64)
+            found.append((row.b, _planes(np.arange(len(sums))), row.sums))
+            continue
+        u, v, w, doc, n = (_from_planes(x) for x in (row.u, row.v, row.w, row.docs, row.n))
+        vw = v << 32 | w
+        at, by_pair = _find(vw, pairs, pair_weights)
+        if not len(pairs):
+            continue
+        by_triple = np.where(pairs[at] == vw, _find(at << 32 | u, triples, triple_weights)[1], 0)
+        sums = np.zeros(int(doc.max()) + 1, np.int64)
+        np.add.at(sums, doc, n * (by_pair + by_triple))
+        some = np.flatnonzero(sums)
+        if len(some):
+            found.append((row.b, _planes(some), sums[some].tobytes()))
+    return pd.DataFrame(found, columns=["b", "docs", "sums"])
+
+
+def scored(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``lang``, ``learn``, ``n_tokens`` and ``log10_prob`` of every row, as a stored table.
+
+    ``docs``: ``doc_id``, ``lang``, ``_learn`` (whether the model learns from it) and ``_text``.
+    """
+    parts = portions(docs)
+    known, vocabulary = numbered_words(parts)
+    model = weights(trigrams(parts, known), vocabulary)
+    words = parts.agg(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x + 1)"))).first()[0] or 0
+    least = parts.sparkSession.sparkContext.defaultParallelism
+    shards = max(least, -(-words // SHARD_TOKENS), -(-model.grams.count() // SHARD_GRAMS))
+    shard = F.pmod(F.col("v").cast("long") * 1_000_003 + F.col("w"), F.lit(shards))
+    told = model.grams.withColumn("s", shard)
+    asks = asked(parts, known, model, shards)
+    answers = asks.groupBy("s").cogroup(told.groupBy("s")).applyInPandas(answered, "b long, docs binary, sums binary")
+    answers = answers.groupBy("b").agg(F.collect_list(F.struct("docs", "sums")).alias("_all"))
+
+    def add(frames):
+        for frame in frames:
+            totals = []
+            for all_ in frame["_all"]:
+                found = [(_from_planes(x["docs"]), np.frombuffer(x["sums"], np.int64)) for x in all_]
+                total = np.zeros(max(int(doc.max()) for doc, _ in found) + 1, np.int64)
+                for doc, sums in found:
+                    total[doc] += sums
+                totals.append(total)
+            yield pd.DataFrame({"b": frame["b"], "totals": totals})
+
+    totals = answers.mapInPandas(add, "b long, totals array<long>")
+    rows = parts.select("b", "doc_id", "lang", "learn", "sizes").join(totals, "b")
+    each = rows.select(F.explode(F.arrays_zip("doc_id", "lang", "learn", "sizes", "totals")).alias("x"))
+    found = each.select(
+        "x.doc_id", "x.lang", "x.learn", (F.col("x.sizes").cast("long") + 1).alias("n_tokens"),
+        (F.col("x.totals") / SCALE).alias("log10_prob"),
+    )
+    return stored(found, "scores")
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", trusted: Column | None = None) -> DataFrame:
@@ -250,15 +605,12 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", trusted: Co
     """
     trusted = F.col("quality").eqNullSafe(1) & ~F.col("toxic").eqNullSafe(1) if trusted is None else trusted
     good = labels.groupBy("doc_id").agg(F.min(trusted.cast("int")).alias("_good")).filter("_good = 1")
-    rows = docs.select("doc_id", "lang", text)
-    spared = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(HELD_OUT)) == 0
-    learned = good.filter(~spared).select("doc_id")
-    sample = stored(sample_of(rows, learned, text), "trusted_sample")
-    found = scored(rows, train(sample), text)
-    outside = good.select("doc_id").join(sample.select("doc_id"), "doc_id", "left_anti")
-    held_out = found.join(outside, "doc_id", "left_semi").filter("n_tokens > 1")
-    inside = found.join(good.select("doc_id"), "doc_id", "left_semi").filter("n_tokens > 1")
-    basis = held_out if held_out.limit(1).count() else inside  # a table whose trusted rows are all in the sample
+    spared = F.pmod(F.xxhash64(F.lit(11), "_text"), F.lit(HELD_OUT)) == 0  # by text: no copy of one is learned
+    rows = docs.select("doc_id", "lang", F.col(text).alias("_text")).join(good, "doc_id", "left")
+    found = scored(rows.withColumn("_learn", F.when(F.col("_good") == 1, ~spared)))
+    held_out = found.filter("NOT learn AND n_tokens > 1")
+    inside = found.filter("learn IS NOT NULL AND n_tokens > 1")
+    basis = held_out if held_out.limit(1).count() else inside  # a table whose trusted rows are all learned
 
     of_language = basis.groupBy("lang").agg(F.sum("log10_prob").alias("_s"), F.sum("n_tokens").alias("_t"))
     overall = basis.agg((F.sum("log10_prob") / F.sum("n_tokens")).alias("_all"))
