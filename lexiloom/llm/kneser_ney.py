@@ -6,11 +6,13 @@ every worker but its few reserved tokens:
 
 1. Documents are told in portions, each a row: its distinct words, and its texts as numbers of these.  Words of the
    portions meet the vocabulary of the trusted text by a join, so a portion learns the numbers of its own words.
-2. Portions give the trigrams of their trusted documents; joins with the sums of their contexts make discounted
-   probabilities.  A token's log probability is a sum of weights of its word, of the word before, of its bigram and
-   its trigram, each zero where the model has none: so a document's is a sum over n-grams.
-3. N-grams are sharded by bigram: each portion sends every shard what it holds of it, counted by document, and each
-   shard looks it up among its weights.  Weights are whole multiples of 1 / ``SCALE``: no sum depends on an order.
+2. N-grams travel as packed columns, each bigram once with the words before it, and lie in shards by their middle
+   word; the bigrams of words that would fill a shard alone are dealt to several.  Shards add the counts of the
+   portions and tell the shard that holds a context as a bigram what they have of it; it answers with the sums.
+3. A token's log probability is a sum of weights of its word, of the word before, of its bigram and its trigram, each
+   zero where the model has none: so a document's is a sum over n-grams.  Each portion sends every shard what it holds
+   of it, counted by document, and each shard looks it up among its weights.  Portions do so in ``ROUNDS``, so that
+   only a part of all n-grams lies on disk.  Weights are whole multiples of 1 / ``SCALE``: no sum depends on an order.
 
 Tokens are words; one that the trusted text holds less than twice is replaced by its shape (small, capitalized, upper
 case, number, with marks, other), and a word that repeats the one before it by a token of its own.  An end token
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -38,9 +41,10 @@ from pyspark.sql import functions as F
 from lexiloom.llm.scratch import stored
 from lexiloom.session import remove
 
-PORTION = 1 << 24  # bytes of texts in a portion, if they are several
-SHARD_TOKENS = 2_000_000  # tokens that a shard looks up, about
-SHARD_GRAMS = 250_000  # n-grams of the model in a shard, about
+PORTION = 12 << 20  # bytes of texts in a portion, if they are several
+READS = 2  # in which texts meet their labels and make portions, since that join moves all text
+SHARD_TOKENS = 4_000_000  # tokens that a shard looks up, about
+ROUNDS = 5  # in which portions of at least four ask for their weights
 SCALE = 100_000_000  # so that a weight is a number of 32 bits
 MAX_DOCS = 10_000  # of a sample that fits the driver, as the next two
 MAX_WORDS = 250_000
@@ -58,6 +62,7 @@ _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_A-ZÀ-ÖØ-Þ]*[.,;:!?]?\Z")
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}[.,;:!?]?\Z")
 _NUMBER = re.compile(r"[\d.,:/-]*\d[\d.,:/%-]*\Z")
 _MARKS = frozenset(bytes([x]) for x in b".,;:!?")
+_CODEC = pa.Codec("zstd", compression_level=3)
 _LETTERS = re.compile(r"[^\W\d_]")
 
 
@@ -280,10 +285,10 @@ class Distinct(dict):
 
 
 def portions(docs: DataFrame) -> DataFrame:
-    """``docs``: ``doc_id``, ``lang``, ``_learn``, ``_text``.  A row for each portion, ``b`` its number.
+    """``docs``: ``doc_id``, ``lang``, ``_learn``, ``_text``.  A row for each portion, ``b`` its number, ``turn`` its round.
 
-    ``words``, ``counts`` in documents to learn from and ``shapes`` are by distinct word, ``sizes`` in words and the
-    other columns by document; ``tokens`` has a number of a distinct word for each word.
+    ``words``, ``counts`` in documents to learn from, ``totals`` in all and ``shapes`` are by distinct word, ``sizes`` in
+    words and the other columns by document; ``tokens`` has a number of a distinct word for each word.
     """
     bound = PORTION
 
@@ -295,13 +300,20 @@ def portions(docs: DataFrame) -> DataFrame:
             found.append(np.fromiter(map(own.__getitem__, words), np.uint32, len(words)))
         sizes = np.array([len(x) for x in found], np.int32)
         tokens = np.concatenate(found)
+        totals = np.bincount(tokens, minlength=len(own)).astype(np.int64)
+        order = np.argsort(-totals, kind="stable")  # small numbers for frequent words
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
+        tokens, totals, distinct = place[tokens], totals[order], list(own)
+        distinct = [distinct[i] for i in order]
         learned = np.repeat(np.array([bool(x) for x in columns[2].to_pylist()]), sizes)
         counts = np.bincount(tokens[learned], minlength=len(own)).astype(np.int64)
-        shapes = np.fromiter(map(shape, own), np.int8, len(own))
-        lists = [*columns, pa.array(sizes), pa.array(list(own), pa.binary()), pa.array(counts), pa.array(shapes)]
+        shapes = np.fromiter(map(shape, distinct), np.int8, len(own))
+        by_word = (pa.array(x) for x in (counts, totals, shapes))
+        lists = [*columns, pa.array(sizes), pa.array(distinct, pa.binary()), *by_word]
         arrays = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-        blob = tokens.astype(_width(len(own))).tobytes()
-        names = ["doc_id", "lang", "learn", "sizes", "words", "counts", "shapes", "tokens"]
+        blob = _planes(tokens)
+        names = ["doc_id", "lang", "learn", "sizes", "words", "counts", "totals", "shapes", "tokens"]
         return pa.RecordBatch.from_arrays([*arrays, pa.array([blob], pa.binary())], names)
 
     def run(batches):
@@ -319,27 +331,32 @@ def portions(docs: DataFrame) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = (
         f"doc_id array<{kinds['doc_id']}>, lang array<{kinds['lang']}>, learn array<boolean>, sizes array<int>, "
-        "words array<binary>, counts array<long>, shapes array<byte>, tokens binary"
+        "words array<binary>, counts array<long>, totals array<long>, shapes array<byte>, tokens binary"
     )
-    found = docs.select("doc_id", "lang", "_learn", "_text").mapInArrow(run, schema)
-    return stored(found.withColumn("b", F.monotonically_increasing_id()), "portions")
-
-
-def _width(words: int) -> type:
-    return np.uint16 if words <= 1 << 16 else np.uint32
+    tables = []
+    for i in range(READS):
+        read = docs.filter(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(READS)) == i)
+        found = read.select("doc_id", "lang", "_learn", "_text").mapInArrow(run, schema)
+        found = found.withColumn("_mark", F.monotonically_increasing_id())  # task and place there
+        turn = F.col("_mark") + F.shiftright("_mark", 33) + i
+        found = found.select("*", (F.col("_mark") * READS + i).alias("b"), turn.alias("turn")).drop("_mark")
+        tables.append(stored(found, "portions", "zstd"))
+    return _together(tables)
 
 
 class Layout:
-    """Places of a portion's tokens, with two start tokens before each document and an end token behind it."""
+    """Places of a portion's tokens, with two start tokens before each document and an end token behind it.
 
-    def __init__(self, tokens: bytes, sizes: np.ndarray, words: int):
-        self.own = np.frombuffer(tokens, _width(words))
-        sizes = np.asarray(sizes, np.int64)
+    ``tokens`` number reserved tokens as themselves and the words ``ids`` from ``RESERVED`` on.
+    """
+
+    def __init__(self, tokens: bytes, sizes: bytes, ids: bytes):
+        self.ids = _from_planes(ids, steps=True)
+        self.own = _from_planes(tokens)
+        sizes = _from_planes(sizes)
         of = np.repeat(np.arange(len(sizes)), sizes)
         self.place = np.arange(len(of)) + 3 * of + 2
         self.stop = np.cumsum(sizes + 3) - 1
-        self.again = np.zeros(len(of), bool)
-        self.again[1:] = (self.own[1:] == self.own[:-1]) & (of[1:] == of[:-1])
         real = np.ones(len(of) + 3 * len(sizes), bool)
         first = self.stop - sizes - 2
         real[first] = real[first + 1] = False
@@ -347,255 +364,508 @@ class Layout:
         self.doc = np.repeat(np.arange(len(sizes)), sizes + 1)
         self.begins = np.cumsum(sizes + 1) - sizes - 1
 
-    def spread(self, of_word: np.ndarray, reserved: np.ndarray) -> np.ndarray:
-        """A value of each token, from those of distinct words and of reserved tokens."""
-        out = np.full(len(self.own) + 3 * len(self.stop), reserved[START], np.int64)
-        out[self.place] = np.where(self.again, reserved[REPEAT], of_word[self.own])
-        out[self.stop] = reserved[END]
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """A value of each token, from those of reserved tokens and of ``ids``."""
+        out = np.full(len(self.own) + 3 * len(self.stop), values[START], np.int64)
+        out[self.place] = values[self.own]
+        out[self.stop] = values[END]
         return out
 
-    def grams(self, shapes: np.ndarray, pos, ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Token numbers of all trigrams."""
-        of_word = FIRST_SHAPE + np.asarray(shapes, np.int64)
-        if pos is not None:
-            of_word[pos] = RESERVED + np.asarray(ids)
-        x = self.spread(of_word, np.arange(RESERVED))
+        x = self.spread(np.concatenate([np.arange(RESERVED), RESERVED + self.ids]))
         return x[self.at - 2], x[self.at - 1], x[self.at]
 
 
-def numbered_words(parts: DataFrame) -> tuple[DataFrame, int]:
-    """``b``, ``pos`` and ``id`` of the words of portions that trusted text holds twice, and how many such there are."""
-    words = parts.select("b", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "x"))
-    words = words.select("b", "pos", F.col("x.words").alias("w"), F.col("x.counts").alias("n"))
-    twice = words.filter("n > 0").groupBy("w").agg(F.sum("n").alias("n")).filter("n > 1").select("w")
+@dataclass(frozen=True)
+class Shards:
+    """Shard of a bigram: by its first word, and by the second too where the first is reserved or heavy."""
+
+    count: int
+    heavy: np.ndarray  # sorted token numbers
+    split: np.ndarray  # into how many shards the bigrams of each go
+
+    def of(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        parts = np.where(v < RESERVED, self.count, 1)
+        if len(self.heavy):
+            at = np.minimum(np.searchsorted(self.heavy, v), len(self.heavy) - 1)
+            parts = np.where(self.heavy[at] == v, self.split[at], parts)
+        return (v * 1_000_003 + ((w * 2_654_435_761 & 0xFFFFFFFF) >> 8) % parts) % self.count
+
+
+def vocabulary_of(parts: DataFrame, shards: int) -> tuple[DataFrame, int, Shards]:
+    """``w`` and ``id`` of the words that trusted text holds twice, as a stored table, how many there are, and shards."""
+    words = parts.select(F.explode(F.arrays_zip("words", "counts", "totals")).alias("x"))
+    words = words.select(F.col("x.words").alias("w"), F.col("x.counts").alias("n"), F.col("x.totals").alias("t"))
+    words = words.filter("n > 0 OR t > 255")  # totals need not be whole: they tell what fills a shard
+    twice = words.groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).filter("n > 1").select("w", "t")
     place = F.lit((1 << 33) - 1)
-    vocabulary = stored(twice.withColumn("_mark", F.monotonically_increasing_id()), "vocabulary")
-    twice = vocabulary.withColumns({"_part": F.shiftright("_mark", 33), "_place": F.col("_mark").bitwiseAND(place)})
+    twice = twice.orderBy(F.desc("t"))  # small numbers for frequent words
+    marked = stored(twice.withColumn("_mark", F.monotonically_increasing_id()), "marked_words", "zstd")
+    twice = marked.withColumns({"_part": F.shiftright("_mark", 33), "_place": F.col("_mark").bitwiseAND(place)})
     sizes = twice.groupBy("_part").agg((F.max("_place") + 1).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     bases = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    ids = twice.join(F.broadcast(bases), "_part").select("w", (F.col("_base") + F.col("_place")).alias("id"))
-    known, size = stored(words.join(ids, "w").select("b", "pos", "id"), "known_words"), vocabulary.count()
-    _forget(vocabulary)
-    return known, size
+    ids = twice.join(F.broadcast(bases), "_part").select("w", "t", (F.col("_base") + F.col("_place")).cast("int").alias("id"))
+    ids = stored(ids, "vocabulary", "zstd")
+    _forget(marked)
+    most = max(1, SHARD_TOKENS // 4)
+    heavy = sorted((RESERVED + r["id"], r["t"]) for r in ids.filter(F.col("t") > most).collect())  # at most 4 a shard
+    split = [min(shards, 1 + t // most) for _, t in heavy]
+    return ids, ids.count(), Shards(shards, np.array([x for x, _ in heavy], np.int64), np.array(split, np.int64))
+
+
+def coded(parts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``b``, and packed: ``sizes`` and ``learn`` by document, ``ids`` of known words, ``tokens`` as of ``Layout``."""
+    words = parts.select("b", F.posexplode("words").alias("pos", "w"))
+    own = words.join(vocabulary.select("w", "id"), "w").groupBy("b").agg(F.collect_list(F.struct("pos", "id")).alias("_own"))
+    own = own.select("b", F.col("_own.pos").alias("pos"), F.col("_own.id").alias("id"))
+    names = ["b", "sizes", "learn", "ids", "tokens"]
+
+    def run(frames):
+        for frame in frames:
+            columns = (frame[c] for c in ("b", "sizes", "learn", "shapes", "tokens", "pos", "id"))
+            for b, sizes, learn, shapes, tokens, pos, ids in zip(*columns, strict=True):
+                words = _from_planes(tokens)
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                number = FIRST_SHAPE + np.asarray(shapes, np.int64)
+                ids = np.zeros(0, np.int64) if ids is None else np.asarray(ids, np.int64)
+                order = np.argsort(ids)
+                if len(ids):
+                    number[np.asarray(pos)[order]] = RESERVED + np.arange(len(ids))
+                found = number[words]
+                found[1:][(words[1:] == words[:-1]) & (of[1:] == of[:-1])] = REPEAT
+                learn = _planes(np.array([bool(x) for x in learn]))
+                found = _planes(found)
+                yield pd.DataFrame([(b, _planes(sizes), learn, _planes(ids[order], steps=True), found)], columns=names)
+
+    rows = _dealt(parts.select("b", "tokens", "sizes", "shapes", "learn")).join(own, "b", "left")
+    return stored(rows.mapInPandas(run, "b long, " + ", ".join(f"{c} binary" for c in names[1:])), "coded")
+
+
+def _dealt(parts: DataFrame) -> DataFrame:
+    """Portions dealt to tasks by their number: they are few rows of much work."""
+    context = parts.sparkSession.sparkContext
+    return parts.repartition(max(4 * context.defaultParallelism, -(-parts.count() // 4)), "b")
+
+
+def _planes(values: np.ndarray, steps: bool = False) -> bytes:
+    """Packed whole numbers, or the steps between them: the low bytes of all, then the next ones."""
+    own = np.asarray(values)
+    top, signed = (int(own.max()), int(own.min()) < 0) if len(own) else (0, False)
+    kind = "<i8" if signed else next(f"<u{size}" for size in (1, 2, 4, 8) if top < 1 << 8 * size)
+    own = own.astype(kind)
+    if steps and len(own):
+        own[1:] = own[1:] - own[:-1]  # wraps around
+    raw = own.view("u1").reshape(-1, own.itemsize).T.tobytes()
+    return kind.encode() + len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
 
-def trigrams(parts: DataFrame, known: DataFrame) -> DataFrame:
-    """``u``, ``v``, ``w`` and ``n`` of all trigrams of documents to learn from, with the sums of their contexts.
+def _from_planes(raw: bytes, steps: bool = False) -> np.ndarray:
+    kind, size = raw[:3].decode(), int.from_bytes(raw[3:11], "little")
+    planes = np.frombuffer(_CODEC.decompress(raw[11:], size, asbytes=True) if size else b"", "u1").reshape(int(kind[-1]), -1)
+    own = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return (np.cumsum(own, dtype=kind) if steps else own).astype(np.int64)
 
-    ``_lead`` marks one row of each context.
+
+def _begins(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where equal rows begin."""
+    new = np.ones(len(sorted_columns[0]), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_columns])
+    return np.flatnonzero(new)
+
+
+def _spans(sorted_column: np.ndarray) -> list[tuple[int, int]]:
+    cuts = [*_begins(sorted_column).tolist(), len(sorted_column)]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def _ranked(v: np.ndarray, w: np.ndarray, shards: Shards) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Place of each bigram among the distinct ones in the order of shards, and these with their shards."""
+    pairs, place = np.unique(v << 32 | w, return_inverse=True)
+    v, w = pairs >> 32, pairs & 0xFFFFFFFF
+    shard = shards.of(v, w)
+    order = np.argsort(shard, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank[place], shard[order], v[order], w[order]
+
+
+def _packed(v: np.ndarray, w: np.ndarray, runs: np.ndarray, u: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    return _planes(v, steps=True), _planes(w, steps=True), _planes(runs), _planes(u, steps=True)
+
+
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bigrams in their order, how many rows each has, and the word before in each of these."""
+    return *(_from_planes(x, steps=True) for x in (row.v, row.w)), _from_planes(row.runs), _from_planes(row.u, steps=True)
+
+
+def _parcels(place: np.ndarray, shard: np.ndarray, v: np.ndarray, w: np.ndarray, *columns: np.ndarray):
+    """For each shard: bigrams, how many rows each has, and the columns of these, the word before first, packed."""
+    runs = np.bincount(place, minlength=len(v))
+    ends = np.append(0, np.cumsum(runs))
+    for i, j in _spans(shard):
+        u, *more = (x[ends[i] : ends[j]] for x in columns)
+        yield int(shard[i]), *_packed(v[i:j], w[i:j], runs[i:j], u), *map(_planes, more)
+
+
+def trigrams(parts: DataFrame, shards: Shards) -> DataFrame:
+    """A row for each shard ``s``: the trigrams of documents to learn from, and what its n-grams add to sums.
+
+    ``v``, ``w``, ``runs``, ``u``, ``n`` are packed; ``seen`` has how many trigrams and bigrams have counts 1 to 4, then
+    the sums of the two start tokens as a context; ``sums`` are by first word of a bigram, ``kinds`` by the last.
     """
-    own = known.groupBy("b").agg(F.collect_list(F.struct("pos", "id")).alias("_own"))
-    own = own.select("b", F.col("_own.pos").alias("pos"), F.col("_own.id").alias("id"))
-    learned = parts.filter(F.exists("learn", lambda x: x)).select("b", "tokens", "sizes", "shapes", "learn")
+    names = ["s", "v", "w", "runs", "u", "n"]
 
     def run(frames):
         for frame in frames:
-            columns = (frame[c] for c in ("tokens", "sizes", "shapes", "learn", "pos", "id"))
-            for tokens, sizes, shapes, learn, pos, ids in zip(*columns, strict=True):
-                layout = Layout(tokens, sizes, len(shapes))
-                kept = np.array([bool(x) for x in learn])[layout.doc]
-                u, v, w = (x[kept] for x in layout.grams(shapes, pos, ids))
-                pairs, place = np.unique(v << 32 | w, return_inverse=True)
+            for row in frame.itertuples(index=False):
+                learn = _from_planes(row.learn) > 0
+                if not learn.any():
+                    continue
+                layout = Layout(row.tokens, row.sizes, row.ids)
+                u, v, w = (x[learn[layout.doc]] for x in layout.grams())
+                place, shard, v, w = _ranked(v, w, shards)
                 keys, n = np.unique(place << 32 | u, return_counts=True)
-                vw = pairs[keys >> 32]
-                yield pd.DataFrame({"u": keys & 0xFFFFFFFF, "v": vw >> 32, "w": vw & 0xFFFFFFFF, "n": n})
+                yield pd.DataFrame(list(_parcels(keys >> 32, shard, v, w, keys & 0xFFFFFFFF, n)), columns=names)
 
-    rows = _dealt(learned).join(own, "b", "left").mapInPandas(run, "u int, v int, w int, n long")
-    counts = rows.repartition("u", "v").groupBy("u", "v", "w").agg(F.sum("n").alias("n"))  # one shuffle for both
-    context = Window.partitionBy("u", "v")
-    sums = (of("n").over(context).alias(name) for name, of in _SUMS.items())
-    lead = F.row_number().over(context.orderBy("w")) == 1
-    return stored(counts.select("u", "v", "w", "n", *sums, lead.alias("_lead")), "trigrams")
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        v, w, runs, u = (np.concatenate(x) for x in zip(*map(_unpacked, rows.itertuples(index=False)), strict=True))
+        n = np.concatenate([_from_planes(x) for x in rows["n"]])
+        pairs, place = np.unique(v << 32 | w, return_inverse=True)
+        keys = np.repeat(place, runs) << 32 | u
+        order = np.argsort(keys, kind="stable")  # of sorted runs
+        keys = keys[order]
+        at = _begins(keys)
+        n, keys = np.add.reduceat(n[order], at), keys[at]
+        u, runs = keys & 0xFFFFFFFF, np.bincount(keys >> 32)
+        v, w = pairs >> 32, pairs & 0xFFFFFFFF
+        m = _bigram_counts(v, runs, n)
+        first, of = np.unique(v, return_inverse=True)
+        last, kinds = np.unique(w, return_counts=True)
+        begin = n[(u == START) & (np.repeat(v, runs) == START)]
+        seen = [int((x == i).sum()) for x in (n, m) for i in range(1, 5)]
+        sums = dict(zip(("v_sum", "v_ones", "v_twos", "v_more"), _sums_of(of, m), strict=True))
+        return pd.DataFrame(
+            {"s": rows["s"].iloc[:1]} | dict(zip(names[1:], (*_packed(v, w, runs, u), _planes(n)), strict=True))
+            | {"seen": [seen + [int(x[0]) if len(begin) else 0 for x in _sums_of(np.zeros(len(begin), np.int64), begin)]]}
+            | {"v_token": [first]} | {k: [x] for k, x in sums.items()} | {"w_token": [last], "w_kinds": [kinds]}
+        )
 
+    blobs = ", ".join(f"{c} binary" for c in names[1:])
+    rows = parts.select("tokens", "sizes", "learn", "ids").mapInPandas(run, f"s long, {blobs}")
+    lists = ", ".join(f"{c} array<long>" for c in ("seen", "v_token", "v_sum", "v_ones", "v_twos", "v_more", "w_token", "w_kinds"))
+    return stored(rows.groupBy("s").applyInPandas(add, f"s long, {blobs}, {lists}"), "trigrams", "zstd")
 
-def _dealt(parts: DataFrame) -> DataFrame:
-    """Portions dealt to tasks by their number: they are few rows of much work."""
-    context = parts.sparkSession.sparkContext
-    return parts.repartition(max(4 * context.defaultParallelism, -(-parts.count() // 4)), "b")
 
+def _bigram_counts(v: np.ndarray, runs: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """In how many contexts bigrams occur; after a start token there is one context only, and their count is taken."""
+    return np.where(v == START, np.add.reduceat(n, np.cumsum(runs) - runs), runs)
+
+
+def _sums_of(of: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """``_SUMS`` of counts by group, the numbers ``of`` from 0 on."""
+    size = int(of.max()) + 1 if len(of) else 0
+    total = np.zeros(size, np.int64)
+    np.add.at(total, of, n)
+    return [total, *(np.bincount(of[some], minlength=size) for some in (n == 1, n == 2, n > 2))]
+
+
+def _rests(sums: list[np.ndarray], d: list[float]) -> np.ndarray:
+    return (sums[1] * d[0] + sums[2] * d[1] + sums[3] * d[2]) / sums[0]
+
+
+def _cut(n: np.ndarray, d: list[float]) -> np.ndarray:
+    return n - np.array([0.0, *d])[np.minimum(n, 3)]
+
+
+_GRAMS = ("v", "w", "runs", "u", "n")
+_CONTEXT = ("sum", "ones", "twos", "more")
+
+
+def _pairs(first: bytes, second: bytes) -> np.ndarray:
+    return _from_planes(first, steps=True) << 32 | _from_planes(second, steps=True)
+
+
+def _contexts_of(row, shards: Shards) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of a shard's trigrams in the order of their homes, with these, and the place and count of each trigram."""
+    v, _, runs, u = _unpacked(row)
+    return *_ranked(u, np.repeat(v, runs), shards), _from_planes(row.n)
+
+
+def contexts(triples: DataFrame, shards: Shards) -> DataFrame:
+    """Sums of contexts for each shard ``s``: from home ``h`` in the order of ``_contexts_of``, and those at ``home``.
+
+    The home of a context is the shard that holds it as a bigram.
+    """
+    names = ["h", "s", "u", "v", *_CONTEXT]
 
-def _whole(log: Column) -> Column:
-    return F.round(log * SCALE).cast("int")
+    def tell(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                place, home, u, v, n = _contexts_of(row, shards)
+                sums = _sums_of(place, n)
+                yield pd.DataFrame(
+                    [
+                        (int(home[i]), row.s, *(_planes(x[i:j], steps=True) for x in (u, v)), *(_planes(x[i:j]) for x in sums))
+                        for i, j in _spans(home)
+                    ],
+                    columns=names,
+                )
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = [_pairs(u, v) for u, v in zip(rows["u"], rows["v"], strict=True)]
+        pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = []
+        for c in _CONTEXT:
+            total = np.zeros(len(pairs), np.int64)
+            np.add.at(total, place, np.concatenate([_from_planes(x) for x in rows[c]]))
+            totals.append(total)
+        h, ends = int(rows["h"].iloc[0]), np.cumsum([0, *map(len, keys)])
+        found = [
+            (s, h, False, b"", b"", *(_planes(t[place[i:j]]) for t in totals))
+            for s, i, j in zip(rows["s"], ends[:-1], ends[1:], strict=True)
+        ]
+        own = (_planes(x, steps=True) for x in (pairs >> 32, pairs & 0xFFFFFFFF))
+        found.append((h, h, True, *own, *(_planes(t) for t in totals)))
+        return pd.DataFrame(found, columns=["s", "h", "home", *names[2:]])
+
+    blobs = ", ".join(f"{c} binary" for c in names[2:])
+    told = triples.select("s", *_GRAMS).mapInPandas(tell, f"h long, s long, {blobs}")
+    return told.groupBy("h").applyInPandas(add, f"s long, h long, home boolean, {blobs}")
 
 
 @dataclass(frozen=True)
 class Weights:
-    """Logarithms to base 10, times ``SCALE``."""
-
-    words: DataFrame  # ``token``: ``one`` as itself, ``rest`` as the word before
-    grams: DataFrame  # ``u`` (-1 for a bigram), ``v``, ``w``, ``weight``
-    reserved: np.ndarray  # the weights of words for reserved tokens
-    reserved_rest: np.ndarray
-    unseen: int  # weight of a token that is never counted
-    start: int  # of the two start tokens as a context
-
-
-def weights(triples: DataFrame, vocabulary: int) -> Weights:
-    first = F.col("v") == START  # after a start token there is one context only
-    pairs = triples.groupBy("v", "w").agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_kinds"))
-    pairs = stored(pairs.select("v", "w", F.when(first, F.col("_all")).otherwise(F.col("_kinds")).alias("n")), "bigrams")
-    singles = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    size = RESERVED + vocabulary
-    all_, d = _contexts(singles.withColumn("all", F.lit(0)), "all")
+    """What makes logarithms to base 10, times ``SCALE``, of counts and the sums of their contexts."""
+
+    d1: list[float]  # discounts of words, bigrams, trigrams
+    d2: list[float]
+    d3: list[float]
+    total: int  # of the counts of words
+    even: float  # what each token has of the rest of words
+    start: int  # weight of the two start tokens as a context
+
+    def one(self, kinds: np.ndarray) -> np.ndarray:
+        """Probabilities of words."""
+        return np.where(kinds > 0, _cut(kinds, self.d1) / self.total, 0.0) + self.even
+
+    def rest(self, sums: list[np.ndarray]) -> np.ndarray:
+        """What words leave to the lower order, as contexts."""
+        return np.where(sums[0] > 0, _rests([np.maximum(sums[0], 1), *sums[1:]], self.d2), 1.0)
+
+    def of(self, row, v: np.ndarray, w: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of a shard's bigrams and trigrams."""
+        n, token, kinds = _from_planes(row.n), _from_planes(row.token, steps=True), _from_planes(row.kinds)
+        words, left, after = ([_from_planes(getattr(row, f"{a}_{c}")) for c in _CONTEXT] for a in ("word", "left", "after"))
+        p1, rest = self.one(kinds), self.rest(words)
+        at_v, at_w = np.searchsorted(token, v), np.searchsorted(token, w)
+        p1, rest = p1[at_w], rest[at_v]
+        p2 = _cut(_bigram_counts(v, runs, n), self.d2) / words[0][at_v] + rest * p1
+        two = p2 / (rest * p1)
+        here = after[0] > 0
+        two[here] *= _rests([x[here] for x in after], self.d3)
+        lower = _rests(left, self.d3) * np.repeat(p2, runs)
+        three = _cut(n, self.d3) / left[0] / lower + 1
+        return _whole(np.log10(two)), _whole(np.log10(three))
+
+
+def _whole(log: np.ndarray) -> np.ndarray:
+    return np.rint(log * SCALE).astype(np.int64)
+
+
+def weights(triples: DataFrame, vocabulary: int, shards: Shards) -> tuple[DataFrame, DataFrame, Weights]:
+    """``kinds`` and sums as a context of each ``token``, sums for each shard ``s`` (``Weights.of``), and the discounts."""
+    seen = triples.agg(*(F.sum(F.col("seen")[i]).alias(f"_{i}") for i in range(12))).first()
+    seen = [x or 0 for x in seen]
+    d3, d2 = (discounts(dict(enumerate(seen[i : i + 4], 1))) for i in (0, 4))
+    each = triples.select(F.explode(F.arrays_zip("w_token", "w_kinds")).alias("x"))
+    singles = each.groupBy(F.col("x.w_token").alias("w")).agg(F.sum("x.w_kinds").alias("kinds"))
+    each = triples.select(F.explode(F.arrays_zip("v_token", *(f"v_{c}" for c in _CONTEXT))).alias("x"))
+    after_one = each.groupBy(F.col("x.v_token").alias("v")).agg(*(F.sum(f"x.v_{c}").alias(c) for c in _CONTEXT))
+    words = singles.join(after_one, F.col("w") == F.col("v"), "full").na.fill(0, ["kinds", *_CONTEXT])
+    words = stored(words.select(F.coalesce("w", "v").alias("token"), "kinds", *_CONTEXT), "words", "zstd")
+    all_, d1 = _contexts(words.filter("kinds > 0").select(F.col("kinds").alias("n"), F.lit(0).alias("all")), "all")
     total = all_.first()
-    even = (total["rest"] if total else 1.0) / size
-    one = singles.withColumn("_sum", F.lit(total["_sum"] if total else 1)).select("w", (_share(d) + even).alias("p1"))
-    after_one, d = _contexts(pairs, "v")
-    words = one.join(after_one.withColumnRenamed("v", "_v"), F.col("w") == F.col("_v"), "full").select(
-        F.coalesce("w", "_v").alias("token"), F.coalesce("p1", F.lit(even)).alias("p1"),
-        "_sum", F.coalesce("rest", F.lit(1.0)).alias("rest"),
-    )
-    words = stored(words, "unigrams")
-    d3 = _discounts(triples)
-    after_two = triples.filter("_lead").select("u", "v", _rest(d3).alias("rest"))
-
-    before = words.select(F.col("token").alias("v"), "_sum", "rest")
-    two = pairs.join(before, "v").withColumn("p", _share(d)).join(words.select(F.col("token").alias("w"), "p1"), "w")
-    two = two.withColumn("p2", F.col("p") + F.col("rest") * F.col("p1"))
-    own = after_two.select(F.col("u").alias("v"), F.col("v").alias("w"), F.col("rest").alias("r2"))
-    two = two.join(own, ["v", "w"], "left")
-    log = F.log10("p2") - F.log10("rest") - F.log10("p1")
-    two = stored(two.select("v", "w", "p2", _whole(log + F.coalesce(F.log10("r2"), F.lit(0.0))).alias("weight")), "pairs")
-
-    three = triples.select("u", "v", "w", _share(d3).alias("p"), _rest(d3).alias("rest")).join(two.drop("weight"), ["v", "w"])
-    log = F.log10(F.col("p") + F.col("rest") * F.col("p2")) - F.log10("rest") - F.log10("p2")
-    three = three.select("u", "v", "w", _whole(log).alias("weight"))
-    grams = stored(three.unionByName(two.select(F.lit(-1).alias("u"), "v", "w", "weight")), "weights")
-
-    told = words.select("token", _whole(F.log10("p1")).alias("one"), _whole(F.log10("rest")).alias("rest"))
-    unseen = round(float(np.log10(even)) * SCALE)
-    reserved, reserved_rest = np.full(RESERVED, unseen, np.int64), np.zeros(RESERVED, np.int64)
-    for r in told.filter(F.col("token") < RESERVED).collect():
-        reserved[r["token"]], reserved_rest[r["token"]] = r["one"], r["rest"]
-    begin = after_two.filter((F.col("u") == START) & (F.col("v") == START)).select(_whole(F.log10("rest"))).first()
-    _forget(triples, pairs, two)
-    return Weights(told, grams, reserved, reserved_rest, unseen, begin[0] if begin else 0)
-
-
-def _planes(values: np.ndarray) -> bytes:
-    """Low halves, then high halves, which pack well."""
-    return values.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
-
-
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, "<u2").reshape(2, -1).T).view("<u4").ravel().astype(np.int64)
-
-
-def asked(parts: DataFrame, known: DataFrame, model: Weights, shards: int) -> DataFrame:
-    """What portions hold of each shard ``s``: ``u``, ``v``, ``w``, ``docs``, ``n`` packed; ``sums`` of single words."""
-    told = known.join(model.words, F.col("token") == F.col("id") + RESERVED, "left").select(
-        "b", "pos", "id", F.coalesce("one", F.lit(model.unseen)).alias("one"), F.coalesce("rest", F.lit(0)).alias("rest")
-    )
-    own = told.groupBy("b").agg(F.collect_list(F.struct("pos", "id", "one", "rest")).alias("_own"))
-    own = own.select("b", *(F.col(f"_own.{c}").alias(c) for c in ("pos", "id", "one", "rest")))
-    reserved, reserved_rest, start = model.reserved, model.reserved_rest, model.start
+    even = (total["rest"] if total else 1.0) / (RESERVED + vocabulary)
+    start = int(_whole(np.log10(_rests(seen[8:], d3)))) if seen[8] else 0
+    model = Weights(d1, d2, d3, total["_sum"] if total else 1, even, start)
+
+    told = stored(contexts(triples, shards), "contexts")
+    needs = triples.select("s", F.explode(F.array_union("v_token", "w_token")).alias("token")).join(words, "token")
+    needs = needs.groupBy("s").agg(F.collect_list(F.struct("token", "kinds", *_CONTEXT)).alias("_words"))
+    needs = needs.select("s", *(F.col(f"_words.{c}").alias(c) for c in ("token", "kinds", *_CONTEXT)))
+    by_shard = told.groupBy("s").agg(F.collect_list(F.struct("h", "home", "u", "v", *_CONTEXT)).alias("told"))
+    names = ["s", "token", "kinds", *(f"{a}_{c}" for a in ("word", "left", "after") for c in _CONTEXT)]
+
+    def pack(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                order = np.argsort(row.token)
+                words = [np.asarray(getattr(row, c))[order] for c in ("token", "kinds", *_CONTEXT)]
+                place, home, *_ = _contexts_of(row, shards)
+                left = [np.zeros(len(home), np.int64) for _ in _CONTEXT]
+                pairs = _pairs(row.v, row.w)
+                after = [np.zeros(len(pairs), np.int64) for _ in _CONTEXT]
+                for told in row.told:
+                    sums = [_from_planes(told[c]) for c in _CONTEXT]
+                    if told["home"]:
+                        at, _ = _find(pairs, _pairs(told["u"], told["v"]), sums[0])
+                        after = [np.where(at < 0, 0, x[at]) for x in sums]
+                        continue
+                    i = np.searchsorted(home, told["h"])
+                    for own, part in zip(left, sums, strict=True):
+                        own[i : i + len(part)] = part
+                blobs = [_planes(x) for x in (*words[1:], *(x[place] for x in left), *after)]
+                yield pd.DataFrame([(row.s, _planes(words[0], steps=True), *blobs)], columns=names)
+
+    rows = triples.select("s", *_GRAMS).join(needs, "s").join(by_shard, "s")
+    sums = stored(rows.mapInPandas(pack, "s long, " + ", ".join(f"{c} binary" for c in names[1:])), "sums")
+    _forget(told)
+    return words, sums, model
+
+
+def single_words(parts: DataFrame, words: DataFrame, model: Weights) -> DataFrame:
+    """``b``, ``docs`` and ``sums``: what documents have by words alone and by the two start tokens, as a stored table."""
+
+    def tell(frames):
+        for frame in frames:
+            for b, ids in zip(frame["b"], frame["ids"], strict=True):
+                yield pd.DataFrame({"b": b, "token": np.append(np.arange(RESERVED), RESERVED + _from_planes(ids, steps=True))})
+
+    told = parts.select("b", "ids").mapInPandas(tell, "b long, token long").join(words, "token")
+    told = told.groupBy("b").agg(F.collect_list(F.struct("token", "kinds", *_CONTEXT)).alias("_words"))
+    told = told.select("b", *(F.col(f"_words.{c}").alias(c) for c in ("token", "kinds", *_CONTEXT)))
 
     def run(frames):
         for frame in frames:
-            columns = (frame[c] for c in ("b", "tokens", "sizes", "shapes", "pos", "id", "one", "rest"))
-            for b, tokens, sizes, shapes, pos, ids, one, rest in zip(*columns, strict=True):
-                layout = Layout(tokens, sizes, len(shapes))
-                u, v, w = layout.grams(shapes, pos, ids)
-                kinds = FIRST_SHAPE + np.asarray(shapes, np.int64)
-                by_one, by_rest = reserved[kinds], reserved_rest[kinds]
-                if pos is not None:
-                    by_one[pos], by_rest[pos] = one, rest
-                single = layout.spread(by_one, reserved)[layout.at] + layout.spread(by_rest, reserved_rest)[layout.at - 1]
-                sums = np.add.reduceat(single, layout.begins) + start
-                rows = [(b % shards, b, b"", b"", b"", b"", b"", sums.tobytes())]
-                order = np.argsort(v << 32 | w, kind="stable")
-                shard = (v * 1_000_003 + w) % shards
-                order = order[np.argsort(shard[order].astype(np.uint16 if shards <= 1 << 16 else np.int64), kind="stable")]
-                shard, u, v, w, doc = (x[order] for x in (shard, u, v, w, layout.doc))
-                new = np.ones(len(u), bool)  # equal n-grams of a document that lie together are told once
-                new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1]) | (w[1:] != w[:-1]) | (doc[1:] != doc[:-1])
-                at = np.flatnonzero(new)
-                n = np.diff(np.append(at, len(u)))
-                shard, u, v, w, doc = (x[at] for x in (shard, u, v, w, doc))
-                cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-                for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                    rows.append((int(shard[i]), b, *(_planes(x[i:j]) for x in (u, v, w, doc, n)), b""))
-                yield pd.DataFrame(rows, columns=["s", "b", "u", "v", "w", "docs", "n", "sums"])
-
-    rows = _dealt(parts.select("b", "tokens", "sizes", "shapes")).join(own, "b", "left")
-    schema = "s long, b long, u binary, v binary, w binary, docs binary, n binary, sums binary"
-    return rows.mapInPandas(run, schema)
+            for row in frame.itertuples(index=False):
+                layout = Layout(row.tokens, row.sizes, row.ids)
+                one = np.full(RESERVED + len(layout.ids), _whole(np.log10(model.even)))
+                rest = np.zeros(len(one), np.int64)
+                if row.token is not None:
+                    token = np.asarray(row.token)
+                    at = np.where(token < RESERVED, token, RESERVED + np.searchsorted(layout.ids, token - RESERVED))
+                    one[at] = _whole(np.log10(model.one(np.asarray(row.kinds))))
+                    rest[at] = _whole(np.log10(model.rest([np.asarray(getattr(row, c)) for c in _CONTEXT])))
+                single = layout.spread(one)[layout.at] + layout.spread(rest)[layout.at - 1]
+                sums = np.add.reduceat(single, layout.begins) + model.start
+                docs = _planes(np.arange(len(sums)), steps=True)
+                yield pd.DataFrame([(row.b, docs, _planes(sums))], columns=["b", "docs", "sums"])
+
+    rows = parts.select("b", "tokens", "sizes", "ids").join(told, "b", "left")
+    return stored(rows.mapInPandas(run, "b long, docs binary, sums binary"), "single_words")
+
+
+def asked(parts: DataFrame, shards: Shards) -> DataFrame:
+    """What portions hold of each shard ``s``: ``v``, ``w``, ``runs``, ``u``, ``docs`` and ``n``, packed."""
+    names = ["s", "b", "v", "w", "runs", "u", "docs", "n"]
+
+    def run(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                layout = Layout(row.tokens, row.sizes, row.ids)
+                u, v, w = layout.grams()
+                place, shard, v, w = _ranked(v, w, shards)
+                keys, doc = place << 32 | u, layout.doc
+                del place, u, layout
+                order = np.argsort(keys, kind="stable")  # documents stay in order
+                keys, doc = keys[order], doc[order]
+                at = _begins(keys, doc)  # equal n-grams of a document are told once
+                n, keys, doc = np.diff(np.append(at, len(keys))), keys[at], doc[at]
+                del order, at
+                parcels = _parcels(keys >> 32, shard, v, w, keys & 0xFFFFFFFF, doc, n)
+                yield pd.DataFrame([(s, row.b, *blobs) for s, *blobs in parcels], columns=names)
+
+    schema = "s long, b long, " + ", ".join(f"{c} binary" for c in names[2:])
+    return parts.select("b", "tokens", "sizes", "ids").mapInPandas(run, schema)
 
 
 def _find(keys: np.ndarray, table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of sorted keys in a sorted table, and their values, zero where there is none."""
+    """Places of keys in a sorted table, -1 where there is none, and their values, zero there."""
     if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        return np.full(len(keys), -1), np.zeros(len(keys), np.int64)
     at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, np.where(table[at] == keys, values[at], 0)
+    here = table[at] == keys
+    return np.where(here, at, -1), np.where(here, values[at], 0)
 
 
-def answered(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+def answered(asks: pd.DataFrame, grams: pd.DataFrame, model: Weights) -> pd.DataFrame:
     """Sums of weights by portion and document, within one shard."""
-    u, v, w, weight = (model[c].to_numpy(np.int64) for c in ("u", "v", "w", "weight"))
-    vw, two = v << 32 | w, u < 0
-    order = np.argsort(vw[two])
-    pairs, pair_weights = vw[two][order], weight[two][order]
-    keys = np.searchsorted(pairs, vw[~two]) << 32 | u[~two]  # the bigram of each trigram is here
-    order = np.argsort(keys)
-    triples, triple_weights = keys[order], weight[~two][order]
+    pairs = triples = pair_weights = triple_weights = np.zeros(0, np.int64)
+    for row in grams.itertuples(index=False):  # one at most
+        v, w, runs, u = _unpacked(row)
+        pairs, triples = v << 32 | w, np.repeat(np.arange(len(v)), runs) << 32 | u
+        pair_weights, triple_weights = model.of(row, v, w, runs)
     found = []
     for row in asks.itertuples(index=False):
-        if row.sums:
-            sums = np.frombuffer(row.sums, np.int64)
-            found.append((row.b, _planes(np.arange(len(sums))), row.sums))
-            continue
-        u, v, w, doc, n = (_from_planes(x) for x in (row.u, row.v, row.w, row.docs, row.n))
-        vw = v << 32 | w
-        at, by_pair = _find(vw, pairs, pair_weights)
         if not len(pairs):
-            continue
-        by_triple = np.where(pairs[at] == vw, _find(at << 32 | u, triples, triple_weights)[1], 0)
+            break
+        (v, w, runs, u), doc, n = _unpacked(row), _from_planes(row.docs), _from_planes(row.n)
+        at, by_pair = _find(v << 32 | w, pairs, pair_weights)
+        by_triple = _find(np.repeat(at, runs) << 32 | u, triples, triple_weights)[1]
         sums = np.zeros(int(doc.max()) + 1, np.int64)
-        np.add.at(sums, doc, n * (by_pair + by_triple))
+        np.add.at(sums, doc, n * (np.repeat(by_pair, runs) + by_triple))
         some = np.flatnonzero(sums)
         if len(some):
-            found.append((row.b, _planes(some), sums[some].tobytes()))
+            found.append((row.b, _planes(some, steps=True), _planes(sums[some])))
     return pd.DataFrame(found, columns=["b", "docs", "sums"])
 
 
+def _added(frames):
+    for frame in frames:
+        for b, all_ in zip(frame["b"], frame["_all"], strict=True):
+            found = [(_from_planes(x["docs"], steps=True), _from_planes(x["sums"])) for x in all_]
+            total = np.zeros(max(int(doc.max()) for doc, _ in found) + 1, np.int64)
+            for doc, sums in found:
+                total[doc] += sums
+            yield pd.DataFrame([(b, _planes(np.arange(len(total)), steps=True), _planes(total))], columns=["b", "docs", "sums"])
+
+
+def _listed(frames):
+    for frame in frames:
+        yield pd.DataFrame({"b": frame["b"], "totals": [_from_planes(x) for x in frame["sums"]]})
+
+
+def _together(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``lang``, ``learn``, ``n_tokens`` and ``log10_prob`` of every row, as a stored table.
 
     ``docs``: ``doc_id``, ``lang``, ``_learn`` (whether the model learns from it) and ``_text``.
     """
-    parts = portions(docs)
-    known, vocabulary = numbered_words(parts)
-    model = weights(trigrams(parts, known), vocabulary)
-    words = parts.agg(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x + 1)"))).first()[0] or 0
-    least = parts.sparkSession.sparkContext.defaultParallelism
-    shards = max(least, -(-words // SHARD_TOKENS), -(-model.grams.count() // SHARD_GRAMS))
-    shard = F.pmod(F.col("v").cast("long") * 1_000_003 + F.col("w"), F.lit(shards))
-    told = model.grams.withColumn("s", shard)
-    asks = asked(parts, known, model, shards)
-    answers = asks.groupBy("s").cogroup(told.groupBy("s")).applyInPandas(answered, "b long, docs binary, sums binary")
-    answers = answers.groupBy("b").agg(F.collect_list(F.struct("docs", "sums")).alias("_all"))
-
-    def add(frames):
-        for frame in frames:
-            totals = []
-            for all_ in frame["_all"]:
-                found = [(_from_planes(x["docs"]), np.frombuffer(x["sums"], np.int64)) for x in all_]
-                total = np.zeros(max(int(doc.max()) for doc, _ in found) + 1, np.int64)
-                for doc, sums in found:
-                    total[doc] += sums
-                totals.append(total)
-            yield pd.DataFrame({"b": frame["b"], "totals": totals})
-
-    totals = answers.mapInPandas(add, "b long, totals array<long>")
-    rows = parts.select("b", "doc_id", "lang", "learn", "sizes").join(totals, "b")
-    each = rows.select(F.explode(F.arrays_zip("doc_id", "lang", "learn", "sizes", "totals")).alias("x"))
+    told = portions(docs)
+    size = F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x + 1)"))
+    tokens, count = told.agg(size, F.count(F.lit(1))).first()
+    least = 4 * told.sparkSession.sparkContext.defaultParallelism
+    rounds = min(ROUNDS, max(1, count // 4))
+    vocabulary, known, shards = vocabulary_of(told, max(least, -(-(tokens or 0) // SHARD_TOKENS)))
+    tables = [coded(told.filter(F.pmod("turn", F.lit(rounds)) == i), vocabulary) for i in range(rounds)]
+    rows = stored(told.select("b", "doc_id", "lang", "learn", "sizes"), "rows")
+    _forget(told, vocabulary)
+    parts = _together(tables)
+    triples = trigrams(parts, shards)
+    words, sums, model = weights(triples, known, shards)
+    answers = []
+    for some in tables:
+        answers.append(single_words(some, words, model))
+        asks = asked(some, shards).groupBy("s")
+        grams = triples.select("s", *_GRAMS).join(sums, "s").groupBy("s")
+        some = asks.cogroup(grams).applyInPandas(partial(answered, model=model), "b long, docs binary, sums binary")
+        some = some.groupBy("b").agg(F.collect_list(F.struct("docs", "sums")).alias("_all"))
+        answers.append(stored(some.mapInPandas(_added, "b long, docs binary, sums binary"), "answers"))
+    totals = _together(answers).groupBy("b").agg(F.collect_list(F.struct("docs", "sums")).alias("_all"))
+    totals = totals.mapInPandas(_added, "b long, docs binary, sums binary").mapInPandas(_listed, "b long, totals array<long>")
+    each = rows.join(totals, "b").select(F.explode(F.arrays_zip("doc_id", "lang", "learn", "sizes", "totals")).alias("x"))
     found = each.select(
         "x.doc_id", "x.lang", "x.learn", (F.col("x.sizes").cast("long") + 1).alias("n_tokens"),
         (F.col("x.totals") / SCALE).alias("log10_prob"),
     )
-    return stored(found, "scores")
+    found = stored(found, "scores")
+    _forget(rows, *tables, words, triples, sums, *answers)
+    return found
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", trusted: Column | None = None) -> DataFrame:
