@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import Column, DataFrame
@@ -119,6 +120,10 @@ class Metric:
     def score(self, source: Column, hypothesis: Column, reference: Column) -> Column:
         raise NotImplementedError
 
+    def scores_in_task(self) -> Callable[[list[str], list[str]], np.ndarray] | None:
+        """The same score for texts inside a task, from hypotheses and references, where there is such a form."""
+        return None
+
 
 class SentenceBleu(Metric):
     """BLEU of normalized hypothesis against normalized reference."""
@@ -164,6 +169,9 @@ class Chrf(Metric):
             without_space(hypothesis), without_space(reference), chrf_words(hypothesis), chrf_words(reference)
         )
 
+    def scores_in_task(self):
+        return ngrams.bare_chrf_scores if self.word_order == 0 and self.lowercase else None
+
 
 class EditSimilarity(Metric):
     """``1 - distance / longer length`` on code points, 1 when both texts are empty."""

@@ -15,11 +15,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexiloom.functions.text import ASCII_PUNCTUATION
+
 CHAR_ORDER = 6
 WORD_ORDER = 4
 # Pairs counted together, and their characters; the tables of so many stay in the processor's cache.
 SLICE = 500
 SLICE_CHARS = 1 << 16
+PACKED_CHARS = 1 << 15  # of pairs whose n-grams are packed
 
 
 def portions(sizes: Iterable[int], most: int, rows: int | None = None) -> Iterator[tuple[int, int]]:
@@ -82,17 +85,105 @@ def match_counts(
     return matches, hyp_total, ref_total
 
 
+def _packed_counts(
+    hyp: tuple[np.ndarray, np.ndarray], ref: tuple[np.ndarray, np.ndarray], max_order: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``match_counts`` of characters: a position's row and its next ``max_order`` characters are one whole number.
+
+    Sorted, equal n-grams of every order are neighbours, so one sort serves all orders.  With ``h`` and ``r`` occurrences
+    of an n-gram, matches are half of ``h + r - |h - r|``.  Characters that do not fit into the number are left to
+    ``match_counts``.
+    """
+    rows = len(hyp[1])
+    lengths = np.concatenate([hyp[1], ref[1]])
+    points = np.concatenate([hyp[0], ref[0]]).astype(np.uint64)
+    top = int(points.max(initial=0)) + 1
+    if top > 256:
+        seen = np.zeros(top, dtype=bool)
+        seen[points] = True
+        points = (np.cumsum(seen) - 1).astype(np.uint64)[points]
+        top = int(points.max(initial=0)) + 1
+    bits = top.bit_length()
+    if max_order * bits + max(rows - 1, 0).bit_length() + 1 > 64:
+        return match_counts(hyp, ref, max_order)
+    # Zeros after every text, so that what is beyond its end is no character.
+    place = np.arange(len(points)) + np.repeat(np.arange(2 * rows) * (max_order - 1), lengths)
+    laid = np.zeros(len(points) + 2 * rows * (max_order - 1), dtype=np.uint64)
+    laid[place] = points + np.uint64(1)
+    shift, one = np.uint64(bits), np.uint64(1)
+    packed = laid.copy()
+    for order in range(1, max_order):
+        packed <<= shift
+        packed[: len(laid) - order] |= laid[order:]
+    owner = np.concatenate([np.arange(rows), np.arange(rows)]).astype(np.uint64) << np.uint64(max_order * bits + 1)
+    owner[rows:] |= one
+    keys = (packed[place] << one) | np.repeat(owner, lengths)
+    keys.sort()
+    sums = np.zeros(len(keys) + 1, dtype=np.int32)  # of hypothesis less reference, before a place
+    np.cumsum(1 - 2 * (keys & one).astype(np.int32), out=sums[1:])
+    keys >>= one
+    ends = np.arange(1, len(keys) + 1)
+    apart = np.zeros((rows, max_order), dtype=np.int64)
+    mask = np.uint64((1 << bits) - 1)
+    for order in range(max_order, 0, -1):
+        if len(keys):
+            last = np.flatnonzero(np.concatenate([keys[1:] != keys[:-1], [True]]))
+            keys, ends = keys[last], ends[last]
+            net = np.diff(sums[ends], prepend=0)
+            odd = np.flatnonzero((net != 0) & ((keys & mask) != 0))
+            row = (keys[odd] >> np.uint64(order * bits)).astype(np.int64)
+            apart[:, order - 1] = np.bincount(row, np.abs(net[odd]), rows)
+            keys >>= shift
+    orders = np.arange(max_order)
+    hyp_total = np.maximum(hyp[1][:, None] - orders, 0)
+    ref_total = np.maximum(ref[1][:, None] - orders, 0)
+    return (hyp_total + ref_total - apart) // 2, hyp_total, ref_total
+
+
 def _counts(
     symbols: Callable[[pd.Series], tuple[np.ndarray, np.ndarray]], hyp: pd.Series, ref: pd.Series, max_order: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counted, most = (_packed_counts, PACKED_CHARS) if symbols is _char_symbols else (match_counts, SLICE_CHARS)
     sizes = (len(h) + len(r) for h, r in zip(hyp, ref, strict=True))
     parts = [
-        match_counts(symbols(hyp.iloc[a:b]), symbols(ref.iloc[a:b]), max_order)
-        for a, b in portions(sizes, SLICE_CHARS, SLICE)
+        counted(symbols(hyp.iloc[a:b]), symbols(ref.iloc[a:b]), max_order)
+        for a, b in portions(sizes, most, SLICE)
     ]
     return tuple(np.concatenate(kind) for kind in zip(*parts))
 
 
+# Whitespace and ASCII punctuation by code point; beyond the last whitespace all is kept.
+_KEPT = np.array([not (chr(p).isspace() or chr(p) in ASCII_PUNCTUATION) for p in range(0x3002)])
+
+
+def _bare_symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of lower-cased texts without whitespace and ASCII punctuation."""
+    texts = [text.lower() for text in texts]
+    ends = np.cumsum([0, *map(len, texts)])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kept = _KEPT[np.minimum(points, len(_KEPT) - 1)]
+    before = np.concatenate([[0], np.cumsum(kept)])[ends]
+    return points[kept], np.diff(before)
+
+
+def bare_chrf_scores(hypotheses: list[str], references: list[str]) -> np.ndarray:
+    """chrF of normalized texts without whitespace, from the texts as they are; equal ones need no count."""
+    scores = np.zeros(len(hypotheses))
+    other = []
+    for i, (hyp, ref) in enumerate(zip(hypotheses, references, strict=True)):
+        if hyp == ref and hyp[:1].isalnum():
+            scores[i] = 100.0
+        else:
+            other.append(i)
+    hyp, ref = [hypotheses[i] for i in other], [references[i] for i in other]
+    parts = [
+        _f_score(_packed_counts(_bare_symbols(hyp[a:b]), _bare_symbols(ref[a:b]), CHAR_ORDER))
+        for a, b in portions((len(h) + len(r) for h, r in zip(hyp, ref)), PACKED_CHARS, SLICE)
+    ]
+    scores[other] = np.concatenate(parts)
+    return scores
+
+
 def _stat_frame(prefix: str, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
     frame = {}
     for kind, values in zip(("m", "h", "r"), counts):

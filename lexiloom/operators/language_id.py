@@ -9,7 +9,9 @@ rows or on how they are split, so one plan serves all sizes and gives the same a
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from hashlib import md5
@@ -17,6 +19,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,36 +38,90 @@ SLICE_CHARS = 1 << 20  # of texts that are scored together
 _NOT_LETTERS = r"[^\p{L}]+"
 
 
-class _OnlyLetters(dict):
-    """Translation table: letters stay, all else is a blank."""
+# Letters by numbers from 1, Latin ones first, others in the order a process meets them; 0 is all that is no letter.
+LETTERS = 128
+_OTHER, _NEW = LETTERS - 1, -1  # a letter beyond those with a number, a character not met yet
+_NUMBERS = np.full(sys.maxunicode + 1, _NEW, dtype=np.int16)
+_KNOWN = [" "]
+# Buckets of n-grams of numbered letters, -1 where not asked yet.
+_BUCKETS_OF = {n: np.full(LETTERS**n, -1, dtype=np.int32) for n in ORDERS}
 
-    def __missing__(self, point: int) -> int:
-        value = self[point] = point if chr(point).isalpha() else 32
-        return value
 
+def _numbers(points: np.ndarray) -> np.ndarray:
+    found = _NUMBERS[points]
+    if (found == _NEW).any():
+        for point in np.unique(points[found == _NEW]).tolist():
+            if not chr(point).isalpha():
+                _NUMBERS[point] = 0
+            elif len(_KNOWN) == _OTHER:
+                _NUMBERS[point] = _OTHER
+            else:
+                _NUMBERS[point] = len(_KNOWN)
+                _KNOWN.append(chr(point))
+        found = _NUMBERS[points]
+    return found
 
-_LETTER_TABLE = _OnlyLetters()
+
+_numbers(np.array([point for point in range(256) if chr(point).islower()]))
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
 def _letters(text: str) -> str:
-    return text.lower().translate(_LETTER_TABLE)
+    return _letters_of(text.lower())
+
 
+def _letters_of(text: str) -> str:
+    """A text with blanks for all that is no letter."""
+    points = _points(text)
+    return np.where(_numbers(points) > 0, points, np.uint32(32)).tobytes().decode("utf-32-le", "surrogatepass")
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), _NOT_LETTERS, -1), lambda w: w != "")
 
+def _bucket(gram: str) -> int:
+    return int(md5(gram.encode("utf-8", "surrogatepass")).hexdigest()[:DIGITS], 16)
 
-def _grams(word: Column) -> Column:
+
+def _grams(word: str) -> list[str]:
     """Character n-grams of a word with a blank on both sides.  Words are short, texts are not."""
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.flatten(
-        F.transform(
-            F.array(*[F.lit(n) for n in ORDERS]),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.char_length(padded) - n + 1), lambda i: F.substring(padded, i, n)
-            ),
-        )
-    )
+    padded = f" {word} "
+    return [padded[i : i + n] for n in ORDERS for i in range(len(padded) - n + 1)]
+
+
+def _gram_buckets(order: int, letters: list[np.ndarray]) -> np.ndarray:
+    """Buckets of the n-grams of letters that stand in the same place of each array."""
+    table = _BUCKETS_OF[order]
+    grams = letters[0].astype(np.int64)
+    for letter in letters[1:]:
+        grams = grams * LETTERS + letter
+    found = table[grams]
+    if (found < 0).any():
+        for gram in np.unique(grams[found < 0]).tolist():
+            table[gram] = _bucket("".join(_KNOWN[gram // LETTERS**n % LETTERS] for n in reversed(range(order))))
+        found = table[grams]
+    return found
+
+
+def _text_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Buckets of all n-grams of lower-cased texts: ``rows`` of one, two and three, how often each one counts, and the
+    number of places before each text and its end.
+
+    Words are the runs of letters, each with a blank on both sides.  Here neighbours share the blank between them: it
+    counts twice by itself, and three characters around it are no n-gram (their row is ``BUCKETS``).  Texts with letters
+    beyond those with numbers have no such form.
+    """
+    numbers = _numbers(_points(" ".join(texts) + " "))  # a blank ends every text
+    if (numbers == _OTHER).any():
+        return None
+    letter = numbers > 0
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]  # and the blank after a word
+    places = np.concatenate([[0], np.cumsum(kept)])[np.cumsum([0, *(len(text) + 1 for text in texts)])]
+    row = np.concatenate([[0, 0], numbers[kept]])
+    last, middle, first = row[2:], row[1:-1], row[:-2]
+    three = np.where(middle > 0, _gram_buckets(3, [first, middle, last]), BUCKETS)
+    return np.stack([_gram_buckets(1, [last]), _gram_buckets(2, [middle, last]), three]), 1 + (last == 0), places
 
 
 @dataclass
@@ -75,25 +132,56 @@ class LanguageModel:
     languages: DataFrame
 
 
-def _bucket(gram: Column) -> Column:
-    return F.conv(F.substring(F.md5(gram), 1, DIGITS), 16, 10).cast("int")
+LANGUAGES = 64  # whose bucket counts a task holds together
+PLACES = 1 << 16  # characters whose n-grams are looked up together; their arrays stay in the processor's cache
+
+
+def _counts(texts: list[str]) -> np.ndarray:
+    """Occurrences of the n-grams of lower-cased texts by bucket."""
+    found = _text_buckets(texts)
+    if found is None:
+        grams = (gram for text in texts for word in _letters_of(text).split() for gram in _grams(word))
+        return np.bincount([_bucket(gram) for gram in grams], minlength=BUCKETS)
+    rows, times, _ = found
+    once = np.bincount(rows[1:].ravel(), minlength=BUCKETS + 1)[:BUCKETS]
+    return once + np.bincount(rows[0], minlength=BUCKETS) + np.bincount(rows[0][times > 1], minlength=BUCKETS)
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by language and bucket of the texts of a task, from ``language, text``."""
+    counts: dict[str, np.ndarray] = {}
+
+    def flush():
+        for language, found in counts.items():
+            buckets = np.flatnonzero(found)
+            names = pa.array([language] * len(buckets), pa.string())
+            yield pa.record_batch([names, pa.array(buckets, pa.int32()), pa.array(found[buckets])], ["language", "bucket", "n"])
+        counts.clear()
+
+    for batch in batches:
+        texts_of = defaultdict(list)
+        for language, text in zip(*(column.to_pylist() for column in batch.columns)):
+            texts_of[language].append(text or "")
+        for language, texts in texts_of.items():
+            if language not in counts and len(counts) >= LANGUAGES:
+                yield from flush()
+            found = counts.setdefault(language, np.zeros(BUCKETS, np.int64))
+            for a, b in portions(map(len, texts), PLACES):
+                found += _counts(texts[a:b])
+    yield from flush()
 
 
 def train(docs: DataFrame, text: str = "text", language: str = "language") -> LanguageModel:
     """Count n-grams per language.
 
-    Words are counted first and only distinct words are taken apart, weighted by their count: the
-    n-gram shuffle then grows with the vocabulary and not with the text.
+    A task counts its n-grams by bucket and sends one row per language and bucket, so the shuffle grows neither with
+    the text nor with the vocabulary.
     """
     labelled = docs.filter(F.col(language).isNotNull()).select(F.lower(language).alias("language"), F.col(text).alias("text"))
-    words = (
-        labelled.select("language", F.explode(_words(F.col("text"))).alias("word"))
-        .groupBy("language", "word")
-        .agg(F.count("*").alias("n"))
-    )
     grams = materialize(
-        words.select("language", "n", F.explode(_grams(F.col("word"))).alias("gram"))
-        .groupBy("language", _bucket(F.col("gram")).alias("bucket"))
+        labelled.select("language", F.lower("text").alias("text"))
+        .mapInArrow(_bucket_counts, "language string, bucket int, n long")
+        .groupBy("language", "bucket")
         .agg(F.sum("n").alias("n"))
     )
     totals = grams.groupBy("language").agg(F.sum("n").alias("total"))
@@ -115,10 +203,11 @@ class BucketTable:
     words: dict[str, int] = field(default_factory=dict)
     word_chars: int = 0
     scores: np.ndarray | None = None  # by the numbers that ``words`` gives
+    padded: np.ndarray | None = None  # weights, and zeros for what is no n-gram
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}, "words": {}, "word_chars": 0, "scores": None}
+        return self.__dict__ | {"memo": {}, "words": {}, "word_chars": 0, "scores": None, "padded": None}
 
     def __setstate__(self, state):
         """A worker's next task gets what the one before it remembered of the same model."""
@@ -132,7 +221,7 @@ class BucketTable:
         if row is None:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            row = self.memo[gram] = int(md5(gram.encode("utf-8", "surrogatepass")).hexdigest()[:DIGITS], 16)
+            row = self.memo[gram] = _bucket(gram)
         return row
 
     def _learn(self, words: list[str]) -> None:
@@ -144,9 +233,8 @@ class BucketTable:
             return
         rows, starts = [], []
         for word in new:
-            padded = f" {word} "
             starts.append(len(rows))
-            rows += [self._row(padded[i : i + n]) for n in ORDERS for i in range(len(padded) - n + 1)]
+            rows += map(self._row, _grams(word))
         found, known = np.add.reduceat(self.weights[rows], starts, axis=0), len(self.words)
         if self.scores is None or known + len(new) > len(self.scores):
             grown = np.zeros((2 * (known + len(new)), len(self.languages)), np.int64)
@@ -178,6 +266,26 @@ class BucketTable:
         best = [self._totals(texts[a:b]).argmax(axis=1) for a, b in portions(map(len, texts), SLICE_CHARS)]
         return pd.Series(np.array(self.languages, dtype=object)[np.concatenate(best)])
 
+    def _text_totals(self, texts: list[str]) -> np.ndarray:
+        """The same for lower-cased texts with all their characters, without a look at single words."""
+        found = _text_buckets(texts)
+        if found is None:
+            return self._totals([_letters_of(text) for text in texts])
+        (one, two, three), times, places = found
+        if self.padded is None:
+            self.padded = np.vstack([self.weights, np.zeros_like(self.prior)])
+        sums = np.zeros((len(one) + 1, len(self.languages)), np.int64)
+        np.cumsum(self.padded[one] * times[:, None] + self.padded[two] + self.padded[three], axis=0, out=sums[1:])
+        return self.prior + np.diff(sums[places], axis=0)
+
+    def is_language(self, texts: pd.Series, language: str) -> np.ndarray:
+        """Whether texts, with all their characters, are in a language, by the first most likely one."""
+        wanted = np.array([name == language for name in self.languages], dtype=bool)
+        texts = [text.lower() for text in texts]
+        most = max(PLACES // max(len(self.languages), 1), 1)
+        best = [self._text_totals(texts[a:b]).argmax(axis=1) for a, b in portions(map(len, texts), most)]
+        return wanted[np.concatenate(best)]
+
 
 def _fixed(logarithms: np.ndarray) -> np.ndarray:
     return np.rint(logarithms * SCALE).astype(np.int64)
@@ -216,7 +324,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", out: str
 def language_gate(table: BucketTable, language: str) -> Callable[[pd.Series], np.ndarray]:
     """Predicate for the attempt sweep: is the text in the wanted language?  Case does not matter."""
     wanted = language.lower()
-    return lambda texts: (table.predict(texts.map(_letters)) == wanted).to_numpy()
+    return lambda texts: table.is_language(texts, wanted)
 
 
 def matches_expected(detected: Column, expected: Column) -> Column:

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.metrics import Metric, add_metrics
-from lexiloom.functions.prompts import TRANSLATE_SYSTEM, render
+from lexiloom.functions.prompts import TRANSLATE_SYSTEM, fill, render
 from lexiloom.functions.results import check_languages
 from lexiloom.operators.aggregates import document_metadata
 from lexiloom.operators.combine import expand_attempts, explode_sentences
 from lexiloom.operators.joins import UNTRANSLATED, resume_documents
 from lexiloom.operators.ordering import reconstruct_documents
 from lexiloom.operators.selection import best_of_attempts
-from lexiloom.providers import Provider, RetryPolicy, call_round_trip, passes, try_attempt
+from lexiloom.providers import Provider, RetryPolicy, call_round_trip, passes, try_attempt, try_attempts
 from lexiloom.providers.calls import DIGITS, EARLY_STOP, MIN_THRESHOLD, TEMPERATURES, Gate
 from lexiloom.session import dealt, table_exists, written
 
@@ -61,12 +61,50 @@ def document_attempts(
     """Best attempt per sentence in the layout of the sentence result table.
 
     ``gate`` tells which translations are in the target language.  Sentences without a single successful attempt that
-    passes are missing.  Sentences are dealt to tasks once; their attempts stay where they are, also for the selection.
+    passes are missing.  Sentences are dealt to tasks once.  Where the metric can score in the task, a sentence's attempts
+    are made, gated, scored and compared in one visit to Python, and only the best one leaves it; the selection then
+    sees one row a sentence.  Other metrics get a row for every attempt.
     """
+    check_languages(source, intermediate)
     sentences = explode_sentences(docs.select("doc_id", "text")).withColumnRenamed("sentence", "original_sentence")
-    attempts = expand_attempts(dealt(sentences, "doc_id", "sentence_index"), temperatures)
+    sentences = dealt(sentences, "doc_id", "sentence_index")
+    scores = metric.scores_in_task()
+    if scores is None:
+        done = _all_attempts(sentences, provider, source, intermediate, model_name, metric, temperatures, gate, policy)
+    else:
+        there = fill(TRANSLATE_SYSTEM, {"src_lang": source, "tgt_lang": intermediate})
+        home = fill(TRANSLATE_SYSTEM, {"src_lang": intermediate, "tgt_lang": source})
+        attempt = try_attempts(
+            provider, F.col("original_sentence"), there, home, model_name, temperatures, scores, gate, policy
+        )
+        tried = sentences.withColumn("_try", attempt).filter(F.col("_try.attempt").isNotNull())
+        done = tried.select("*", "_try.*").drop("_try").withColumnRenamed("score", "comet_score")
+    best = best_of_attempts(done, ["doc_id", "sentence_index"])
+    return best.select(
+        "doc_id",
+        "sentence_index",
+        "original_sentence",
+        F.col("forward").alias("forward_translation"),
+        F.col("back").alias("back_translation"),
+        "comet_score",
+        "temperature",
+    )
+
+
+def _all_attempts(
+    sentences: DataFrame,
+    provider: Provider,
+    source: str,
+    intermediate: str,
+    model_name: str,
+    metric: Metric,
+    temperatures: tuple[float, ...],
+    gate: Gate | None,
+    policy: RetryPolicy,
+) -> DataFrame:
+    """Every good attempt that passes the gate as a row with its ``comet_score``."""
     done = back_translate(
-        attempts,
+        expand_attempts(sentences, temperatures),
         provider,
         source,
         intermediate,
@@ -78,17 +116,7 @@ def document_attempts(
     ).filter(F.col("error").isNull())
     if gate is not None:
         done = done.filter(passes(gate, F.col("forward")))
-    done = done.withColumn("comet_score", F.round("comet_score", DIGITS))
-    best = best_of_attempts(done, ["doc_id", "sentence_index"])
-    return best.select(
-        "doc_id",
-        "sentence_index",
-        "original_sentence",
-        F.col("forward").alias("forward_translation"),
-        F.col("back").alias("back_translation"),
-        "comet_score",
-        "temperature",
-    )
+    return done.withColumn("comet_score", F.round("comet_score", DIGITS))
 
 
 def synth_sentences(
@@ -118,8 +146,8 @@ def synth_sentences(
     are null.
     """
     names = ("translation", "backtranslation", "score", "temperature")
-    there = render(TRANSLATE_SYSTEM, src_lang=source, tgt_lang=target)
-    home = render(TRANSLATE_SYSTEM, src_lang=target, tgt_lang=source)
+    there = fill(TRANSLATE_SYSTEM, {"src_lang": source, "tgt_lang": target})
+    home = fill(TRANSLATE_SYSTEM, {"src_lang": target, "tgt_lang": source})
     text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
     best = F.struct(*[(text if n < 2 else number).alias(name) for n, name in enumerate(names)])
     open_ = sentences.select(F.struct(*sentences.columns).alias("_row"), best.alias("_best"))

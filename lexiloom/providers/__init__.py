@@ -1,5 +1,5 @@
 from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, TruncatedOutput
-from lexiloom.providers.calls import call_chain, call_model, call_round_trip, passes, try_attempt
+from lexiloom.providers.calls import call_chain, call_model, call_round_trip, passes, try_attempt, try_attempts
 
 __all__ = [
     "CallSettings",
@@ -12,4 +12,5 @@ __all__ = [
     "call_round_trip",
     "passes",
     "try_attempt",
+    "try_attempts",
 ]

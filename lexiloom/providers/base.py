@@ -87,7 +87,7 @@ class Step:
     temperature: float = 0.0
 
 
-@dataclass
+@dataclass(slots=True)
 class Outcome:
     value: str | None = None
     error: str | None = None
@@ -106,13 +106,14 @@ def run_batch(
     provider: Provider, policy: RetryPolicy, texts: list[str], systems: list[str], configs: list[CallSettings]
 ) -> list[Outcome]:
     """Call a batch, retrying the rows that failed; every row ends with a value or an error."""
-    outcomes = [Outcome(budget=policy.budget(c.max_tokens, 0)) for c in configs]
+    outcomes: list[Outcome | None] = [None] * len(texts)
     tier, tries = [0] * len(texts), [0] * len(texts)
     pending = list(range(len(texts)))
+    asked, told = list(texts), list(systems)
+    calls = [c if c.max_tokens is None and c.attempt == 1 else _settings(c, policy.budget(c.max_tokens, 0), 1) for c in configs]
     while pending:
-        calls = [_settings(configs[i], policy.budget(configs[i].max_tokens, tier[i]), tries[i] + 1) for i in pending]
         try:
-            answers = list(provider.invoke_many([texts[i] for i in pending], [systems[i] for i in pending], calls))
+            answers = list(provider.invoke_many(asked, told, calls))
             if len(answers) != len(pending):
                 raise ValueError(f"{len(answers)} answers to {len(pending)} texts")
         except Exception as problem:  # a failed batch is failed rows, which are data
@@ -120,10 +121,14 @@ def run_batch(
         again, wait = [], 0.0
         for i, call, answer in zip(pending, calls, answers, strict=True):
             outcome = outcomes[i]
+            if outcome is None:
+                outcome = outcomes[i] = Outcome()
             outcome.attempts += 1
             outcome.budget = call.max_tokens
             if not isinstance(answer, Exception):
-                cleaned = _LABEL.sub("", (answer or "").strip()).strip()
+                cleaned = (answer or "").strip()
+                if label := _LABEL.match(cleaned):  # the pattern stands at the start only
+                    cleaned = cleaned[label.end() :].strip()
                 if cleaned:
                     outcome.value, outcome.error = cleaned, None
                     continue
@@ -142,6 +147,9 @@ def run_batch(
                 wait = max(wait, policy.delay * tries[i] * factor)
             again.append(i)
         pending = again
+        if pending:
+            calls = [_settings(configs[i], policy.budget(configs[i].max_tokens, tier[i]), tries[i] + 1) for i in pending]
+            asked, told = [texts[i] for i in pending], [systems[i] for i in pending]
         if pending and wait > 0:
             policy.sleep(wait)
     return outcomes

@@ -10,13 +10,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiloom.functions.ngrams import chrf_scores, portions
+from lexiloom.functions.ngrams import bare_chrf_scores, portions
 from lexiloom.functions.prompts import fill
-from lexiloom.functions.text import ASCII_PUNCTUATION, bind
+from lexiloom.functions.text import bind
 from lexiloom.providers.base import CallSettings, Provider, RetryPolicy, Step, run_batch
 
 CALL_SCHEMA = "values array<string>, error string, attempts int, budget long"
 ATTEMPT_SCHEMA = "forward string, back string, score double"
+BEST_SCHEMA = f"{ATTEMPT_SCHEMA}, attempt int, temperature double"
 
 # Fixed values of the sweep: stop at once from 95, keep the best one from 50.
 EARLY_STOP = 95.0
@@ -30,6 +31,7 @@ DIGITS = 9
 PORTION = 1 << 20
 
 Gate = Callable[[pd.Series], np.ndarray]
+Scores = Callable[[list[str], list[str]], np.ndarray]  # of hypotheses and references
 
 
 def call_model(
@@ -229,11 +231,39 @@ def call_chain(
     return run.asNondeterministic()(*columns, *([F.lit("")] if len(columns) == 1 else []))
 
 
+def _attempt(
+    provider: Provider,
+    policy: RetryPolicy,
+    sentences: list[str],
+    there: str,
+    home: str,
+    settings: CallSettings,
+    gate: Gate | None,
+    scores: Scores,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``forward, back, score`` of one attempt at every sentence; the score is NaN where it failed or did not pass."""
+    size = len(sentences)
+    outcomes = run_batch(provider, policy, sentences, [there] * size, [settings] * size)
+    forward = np.array([o.value for o in outcomes], dtype=object)
+    usable = np.array([o.error is None for o in outcomes], dtype=bool)
+    if gate is not None and usable.any():
+        usable[usable] = gate(pd.Series(forward[usable]))
+    rows = np.flatnonzero(usable)
+    returned = run_batch(provider, policy, forward[rows].tolist(), [home] * len(rows), [settings] * len(rows))
+    kept = np.array([o.error is None for o in returned], dtype=bool)
+    rows, values = rows[kept], [o.value for o in returned if o.error is None]
+    back, score = np.full(size, None, dtype=object), np.full(size, np.nan)
+    if len(rows):
+        back[rows] = values
+        score[rows] = np.round(scores(values, [sentences[i] for i in rows]), DIGITS)
+    return forward, back, score
+
+
 def try_attempt(
     provider: Provider,
     sentence: Column,
-    forward_system: Column,
-    backward_system: Column,
+    forward_system: str,
+    backward_system: str,
     model_name: str,
     temperature: float,
     gate: Gate | None = None,
@@ -246,33 +276,80 @@ def try_attempt(
     """
 
     @F.pandas_udf(ATTEMPT_SCHEMA)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         settings = CallSettings(model_name, temperature)
         provider.open()
         try:
-            for sentences, forth, home in batches:
-                size = len(sentences)
-                there = run_batch(provider, policy, sentences.tolist(), forth.tolist(), [settings] * size)
-                usable = np.array([o.error is None for o in there], dtype=bool)
-                forward = np.array([o.value for o in there], dtype=object)
-                if gate is not None and usable.any():
-                    usable[usable] = gate(pd.Series(forward[usable]))
-                rows = np.flatnonzero(usable)
-                returned = run_batch(
-                    provider, policy, forward[rows].tolist(), home.iloc[rows].tolist(), [settings] * len(rows)
-                )
-                kept = np.array([o.error is None for o in returned], dtype=bool)
-                rows, values = rows[kept], [o.value for o in returned if o.error is None]
-                back, score = np.full(size, None, dtype=object), np.full(size, np.nan)
-                if len(rows):
-                    back[rows] = values
-                    found = chrf_scores(_bare(values), _bare(sentences.iloc[rows].tolist()))
-                    score[rows] = np.round(found, DIGITS)
-                yield pd.DataFrame({"forward": forward, "back": back, "score": score})
+            for batch in batches:
+                texts = batch.tolist()
+                for a, b in portions((0 if t is None else len(t) for t in texts), PORTION):
+                    made = _attempt(
+                        provider, policy, texts[a:b], forward_system, backward_system, settings, gate, bare_chrf_scores
+                    )
+                    yield pd.DataFrame(dict(zip(("forward", "back", "score"), made)))
         finally:
             provider.close()
 
-    return run.asNondeterministic()(sentence, forward_system, backward_system)
+    return run.asNondeterministic()(sentence)
+
+
+def try_attempts(
+    provider: Provider,
+    sentence: Column,
+    forward_system: str,
+    backward_system: str,
+    model_name: str,
+    temperatures: tuple[float, ...],
+    scores: Scores,
+    gate: Gate | None = None,
+    policy: RetryPolicy = RetryPolicy(),
+) -> Column:
+    """Struct ``forward, back, score, attempt, temperature``: the best of a sentence's attempts at all temperatures.
+
+    All of them are made, in one visit to Python, and scored against the sentence; an attempt that fails or does not
+    pass ``gate`` does not count.  Of equal scores the first one stays, so other attempts never leave the task.  All
+    fields are null where no attempt counts.
+    """
+    fields = ("forward", "back", "score", "attempt", "temperature")
+
+    @F.pandas_udf(BEST_SCHEMA)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        settings = [CallSettings(model_name, t) for t in temperatures]
+        provider.open()
+        try:
+            for batch in batches:
+                texts = batch.tolist()
+                for a, b in portions((0 if t is None else len(t) for t in texts), PORTION):
+                    sentences, size = texts[a:b], b - a
+                    forward, back = np.full(size, None, dtype=object), np.full(size, None, dtype=object)
+                    score, attempt, degree = (np.full(size, np.nan) for _ in range(3))
+                    known = None if gate is None else _remembering(gate)
+                    for number, one in enumerate(settings):
+                        there, returned, found = _attempt(
+                            provider, policy, sentences, forward_system, backward_system, one, known, scores
+                        )
+                        better = ~np.isnan(found) & ~(found <= score)
+                        forward[better], back[better], score[better] = there[better], returned[better], found[better]
+                        attempt[better], degree[better] = number, one.temperature
+                    attempt = pd.array(attempt, dtype="Int32")
+                    yield pd.DataFrame(dict(zip(fields, (forward, back, score, attempt, degree))))
+        finally:
+            provider.close()
+
+    return run.asNondeterministic()(sentence)
+
+
+def _remembering(gate: Gate) -> Gate:
+    """A gate that sees a text once; attempts at a sentence are often the same text."""
+    seen: dict[str, bool] = {}
+
+    def known(texts: pd.Series) -> np.ndarray:
+        new = [text for text in dict.fromkeys(texts) if text not in seen]
+        if new:
+            seen.update(zip(new, gate(pd.Series(new, dtype=object)).tolist(), strict=True))
+        return np.array([seen[text] for text in texts], dtype=bool)
+
+    return known
 
 
 def passes(gate: Gate, text: Column) -> Column:
@@ -283,10 +360,3 @@ def passes(gate: Gate, text: Column) -> Column:
         return pd.Series(gate(texts.fillna("")))
 
     return run(text)
-
-
-_NO_PUNCTUATION = str.maketrans("", "", ASCII_PUNCTUATION)
-
-
-def _bare(texts: list[str]) -> pd.Series:
-    return pd.Series(["".join(t.lower().translate(_NO_PUNCTUATION).split()) for t in texts], dtype=object)
